@@ -1,16 +1,19 @@
 """All registered jobs and their oracle SQL."""
 from __future__ import annotations
 
-from . import analysis, oracle_analysis
+from . import analysis, features, oracle_analysis, oracle_features
 
 
 def queries() -> dict:
     out = {}
     out.update(analysis.QUERIES)
+    out.update(features.QUERIES)
     return out
 
 
 def oracle_sql() -> dict:
     out = {}
     out.update(oracle_analysis.SQL)
-    return {k: v for k, v in out.items() if k in queries()}
+    out.update(oracle_features.SQL)
+    names = queries()
+    return {k: v for k, v in out.items() if k in names}
