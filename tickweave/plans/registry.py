@@ -1,13 +1,14 @@
 """All registered jobs and their oracle SQL."""
 from __future__ import annotations
 
-from . import analysis, features, oracle_analysis, oracle_features
+from . import analysis, features, model, oracle_analysis, oracle_features, oracle_model
 
 
 def queries() -> dict:
     out = {}
     out.update(analysis.QUERIES)
     out.update(features.QUERIES)
+    out.update(model.QUERIES)
     return out
 
 
@@ -15,5 +16,6 @@ def oracle_sql() -> dict:
     out = {}
     out.update(oracle_analysis.SQL)
     out.update(oracle_features.SQL)
+    out.update(oracle_model.SQL)
     names = queries()
     return {k: v for k, v in out.items() if k in names}
