@@ -81,7 +81,7 @@ def weekday_monday0(t: Column) -> Column:
 def epoch_to_ntz(value: Column, unit: Column | str) -> Column:
     """Epoch number (as text or number) in 'ms', 's' or fractional 's' -> naive UTC."""
     unit_col = F.lit(unit) if isinstance(unit, str) else unit
-    num = F.try_cast(value.cast("string"), "double")
+    num = value.cast("string").try_cast("double")
     micros = (F.when(unit_col == "ms", num * F.lit(1000.0))
               .when(unit_col == "s", num * F.lit(1_000_000.0)))
     return F.timestamp_micros(F.round(micros).cast("long")).cast("timestamp_ntz")

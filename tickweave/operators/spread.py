@@ -159,24 +159,24 @@ def top_profit(sp_high: DataFrame, ex1: str, ex2: str, n: int = 5,
 
 def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
     """Equal-width histogram like numpy's: all bins present, the last bin closed on
-    the right, and a +-0.5 range when all values are equal."""
+    the right, and a +-0.5 range when all values are equal.  The range is one
+    aggregate whose two scalars become literals of the binning pass."""
     x = F.col(column)
-    rng = df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(x).alias("_n"))
-    lo = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo"))
-    hi = F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi"))
-    edges = rng.where(F.col("_n") > 0).select(lo.alias("lo"), hi.alias("hi"))
-    # 1-row frame joined on a constant key: a broadcast of one row, not a cross join
-    binned = (df.where(x.isNotNull()).select(x.alias("_x"), F.lit(1).alias("_k"))
-              .join(F.broadcast(edges.withColumn("_k", F.lit(1))), "_k"))
-    idx = F.least(F.floor((F.col("_x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins),
-                  F.lit(bins - 1)).cast("int")
-    counts = binned.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    grid = edges.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    spark = df.sparkSession
+    if lo is None:
+        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, n_rows long")
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    flo, fhi = F.lit(float(lo)), F.lit(float(hi))
+    idx = F.least(F.floor((x - flo) / (fhi - flo) * bins), F.lit(bins - 1)).cast("int")
+    counts = df.where(x.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
+    width = (fhi - flo) / bins
+    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     return (grid.join(counts, "bin", "left")
             .select("bin",
-                    (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
-                    (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
+                    (flo + F.col("bin") * width).alias("bin_lo"),
+                    (flo + (F.col("bin") + 1) * width).alias("bin_hi"),
                     F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows")))
 
 

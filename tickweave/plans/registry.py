@@ -1,7 +1,8 @@
 """All registered jobs and their oracle SQL."""
 from __future__ import annotations
 
-from . import analysis, features, model, oracle_analysis, oracle_features, oracle_model
+from . import (analysis, collect, features, model, oracle_analysis, oracle_collect,
+               oracle_features, oracle_model)
 
 
 def queries() -> dict:
@@ -9,6 +10,7 @@ def queries() -> dict:
     out.update(analysis.QUERIES)
     out.update(features.QUERIES)
     out.update(model.QUERIES)
+    out.update(collect.QUERIES)
     return out
 
 
@@ -17,5 +19,6 @@ def oracle_sql() -> dict:
     out.update(oracle_analysis.SQL)
     out.update(oracle_features.SQL)
     out.update(oracle_model.SQL)
+    out.update(oracle_collect.SQL)
     names = queries()
     return {k: v for k, v in out.items() if k in names}
