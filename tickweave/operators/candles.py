@@ -18,14 +18,20 @@ CANDLE_FIELDS = ("open", "high", "low", "close", "volume")
 
 
 def ohlc(trades: DataFrame, bucket: str = "1 minute", keys=SERIES,
-         ts: str = "ts", seq: str = "seq") -> DataFrame:
+         ts: str = "ts", seq: str = "seq", seq_follows_time: bool = False) -> DataFrame:
     """Tumbling-bucket OHLC + volume per series.
 
     ``open``/``close`` are the prices of the first/last trade by ``(ts, seq)``;
     ``min_by``/``max_by`` keep that exact under any shuffle order (``first``/``last``
     would not).  Trades with a NULL price count for volume only, as pandas does.
+
+    A struct ordering key makes Spark plan a sort-based aggregate.  When the feed's
+    sequence number already orders trades in time (exchange trade ids do),
+    ``seq_follows_time=True`` orders by ``seq`` alone: one ``long`` key, so the
+    aggregate is hash-based with map-side partial aggregation.
     """
-    order = F.when(F.col("price").isNotNull(), F.struct(F.col(ts), F.col(seq)))
+    key = F.col(seq) if seq_follows_time else F.struct(F.col(ts), F.col(seq))
+    order = F.when(F.col("price").isNotNull(), key)
     secs = bucket_seconds(bucket)
     return (trades
             .where(F.col(ts).isNotNull())

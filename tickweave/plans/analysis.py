@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import align as al
 from ..operators import candles as cd
 from ..operators import spread as sp
-from .common import BUCKET, EX1, EX2, hourly_candles, rounded, trades
+from .common import BUCKET, EX1, EX2, candles_of, hourly_candles, pair_candles, rounded, trades
 
 # The trade window of the range-filter job (both ends inclusive).
 RANGE_START, RANGE_END = "2024-01-08 00:00:00", "2024-01-22 00:00:00"
@@ -34,7 +34,7 @@ def q_series_extent(spark, sf_dir):
 
 def q_trade_range(spark, sf_dir):
     t = cd.trade_range(trades(spark, sf_dir, multi_base=True), RANGE_START, RANGE_END)
-    return rounded(cd.ohlc(t, BUCKET))
+    return rounded(candles_of(t))
 
 
 def q_candle_stats(spark, sf_dir):
@@ -60,11 +60,11 @@ def q_wide_candles_chain(spark, sf_dir):
 # --- two-venue alignment and spread --------------------------------------------------
 
 def aligned_close(spark, sf_dir):
-    return al.align(hourly_candles(spark, sf_dir), EX1, EX2, ["high", "close"])
+    return al.align(pair_candles(spark, sf_dir), EX1, EX2, ["high", "close"])
 
 
 def aligned_high(spark, sf_dir):
-    return al.align(hourly_candles(spark, sf_dir), EX1, EX2, ["high"])
+    return al.align(pair_candles(spark, sf_dir), EX1, EX2, ["high"])
 
 
 def spread_close_frame(spark, sf_dir):
@@ -143,7 +143,7 @@ def q_chart_profit_time(spark, sf_dir):
 
 
 def q_chart_series(spark, sf_dir):
-    wide = al.widen(hourly_candles(spark, sf_dir), fields=("high",))
+    wide = al.widen(hourly_candles(spark, sf_dir, venues=CHART_VENUES), CHART_VENUES, fields=("high",))
     return rounded(al.unpivot_wide(wide, CHART_VENUES, "high"))
 
 

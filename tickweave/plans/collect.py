@@ -19,7 +19,7 @@ from ..sources import files as fl
 from ..sources import landing as ld
 from ..sources import payloads as pl
 from ..sources import symbols as sy
-from .common import BUCKET, hourly_candles, rounded, trades
+from .common import candles_of, hourly_candles, rounded, trades
 
 CANDLE_OUT = ["base", "exchange", "time", "open", "high", "low", "close", "volume"]
 
@@ -59,7 +59,7 @@ def q_adapt_kraken_trades(spark, sf_dir):
 def q_adapt_kraken(spark, sf_dir):
     """Trade pages -> trades -> hourly candles (the trade venue's adapter end to end)."""
     got = pl.dedupe_trades(pl.decode_trades(kraken_pages(spark, sf_dir)))
-    return rounded(cd.ohlc(got, BUCKET).select(*CANDLE_OUT))
+    return rounded(candles_of(got).select(*CANDLE_OUT))
 
 
 def q_page_union(spark, sf_dir):

@@ -9,11 +9,11 @@ from ..operators import features as fe
 from ..operators import rolling as ro
 from ..operators import spread as sp
 from ..operators.quantiles import exact_quantiles
-from .common import EX1, EX2, hourly_candles, rounded
+from .common import EX1, EX2, pair_candles, rounded
 
 
 def aligned_features_input(spark: SparkSession, sf_dir: str, multi_base: bool = False) -> DataFrame:
-    return al.align(hourly_candles(spark, sf_dir, multi_base), EX1, EX2, fe.FEATURE_FIELDS)
+    return al.align(pair_candles(spark, sf_dir, multi_base), EX1, EX2, fe.FEATURE_FIELDS)
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:

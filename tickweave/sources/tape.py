@@ -33,9 +33,16 @@ def _venue(event_type: Column) -> Column:
     return out
 
 
-def events_trades(spark: SparkSession, sf_dir: str, multi_base: bool = False) -> DataFrame:
-    """``events`` as trades: base, exchange, ts, seq, price, volume."""
+def events_trades(spark: SparkSession, sf_dir: str, multi_base: bool = False,
+                  venues: list[str] | None = None) -> DataFrame:
+    """``events`` as trades: base, exchange, ts, seq, price, volume.
+
+    ``venues`` keeps only those venues, as a filter on the raw ``event_type`` column
+    so that it reaches the parquet scan (a filter on the mapped venue would not)."""
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if venues is not None:
+        kinds = [k for k, v in EVENT_VENUE if v in venues]
+        ev = ev.where(F.col("event_type").isin(kinds))
     if multi_base:
         base = F.element_at(F.array(*[F.lit(b) for b in MULTI_BASES]),
                             (F.pmod(F.col("user_id"), F.lit(3)) + 1).cast("int"))
