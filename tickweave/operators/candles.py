@@ -18,7 +18,8 @@ CANDLE_FIELDS = ("open", "high", "low", "close", "volume")
 
 
 def ohlc(trades: DataFrame, bucket: str = "1 minute", keys=SERIES,
-         ts: str = "ts", seq: str = "seq", seq_follows_time: bool = False) -> DataFrame:
+         ts: str = "ts", seq: str = "seq", seq_follows_time: bool = False,
+         tie_break=()) -> DataFrame:
     """Tumbling-bucket OHLC + volume per series.
 
     ``open``/``close`` are the prices of the first/last trade by ``(ts, seq)``;
@@ -28,9 +29,11 @@ def ohlc(trades: DataFrame, bucket: str = "1 minute", keys=SERIES,
     A struct ordering key makes Spark plan a sort-based aggregate.  When the feed's
     sequence number already orders trades in time (exchange trade ids do),
     ``seq_follows_time=True`` orders by ``seq`` alone: one ``long`` key, so the
-    aggregate is hash-based with map-side partial aggregation.
+    aggregate is hash-based with map-side partial aggregation.  ``tie_break`` adds
+    columns after ``(ts, seq)`` for feeds whose sequence is not unique.
     """
-    key = F.col(seq) if seq_follows_time else F.struct(F.col(ts), F.col(seq))
+    key = (F.col(seq) if seq_follows_time and not tie_break
+           else F.struct(F.col(ts), F.col(seq), *[F.col(x) for x in tie_break]))
     order = F.when(F.col("price").isNotNull(), key)
     secs = bucket_seconds(bucket)
     return (trades

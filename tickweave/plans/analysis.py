@@ -28,6 +28,16 @@ def q_ohlc_gapfill(spark, sf_dir):
     return rounded(cd.fill_gaps(hourly_candles(spark, sf_dir, multi_base=True), BUCKET))
 
 
+def q_ohlc_bulk(spark, sf_dir):
+    """``lineitem`` as a bulk trade feed: all trades of a day share one time stamp
+    and the line key repeats, so open/close rest on the (ts, seq, price, volume)
+    ordering (sort-based aggregate)."""
+    from ..sources.tape import lineitem_trades
+    from ..session import configure
+    configure(spark)
+    return rounded(cd.ohlc(lineitem_trades(spark, sf_dir), BUCKET, tie_break=("price", "volume")))
+
+
 def q_series_extent(spark, sf_dir):
     return cd.series_extent(hourly_candles(spark, sf_dir, multi_base=True))
 
@@ -149,6 +159,7 @@ def q_chart_series(spark, sf_dir):
 
 QUERIES = {
     "ohlc": q_ohlc,
+    "ohlc_bulk": q_ohlc_bulk,
     "ohlc_gapfill": q_ohlc_gapfill,
     "series_extent": q_series_extent,
     "trade_range": q_trade_range,

@@ -119,7 +119,8 @@ def series_of(spark, sf_dir) -> DataFrame:
 
 
 def q_symbol_map(spark, sf_dir):
-    return sy.symbol_map(series_of(spark, sf_dir))
+    req = series_of(spark, sf_dir).select("exchange", F.concat("base", F.lit("/"), "quote").alias("pair"))
+    return sy.symbol_map(req)
 
 
 def q_currency_list(spark, sf_dir):

@@ -18,11 +18,14 @@ DIGITS = 6
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every double column (results are compared value by value; sums and
-    standard deviations differ in the last bits with the summation order)."""
+    standard deviations differ in the last bits with the summation order).
+    ``round(x * 10^d) / 10^d`` rather than a decimal-scale round, so that another
+    engine that rounds the same way gets bit-identical values."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`"), digits).alias(f.name))
+            scale = F.lit(float(10 ** digits))
+            cols.append((F.round(F.col(f"`{f.name}`") * scale) / scale).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)

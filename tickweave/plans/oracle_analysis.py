@@ -6,14 +6,20 @@ DOUBLE sums so that 0.2 + 0.1 keeps its binary value.
 """
 from __future__ import annotations
 
-from ..sources.tape import sql_events_trades
+from ..sources.tape import sql_events_trades, sql_lineitem_trades
 from .common import EX1, EX2
 
 R = 6
 
 
+def rnd(expr: str) -> str:
+    """Same rounding as the Spark side: round(x * 1e6) / 1e6 (bit-identical for
+    identical inputs in both engines, unlike a decimal-scale round)."""
+    return f"(round(({expr}) * 1e{R}) / 1e{R})"
+
+
 def _r(expr: str, alias: str) -> str:
-    return f"round({expr}, {R}) AS \"{alias}\""
+    return f"{rnd(expr)} AS \"{alias}\""
 
 
 def tape_cte(multi: bool) -> str:
@@ -38,7 +44,7 @@ FIELDS = ["open", "high", "low", "close", "volume"]
 
 def wide_select(fields=FIELDS, venues=PRESENT) -> str:
     cols = ", ".join(
-        f"round(max({f}) FILTER (WHERE exchange = '{v}'), {R}) AS \"{v}:{f}\""
+        f"(round((max({f}) FILTER (WHERE exchange = '{v}')) * 1e{R}) / 1e{R}) AS \"{v}:{f}\""
         for v in venues for f in fields)
     return f"SELECT base, time, {cols} FROM candles GROUP BY base, time"
 
@@ -84,7 +90,7 @@ def _ladder() -> str:
         f"SELECT {t!r}::DOUBLE AS threshold, count(*) FILTER (WHERE abs_price_diff_pct >= {t!r}::DOUBLE) AS n_rows, "
         f"count(*) AS total FROM sp" for t in LADDER)
     return (CLOSE + f", lad AS ({rows}) SELECT threshold, n_rows, "
-            f"round(n_rows::DOUBLE / nullif(total, 0)::DOUBLE * 100.0, {R}) AS share_pct, "
+            f"(round((n_rows::DOUBLE / nullif(total, 0)::DOUBLE * 100.0) * 1e{R}) / 1e{R}) AS share_pct, "
             f"threshold > {COST} AS profitable FROM lad")
 
 
@@ -97,8 +103,8 @@ def _histogram() -> str:
             "FROM sp, edges WHERE price_diff_pct IS NOT NULL), "
             "counts AS (SELECT bin, count(*) AS n_rows FROM binned GROUP BY bin), "
             "grid AS (SELECT lo, hi, range::INTEGER AS bin FROM edges, range(0, 100)) "
-            f"SELECT grid.bin, round(lo + grid.bin * ((hi - lo) / 100), {R}) AS bin_lo, "
-            f"round(lo + (grid.bin + 1) * ((hi - lo) / 100), {R}) AS bin_hi, "
+            f"SELECT grid.bin, (round((lo + grid.bin * ((hi - lo) / 100)) * 1e{R}) / 1e{R}) AS bin_lo, "
+            f"(round((lo + (grid.bin + 1) * ((hi - lo) / 100)) * 1e{R}) / 1e{R}) AS bin_hi, "
             "coalesce(counts.n_rows, 0)::BIGINT AS n_rows FROM grid LEFT JOIN counts USING (bin)")
 
 
@@ -108,7 +114,7 @@ def _fill_gaps() -> str:
             "grid AS (SELECT base, exchange, unnest(range(t0, t1 + INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS time FROM ext) "
             "SELECT g.base, g.exchange, g.time, "
             + ", ".join(_r(f"c.{f}", f) for f in ("open", "high", "low", "close"))
-            + f", round(coalesce(c.volume, 0), {R}) AS volume "
+            + f", (round((coalesce(c.volume, 0)) * 1e{R}) / 1e{R}) AS volume "
             "FROM grid g LEFT JOIN candles c USING (base, exchange, time)")
 
 
@@ -124,11 +130,18 @@ def _chart_series() -> str:
     parts = " UNION ALL ".join(
         f"SELECT base, '{v}' AS exchange, time, high FROM candles WHERE exchange = '{v}' AND high IS NOT NULL"
         for v in ["BINANCE", "BITFINEX", "COINBASE"])
-    return f"WITH {candles_cte(False)} SELECT base, exchange, time, round(high, {R}) AS high FROM ({parts})"
+    return f"WITH {candles_cte(False)} SELECT base, exchange, time, (round((high) * 1e{R}) / 1e{R}) AS high FROM ({parts})"
+
 
+_BULK = (f"WITH tape AS ({sql_lineitem_trades()}), candles AS (SELECT base, exchange, "
+         "date_trunc('hour', ts) AS time, arg_min(price, {'t': ts, 's': seq, 'p': price, 'v': volume}) AS open, max(price) AS high, "
+         "min(price) AS low, arg_max(price, {'t': ts, 's': seq, 'p': price, 'v': volume}) AS close, coalesce(sum(volume), 0) AS volume "
+         "FROM tape WHERE ts IS NOT NULL GROUP BY base, exchange, date_trunc('hour', ts)) "
+         f"SELECT {CANDLE_OUT} FROM candles")
 
 SQL = {
     "ohlc": f"WITH {candles_cte(True)} SELECT {CANDLE_OUT} FROM candles",
+    "ohlc_bulk": _BULK,
     "ohlc_gapfill": _fill_gaps(),
     "series_extent": (f"WITH {candles_cte(True)} SELECT base, exchange, count(*) AS n_rows, "
                       "min(time) AS first_time, max(time) AS last_time FROM candles GROUP BY base, exchange"),
@@ -173,7 +186,7 @@ SQL = {
                        f"sum(p) AS total_profit, avg(p) AS mean_profit, max(p) AS best_profit, min(p) AS worst_profit "
                        f"FROM (SELECT *, CASE WHEN abs_price_diff_pct >= {CUT} THEN "
                        f"(abs_price_diff_pct - {COST}) * \"{EX2}:close\" / 100.0 END AS p FROM sp)) "
-                       f"SELECT n_rows, n_profitable, round(n_profitable::DOUBLE / nullif(n_rows, 0)::DOUBLE * 100.0, {R}) AS share_pct, "
+                       f"SELECT n_rows, n_profitable, (round((n_profitable::DOUBLE / nullif(n_rows, 0)::DOUBLE * 100.0) * 1e{R}) / 1e{R}) AS share_pct, "
                        + ", ".join(_r(x, x) for x in ("total_profit", "mean_profit", "best_profit", "worst_profit"))
                        + " FROM s"),
     "fee_clearing_summary": (HIGH + ", s AS (SELECT count(*) AS n_rows, "
@@ -182,9 +195,9 @@ SQL = {
                              "avg(abs(price_diff_pct)) FILTER (WHERE abs(price_diff_pct) > 0.2::DOUBLE) AS mean_abs_pct, "
                              "max(profit_per_btc) FILTER (WHERE abs(price_diff_pct) > 0.2::DOUBLE) AS best_profit, "
                              "sum(profit_per_btc) FILTER (WHERE abs(price_diff_pct) > 0.2::DOUBLE) AS total_profit FROM sph) "
-                             f"SELECT n_rows, n_clearing, round(n_clearing::DOUBLE / nullif(n_rows, 0)::DOUBLE * 100.0, {R}) AS share_pct, "
+                             f"SELECT n_rows, n_clearing, (round((n_clearing::DOUBLE / nullif(n_rows, 0)::DOUBLE * 100.0) * 1e{R}) / 1e{R}) AS share_pct, "
                              + ", ".join(_r(x, x) for x in ("mean_profit", "mean_abs_pct", "best_profit", "total_profit"))
-                             + f", round(total_profit / nullif(n_clearing, 0)::DOUBLE, {R}) AS profit_per_trade FROM s"),
+                             + f", (round((total_profit / nullif(n_clearing, 0)::DOUBLE) * 1e{R}) / 1e{R}) AS profit_per_trade FROM s"),
     "top20_spreads": (CLOSE + f"SELECT base, time, {_r(chr(34) + EX1 + ':close' + chr(34), 'price1')}, "
                       f"{_r(chr(34) + EX2 + ':close' + chr(34), 'price2')}, {_r('abs_price_diff_pct', 'abs_price_diff_pct')}, "
                       f"{_r('abs(price_diff) - ' + chr(34) + EX2 + ':close' + chr(34) + ' * ' + COST + ' / 100.0', 'net_profit')}, "
@@ -196,13 +209,13 @@ SQL = {
                     "WHERE abs(price_diff_pct) > 0.2::DOUBLE ORDER BY profit_per_btc DESC, time ASC LIMIT 5"),
     "spread_histogram": _histogram(),
     "chart_spread_band": (CLOSE + f"SELECT base, time, {_r('price_diff_pct', 'price_diff_pct')}, "
-                          f"round({COST}, {R}) AS band_hi, round(-{COST}, {R}) AS band_lo FROM sp"),
+                          f"(round(({COST}) * 1e{R}) / 1e{R}) AS band_hi, (round((-{COST}) * 1e{R}) / 1e{R}) AS band_lo FROM sp"),
     "chart_parity": (HIGH + f"SELECT base, time, {_r(chr(34) + EX1 + ':high' + chr(34), 'x')}, "
                      f"{_r(chr(34) + EX2 + ':high' + chr(34), 'y')}, "
                      "CASE WHEN price_diff > 0 THEN 'red' ELSE 'green' END AS colour FROM sph"),
     "chart_parity_bounds": (f"WITH {candles_cte(False)}, {aligned_cte(['high'])} SELECT "
-                            f"round(least(min(\"{EX1}:high\"), min(\"{EX2}:high\")), {R}) AS axis_min, "
-                            f"round(greatest(max(\"{EX1}:high\"), max(\"{EX2}:high\")), {R}) AS axis_max FROM al"),
+                            f"(round((least(min(\"{EX1}:high\"), min(\"{EX2}:high\"))) * 1e{R}) / 1e{R}) AS axis_min, "
+                            f"(round((greatest(max(\"{EX1}:high\"), max(\"{EX2}:high\"))) * 1e{R}) / 1e{R}) AS axis_max FROM al"),
     "chart_profit_time": HIGH + f"SELECT base, time, {_r('profit_per_btc', 'profit_per_btc')} FROM sph",
     "chart_series": _chart_series(),
 }

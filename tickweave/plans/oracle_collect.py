@@ -67,7 +67,9 @@ _CHUNKS = (
     "b AS (SELECT base, exchange, k, s + k * INTERVAL 300 MINUTE AS cs, "
     "least(s + (k + 1) * INTERVAL 300 MINUTE, e) AS ce FROM c) "
     "SELECT base, exchange, k::INTEGER AS chunk_no, strftime(cs, '%Y-%m-%d %H:%M') AS start_text, "
-    "strftime(ce, '%Y-%m-%d %H:%M') AS end_text, epoch_ms(cs) AS start_ms, epoch_ms(ce) AS end_ms, "
+    "strftime(ce, '%Y-%m-%d %H:%M') AS end_text, strftime(cs, '%Y-%m-%dT%H:%M:%SZ') AS start_iso, "
+    "strftime(ce, '%Y-%m-%dT%H:%M:%SZ') AS end_iso, epoch(cs)::BIGINT AS start_s, epoch(ce)::BIGINT AS end_s, "
+    "epoch_ms(cs) AS start_ms, epoch_ms(ce) AS end_ms, epoch_ns(cs) AS since_ns, "
     "(date_diff('minute', cs, ce))::BIGINT AS minutes FROM b")
 
 _CURRENCY = (
@@ -89,8 +91,8 @@ SQL = {
     "adapt_coinbase": CANDLES,
     "adapt_gateio": CANDLES,
     "adapt_mexc": CANDLES,
-    "adapt_kraken_trades": (f"WITH {tape_cte(True)} SELECT base, exchange, ts, seq, round(price, {R}) AS price, "
-                            f"round(volume, {R}) AS volume FROM tape"),
+    "adapt_kraken_trades": (f"WITH {tape_cte(True)} SELECT base, exchange, ts, seq, (round((price) * 1e{R}) / 1e{R}) AS price, "
+                            f"(round((volume) * 1e{R}) / 1e{R}) AS volume FROM tape"),
     "adapt_kraken": CANDLES,
     "page_union": _LANDED + "SELECT exchange, base, p::BIGINT AS n_pages, l::BIGINT AS n_rows FROM ser",
     "dedupe_candles": (_LANDED + "SELECT exchange, base, l::BIGINT AS n_landed, n::BIGINT AS n_kept, "

@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TEXT_FORMAT = "yyyy-MM-dd HH:mm"
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def chunk_plan(ranges: DataFrame, chunk_minutes: int = 300, start: str = "start",
                end: str = "end") -> DataFrame:
     """``ranges`` (keys..., start, end as timestamp_ntz) -> one row per chunk with
-    chunk_no, chunk_start/chunk_end (timestamp and text), epoch ms and minutes."""
+    chunk_no, chunk_start/chunk_end (timestamp, minute text, ISO text, epoch s and
+    ms), the start in epoch ns (cursor form) and the length in minutes."""
     step = chunk_minutes * 60 * 1_000_000
     s_us = F.unix_micros(F.col(start).cast("timestamp"))
     e_us = F.unix_micros(F.col(end).cast("timestamp"))
@@ -30,8 +32,13 @@ def chunk_plan(ranges: DataFrame, chunk_minutes: int = 300, start: str = "start"
         *keys, "chunk_no", cs.alias("chunk_start"), ce.alias("chunk_end"),
         F.date_format(cs, TEXT_FORMAT).alias("start_text"),
         F.date_format(ce, TEXT_FORMAT).alias("end_text"),
+        F.date_format(cs, ISO_FORMAT).alias("start_iso"),
+        F.date_format(ce, ISO_FORMAT).alias("end_iso"),
+        F.unix_seconds(cs.cast("timestamp")).alias("start_s"),
+        F.unix_seconds(ce.cast("timestamp")).alias("end_s"),
         F.unix_millis(cs.cast("timestamp")).alias("start_ms"),
         F.unix_millis(ce.cast("timestamp")).alias("end_ms"),
+        (F.unix_micros(cs.cast("timestamp")) * 1000).alias("since_ns"),
         ((F.unix_micros(ce.cast("timestamp")) - F.col("_s")) / 60_000_000).cast("long").alias("minutes"))
 
 

@@ -137,7 +137,7 @@ def decode_trades(pages: DataFrame) -> DataFrame:
     rows) -> base, exchange, ts, seq, price, volume.  ``seq`` is the trade id when
     the row carries one, else the load position."""
     body = F.from_json("payload", TRADE_BODY)
-    rows_text = body.getField("result").getItem(F.col("pair"))
+    rows_text = body.getField("result")[F.col("pair")]
     parsed = pages.select("exchange", "base", "chunk_no", "page_no",
                           F.posexplode(F.from_json(rows_text, ROWS)).alias("pos", "row"))
     r = F.col("row")

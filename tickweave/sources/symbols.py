@@ -37,11 +37,13 @@ def venue_symbol(exchange: Column, base: Column, quote: Column) -> Column:
             .when(exchange == "KRAKEN", kraken_symbol(base, quote)))
 
 
-def symbol_map(series: DataFrame) -> DataFrame:
-    """``series`` has exchange, base, quote -> adds pair and the venue symbol."""
-    return series.select("exchange", "base", "quote",
-                         F.concat("base", F.lit("/"), "quote").alias("pair"),
-                         venue_symbol(F.col("exchange"), F.col("base"), F.col("quote")).alias("symbol"))
+def symbol_map(requests: DataFrame) -> DataFrame:
+    """``requests`` has exchange and pair ('BTC/USD') -> base, quote and the symbol
+    the venue is asked for."""
+    base, quote = split_pair(F.col("pair"))
+    parts = requests.select("exchange", "pair", base.alias("base"), quote.alias("quote"))
+    return parts.select("exchange", "base", "quote", "pair",
+                        venue_symbol(F.col("exchange"), F.col("base"), F.col("quote")).alias("symbol"))
 
 
 def clean_list(text: Column) -> Column:

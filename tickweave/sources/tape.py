@@ -85,3 +85,10 @@ def sql_events_trades(multi_base: bool = False) -> str:
     return (f"SELECT {base} AS base, CASE event_type {cases} END AS exchange, ts, "
             f"event_id AS seq, 100.0::DOUBLE + value / 100.0::DOUBLE AS price, "
             f"CAST(json_extract_string(props, '$.k') AS DOUBLE) AS volume FROM events")
+
+
+def sql_lineitem_trades() -> str:
+    venues = ", ".join(f"'{v}'" for _, v in EVENT_VENUE)
+    return (f"SELECT 'BTC' AS base, [{venues}][l_suppkey % {len(EVENT_VENUE)} + 1] AS exchange, "
+            "CAST(l_shipdate AS TIMESTAMP) AS ts, l_orderkey * 8 + l_linenumber AS seq, "
+            "l_extendedprice / nullif(l_quantity, 0) AS price, l_quantity AS volume FROM lineitem")
