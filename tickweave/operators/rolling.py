@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,17 +60,28 @@ def _expr(spec: Roll, ordered) -> Column:
 
 
 def rolling(df: DataFrame, keys, specs: list[Roll], order: str = "time",
-            block: int = DEFAULT_BLOCK, segment: str = "day") -> DataFrame:
-    """Adds every ``Roll`` column, equal to a per-series row-frame window."""
+            block: int = DEFAULT_BLOCK, segment: str = "day",
+            persist_input: bool = True) -> DataFrame:
+    """Adds every ``Roll`` column, equal to a per-series row-frame window.
+
+    The input feeds both the per-day counts and the rows themselves; with
+    ``persist_input`` it is computed once (MEMORY_AND_DISK - lost blocks are
+    recomputed from lineage) instead of once per branch.  Inputs here are
+    bucketed series (one row per bucket and pair), far smaller than the trades."""
     halo = max(s.size for s in specs)
     if block < halo:
         raise ValueError("block must hold at least one halo")
+    if persist_input:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     idx = with_row_index(df, keys, order, segment)
     blk = F.floor(F.col("_i") / block)
-    own = idx.select("*", blk.alias("_blk"), F.lit(False).alias("_halo"))
-    copies = (idx.where(F.pmod(F.col("_i"), F.lit(block)) >= block - halo)
-              .select("*", (blk + 1).alias("_blk"), F.lit(True).alias("_halo")))
-    both = own.unionByName(copies)
+    own = F.struct(blk.alias("b"), F.lit(False).alias("h"))
+    copy = F.struct((blk + 1).alias("b"), F.lit(True).alias("h"))
+    tail = F.pmod(F.col("_i"), F.lit(block)) >= block - halo
+    # one generator instead of a union: the indexed rows are computed once
+    both = (idx.select("*", F.explode(F.when(tail, F.array(own, copy)).otherwise(F.array(own)))
+                       .alias("_c"))
+            .select(*idx.columns, F.col("_c.b").alias("_blk"), F.col("_c.h").alias("_halo")))
     ordered = Window.partitionBy(*keys, "_blk").orderBy("_i")
     out = both.select("*", *[_expr(s, ordered).alias(s.name) for s in specs])
     return out.where(~F.col("_halo")).drop("_blk", "_halo", "_i")
