@@ -195,3 +195,17 @@ def test_report_zero_division(spark):
     rep = {r["class"]: r for r in mo.report(conf).collect()}
     assert rep["Opportunity"]["precision"] == 0.0 and rep["Opportunity"]["f1"] == 0.0
     assert math.isclose(rep["accuracy"]["f1"], 5 / 8)
+
+
+def test_border_trade_in_both_chunks(spark):
+    """A trade exactly on a chunk border is fetched by both requests; the chunked
+    collector keeps the earlier chunk's (partial) candle; aggregating the feed
+    once gives the full bucket."""
+    border = T0 + dt.timedelta(minutes=300)
+    t = spark.createDataFrame(
+        [("BTC", "K", border, 1, 10.0, 1.0), ("BTC", "K", border + dt.timedelta(seconds=30), 2, 12.0, 1.0)],
+        "base string, exchange string, ts timestamp_ntz, seq long, price double, volume double")
+    chunked = cd.chunked_candles(t, T0, "1 minute").collect()
+    assert len(chunked) == 1 and chunked[0]["close"] == 10.0 and chunked[0]["volume"] == 1.0
+    whole = cd.ohlc(t, "1 minute").first()
+    assert whole["close"] == 12.0 and whole["volume"] == 2.0

@@ -53,6 +53,22 @@ def trade_range(trades: DataFrame, start, end, ts: str = "ts") -> DataFrame:
                         & (F.col(ts) <= F.lit(end).cast("timestamp_ntz")))
 
 
+def chunked_candles(trades: DataFrame, start, bucket: str = "1 minute",
+                    chunk_minutes: int = 300, keys=SERIES, **kw) -> DataFrame:
+    """Candles as a chunked collector builds them from a trade feed.
+
+    The range from ``start`` is requested in ``chunk_minutes`` chunks whose ends are
+    inclusive and shared, so a trade exactly on a border belongs to both chunks;
+    candles are built per chunk (a border bucket can hold only that border trade)
+    and the earlier chunk's candle wins.  Each trade is tagged with its chunk(s)
+    by arithmetic, not by a range join."""
+    from ..sources.landing import with_chunks
+    tagged = with_chunks(trades, "ts", F.lit(start).cast("timestamp_ntz"), chunk_minutes)
+    per_chunk = ohlc(tagged, bucket, keys=(*keys, "chunk_no"), **kw)
+    return dedupe(per_chunk.withColumn("page_no", F.lit(0)).withColumn("pos", F.lit(0)),
+                  keys=(*keys, "time"))
+
+
 def fill_gaps(candles: DataFrame, bucket: str = "1 minute", keys=SERIES,
               chunk_buckets: int = 1440) -> DataFrame:
     """Add empty buckets between each series' first and last candle.

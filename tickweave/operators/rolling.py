@@ -24,18 +24,25 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK = 50_000
 
 
-def with_row_index(df: DataFrame, keys, order: str = "time", segment: str = "day") -> DataFrame:
-    """Adds ``_i``: 0-based position of the row in its series by ``order``."""
-    seg = F.date_trunc(segment, F.col(order)).alias("_seg")
+def with_row_index(df: DataFrame, keys, order="time", segment: str = "day",
+                   out: str = "_i") -> DataFrame:
+    """Adds ``out``: 0-based position of the row in its group ``keys`` by ``order``
+    (a column name or a list of them; the first one is a timestamp).
+
+    No task ranks a whole group: rows are ranked inside (keys, ``segment`` of the
+    first order column) and shifted by the running count of the earlier segments,
+    taken from the small per-segment count table."""
+    order = [order] if isinstance(order, str) else list(order)
+    seg = F.date_trunc(segment, F.col(order[0])).alias("_seg")
     with_seg = df.select("*", seg)
     counts = with_seg.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_seg",
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*keys, "_seg").orderBy(F.col(order))
+    inside = Window.partitionBy(*keys, "_seg").orderBy(*[F.col(o) for o in order])
     joined = with_seg.join(offsets, [*keys, "_seg"])
     return joined.select(*df.columns,
-                         (F.col("_off") + F.row_number().over(inside) - 1).alias("_i"))
+                         (F.col("_off") + F.row_number().over(inside) - 1).alias(out))
 
 
 @dataclass(frozen=True)

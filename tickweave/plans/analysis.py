@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 from ..operators import align as al
 from ..operators import candles as cd
 from ..operators import spread as sp
-from .common import BUCKET, EX1, EX2, candles_of, hourly_candles, pair_candles, rounded, trades
+from .common import (BUCKET, EX1, EX2, SEQ_FOLLOWS_TIME, candles_of, hourly_candles, pair_candles,
+                     rounded, trades)
 
-# The trade window of the range-filter job (both ends inclusive).
-RANGE_START, RANGE_END = "2024-01-08 00:00:00", "2024-01-22 00:00:00"
 # Venues drawn in the multi-venue price chart.
 CHART_VENUES = ["BINANCE", "BITFINEX", "COINBASE"]
 
@@ -43,8 +42,12 @@ def q_series_extent(spark, sf_dir):
 
 
 def q_trade_range(spark, sf_dir):
-    t = cd.trade_range(trades(spark, sf_dir, multi_base=True), RANGE_START, RANGE_END)
-    return rounded(candles_of(t))
+    """Chunked collection of the whole feed: 300-minute requests with inclusive,
+    shared ends from the first hour, candles per request, earlier request wins."""
+    t = trades(spark, sf_dir, multi_base=True)
+    start = t.agg(F.date_trunc("hour", F.min("ts")).cast("timestamp_ntz")).first()[0]
+    return rounded(cd.chunked_candles(t, start, BUCKET, seq_follows_time=SEQ_FOLLOWS_TIME)
+                   .select("base", "exchange", "time", "open", "high", "low", "close", "volume"))
 
 
 def q_candle_stats(spark, sf_dir):
