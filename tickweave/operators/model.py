@@ -104,7 +104,10 @@ def forest_pipeline(features: list[str], label: str, weight: str = "w", seed: in
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=label, weightCol=weight, numTrees=n_trees,
         maxDepth=max_depth, minInstancesPerNode=MIN_LEAF, featureSubsetStrategy="sqrt",
-        bootstrap=True, seed=seed)
+        bootstrap=True, seed=seed,
+        # deep trees: keep each row's node id between levels instead of re-walking
+        # the trees, with the id cache checkpointed every 10 levels
+        cacheNodeIds=True, checkpointInterval=10)
     return Pipeline(stages=[assembler, scaler, forest])
 
 

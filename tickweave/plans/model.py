@@ -37,6 +37,8 @@ def trained(spark: SparkSession, sf_dir: str):
     if counts.get(1, 0) < mo.MIN_POSITIVES or counts.get(0, 0) < 2:
         _FITTED[key] = None
         return None
+    # the split is read by the weight counts, the forest's metadata passes and the
+    # evaluation: materialise it once instead of re-ranking each time
     split = mo.stratified_split(table, fe.LABEL, KEYS).checkpoint(eager=True)
     names = fe.feature_columns(table)
     train = split.where(~F.col("is_test")).drop("is_test")
