@@ -82,7 +82,13 @@ def main(argv):
     wanted = argv[2:]
     from tickweave.session import build_session
     import __spark_entry__ as entry
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("PLAIN_SESSION"):
+        # the driver's kind of session: nothing of ours at build time
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0

@@ -209,3 +209,44 @@ def test_border_trade_in_both_chunks(spark):
     assert len(chunked) == 1 and chunked[0]["close"] == 10.0 and chunked[0]["volume"] == 1.0
     whole = cd.ohlc(t, "1 minute").first()
     assert whole["close"] == 12.0 and whole["volume"] == 2.0
+
+
+def test_trade_bodies(spark):
+    from tickweave.sources.landing import land_trades
+    ok = ('{"error":[],"result":{"XBTUSD":[["100.5","0.1",1704067200.25,"b","l","",7],'
+          '["101","0.2",1704067260.5,"s","m","",8]],"last":"1704067260500000000"}}')
+    bodies = [ok, '{"error":["EQuery:Unknown asset pair"]}', "garbage", ok[:40], None,
+              '{"error":[],"result":{"XBTUSD":[],"last":"0"}}']
+    pages = spark.createDataFrame(
+        [("KRAKEN", "BTC", "USD", "XBTUSD", 0, i, b) for i, b in enumerate(bodies)],
+        "exchange string, base string, quote string, pair string, chunk_no int, page_no int, payload string")
+    got = pl.decode_trades(pages).orderBy("seq").collect()
+    assert [(r["seq"], r["price"], r["volume"]) for r in got] == [(7, 100.5, 0.1), (8, 101.0, 0.2)]
+    assert got[0]["ts"] == dt.datetime(2024, 1, 1, 0, 0, 0, 250000)
+    # landing then decoding gives the trades back
+    trades = spark.createDataFrame([(r["base"], r["exchange"], r["ts"], r["seq"], r["price"], r["volume"]) for r in got],
+                                   "base string, exchange string, ts timestamp_ntz, seq long, price double, volume double")
+    back = pl.dedupe_trades(pl.decode_trades(land_trades(trades)))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, trades.collect()))
+
+
+def test_pair_lookup_priority(spark):
+    from tickweave.sources import symbols as sy
+    cat = sy.catalogue_frame(spark, [("BITFINEX", "DOGE:USD", "tDOGE:USD"), ("BITFINEX", "BTCUSD", "tBTCUSD"),
+                                     ("BITFINEX", "BTC:USD", "tBTC:USD"), ("KRAKEN", "usdxbt", "REV"),
+                                     ("KRAKEN", "ETHUSD", "XETHZUSD")])
+    req = spark.createDataFrame([("BITFINEX", "BTC", "USD"), ("BITFINEX", "DOGE", "USD"), ("KRAKEN", "BTC", "USD"),
+                                 ("KRAKEN", "eth", "usd"), ("KRAKEN", "DOGE", "USD")],
+                                "exchange string, base string, quote string")
+    got = {(r["exchange"], r["base"]): r["symbol"] for r in sy.lookup_pairs(req, cat).collect()}
+    assert got == {("BITFINEX", "BTC"): "tBTCUSD", ("BITFINEX", "DOGE"): "tDOGE:USD",
+                   ("KRAKEN", "BTC"): "REV", ("KRAKEN", "eth"): "XETHZUSD", ("KRAKEN", "DOGE"): None}
+
+
+def test_quantiles_all_equal_and_single(spark):
+    one = spark.createDataFrame([(3.5,)], "x double")
+    same = spark.createDataFrame([(2.0,)] * 50, "x double")
+    assert exact_quantiles(one, "x", [0.0, 0.5, 1.0]) == [3.5, 3.5, 3.5]
+    assert exact_quantiles(same, "x", [0.3, 0.999]) == [2.0, 2.0]
+    empty = spark.createDataFrame([], "x double")
+    assert exact_quantiles(empty, "x", [0.5]) == [None]

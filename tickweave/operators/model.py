@@ -178,10 +178,12 @@ def importances(model: PipelineModel, features: list[str]) -> DataFrame:
     forest = model.stages[-1]
     vals = forest.featureImportances.toArray().tolist()
     spark = SparkSession.getActiveSession()
-    schema = T.StructType([T.StructField("feature", T.StringType()),
+    schema = T.StructType([T.StructField("rank", T.IntegerType()),
+                           T.StructField("feature", T.StringType()),
                            T.StructField("importance", T.DoubleType())])
-    df = spark.createDataFrame(list(zip(features, [float(v) for v in vals])), schema)
-    return df.orderBy(F.col("importance").desc(), F.col("feature"))
+    # one value per feature, already on the driver as a model attribute
+    ordered = sorted(zip(features, [float(v) for v in vals]), key=lambda fv: (-fv[1], fv[0]))
+    return spark.createDataFrame([(i + 1, f, v) for i, (f, v) in enumerate(ordered)], schema)
 
 
 def cross_validate(train: DataFrame, features: list[str], label: str, keys,

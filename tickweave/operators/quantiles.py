@@ -28,15 +28,18 @@ def _lerp(lo: float, hi: float, frac: float) -> float:
 
 
 def order_statistics(values: DataFrame, ranks: list[int], buckets: int = 4096,
-                     collect_limit: int = 100_000, max_rounds: int = 12) -> dict[int, float]:
-    """Exact values at 0-based ``ranks`` of the single double column ``x``."""
+                     collect_limit: int = 100_000, max_rounds: int = 12,
+                     stats=None) -> dict[int, float]:
+    """Exact values at 0-based ``ranks`` of the single double column ``x``
+    (``stats`` = (count, min, max) when already known)."""
     state = {}
-    stats = values.agg(F.count("x").alias("n"), F.min("x").alias("lo"),
-                       F.max("x").alias("hi")).first()
-    n = stats["n"]
+    if stats is None:
+        row = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+        stats = (row[0], row[1], row[2])
+    n, lo, hi = stats
     for r in ranks:
         # interval [a, b] inclusive, rows below a, rows inside
-        state[r] = (stats["lo"], stats["hi"], 0, n)
+        state[r] = (lo, hi, 0, n)
     result: dict[int, float] = {}
     for _ in range(max_rounds):
         pending = {}
@@ -90,12 +93,13 @@ def exact_quantiles(df: DataFrame, column: str, qs: list[float],
     if persist:
         values = values.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = values.count()
+        row = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+        n = row[0]
         if n == 0:
             return [None for _ in qs]
         pos = [(n - 1) * q for q in qs]
         ranks = sorted({int(math.floor(p)) for p in pos} | {int(math.ceil(p)) for p in pos})
-        got = order_statistics(values, ranks, **kw)
+        got = order_statistics(values, ranks, stats=(row[0], row[1], row[2]), **kw)
         out = []
         for p in pos:
             lo_r, hi_r = int(math.floor(p)), int(math.ceil(p))

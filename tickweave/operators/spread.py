@@ -188,6 +188,23 @@ def chart_spread_band(sp: DataFrame, cost: float = TOTAL_COST) -> DataFrame:
                      F.lit(cost).alias("band_hi"), F.lit(-cost).alias("band_lo"))
 
 
+def chart_spread_minmax(sp: DataFrame, pixels: int = 2000, column: str = "price_diff_pct") -> DataFrame:
+    """The spread line for long ranges: min and max per pixel-wide time bucket
+    (what a line plot can show), one aggregate instead of every point."""
+    keys = [k for k in ("base",) if k in sp.columns]
+    t = F.unix_micros(F.col("time").cast("timestamp"))
+    lo, hi = sp.agg(F.min(t), F.max(t)).first()
+    spark = sp.sparkSession
+    if lo is None:
+        return spark.createDataFrame([], "pixel long, t_first timestamp_ntz, t_last timestamp_ntz, "
+                                         "n_rows long, y_min double, y_max double")
+    width = max(hi - lo, 1)
+    pix = F.least(F.floor((t - F.lit(lo)) * F.lit(pixels) / F.lit(width)), F.lit(pixels - 1)).cast("long")
+    return sp.groupBy(*keys, pix.alias("pixel")).agg(
+        F.min("time").alias("t_first"), F.max("time").alias("t_last"),
+        F.count(F.lit(1)).alias("n_rows"), F.min(column).alias("y_min"), F.max(column).alias("y_max"))
+
+
 def chart_parity(sp_high: DataFrame, ex1: str, ex2: str) -> DataFrame:
     keys = [k for k in ("base",) if k in sp_high.columns]
     return sp_high.select(*keys, "time", c(col_name(ex1, "high")).alias("x"),

@@ -143,6 +143,10 @@ def q_chart_spread_band(spark, sf_dir):
     return rounded(sp.chart_spread_band(spread_close_frame(spark, sf_dir)))
 
 
+def q_chart_spread_minmax(spark, sf_dir):
+    return rounded(sp.chart_spread_minmax(spread_close_frame(spark, sf_dir), 200))
+
+
 def q_chart_parity(spark, sf_dir):
     return rounded(sp.chart_parity(spread_high_frame(spark, sf_dir), EX1, EX2))
 
@@ -184,6 +188,7 @@ QUERIES = {
     "top5_profit": q_top5_profit,
     "spread_histogram": q_spread_histogram,
     "chart_spread_band": q_chart_spread_band,
+    "chart_spread_minmax": q_chart_spread_minmax,
     "chart_parity": q_chart_parity,
     "chart_parity_bounds": q_chart_parity_bounds,
     "chart_profit_time": q_chart_profit_time,

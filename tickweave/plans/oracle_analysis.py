@@ -222,6 +222,11 @@ SQL = {
     "spread_histogram": _histogram(),
     "chart_spread_band": (CLOSE + f"SELECT base, time, {_r('price_diff_pct', 'price_diff_pct')}, "
                           f"(round(({COST}) * 1e{R}) / 1e{R}) AS band_hi, (round((-{COST}) * 1e{R}) / 1e{R}) AS band_lo FROM sp"),
+    "chart_spread_minmax": (CLOSE + ", rg AS (SELECT min(epoch_us(time)) AS lo, max(epoch_us(time)) AS hi FROM sp), "
+                            "px AS (SELECT sp.*, least(floor((epoch_us(time) - lo) * 200 / greatest(hi - lo, 1)), 199)::BIGINT "
+                            "AS pixel FROM sp, rg) SELECT base, pixel, min(time) AS t_first, max(time) AS t_last, "
+                            f"count(*) AS n_rows, {_r('min(price_diff_pct)', 'y_min')}, {_r('max(price_diff_pct)', 'y_max')} "
+                            "FROM px GROUP BY base, pixel"),
     "chart_parity": (HIGH + f"SELECT base, time, {_r(chr(34) + EX1 + ':high' + chr(34), 'x')}, "
                      f"{_r(chr(34) + EX2 + ':high' + chr(34), 'y')}, "
                      "CASE WHEN price_diff > 0 THEN 'red' ELSE 'green' END AS colour FROM sph"),
