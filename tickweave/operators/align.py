@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import c, col_name
+from ..session import reuse
 from .candles import CANDLE_FIELDS
 
 # Venue order of the wide table (also the column order).
@@ -32,8 +33,14 @@ def present_venues(candles: DataFrame, venues=VENUES) -> list[str]:
 
 def widen(candles: DataFrame, venues: list[str] | None = None,
           fields=CANDLE_FIELDS, keys=("base",)) -> DataFrame:
-    """Long candles -> one row per (base, time), ``VENUE:field`` columns."""
+    """Long candles -> one row per (base, time), ``VENUE:field`` columns.
+
+    Without an explicit venue list the candles are read twice (venue list, then
+    pivot), so they are kept between the two reads."""
+    # a NULL time never matches (rows without a time belong to the quarantine)
+    candles = candles.where(F.col("time").isNotNull())
     if venues is None:
+        candles = reuse(candles)
         venues = present_venues(candles)
     piv = (candles.groupBy(*keys, "time")
            .pivot("exchange", venues)
@@ -48,7 +55,9 @@ def widen(candles: DataFrame, venues: list[str] | None = None,
 def widen_chain(candles: DataFrame, venues: list[str] | None = None,
                 fields=CANDLE_FIELDS, keys=("base",)) -> DataFrame:
     """The same table by folding full outer joins (reference semantics, N-1 shuffles)."""
+    candles = candles.where(F.col("time").isNotNull())
     if venues is None:
+        candles = reuse(candles)
         venues = present_venues(candles)
     parts = [candles.where(F.col("exchange") == v)
              .select(*keys, "time", *[F.col(f).alias(col_name(v, f)) for f in fields])
@@ -63,7 +72,19 @@ def venue_slice(candles: DataFrame, venue: str, fields, keys=("base",)) -> DataF
 
 def align(candles: DataFrame, ex1: str, ex2: str, fields, keys=("base",)) -> DataFrame:
     """Rows where both venues have every chosen field (outer join + drop nulls
-    == inner join + drop nulls)."""
+    == inner join + drop nulls).
+
+    Expressed as the two-venue pivot: the candle input is read once and shuffled
+    once on (base, time), instead of two reads and a join of the two slices."""
+    two = candles.where(F.col("exchange").isin(ex1, ex2))
+    cols = [col_name(v, f) for f in fields for v in (ex1, ex2)]
+    wide = widen(two, [ex1, ex2], tuple(fields), keys)
+    return wide.select(*keys, "time", *[c(x) for x in cols]).na.drop(subset=cols)
+
+
+def align_join(candles: DataFrame, ex1: str, ex2: str, fields, keys=("base",)) -> DataFrame:
+    """The same as an inner join of the two venue slices (for stored candle tables
+    partitioned by venue, where each slice is a pruned read)."""
     a = venue_slice(candles, ex1, fields, keys)
     b = venue_slice(candles, ex2, fields, keys)
     cols = [col_name(v, f) for f in fields for v in (ex1, ex2)]

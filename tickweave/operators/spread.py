@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import (LABEL_CUT, PROFITABLE_CUT, TOTAL_COST, TRADING_FEE, c,
                               col_name, direction, net_profit_topk, net_profit_total,
                               parity_class, pct_of, safe_div)
+from ..session import reuse
 from .quantiles import exact_quantiles, quantile_frame
 
 # Ladder rungs (percent) and reported percentiles.
@@ -46,7 +47,9 @@ def spread_stats(sp: DataFrame, column: str = "price_diff_pct", keys=()) -> Data
 
 def spread_stats_with_median(spark: SparkSession, sp: DataFrame,
                              column: str = "price_diff_pct") -> DataFrame:
-    """``spread_stats`` plus the exact median (distributed selection)."""
+    """``spread_stats`` plus the exact median (distributed selection).  The frame is
+    kept between the statistics pass and the selection passes."""
+    sp = reuse(sp)
     med = exact_quantiles(sp, column, [0.5])[0]
     return spread_stats(sp, column).withColumn("median", F.lit(med).cast("double"))
 

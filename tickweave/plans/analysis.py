@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import align as al
 from ..operators import candles as cd
 from ..operators import spread as sp
+from ..session import reuse
 from .common import (BUCKET, EX1, EX2, SEQ_FOLLOWS_TIME, candles_of, hourly_candles, pair_candles,
                      rounded, trades)
 
@@ -105,7 +106,7 @@ def q_spread_stats(spark, sf_dir):
 
 
 def q_spread_stats_high(spark, sf_dir):
-    frame = spread_high_frame(spark, sf_dir)
+    frame = reuse(spread_high_frame(spark, sf_dir))
     from ..operators.quantiles import exact_quantiles
     med = exact_quantiles(frame, "profit_per_btc", [0.5])[0]
     return rounded(sp.high_stats(frame).withColumn("profit_median", F.lit(med).cast("double")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import align as al
 from ..operators import candles as cd
-from ..session import scratch_path
+from ..session import reuse, scratch_path
 from ..sources import chunks as ch
 from ..sources import files as fl
 from ..sources import landing as ld
@@ -153,7 +153,7 @@ def q_time_coerce(spark, sf_dir):
 
 def q_csv_roundtrip(spark, sf_dir):
     """Wide table -> CSV (one folder per base) -> typed read with parsed time."""
-    candles = hourly_candles(spark, sf_dir, multi_base=True)
+    candles = reuse(hourly_candles(spark, sf_dir, multi_base=True))
     venues = al.present_venues(candles)
     wide = al.widen(candles, venues)
     path = scratch_path(spark, f"wide-csv-{uuid.uuid4().hex}")

@@ -9,6 +9,7 @@ from ..operators import features as fe
 from ..operators import rolling as ro
 from ..operators import spread as sp
 from ..operators.quantiles import exact_quantiles
+from ..session import reuse
 from .common import EX1, EX2, pair_candles, rounded
 
 
@@ -58,9 +59,9 @@ def q_label_rate(spark, sf_dir):
 def q_feature_stage_stats(spark, sf_dir):
     """Statistics of the spread after the null drop; upper percentiles of its
     absolute value before it (as the reference reports them)."""
-    full = feature_table(spark, sf_dir)
-    before = fe.basic_features(aligned_features_input(spark, sf_dir), EX1, EX2) \
-        .select(F.abs("price_diff_pct").alias("abs_pct"))
+    aligned = reuse(aligned_features_input(spark, sf_dir))
+    full = reuse(fe.engineer(aligned, EX1, EX2))
+    before = fe.basic_features(aligned, EX1, EX2).select(F.abs("price_diff_pct").alias("abs_pct"))
     med = exact_quantiles(full, "price_diff_pct", [0.5])[0]
     p75, p90, p95, p99 = exact_quantiles(before, "abs_pct", [0.75, 0.90, 0.95, 0.99])
     stats = sp.spread_stats(full, "price_diff_pct")

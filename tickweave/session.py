@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a running session may change at any time (SQL confs).
 RUNTIME_CONF = {
@@ -74,3 +75,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables, inside the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """Keep a derived frame that a job reads more than once (candles, an aligned
+    pair: far smaller than the trades behind them) so that the raw scan and
+    aggregation run once.  MEMORY_AND_DISK; lost blocks are recomputed from
+    lineage."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
