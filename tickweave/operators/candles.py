@@ -97,15 +97,23 @@ def fill_gaps(candles: DataFrame, bucket: str = "1 minute", keys=SERIES,
                       F.coalesce(F.col("volume"), F.lit(0.0)).alias("volume"))
 
 
+def load_order(chunk: str = "chunk_no", page: str = "page_no", pos: str = "pos"):
+    """(chunk, page, position) packed into one ``long`` in load order
+    (chunk < 2^23, page < 2^20, position < 2^20)."""
+    return (F.col(chunk).cast("long") * F.lit(1 << 40) + F.col(page).cast("long") * F.lit(1 << 20)
+            + F.col(pos).cast("long"))
+
+
 def dedupe(rows: DataFrame, keys=(*SERIES, "time"), order=("chunk_no", "page_no", "pos")) -> DataFrame:
     """One row per key, the first in load order (earlier chunk wins).
 
     An aggregate instead of a ranking window: partial aggregation on the map side
-    and no sort of whole partitions.
+    and no sort of whole partitions.  The load order is one ``long`` and every
+    value column its own ``min_by``, so the aggregate is hash-based.
     """
     values = [c for c in rows.columns if c not in keys and c not in order]
-    pick = F.min_by(F.struct(*values), F.struct(*order))
-    return rows.groupBy(*keys).agg(pick.alias("_v")).select(*keys, "_v.*")
+    ordered = rows.select(*keys, *values, load_order(*order).alias("_ord"))
+    return ordered.groupBy(*keys).agg(*[F.min_by(v, "_ord").alias(v) for v in values])
 
 
 def series_extent(candles: DataFrame, keys=SERIES) -> DataFrame:

@@ -66,10 +66,8 @@ def stratified_split(df: DataFrame, label: str, keys, test_size: float = TEST_SI
     # boundary: first bucket whose running count reaches the class's test size
     edge = (cum.where(F.col("_cum") >= need)
             .groupBy(label)
-            .agg(F.min_by(F.struct(F.col("_b").alias("_eb"),
-                                   (need - (F.col("_cum") - F.col("_cnt"))).alias("_take")),
-                          F.col("_b")).alias("_e"))
-            .select(label, "_e._eb", "_e._take"))
+            .agg(F.min("_b").alias("_eb"),
+                 F.min_by(need - (F.col("_cum") - F.col("_cnt")), F.col("_b")).alias("_take")))
     # one row per class: a broadcast of proven size (the number of classes)
     marked = tagged.join(F.broadcast(edge), label, "left")
     settled = (marked.where(F.col("_eb").isNull() | (F.col("_b") != F.col("_eb")))

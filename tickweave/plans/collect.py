@@ -34,8 +34,11 @@ CATALOGUE = [
 ]
 
 
-def landed(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
-    return ld.land_candles(hourly_candles(spark, sf_dir, multi_base=True), layout)
+def landed(spark: SparkSession, sf_dir: str, layout: str, keep: bool = False) -> DataFrame:
+    """Pages of the hourly candles in ``layout``; ``keep`` when a job reads them
+    more than once."""
+    pages = ld.land_candles(hourly_candles(spark, sf_dir, multi_base=True), layout)
+    return reuse(pages) if keep else pages
 
 
 def _adapt(layout: str):
@@ -64,7 +67,7 @@ def q_adapt_kraken(spark, sf_dir):
 
 def q_page_union(spark, sf_dir):
     """All pages of a series read in one scan: pages and rows before de-duplication."""
-    pages = landed(spark, sf_dir, "BINANCE")
+    pages = landed(spark, sf_dir, "BINANCE", keep=True)
     rows = pl.decode_candles(pages, layout_col="layout")
     n_pages = pages.groupBy("exchange", "base").agg(F.count(F.lit(1)).alias("n_pages"))
     n_rows = rows.groupBy("exchange", "base").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -73,7 +76,7 @@ def q_page_union(spark, sf_dir):
 
 def q_dedupe_candles(spark, sf_dir):
     """Keep-first de-duplication of chunked pages: rows landed, kept and dropped."""
-    rows = pl.decode_candles(landed(spark, sf_dir, "BINANCE"), layout_col="layout")
+    rows = reuse(pl.decode_candles(landed(spark, sf_dir, "BINANCE"), layout_col="layout"))
     kept = cd.dedupe(rows)
     a = rows.groupBy("exchange", "base").agg(F.count(F.lit(1)).alias("n_landed"))
     b = kept.groupBy("exchange", "base").agg(F.count(F.lit(1)).alias("n_kept"))
@@ -81,7 +84,8 @@ def q_dedupe_candles(spark, sf_dir):
 
 
 def damaged_pages(spark, sf_dir) -> DataFrame:
-    return ld.damaged(landed(spark, sf_dir, "BINANCE"))
+    """Every landed page in every damage kind; the pages are built once."""
+    return ld.damaged(landed(spark, sf_dir, "BINANCE", keep=True))
 
 
 def q_bad_payloads(spark, sf_dir):

@@ -44,6 +44,16 @@ def layouts(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CANDLE_LAYOUTS, LAYOUT_SCHEMA)
 
 
+def _layout_of(layout: Column) -> Column:
+    """Field positions of a venue's rows: a lookup in a literal map built from the
+    registry (no join; NULL for a venue without a candle layout)."""
+    names = LAYOUT_SCHEMA.replace(" string", "").replace(" int", "").split(", ")[1:]
+    entries = []
+    for row in CANDLE_LAYOUTS:
+        entries += [F.lit(row[0]), F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row[1:])])]
+    return F.create_map(*entries)[layout]
+
+
 def _num(arr: Column, pos: Column | int) -> Column:
     idx = pos if isinstance(pos, Column) else F.lit(pos)
     return nan_to_null(F.get(arr, idx).try_cast("double"))
@@ -58,13 +68,12 @@ def _bad_number(arr: Column, pos: Column) -> Column:
 def explode_pages(pages: DataFrame, layout_col: str = "exchange") -> DataFrame:
     """One row per element of every page: page keys, ``pos``, ``row`` (array<string>)
     and the venue layout.  Pages that do not parse give no rows."""
-    spark = pages.sparkSession
-    lay = layouts(spark)
-    # the layout table has one row per venue: a broadcast of fixed, known size
-    joined = pages.join(F.broadcast(lay), pages[layout_col] == lay["_layout"], "inner")
-    parsed = joined.select("*", F.from_json("payload", ROWS).alias("_rows"))
+    lay = _layout_of(F.col(layout_col))
+    parsed = (pages.select("*", lay.alias("_lay"), F.from_json("payload", ROWS).alias("_rows"))
+              .where(F.col("_lay").isNotNull()))
     return parsed.select(*[c for c in pages.columns if c != "payload"],
-                         "t_pos", "unit", "o_pos", "h_pos", "l_pos", "c_pos", "v_pos", "n_fields",
+                         *[F.col(f"_lay.{n}").alias(n) for n in
+                           ("t_pos", "unit", "o_pos", "h_pos", "l_pos", "c_pos", "v_pos", "n_fields")],
                          F.posexplode("_rows").alias("pos", "row"))
 
 
@@ -152,7 +161,10 @@ def decode_trades(pages: DataFrame) -> DataFrame:
 
 
 def dedupe_trades(trades: DataFrame) -> DataFrame:
-    """Pages of neighbouring chunks share their end point: one row per trade id."""
+    """Pages of neighbouring chunks share their end point: one row per trade id.
+    (Copies of one id are the same trade; ``min_by`` per column keeps the
+    aggregate hash-based.)"""
     return trades.groupBy("base", "exchange", "seq").agg(
-        F.min_by(F.struct("ts", "price", "volume"), F.col("ts")).alias("_t")) \
-        .select("base", "exchange", "_t.ts", "seq", "_t.price", "_t.volume")
+        F.min("ts").alias("ts"), F.min_by("price", "ts").alias("price"),
+        F.min_by("volume", "ts").alias("volume")) \
+        .select("base", "exchange", "ts", "seq", "price", "volume")
