@@ -58,6 +58,21 @@ def rows_of(columns, rows):
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "date": "DATE", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
+def type_mismatches(spark_df, rel):
+    d = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for name, t in spark_df.dtypes:
+        want = SPARK_TO_DUCK.get(t, t)
+        if name in d and d[name] != want:
+            out.append(f"{name}: spark {t} vs duck {d[name]}")
+    return out
+
+
 def compare(spark_df, con, sql):
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
@@ -65,6 +80,9 @@ def compare(spark_df, con, sql):
     d_cols = rel.columns
     d_rows = rel.fetchall()
     msgs = []
+    types = type_mismatches(spark_df, rel)
+    if types:
+        msgs.append(f"types differ: {types}")
     if sorted(s_cols) != sorted(d_cols):
         msgs.append(f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}")
         return False, msgs, len(s_rows), len(d_rows)
