@@ -67,6 +67,14 @@ def q_wide_candles(spark, sf_dir):
     return rounded(al.widen(hourly_candles(spark, sf_dir, multi_base=True)))
 
 
+def q_wide_extent(spark, sf_dir):
+    """Rows, first and last time and column count of the wide table."""
+    wide = al.widen(hourly_candles(spark, sf_dir, multi_base=True))
+    return wide.agg(F.count(F.lit(1)).alias("n_rows"), F.min("time").alias("first_time"),
+                    F.max("time").alias("last_time"),
+                    F.lit(len(wide.columns)).cast("int").alias("n_columns"))
+
+
 def q_wide_candles_chain(spark, sf_dir):
     return rounded(al.widen_chain(hourly_candles(spark, sf_dir, multi_base=True)))
 
@@ -176,6 +184,7 @@ QUERIES = {
     "candle_preview": q_candle_preview,
     "wide_candles": q_wide_candles,
     "wide_candles_chain": q_wide_candles_chain,
+    "wide_extent": q_wide_extent,
     "aligned_pair": q_aligned_pair,
     "spread_close": q_spread_close,
     "spread_high": q_spread_high,

@@ -174,6 +174,15 @@ def q_sink_series(spark, sf_dir):
     return rounded(fl.read_series(spark, path).select(*CANDLE_OUT))
 
 
+def q_sink_series_csv(spark, sf_dir):
+    """The same series as CSV files (one folder per venue and base), read back
+    with an explicit schema."""
+    candles = hourly_candles(spark, sf_dir, multi_base=True)
+    path = scratch_path(spark, f"series-csv-{uuid.uuid4().hex}")
+    fl.write_series(candles, path, "csv")
+    return rounded(fl.read_series(spark, path, "csv").select(*CANDLE_OUT))
+
+
 QUERIES = {
     "adapt_binance": _adapt("BINANCE"),
     "adapt_bitfinex": _adapt("BITFINEX"),
@@ -194,4 +203,5 @@ QUERIES = {
     "time_coerce": q_time_coerce,
     "csv_roundtrip": q_csv_roundtrip,
     "sink_series": q_sink_series,
+    "sink_series_csv": q_sink_series_csv,
 }

@@ -171,6 +171,9 @@ SQL = {
     "candle_preview": _preview(),
     "wide_candles": f"WITH {candles_cte(True)} {wide_select()}",
     "wide_candles_chain": f"WITH {candles_cte(True)} {wide_select()}",
+    "wide_extent": (f"WITH {candles_cte(True)}, w AS ({wide_select()}) SELECT count(*) AS n_rows, "
+                    f"min(time) AS first_time, max(time) AS last_time, (2 + {len(PRESENT) * len(FIELDS)})::INTEGER "
+                    "AS n_columns FROM w"),
     "aligned_pair": (f"WITH {candles_cte(False)}, {aligned_cte(['high', 'close'])} SELECT base, time, "
                      + ", ".join(_r(f'"{v}:{f}"', f"{v}:{f}") for f in ("high", "close") for v in (EX1, EX2))
                      + " FROM al"),

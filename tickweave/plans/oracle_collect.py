@@ -110,4 +110,5 @@ SQL = {
     "time_coerce": _TIMES,
     "csv_roundtrip": f"WITH {candles_cte(True)} {wide_select()}",
     "sink_series": CANDLES,
+    "sink_series_csv": CANDLES,
 }
