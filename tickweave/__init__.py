@@ -1 +1,11 @@
+"""tickweave: cross-venue candle and spread analytics as Spark jobs.
 
+sources    - trade feeds, landed exchange pages, symbols, request plans, files
+functions  - column expressions (time, spread, profit, costs)
+operators  - candles, alignment, spread reports, quantiles, rolling windows,
+             features, model
+plans      - the registered jobs and their SQL oracles
+streaming  - candles from a trade stream
+"""
+
+__version__ = "0.1.0"

@@ -74,10 +74,6 @@ def net_profit_total(abs_pct: Column, price2: Column, cost: float = TOTAL_COST)
     return (abs_pct - F.lit(cost)) * price2 / F.lit(100.0)
 
 
-def weekday_monday0(t: Column) -> Column:
-    return F.weekday(t)
-
-
 def epoch_to_ntz(value: Column, unit: Column | str) -> Column:
     """Epoch number (as text or number) in 'ms', 's' or fractional 's' -> naive UTC."""
     unit_col = F.lit(unit) if isinstance(unit, str) else unit

@@ -109,3 +109,11 @@ def unpivot_wide(wide: DataFrame, venues, field: str = "high", keys=("base",)) -
     return (stacked.where(F.col(field).isNotNull())
             .select(*keys, F.regexp_replace("exchange", f":{field}$", "").alias("exchange"),
                     "time", field))
+
+
+def price_series(candles: DataFrame, venues, field: str = "high", keys=("base",)) -> DataFrame:
+    """One field of several venues over time from the long table, each venue with
+    its own missing rows left out (the multi-venue price chart)."""
+    return (candles.where(F.col("exchange").isin(list(venues)) & F.col(field).isNotNull()
+                          & F.col("time").isNotNull())
+            .select(*keys, "exchange", "time", field))

@@ -74,3 +74,9 @@ def engineer(aligned: DataFrame, ex1: str, ex2: str, windows=WINDOWS, keys=("bas
 def feature_columns(df: DataFrame, keys=("base",)) -> list[str]:
     """Every column but time, label, the spread itself and the series keys."""
     return [x for x in df.columns if x not in NOT_FEATURES and x not in keys]
+
+
+def rolling_features(basic: DataFrame, ex1: str, ex2: str, windows=WINDOWS, keys=("base",),
+                     block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Adds the rolling columns (means, volatilities, momenta for every window)."""
+    return rolling(basic, list(keys), rolling_specs(ex1, ex2, windows), block=block)

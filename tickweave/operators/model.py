@@ -203,3 +203,12 @@ def cross_validate(train: DataFrame, features: list[str], label: str, keys,
     schema = "fold int, accuracy double, n_rows long, mean_accuracy double, two_std double"
     return spark.createDataFrame([(k, a, n, mean, None if std is None else 2 * std) for k, a, n in accs],
                                  schema)
+
+
+fit_forest = fit
+
+
+def evaluate(pred: DataFrame, label: str) -> dict[str, DataFrame]:
+    """Confusion table, per-class report and accuracy of a prediction frame."""
+    conf = confusion(pred, label)
+    return {"confusion": conf, "report": report(conf), "accuracy": accuracy(pred, label)}

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import epoch_to_ntz, floor_time, nan_to_null
 
-PAGE_COLUMNS = ["exchange", "base", "quote", "pair", "chunk_no", "page_no", "payload"]
 
 # Field positions of each venue's candle rows, the epoch unit of the
 # time field and the number of fields a row carries.
