@@ -26,15 +26,34 @@ RUNTIME_CONF = {
 }
 
 
+# Sizing for a large cluster (hundreds of executors, 100 TB inputs): start with
+# many shuffle partitions and let AQE merge them to ~256 MB each, read files in
+# 256 MB splits, and split skewed join partitions above 1 GB / 5x the median.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, app: str = "tickweave",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library's settings."""
+                  extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """Create (or reuse) a session with the library's settings (``cluster`` adds
+    the large-cluster sizing)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "8g", **RUNTIME_CONF}
+            **RUNTIME_CONF}
+    if cluster:
+        conf.update(CLUSTER_CONF)
+    else:
+        conf["spark.driver.memory"] = "8g"  # local mode: the driver is the executor
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
