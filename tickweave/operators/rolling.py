@@ -17,10 +17,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reuse
+
 DEFAULT_BLOCK = 50_000
 
 
@@ -79,7 +80,7 @@ def rolling(df: DataFrame, keys, specs: list[Roll], order: str = "time",
     if block < halo:
         raise ValueError("block must hold at least one halo")
     if persist_input:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = reuse(df)
     idx = with_row_index(df, keys, order, segment)
     blk = F.floor(F.col("_i") / block)
     own = F.struct(blk.alias("b"), F.lit(False).alias("h"))

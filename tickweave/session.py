@@ -96,9 +96,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+_KEPT: list[DataFrame] = []
+
+
 def reuse(df: DataFrame) -> DataFrame:
     """Keep a derived frame that a job reads more than once (candles, an aligned
     pair: far smaller than the trades behind them) so that the raw scan and
     aggregation run once.  MEMORY_AND_DISK; lost blocks are recomputed from
-    lineage."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    lineage.  Kept frames live until ``release()``."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(kept)
+    return kept
+
+
+def release() -> int:
+    """Drop every frame kept by ``reuse`` (call between jobs of a long-lived
+    session once their results are written).  Returns how many were dropped."""
+    n = len(_KEPT)
+    while _KEPT:
+        _KEPT.pop().unpersist()
+    return n
