@@ -25,7 +25,8 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             scale = F.lit(float(10 ** digits))
-            cols.append((F.round(F.col(f"`{f.name}`") * scale) / scale).alias(f.name))
+            # "+ 0.0" turns a -0.0 into 0.0 (engines differ on the sign of a rounded zero)
+            cols.append((F.round(F.col(f"`{f.name}`") * scale) / scale + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)

@@ -109,7 +109,7 @@ SQL = {
     "momentum": _rolling("momentum"),
     "features_full": _features_full(),
     "label_rate": (full_cte()[0] + ", per AS (SELECT arbitrage_opportunity AS label, count(*) AS n_rows FROM fd "
-                   f"GROUP BY 1) SELECT label, n_rows, (round((n_rows * 100.0 / sum(n_rows) OVER ()) * 1e{R}) / 1e{R}) AS share_pct "
+                   f"GROUP BY 1) SELECT label, n_rows, (round((n_rows * 100.0 / sum(n_rows) OVER ()) * 1e{R}) / 1e{R} + 0.0) AS share_pct "
                    "FROM per"),
     "feature_stage_stats": _stage_stats(),
 }
