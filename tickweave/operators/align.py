@@ -1,9 +1,9 @@
 """Putting venues side by side on time.
 
 ``widen`` is the N-way full outer join of all venues on ``time``: because
-``(base, exchange, time)`` is unique after dedupe it is a single shuffle pivot on
-``(base, time)`` instead of a chain of N-1 outer joins (outer joins cannot be
-reordered, so a chain is N-1 shuffles).  ``widen_chain`` is that chain, kept to
+``(base, exchange, time)`` is unique after dedupe it is a pivot by conditional
+aggregation - one shuffle on ``(base, time)`` - instead of a chain of N-1 outer
+joins (outer joins cannot be reordered, so a chain is N-1 shuffles).  ``widen_chain`` is that chain, kept to
 check the pivot against.  ``align`` is the two-venue inner alignment.
 """
 from __future__ import annotations
@@ -42,14 +42,12 @@ def widen(candles: DataFrame, venues: list[str] | None = None,
     if venues is None:
         candles = reuse(candles)
         venues = present_venues(candles)
-    piv = (candles.groupBy(*keys, "time")
-           .pivot("exchange", venues)
-           .agg(*[F.first(f).alias(f) for f in fields]))
-    if len(fields) == 1:
-        renamed = [F.col(v).alias(col_name(v, fields[0])) for v in venues]
-    else:
-        renamed = [F.col(f"{v}_{f}").alias(col_name(v, f)) for v in venues for f in fields]
-    return piv.select(*keys, "time", *renamed)
+    # (base, exchange, time) is unique, so each conditional max sees at most one
+    # value: exact, one hash aggregate and one shuffle on (base, time).  (pivot()
+    # would aggregate twice: by (base, time, exchange), then by (base, time).)
+    cells = [F.max(F.when(F.col("exchange") == v, F.col(f))).alias(col_name(v, f))
+             for v in venues for f in fields]
+    return candles.groupBy(*keys, "time").agg(*cells)
 
 
 def widen_chain(candles: DataFrame, venues: list[str] | None = None,
