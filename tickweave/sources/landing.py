@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.rolling import with_row_index
+from ..session import reuse
 from .symbols import kraken_symbol
 
 CHUNK_MINUTES = 300
@@ -70,7 +71,10 @@ def land_candles(candles: DataFrame, layout: str, chunk_minutes: int = CHUNK_MIN
     """Candles (any venue) serialised as ``layout`` pages.
 
     The page keeps the candle's own venue in ``exchange`` and the layout in
-    ``layout``."""
+    ``layout``.  The candles are read three times (range start, per-minute counts,
+    rows) and kept in between; they are far smaller than the trades behind them.
+    (Trades are not kept: their extra reads are column-pruned scans.)"""
+    candles = reuse(candles)
     tagged = with_chunks(candles, "time", range_start(candles, "time"), chunk_minutes)
     paged = _paged(tagged, ["exchange", "base", "chunk_no"], ["time"])
     desc = layout == "COINBASE"  # this venue answers newest first
