@@ -250,3 +250,20 @@ def test_quantiles_all_equal_and_single(spark):
     assert exact_quantiles(same, "x", [0.3, 0.999]) == [2.0, 2.0]
     empty = spark.createDataFrame([], "x double")
     assert exact_quantiles(empty, "x", [0.5]) == [None]
+
+
+def test_garbage_times_are_rejected_not_fatal(spark):
+    good = "[" + _row(MS0, 1, 2, 0.5, 1.5, 10) + "]"
+    bad = ('[[99999999999999999999,"1","1","1","1","1",0,"0",1,"0","0","0"],'
+           '[-5,"1","1","1","1","1",0,"0",1,"0","0","0"],'
+           '["soon","1","1","1","1","1",0,"0",1,"0","0","0"]]')
+    pages = _pages(spark, [(0, 0, good), (0, 1, bad)])
+    assert pl.decode_candles(pages).count() == 1
+    reasons = [r["reject_reason"] for r in pl.quarantine(pages).collect()]
+    assert reasons == ["bad_time"] * 3
+    tb = ('{"error":[],"result":{"XBTUSD":[["1","1",1e300,"b","l","",1],["1","1",1704067200.5,"b","l","",2]],'
+          '"last":"0"}}')
+    tp = spark.createDataFrame([("KRAKEN", "BTC", "USD", "XBTUSD", 0, 0, tb)],
+                               "exchange string, base string, quote string, pair string, chunk_no int, "
+                               "page_no int, payload string")
+    assert [r["seq"] for r in pl.decode_trades(tp).collect()] == [2]

@@ -74,13 +74,24 @@ def net_profit_total(abs_pct: Column, price2: Column, cost: float = TOTAL_COST)
     return (abs_pct - F.lit(cost)) * price2 / F.lit(100.0)
 
 
+# epoch microseconds accepted as times: 1970-01-01 up to (not incl.) 2262-01-01
+MAX_EPOCH_MICROS = 9_183_110_400_000_000
+
+
+def micros_to_ntz(micros: Column) -> Column:
+    """Epoch microseconds (double) -> naive UTC; NULL outside the accepted range
+    instead of an overflow error (one bad value must not fail a whole load)."""
+    ok = (micros >= F.lit(0.0)) & (micros < F.lit(float(MAX_EPOCH_MICROS)))
+    return F.when(ok, F.timestamp_micros(F.round(micros).cast("long"))).cast("timestamp_ntz")
+
+
 def epoch_to_ntz(value: Column, unit: Column | str) -> Column:
     """Epoch number (as text or number) in 'ms', 's' or fractional 's' -> naive UTC."""
     unit_col = F.lit(unit) if isinstance(unit, str) else unit
     num = value.cast("string").try_cast("double")
     micros = (F.when(unit_col == "ms", num * F.lit(1000.0))
               .when(unit_col == "s", num * F.lit(1_000_000.0)))
-    return F.timestamp_micros(F.round(micros).cast("long")).cast("timestamp_ntz")
+    return micros_to_ntz(micros)
 
 
 def floor_time(t: Column, seconds: int) -> Column:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import epoch_to_ntz, floor_time, nan_to_null
+from ..functions.expr import epoch_to_ntz, floor_time, micros_to_ntz, nan_to_null
 
 
 # Field positions of each venue's candle rows, the epoch unit of the
@@ -150,7 +150,7 @@ def decode_trades(pages: DataFrame) -> DataFrame:
                           F.posexplode(F.from_json(rows_text, ROWS)).alias("pos", "row"))
     r = F.col("row")
     t_sec = F.get(r, F.lit(TRADE_TIME)).try_cast("double")
-    ts = F.timestamp_micros(F.round(t_sec * F.lit(1_000_000.0)).cast("long")).cast("timestamp_ntz")
+    ts = micros_to_ntz(t_sec * F.lit(1_000_000.0))
     fallback = (F.col("chunk_no").cast("long") * F.lit(1 << 40) + F.col("page_no").cast("long") * F.lit(1 << 20)
                 + F.col("pos"))
     seq = F.coalesce(F.get(r, F.lit(TRADE_ID)).try_cast("long"), fallback)
