@@ -82,3 +82,25 @@ def test_guard_stops_training_at_smallest_scale(spark):
     g = e.queries()["train_guard"](spark, SF001).first()
     assert g["trainable"] is False
     assert e.queries()["rf_predictions"](spark, SF001).count() == 0
+
+
+def test_independent_of_input_order(spark):
+    from tickweave.operators.candles import ohlc
+    from tickweave.plans.common import trades
+    t = trades(spark, SF01, multi_base=True)
+    shuffled = t.orderBy(F.rand(11)).repartition(7)
+    a = ohlc(t, "1 hour")
+    b = ohlc(shuffled, "1 hour")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_short_series_has_no_complete_rows(spark):
+    import datetime as dt
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), 100.0 + i, 100.0, 99.0 + i, 99.0,
+             100.0 + i, 100.0, 1.0, 1.0) for i in range(15)]
+    df = spark.createDataFrame(rows, "time timestamp_ntz, `A:high` double, `B:high` double, `A:low` double, "
+                                     "`B:low` double, `A:close` double, `B:close` double, `A:volume` double, "
+                                     "`B:volume` double").withColumn("base", F.lit("X"))
+    assert fe.engineer(df, "A", "B").count() == 0
+    kept = fe.engineer(df, "A", "B", windows=[5], drop_incomplete=True).count()
+    assert kept == 15 - 5
