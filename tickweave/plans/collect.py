@@ -174,6 +174,15 @@ def q_sink_series(spark, sf_dir):
     return rounded(fl.read_series(spark, path).select(*CANDLE_OUT))
 
 
+def q_landed_files(spark, sf_dir):
+    """Pages written as JSON lines (one folder per venue), read back with a schema,
+    decoded and de-duplicated: the file-based ingest path end to end."""
+    path = scratch_path(spark, f"pages-{uuid.uuid4().hex}")
+    pl.write_pages(landed(spark, sf_dir, "MEXC"), path)
+    rows = pl.decode_candles(pl.read_pages(spark, path), layout_col="layout")
+    return rounded(cd.dedupe(rows).select(*CANDLE_OUT))
+
+
 def q_sink_series_csv(spark, sf_dir):
     """The same series as CSV files (one folder per venue and base), read back
     with an explicit schema."""
@@ -202,6 +211,7 @@ QUERIES = {
     "pair_lookup": q_pair_lookup,
     "time_coerce": q_time_coerce,
     "csv_roundtrip": q_csv_roundtrip,
+    "landed_files": q_landed_files,
     "sink_series": q_sink_series,
     "sink_series_csv": q_sink_series_csv,
 }

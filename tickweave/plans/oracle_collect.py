@@ -109,6 +109,7 @@ SQL = {
     "pair_lookup": _PAIR_LOOKUP,
     "time_coerce": _TIMES,
     "csv_roundtrip": f"WITH {candles_cte(True)} {wide_select()}",
+    "landed_files": CANDLES,
     "sink_series": CANDLES,
     "sink_series_csv": CANDLES,
 }

@@ -36,6 +36,20 @@ LAYOUT_SCHEMA = ("_layout string, t_pos int, unit string, o_pos int, h_pos int,
 TRADE_PRICE, TRADE_VOLUME, TRADE_TIME, TRADE_ID = 0, 1, 2, 6
 
 ROWS = "array<array<string>>"
+# a landed page as stored: one JSON object per line, folders per venue
+PAGE_SCHEMA = ("base string, quote string, pair string, chunk_no int, page_no int, "
+               "payload string, layout string, exchange string")
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """Landed pages as JSON lines, one folder per venue (``exchange=...``)."""
+    pages.write.mode("overwrite").partitionBy("exchange").json(path)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed pages back, with an explicit schema (no inference pass over the
+    bodies); a filter on ``exchange`` reads only that venue's folder."""
+    return spark.read.schema(PAGE_SCHEMA).json(path)
 TRADE_BODY = "struct<error:array<string>,result:map<string,string>>"
 
 
