@@ -70,35 +70,34 @@ def approx_percentiles(sp: DataFrame, column: str = "abs_price_diff_pct",
 
 
 def threshold_ladder(sp: DataFrame, thresholds=LADDER, cost: float = TOTAL_COST,
-                     column: str = "abs_price_diff_pct") -> DataFrame:
+                     column: str = "abs_price_diff_pct", keys=()) -> DataFrame:
     """For every rung: rows with ``abs >= rung``, their share (percent), and whether
-    the rung clears the cost.  One aggregate, then ``stack`` to rows."""
+    the rung clears the cost.  One aggregate (per ``keys`` group, e.g. every base at
+    once), then ``stack`` to rows."""
     x = F.col(column)
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.count_if(x >= F.lit(t)).alias(f"_c{i}") for i, t in enumerate(thresholds)]
-    one = sp.agg(*aggs)
+    one = sp.groupBy(*keys).agg(*aggs) if keys else sp.agg(*aggs)
     pairs = ", ".join(f"{float(t)!r}D, _c{i}" for i, t in enumerate(thresholds))
-    rows = one.selectExpr("_n", f"stack({len(thresholds)}, {pairs}) AS (threshold, n_rows)")
+    rows = one.selectExpr(*keys, "_n", f"stack({len(thresholds)}, {pairs}) AS (threshold, n_rows)")
     return rows.select(
-        "threshold", "n_rows",
+        *keys, "threshold", "n_rows",
         (safe_div(F.col("n_rows").cast("double"), F.col("_n").cast("double")) * 100.0)
         .alias("share_pct"),
         (F.col("threshold") > F.lit(cost)).alias("profitable"))
 
 
 def profit_summary(sp: DataFrame, ex2: str, field: str = "close",
-                   cut: float = PROFITABLE_CUT, cost: float = TOTAL_COST) -> DataFrame:
-    """Rows with ``abs >= cost + min profit``: count, share, net profit sum/mean/max/min."""
+                   cut: float = PROFITABLE_CUT, cost: float = TOTAL_COST, keys=()) -> DataFrame:
+    """Rows with ``abs >= cost + min profit``: count, share, net profit sum/mean/max/min
+    (per ``keys`` group when given)."""
     hit = F.col("abs_price_diff_pct") >= F.lit(cut)
     profit = F.when(hit, net_profit_total(F.col("abs_price_diff_pct"), c(col_name(ex2, field)), cost))
-    return sp.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(hit).alias("n_profitable"),
-        F.sum(profit).alias("total_profit"),
-        F.avg(profit).alias("mean_profit"),
-        F.max(profit).alias("best_profit"),
-        F.min(profit).alias("worst_profit"),
-    ).select("n_rows", "n_profitable",
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count_if(hit).alias("n_profitable"),
+            F.sum(profit).alias("total_profit"), F.avg(profit).alias("mean_profit"),
+            F.max(profit).alias("best_profit"), F.min(profit).alias("worst_profit")]
+    out = sp.groupBy(*keys).agg(*aggs) if keys else sp.agg(*aggs)
+    return out.select(*keys, "n_rows", "n_profitable",
              (safe_div(F.col("n_profitable").cast("double"), F.col("n_rows").cast("double")) * 100.0)
              .alias("share_pct"),
              "total_profit", "mean_profit", "best_profit", "worst_profit")

@@ -128,6 +128,17 @@ def q_threshold_ladder(spark, sf_dir):
     return rounded(sp.threshold_ladder(spread_close_frame(spark, sf_dir)))
 
 
+def q_threshold_ladder_by_base(spark, sf_dir):
+    """The ladder of every base in one pass (multi-series tape)."""
+    al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high", "close"])
+    return rounded(sp.threshold_ladder(sp.spread(al_pair, EX1, EX2, "close"), keys=("base",)))
+
+
+def q_profit_summary_by_base(spark, sf_dir):
+    al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high", "close"])
+    return rounded(sp.profit_summary(sp.spread(al_pair, EX1, EX2, "close"), EX2, "close", keys=("base",)))
+
+
 def q_profit_summary(spark, sf_dir):
     return rounded(sp.profit_summary(spread_close_frame(spark, sf_dir), EX2, "close"))
 
@@ -192,7 +203,9 @@ QUERIES = {
     "spread_stats_high": q_spread_stats_high,
     "spread_percentiles": q_spread_percentiles,
     "threshold_ladder": q_threshold_ladder,
+    "threshold_ladder_by_base": q_threshold_ladder_by_base,
     "profit_summary": q_profit_summary,
+    "profit_summary_by_base": q_profit_summary_by_base,
     "fee_clearing_summary": q_fee_clearing_summary,
     "top20_spreads": q_top20_spreads,
     "top5_profit": q_top5_profit,

@@ -94,6 +94,29 @@ def _ladder() -> str:
             f"threshold > {COST} AS profitable FROM lad")
 
 
+CLOSE_MULTI = f"WITH {candles_cte(True)}, {aligned_cte(['high', 'close'])}, {spread_cte('close')} "
+
+
+def _ladder_by_base() -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT base, {t!r}::DOUBLE AS threshold, count(*) FILTER (WHERE abs_price_diff_pct >= {t!r}::DOUBLE) "
+        f"AS n_rows, count(*) AS total FROM sp GROUP BY base" for t in LADDER)
+    return (CLOSE_MULTI + f", lad AS ({rows}) SELECT base, threshold, n_rows, "
+            f"{rnd('n_rows::DOUBLE / nullif(total, 0)::DOUBLE * 100.0')} AS share_pct, "
+            f"threshold > {COST} AS profitable FROM lad")
+
+
+def _profit_by_base() -> str:
+    return (CLOSE_MULTI + f", s AS (SELECT base, count(*) AS n_rows, "
+            f"count(*) FILTER (WHERE abs_price_diff_pct >= {CUT}) AS n_profitable, "
+            f"sum(p) AS total_profit, avg(p) AS mean_profit, max(p) AS best_profit, min(p) AS worst_profit "
+            f"FROM (SELECT *, CASE WHEN abs_price_diff_pct >= {CUT} THEN "
+            f"(abs_price_diff_pct - {COST}) * \"{EX2}:close\" / 100.0 END AS p FROM sp) GROUP BY base) "
+            f"SELECT base, n_rows, n_profitable, {rnd('n_profitable::DOUBLE / nullif(n_rows, 0)::DOUBLE * 100.0')} "
+            "AS share_pct, " + ", ".join(_r(x, x) for x in ("total_profit", "mean_profit", "best_profit", "worst_profit"))
+            + " FROM s")
+
+
 def _histogram() -> str:
     return (CLOSE + ", rng AS (SELECT min(price_diff_pct) AS mn, max(price_diff_pct) AS mx, "
             "count(price_diff_pct) AS n FROM sp), "
@@ -196,6 +219,8 @@ SQL = {
         _r(f"quantile_cont(abs_price_diff_pct, {p / 100.0!r})", f"p{str(p).replace('.', '_')}") for p in PCTS)
         + " FROM sp"),
     "threshold_ladder": _ladder(),
+    "threshold_ladder_by_base": _ladder_by_base(),
+    "profit_summary_by_base": _profit_by_base(),
     "profit_summary": (CLOSE + f", s AS (SELECT count(*) AS n_rows, "
                        f"count(*) FILTER (WHERE abs_price_diff_pct >= {CUT}) AS n_profitable, "
                        f"sum(p) AS total_profit, avg(p) AS mean_profit, max(p) AS best_profit, min(p) AS worst_profit "
