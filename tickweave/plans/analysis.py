@@ -13,8 +13,8 @@ from ..operators import align as al
 from ..operators import candles as cd
 from ..operators import spread as sp
 from ..session import reuse
-from .common import (BUCKET, EX1, EX2, SEQ_FOLLOWS_TIME, candles_of, hourly_candles, pair_candles,
-                     rounded, trades)
+from .common import (BUCKET, EX1, EX2, SEQ_FOLLOWS_TIME, hourly_candles, pair_candles, rounded,
+                     trades)
 
 # Venues drawn in the multi-venue price chart.
 CHART_VENUES = ["BINANCE", "BITFINEX", "COINBASE"]
