@@ -17,7 +17,7 @@ def test_stream_equals_batch(spark):
     out = os.path.join(folder, "out")
     trades = events_trades(spark, SF001, multi_base=True)
     # land the feed as files, as a feed would arrive
-    trades.withColumn("ts", F.col("ts").cast("timestamp")).repartition(4).write.parquet(src)
+    trades.repartition(4).write.parquet(src)
     candles = stream_candles(read_trades(spark, src), bucket="1 hour", late="0 seconds")
     q = (candles.writeStream.outputMode("append").format("parquet")
          .option("path", out).option("checkpointLocation", os.path.join(folder, "ckpt"))

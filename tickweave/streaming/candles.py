@@ -18,7 +18,7 @@ from ..operators.candles import SERIES
 TRADE_SCHEMA = T.StructType([
     T.StructField("base", T.StringType()),
     T.StructField("exchange", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
+    T.StructField("ts", T.TimestampNTZType()),
     T.StructField("seq", T.LongType()),
     T.StructField("price", T.DoubleType()),
     T.StructField("volume", T.DoubleType()),
@@ -33,7 +33,12 @@ def read_trades(spark: SparkSession, folder: str, max_files: int = 100) -> DataF
 
 def stream_candles(trades: DataFrame, bucket: str = "1 minute", late: str = "10 minutes",
                    keys=SERIES) -> DataFrame:
-    """Streaming OHLC + volume per series and tumbling bucket (event time ``ts``)."""
+    """Streaming OHLC + volume per series and tumbling bucket (event time ``ts``).
+
+    Watermarks need a zoned ``TIMESTAMP``; naive-UTC times are cast under the
+    session zone (UTC) and bucket starts are cast back to naive UTC."""
+    if dict(trades.dtypes).get("ts") == "timestamp_ntz":
+        trades = trades.withColumn("ts", F.col("ts").cast("timestamp"))
     order = F.when(F.col("price").isNotNull(), F.struct("ts", "seq"))
     return (trades.withWatermark("ts", late)
             .groupBy(*keys, F.window("ts", bucket).alias("w"))
