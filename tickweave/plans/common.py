@@ -14,6 +14,7 @@ from ..sources.tape import events_trades
 EX1, EX2 = "BINANCE", "BITFINEX"
 BUCKET = "1 hour"
 DIGITS = 6
+SNAP_BITS = 24
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -25,8 +26,13 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             scale = F.lit(float(10 ** digits))
+            grid = F.lit(float(2 ** SNAP_BITS))
+            # 1) snap to a 2^-24 grid: sums that differ in the last bits land on one
+            #    grid point (decimal data never sit on the grid's midpoints), so
+            # 2) the decimal rounding sees the same value in every engine;
             # "+ 0.0" turns a -0.0 into 0.0 (engines differ on the sign of a rounded zero)
-            cols.append((F.round(F.col(f"`{f.name}`") * scale) / scale + F.lit(0.0)).alias(f.name))
+            snapped = F.round(F.col(f"`{f.name}`") * grid) / grid
+            cols.append((F.round(snapped * scale) / scale + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)

@@ -13,9 +13,10 @@ R = 6
 
 
 def rnd(expr: str) -> str:
-    """Same rounding as the Spark side: round(x * 1e6) / 1e6 (bit-identical for
-    identical inputs in both engines, unlike a decimal-scale round)."""
-    return f"(round(({expr}) * 1e{R}) / 1e{R} + 0.0)"
+    """Same rounding as the Spark side: snap to a 2^-24 grid, then round(x * 1e6) / 1e6,
+    then + 0.0.  Values that differ only in their last bits (summation order) end up
+    identical in both engines, also at decimal rounding ties."""
+    return f"(round((round(({expr}) * 16777216.0) / 16777216.0) * 1e{R}) / 1e{R} + 0.0)"
 
 
 def _r(expr: str, alias: str) -> str:
@@ -44,7 +45,7 @@ FIELDS = ["open", "high", "low", "close", "volume"]
 
 def wide_select(fields=FIELDS, venues=PRESENT) -> str:
     cols = ", ".join(
-        f"(round((max({f}) FILTER (WHERE exchange = '{v}')) * 1e{R}) / 1e{R} + 0.0) AS \"{v}:{f}\""
+        f"{rnd(f"max({f}) FILTER (WHERE exchange = '{v}')")} AS \"{v}:{f}\""
         for v in venues for f in fields)
     return f"SELECT base, time, {cols} FROM candles GROUP BY base, time"
 
@@ -90,7 +91,7 @@ def _ladder() -> str:
         f"SELECT {t!r}::DOUBLE AS threshold, count(*) FILTER (WHERE abs_price_diff_pct >= {t!r}::DOUBLE) AS n_rows, "
         f"count(*) AS total FROM sp" for t in LADDER)
     return (CLOSE + f", lad AS ({rows}) SELECT threshold, n_rows, "
-            f"(round((n_rows::DOUBLE / nullif(total, 0)::DOUBLE * 100.0) * 1e{R}) / 1e{R} + 0.0) AS share_pct, "
+            f"{rnd('n_rows::DOUBLE / nullif(total, 0)::DOUBLE * 100.0')} AS share_pct, "
             f"threshold > {COST} AS profitable FROM lad")
 
 
@@ -126,8 +127,8 @@ def _histogram() -> str:
             "FROM sp, edges WHERE price_diff_pct IS NOT NULL), "
             "counts AS (SELECT bin, count(*) AS n_rows FROM binned GROUP BY bin), "
             "grid AS (SELECT lo, hi, range::INTEGER AS bin FROM edges, range(0, 100)) "
-            f"SELECT grid.bin, (round((lo + grid.bin * ((hi - lo) / 100)) * 1e{R}) / 1e{R} + 0.0) AS bin_lo, "
-            f"(round((lo + (grid.bin + 1) * ((hi - lo) / 100)) * 1e{R}) / 1e{R} + 0.0) AS bin_hi, "
+            f"SELECT grid.bin, (round((round((lo + grid.bin * ((hi - lo) / 100)) * 16777216.0) / 16777216.0) * 1e{R}) / 1e{R} + 0.0) AS bin_lo, "
+            f"(round((round((lo + (grid.bin + 1) * ((hi - lo) / 100)) * 16777216.0) / 16777216.0) * 1e{R}) / 1e{R} + 0.0) AS bin_hi, "
             "coalesce(counts.n_rows, 0)::BIGINT AS n_rows FROM grid LEFT JOIN counts USING (bin)")
 
 
@@ -137,7 +138,7 @@ def _fill_gaps() -> str:
             "grid AS (SELECT base, exchange, unnest(range(t0, t1 + INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS time FROM ext) "
             "SELECT g.base, g.exchange, g.time, "
             + ", ".join(_r(f"c.{f}", f) for f in ("open", "high", "low", "close"))
-            + f", (round((coalesce(c.volume, 0)) * 1e{R}) / 1e{R} + 0.0) AS volume "
+            + f", {rnd('coalesce(c.volume, 0)')} AS volume "
             "FROM grid g LEFT JOIN candles c USING (base, exchange, time)")
 
 
@@ -153,7 +154,7 @@ def _chart_series() -> str:
     parts = " UNION ALL ".join(
         f"SELECT base, '{v}' AS exchange, time, high FROM candles WHERE exchange = '{v}' AND high IS NOT NULL"
         for v in ["BINANCE", "BITFINEX", "COINBASE"])
-    return f"WITH {candles_cte(False)} SELECT base, exchange, time, (round((high) * 1e{R}) / 1e{R} + 0.0) AS high FROM ({parts})"
+    return f"WITH {candles_cte(False)} SELECT base, exchange, time, {rnd('high')} AS high FROM ({parts})"
 
 
 _BULK = (f"WITH tape AS ({sql_lineitem_trades()}), candles AS (SELECT base, exchange, "
@@ -226,7 +227,7 @@ SQL = {
                        f"sum(p) AS total_profit, avg(p) AS mean_profit, max(p) AS best_profit, min(p) AS worst_profit "
                        f"FROM (SELECT *, CASE WHEN abs_price_diff_pct >= {CUT} THEN "
                        f"(abs_price_diff_pct - {COST}) * \"{EX2}:close\" / 100.0 END AS p FROM sp)) "
-                       f"SELECT n_rows, n_profitable, (round((n_profitable::DOUBLE / nullif(n_rows, 0)::DOUBLE * 100.0) * 1e{R}) / 1e{R} + 0.0) AS share_pct, "
+                       f"SELECT n_rows, n_profitable, {rnd('n_profitable::DOUBLE / nullif(n_rows, 0)::DOUBLE * 100.0')} AS share_pct, "
                        + ", ".join(_r(x, x) for x in ("total_profit", "mean_profit", "best_profit", "worst_profit"))
                        + " FROM s"),
     "fee_clearing_summary": (HIGH + ", s AS (SELECT count(*) AS n_rows, "
@@ -235,9 +236,9 @@ SQL = {
                              "avg(abs(price_diff_pct)) FILTER (WHERE abs(price_diff_pct) > 0.2::DOUBLE) AS mean_abs_pct, "
                              "max(profit_per_btc) FILTER (WHERE abs(price_diff_pct) > 0.2::DOUBLE) AS best_profit, "
                              "sum(profit_per_btc) FILTER (WHERE abs(price_diff_pct) > 0.2::DOUBLE) AS total_profit FROM sph) "
-                             f"SELECT n_rows, n_clearing, (round((n_clearing::DOUBLE / nullif(n_rows, 0)::DOUBLE * 100.0) * 1e{R}) / 1e{R} + 0.0) AS share_pct, "
+                             f"SELECT n_rows, n_clearing, {rnd('n_clearing::DOUBLE / nullif(n_rows, 0)::DOUBLE * 100.0')} AS share_pct, "
                              + ", ".join(_r(x, x) for x in ("mean_profit", "mean_abs_pct", "best_profit", "total_profit"))
-                             + f", (round((total_profit / nullif(n_clearing, 0)::DOUBLE) * 1e{R}) / 1e{R} + 0.0) AS profit_per_trade FROM s"),
+                             + f", {rnd('total_profit / nullif(n_clearing, 0)::DOUBLE')} AS profit_per_trade FROM s"),
     "top20_spreads": (CLOSE + f"SELECT base, time, {_r(chr(34) + EX1 + ':close' + chr(34), 'price1')}, "
                       f"{_r(chr(34) + EX2 + ':close' + chr(34), 'price2')}, {_r('abs_price_diff_pct', 'abs_price_diff_pct')}, "
                       f"{_r('abs(price_diff) - ' + chr(34) + EX2 + ':close' + chr(34) + ' * ' + COST + ' / 100.0', 'net_profit')}, "
@@ -249,7 +250,7 @@ SQL = {
                     "WHERE abs(price_diff_pct) > 0.2::DOUBLE ORDER BY profit_per_btc DESC, time ASC LIMIT 5"),
     "spread_histogram": _histogram(),
     "chart_spread_band": (CLOSE + f"SELECT base, time, {_r('price_diff_pct', 'price_diff_pct')}, "
-                          f"(round(({COST}) * 1e{R}) / 1e{R} + 0.0) AS band_hi, (round((-{COST}) * 1e{R}) / 1e{R} + 0.0) AS band_lo FROM sp"),
+                          f"{rnd(COST)} AS band_hi, {rnd('-' + COST)} AS band_lo FROM sp"),
     "chart_spread_minmax": (CLOSE + ", rg AS (SELECT min(epoch_us(time)) AS lo, max(epoch_us(time)) AS hi FROM sp), "
                             "px AS (SELECT sp.*, least(floor((epoch_us(time) - lo) * 200 / greatest(hi - lo, 1)), 199)::BIGINT "
                             "AS pixel FROM sp, rg) SELECT base, pixel, min(time) AS t_first, max(time) AS t_last, "
@@ -259,8 +260,8 @@ SQL = {
                      f"{_r(chr(34) + EX2 + ':high' + chr(34), 'y')}, "
                      "CASE WHEN price_diff > 0 THEN 'red' ELSE 'green' END AS colour FROM sph"),
     "chart_parity_bounds": (f"WITH {candles_cte(False)}, {aligned_cte(['high'])} SELECT "
-                            f"(round((least(min(\"{EX1}:high\"), min(\"{EX2}:high\"))) * 1e{R}) / 1e{R} + 0.0) AS axis_min, "
-                            f"(round((greatest(max(\"{EX1}:high\"), max(\"{EX2}:high\"))) * 1e{R}) / 1e{R} + 0.0) AS axis_max FROM al"),
+                            f"(round((round((least(min(\"{EX1}:high\"), min(\"{EX2}:high\"))) * 16777216.0) / 16777216.0) * 1e{R}) / 1e{R} + 0.0) AS axis_min, "
+                            f"(round((round((greatest(max(\"{EX1}:high\"), max(\"{EX2}:high\"))) * 16777216.0) / 16777216.0) * 1e{R}) / 1e{R} + 0.0) AS axis_max FROM al"),
     "chart_profit_time": HIGH + f"SELECT base, time, {_r('profit_per_btc', 'profit_per_btc')} FROM sph",
     "chart_series": _chart_series(),
 }

@@ -6,7 +6,7 @@ candle (or trade) table itself; page and row counts follow from the chunk rule
 """
 from __future__ import annotations
 
-from .oracle_analysis import CANDLE_OUT, R, candles_cte, tape_cte, wide_select
+from .oracle_analysis import CANDLE_OUT, R, candles_cte, rnd, tape_cte, wide_select
 
 CHUNK_US = 300 * 60 * 1_000_000
 
@@ -91,8 +91,8 @@ SQL = {
     "adapt_coinbase": CANDLES,
     "adapt_gateio": CANDLES,
     "adapt_mexc": CANDLES,
-    "adapt_kraken_trades": (f"WITH {tape_cte(True)} SELECT base, exchange, ts, seq, (round((price) * 1e{R}) / 1e{R} + 0.0) AS price, "
-                            f"(round((volume) * 1e{R}) / 1e{R} + 0.0) AS volume FROM tape"),
+    "adapt_kraken_trades": (f"WITH {tape_cte(True)} SELECT base, exchange, ts, seq, {rnd('price')} AS price, "
+                            f"{rnd('volume')} AS volume FROM tape"),
     "adapt_kraken": CANDLES,
     "page_union": _LANDED + "SELECT exchange, base, p::BIGINT AS n_pages, l::BIGINT AS n_rows FROM ser",
     "dedupe_candles": (_LANDED + "SELECT exchange, base, l::BIGINT AS n_landed, n::BIGINT AS n_kept, "

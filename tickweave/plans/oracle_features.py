@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from .common import EX1, EX2
-from .oracle_analysis import R, _r, aligned_cte, candles_cte
+from .oracle_analysis import R, _r, aligned_cte, candles_cte, rnd
 
 FIELDS = ["high", "low", "close", "volume"]
 WINDOWS = [5, 10, 20]
@@ -109,7 +109,7 @@ SQL = {
     "momentum": _rolling("momentum"),
     "features_full": _features_full(),
     "label_rate": (full_cte()[0] + ", per AS (SELECT arbitrage_opportunity AS label, count(*) AS n_rows FROM fd "
-                   f"GROUP BY 1) SELECT label, n_rows, (round((n_rows * 100.0 / sum(n_rows) OVER ()) * 1e{R}) / 1e{R} + 0.0) AS share_pct "
+                   f"GROUP BY 1) SELECT label, n_rows, {rnd('n_rows * 100.0 / sum(n_rows) OVER ()')} AS share_pct "
                    "FROM per"),
     "feature_stage_stats": _stage_stats(),
 }

@@ -1,7 +1,7 @@
 """DuckDB SQL for the model jobs that SQL can express (guard and split sizes)."""
 from __future__ import annotations
 
-from .oracle_analysis import R
+from .oracle_analysis import R, rnd
 from .oracle_features import full_cte
 
 _FD = full_cte()[0]
@@ -20,6 +20,6 @@ SQL = {
                     "ceil(count(*) * 0.2::DOUBLE)::BIGINT AS t FROM fd GROUP BY 1), "
                     "s AS (SELECT 'test' AS split, label, t AS n_rows FROM pc UNION ALL "
                     "SELECT 'train' AS split, label, n - t AS n_rows FROM pc) "
-                    f"SELECT split, sum(n_rows)::BIGINT AS n_rows, (round((sum(n_rows * label)::DOUBLE / sum(n_rows)::DOUBLE * 100.0) * 1e{R}) / 1e{R} + 0.0) "
+                    f"SELECT split, sum(n_rows)::BIGINT AS n_rows, {rnd('sum(n_rows * label)::DOUBLE / sum(n_rows)::DOUBLE * 100.0')} "
                     "AS label_rate_pct FROM s WHERE n_rows > 0 GROUP BY split"),
 }
