@@ -22,8 +22,14 @@ CANDLE_SCHEMA = T.StructType([
 
 def write_series(candles: DataFrame, path: str, fmt: str = "parquet",
                  partition_by=("exchange", "base")) -> None:
-    """One folder per series, rows sorted by time inside each file."""
-    out = candles.repartition(*partition_by).sortWithinPartitions(*partition_by, "time")
+    """One folder per series, rows sorted by time inside each file.
+
+    Range-partitioned on (series, time) before writing: a series that holds a
+    large share of the rows is split over many writer tasks by time range
+    (hash-partitioning on the series alone would give it to one task), and every
+    file covers one contiguous time range."""
+    out = (candles.repartitionByRange(*partition_by, "time")
+           .sortWithinPartitions(*partition_by, "time"))
     if fmt == "csv":
         out = out.withColumn("time", F.date_format("time", TIME_FORMAT))
         out.write.mode("overwrite").partitionBy(*partition_by).option("header", True).csv(path)
@@ -42,7 +48,8 @@ def read_series(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 
 def write_wide(wide: DataFrame, path: str, fmt: str = "csv", partition_by=("base",)) -> None:
-    out = wide.repartition(*partition_by).sortWithinPartitions(*partition_by, "time")
+    """One folder per base; range-partitioned on (base, time) like ``write_series``."""
+    out = wide.repartitionByRange(*partition_by, "time").sortWithinPartitions(*partition_by, "time")
     out = out.withColumn("time", F.date_format("time", TIME_FORMAT))
     writer = out.write.mode("overwrite").partitionBy(*partition_by)
     if fmt == "csv":
