@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import reuse
@@ -56,15 +56,22 @@ class Roll:
     size: int
 
 
-def _expr(spec: Roll, ordered) -> Column:
-    x = F.col(f"`{spec.source}`")
-    gidx = F.col("_i")
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _expr_sql(spec: Roll, partition: list[str]) -> str:
+    """The window column as SQL text (parsed once by the JVM, instead of one call
+    per expression node)."""
+    x = _q(spec.source)
+    part = ", ".join(_q(k) for k in partition)
+    over = f"OVER (PARTITION BY {part} ORDER BY _i"
     if spec.kind == "momentum":
-        prev = F.lag(x, spec.size).over(ordered)
-        return F.when(gidx >= spec.size, F.try_divide(x, prev) - F.lit(1.0))
-    frame = ordered.rowsBetween(-(spec.size - 1), 0)
-    agg = F.avg(x) if spec.kind == "mean" else F.stddev_samp(x)
-    return F.when(gidx >= spec.size - 1, agg.over(frame))
+        return (f"CASE WHEN _i >= {spec.size} THEN try_divide({x}, lag({x}, {spec.size}) {over})) "
+                f"- 1.0D END AS {_q(spec.name)}")
+    agg = "avg" if spec.kind == "mean" else "stddev_samp"
+    frame = f"ROWS BETWEEN {spec.size - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN _i >= {spec.size - 1} THEN {agg}({x}) {over} {frame} END AS {_q(spec.name)}"
 
 
 def rolling(df: DataFrame, keys, specs: list[Roll], order: str = "time",
@@ -90,8 +97,7 @@ def rolling(df: DataFrame, keys, specs: list[Roll], order: str = "time",
     both = (idx.select("*", F.explode(F.when(tail, F.array(own, copy)).otherwise(F.array(own)))
                        .alias("_c"))
             .select(*idx.columns, F.col("_c.b").alias("_blk"), F.col("_c.h").alias("_halo")))
-    ordered = Window.partitionBy(*keys, "_blk").orderBy("_i")
-    out = both.select("*", *[_expr(s, ordered).alias(s.name) for s in specs])
+    out = both.selectExpr("*", *[_expr_sql(s, [*keys, "_blk"]) for s in specs])
     return out.where(~F.col("_halo")).drop("_blk", "_halo", "_i")
 
 
@@ -99,4 +105,4 @@ def rolling_single_partition(df: DataFrame, keys, specs: list[Roll], order: str
     """Reference form (one partition per series) - only for tests on small data."""
     ordered = Window.partitionBy(*keys).orderBy(order)
     idx = df.select("*", (F.row_number().over(ordered) - 1).alias("_i"))
-    return idx.select("*", *[_expr(s, ordered).alias(s.name) for s in specs]).drop("_i")
+    return idx.selectExpr("*", *[_expr_sql(s, list(keys)) for s in specs]).drop("_i")

@@ -19,23 +19,22 @@ SNAP_BITS = 24
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every double column (results are compared value by value; sums and
-    standard deviations differ in the last bits with the summation order).
-    ``round(x * 10^d) / 10^d`` rather than a decimal-scale round, so that another
-    engine that rounds the same way gets bit-identical values."""
-    cols = []
+    standard deviations differ in the last bits with the summation order):
+
+    1) snap to a 2^-24 grid, so sums that differ in the last bits land on one grid
+       point (decimal data never sit on the grid's midpoints); 2) round to
+       ``digits`` decimals, which now sees the same value in every engine; 3) add
+       0.0, which turns a -0.0 into 0.0 (engines differ on the sign of a rounded
+       zero).  Written as SQL text in one ``selectExpr`` (one call to build)."""
+    grid, scale = f"{float(2 ** SNAP_BITS)}D", f"{float(10 ** digits)}D"
+    exprs = []
     for f in df.schema.fields:
+        q = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            scale = F.lit(float(10 ** digits))
-            grid = F.lit(float(2 ** SNAP_BITS))
-            # 1) snap to a 2^-24 grid: sums that differ in the last bits land on one
-            #    grid point (decimal data never sit on the grid's midpoints), so
-            # 2) the decimal rounding sees the same value in every engine;
-            # "+ 0.0" turns a -0.0 into 0.0 (engines differ on the sign of a rounded zero)
-            snapped = F.round(F.col(f"`{f.name}`") * grid) / grid
-            cols.append((F.round(snapped * scale) / scale + F.lit(0.0)).alias(f.name))
+            exprs.append(f"round(round({q} * {grid}) / {grid} * {scale}) / {scale} + 0.0D AS {q}")
         else:
-            cols.append(F.col(f"`{f.name}`"))
-    return df.select(*cols)
+            exprs.append(q)
+    return df.selectExpr(*exprs)
 
 
 def trades(spark: SparkSession, sf_dir: str, multi_base: bool = False,
