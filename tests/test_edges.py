@@ -267,3 +267,21 @@ def test_garbage_times_are_rejected_not_fatal(spark):
                                "exchange string, base string, quote string, pair string, chunk_no int, "
                                "page_no int, payload string")
     assert [r["seq"] for r in pl.decode_trades(tp).collect()] == [2]
+
+
+def test_venue_symbols(spark):
+    from tickweave.sources import symbols as sy
+    venues = ["BINANCE", "COINBASE", "GATEIO", "MEXC", "BITFINEX", "KRAKEN"]
+    req = spark.createDataFrame([(v, p) for v in venues for p in ("BTC/USD", "DOGE/EUR", "ETH/USDT")],
+                                "exchange string, pair string")
+    got = {(r["exchange"], r["pair"]): r["symbol"] for r in sy.symbol_map(req).collect()}
+    assert got[("BINANCE", "BTC/USD")] == "BTCUSDT" and got[("BINANCE", "DOGE/EUR")] == "DOGEEUR"
+    assert got[("COINBASE", "BTC/USD")] == "BTC-USD"
+    assert got[("GATEIO", "BTC/USD")] == "BTC_USDT" and got[("GATEIO", "ETH/USDT")] == "ETH_USDT"
+    assert got[("MEXC", "BTC/USD")] == "BTCUSDT" and got[("MEXC", "DOGE/EUR")] == "DOGEEURT"
+    assert got[("BITFINEX", "BTC/USD")] == "tBTCUSD"
+    assert got[("KRAKEN", "BTC/USD")] == "XBTUSD" and got[("KRAKEN", "DOGE/EUR")] == "DOGEUR"
+    assert got[("KRAKEN", "ETH/USDT")] == "ETHUSD"
+    cleaned = spark.createDataFrame([(" btc, eth,,doge ,",)], "t string").select(
+        sy.clean_list(F.col("t")).alias("l")).first()["l"]
+    assert cleaned == ["BTC", "ETH", "DOGE"]
