@@ -285,3 +285,14 @@ def test_venue_symbols(spark):
     cleaned = spark.createDataFrame([(" btc, eth,,doge ,",)], "t string").select(
         sy.clean_list(F.col("t")).alias("l")).first()["l"]
     assert cleaned == ["BTC", "ETH", "DOGE"]
+
+
+def test_stratified_folds_exact_sizes(spark):
+    df = _labels(spark, 37, 411)
+    f = mo.with_fold(df, "y", ["base", "time"], 5)
+    sizes = {}
+    for r in f.groupBy("y", "fold").agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes.setdefault(r["y"], []).append(r["n"])
+    assert sorted(sizes[1]) == [7, 7, 7, 8, 8] and sum(sizes[0]) == 411
+    assert max(sizes[0]) - min(sizes[0]) <= 1 and len(sizes[0]) == 5
+    assert f.count() == 448

@@ -78,9 +78,30 @@ def stratified_split(df: DataFrame, label: str, keys, test_size: float = TEST_SI
     return settled.unionByName(at_edge).drop("_h", "_b", "_eb", "_take")
 
 
-def with_fold(df: DataFrame, keys, folds: int = CV_FOLDS, seed: int = SEED + 1) -> DataFrame:
-    """Cross-validation fold from a seeded hash (about equal folds within each class)."""
-    return df.withColumn("fold", F.pmod(_hash(keys, seed), F.lit(folds)).cast("int"))
+def class_rank(df: DataFrame, label: str, keys, seed: int) -> DataFrame:
+    """Adds ``_rank`` (0-based position of the row in its class, in seeded-hash
+    order) and ``_n`` (class size) without ranking a whole class in one task:
+    rows are ranked inside their 2^16 hash buckets, shifted by the running count of
+    the class's earlier buckets (a table of at most 2^16 rows per class)."""
+    h = _hash(keys, seed)
+    tagged = df.select("*", h.alias("_h"), F.shiftright(h, 64 - _BUCKET_BITS).alias("_b"))
+    counts = tagged.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(label, "_b", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_cnt").over(Window.partitionBy(label)).alias("_n"))
+    inside = Window.partitionBy(label, "_b").orderBy("_h", *keys)
+    return (tagged.join(offsets, [label, "_b"])
+            .withColumn("_rank", F.col("_off") + F.row_number().over(inside) - 1)
+            .drop("_h", "_b", "_off"))
+
+
+def with_fold(df: DataFrame, label: str, keys, folds: int = CV_FOLDS, seed: int = SEED + 1) -> DataFrame:
+    """Stratified cross-validation folds: within every class the rows, in seeded-hash
+    order, are cut into ``folds`` contiguous blocks whose sizes differ by at most
+    one (as a stratified k-fold over shuffled rows does)."""
+    ranked = class_rank(df, label, keys, seed)
+    fold = F.floor(F.col("_rank") * F.lit(folds) / F.col("_n")).cast("int")
+    return ranked.withColumn("fold", fold).drop("_rank", "_n")
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "w") -> DataFrame:
@@ -186,9 +207,10 @@ def importances(model: PipelineModel, features: list[str]) -> DataFrame:
 
 def cross_validate(train: DataFrame, features: list[str], label: str, keys,
                    folds: int = CV_FOLDS, **kw) -> DataFrame:
-    """k-fold accuracy on the training rows; the scaler and class weights are fitted
-    inside each fold.  Returns one row per fold plus the mean and 2x population std."""
-    data = with_fold(train, keys, folds)
+    """Stratified k-fold accuracy on the training rows; the scaler and class weights
+    are fitted inside each fold.  Returns one row per fold plus the mean and 2x
+    population std."""
+    data = with_fold(train, label, keys, folds)
     accs = []
     for k in range(folds):
         fit_on = data.where(F.col("fold") != k)
