@@ -186,8 +186,11 @@ def test_split_sizes_exact(spark):
     df = _labels(spark, 37, 411)
     s = mo.stratified_split(df, "y", ["base", "time"])
     got = {(r["y"], r["is_test"]): r["n"] for r in s.groupBy("y", "is_test").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert got[(1, True)] == math.ceil(0.2 * 37) and got[(0, True)] == math.ceil(0.2 * 411)
+    # 90 = ceil(0.2 * 448) test rows; 358 train rows shared 29.57 / 328.43 -> 30 / 328
+    assert (got[(1, True)], got[(0, True)]) == (7, 83)
     assert got[(1, False)] + got[(1, True)] == 37 and s.count() == 448
+    assert mo.test_allocation({0: 411, 1: 37}) == {0: 83, 1: 7}
+    assert sum(mo.test_allocation({0: 5, 1: 5}).values()) == 2
 
 
 def test_report_zero_division(spark):

@@ -46,25 +46,45 @@ def _hash(keys, seed: int):
     return F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
 
 
+def test_allocation(counts: dict, test_size: float = TEST_SIZE) -> dict:
+    """Test rows per class of a stratified split: ``ceil(test_size * n)`` test rows
+    in all; the train rows ``n - n_test`` are shared out in proportion to the
+    classes (floors, then the remaining rows to the largest remainders; equal
+    remainders go to the lower label), and each class's test rows are the rest."""
+    labels = sorted(counts)
+    n = sum(counts.values())
+    n_test = math.ceil(test_size * n)
+    n_train = n - n_test
+    cont = {c: counts[c] / n * n_train for c in labels}
+    train = {c: math.floor(cont[c]) for c in labels}
+    left = n_train - sum(train.values())
+    for c in sorted(labels, key=lambda c: (-(cont[c] - train[c]), c))[:max(left, 0)]:
+        train[c] += 1
+    return {c: counts[c] - train[c] for c in labels}
+
+
 def stratified_split(df: DataFrame, label: str, keys, test_size: float = TEST_SIZE,
                      seed: int = SEED) -> DataFrame:
-    """Adds ``is_test``: exactly ``ceil(test_size * n_class)`` rows of every class,
-    chosen by a seeded hash of ``keys`` (shuffled within class).
+    """Adds ``is_test``: an exact stratified split (sizes from ``test_allocation``)
+    with rows chosen by a seeded hash of ``keys`` (shuffled within class).
 
     Rows are ordered by the hash; the top bits of the hash form buckets whose
     per-class counts (a small table) locate the cut.  Only rows of the one bucket
     per class that holds the cut are ranked.
     """
+    need_of = test_allocation(class_counts(df, label), test_size)
+    need = None
+    for cls, k in need_of.items():
+        need = (F.when(F.col(label) == cls, F.lit(k)) if need is None
+                else need.when(F.col(label) == cls, F.lit(k)))
+    need = (need if need is not None else F.lit(0)).cast("long")
     h = _hash(keys, seed)
     tagged = df.select("*", h.alias("_h"), F.shiftright(h, 64 - _BUCKET_BITS).alias("_b"))
     counts = tagged.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     run = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(label)
-    cum = counts.select(label, "_b", "_cnt", F.sum("_cnt").over(run).alias("_cum"),
-                        F.sum("_cnt").over(whole).alias("_n"))
-    need = F.ceil(F.col("_n") * F.lit(test_size)).cast("long")
+    cum = counts.select(label, "_b", "_cnt", F.sum("_cnt").over(run).alias("_cum"))
     # boundary: first bucket whose running count reaches the class's test size
-    edge = (cum.where(F.col("_cum") >= need)
+    edge = (cum.where((F.col("_cum") >= need) & (need > 0))
             .groupBy(label)
             .agg(F.min("_b").alias("_eb"),
                  F.min_by(need - (F.col("_cum") - F.col("_cnt")), F.col("_b")).alias("_take")))

@@ -6,20 +6,25 @@ from .oracle_features import full_cte
 
 _FD = full_cte()[0]
 
+# stratified split sizes: ceil(0.2 n) test rows; train rows per class by floors and
+# largest remainders (ties to the lower label); test rows per class are the rest
+_ALLOC = (_FD + ", pc AS (SELECT arbitrage_opportunity AS label, count(*) AS c FROM fd GROUP BY 1), "
+          "tot AS (SELECT sum(c) AS n, sum(c) - ceil(sum(c) * 0.2::DOUBLE) AS n_train FROM pc), "
+          "fl AS (SELECT label, c, c::DOUBLE / n::DOUBLE * n_train::DOUBLE AS cont, "
+          "floor(c::DOUBLE / n::DOUBLE * n_train::DOUBLE) AS fl, n_train FROM pc, tot), "
+          "rk AS (SELECT *, n_train - sum(fl) OVER () AS lft, "
+          "row_number() OVER (ORDER BY cont - fl DESC, label) AS r FROM fl), "
+          "alloc AS (SELECT label, c, (fl + CASE WHEN r <= lft THEN 1 ELSE 0 END) AS tr FROM rk), "
+          "s AS (SELECT 'test' AS split, label, (c - tr)::BIGINT AS n_rows FROM alloc UNION ALL "
+          "SELECT 'train' AS split, label, tr::BIGINT AS n_rows FROM alloc) ")
+
 SQL = {
     "train_guard": (_FD + " SELECT count(*) FILTER (WHERE arbitrage_opportunity = 1) AS n_positive, "
                     "count(*) FILTER (WHERE arbitrage_opportunity = 0) AS n_negative, "
                     "(count(*) FILTER (WHERE arbitrage_opportunity = 1) >= 10 AND "
                     "count(*) FILTER (WHERE arbitrage_opportunity = 0) >= 2) AS trainable FROM fd"),
-    "stratified_split": (_FD + ", pc AS (SELECT arbitrage_opportunity AS label, count(*) AS n, "
-                         "ceil(count(*) * 0.2::DOUBLE)::BIGINT AS t FROM fd GROUP BY 1), "
-                         "s AS (SELECT 'test' AS split, label, t AS n_rows FROM pc UNION ALL "
-                         "SELECT 'train' AS split, label, n - t AS n_rows FROM pc) "
-                         "SELECT split, label, n_rows FROM s WHERE n_rows > 0"),
-    "split_rates": (_FD + ", pc AS (SELECT arbitrage_opportunity AS label, count(*) AS n, "
-                    "ceil(count(*) * 0.2::DOUBLE)::BIGINT AS t FROM fd GROUP BY 1), "
-                    "s AS (SELECT 'test' AS split, label, t AS n_rows FROM pc UNION ALL "
-                    "SELECT 'train' AS split, label, n - t AS n_rows FROM pc) "
-                    f"SELECT split, sum(n_rows)::BIGINT AS n_rows, {rnd('sum(n_rows * label)::DOUBLE / sum(n_rows)::DOUBLE * 100.0')} "
+    "stratified_split": (_ALLOC + "SELECT split, label, n_rows FROM s WHERE n_rows > 0"),
+    "split_rates": (_ALLOC + f"SELECT split, sum(n_rows)::BIGINT AS n_rows, "
+                    f"{rnd('sum(n_rows * label)::DOUBLE / sum(n_rows)::DOUBLE * 100.0')} "
                     "AS label_rate_pct FROM s WHERE n_rows > 0 GROUP BY split"),
 }
