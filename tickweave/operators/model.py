@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import reuse
+
 # Forest settings and evaluation constants of the reference job.
 N_TREES = 100
 MAX_DEPTH = 10
@@ -226,18 +228,25 @@ def importances(model: PipelineModel, features: list[str]) -> DataFrame:
 
 
 def cross_validate(train: DataFrame, features: list[str], label: str, keys,
-                   folds: int = CV_FOLDS, **kw) -> DataFrame:
+                   folds: int = CV_FOLDS, parallelism: int = CV_FOLDS, **kw) -> DataFrame:
     """Stratified k-fold accuracy on the training rows; the scaler and class weights
-    are fitted inside each fold.  Returns one row per fold plus the mean and 2x
-    population std."""
-    data = with_fold(train, label, keys, folds)
-    accs = []
-    for k in range(folds):
-        fit_on = data.where(F.col("fold") != k)
-        held = data.where(F.col("fold") == k)
-        model = fit(fit_on.drop("fold"), features, label, **kw)
-        row = accuracy(predict(model, held.drop("fold"), label), label).first()
-        accs.append((k, float(row["accuracy"]) if row["accuracy"] is not None else None, row["n_rows"]))
+    are fitted inside each fold.  The folds are independent, so up to
+    ``parallelism`` of them are fitted at once (concurrent Spark jobs share the
+    executors).  Returns one row per fold plus the mean and 2x population std."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    # every fold reads the fold-tagged rows twice (fit, evaluation): tag them once
+    data = reuse(with_fold(train, label, keys, folds))
+
+    def one(k: int):
+        fit_on = data.where(F.col("fold") != k).drop("fold")
+        held = data.where(F.col("fold") == k).drop("fold")
+        model = fit(fit_on, features, label, **kw)
+        row = accuracy(predict(model, held, label), label).first()
+        return k, (float(row["accuracy"]) if row["accuracy"] is not None else None), row["n_rows"]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        accs = sorted(pool.map(one, range(folds)))
     vals = [a for _, a, _ in accs if a is not None]
     mean = sum(vals) / len(vals) if vals else None
     std = math.sqrt(sum((v - mean) ** 2 for v in vals) / len(vals)) if vals else None
