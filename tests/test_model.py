@@ -52,3 +52,20 @@ def test_cv_and_roundtrip(spark):
     assert sum(r["n_rows"] for r in cv) == train_rows
     rt = Q["model_roundtrip"](spark, SF01).first()
     assert rt["n_rows"] == rt["n_same"] > 0
+
+
+def test_forest_independent_of_shuffle_partitions(spark):
+    from tickweave.plans import model as mj
+    from tickweave.session import release
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            mj._FITTED.clear()
+            release()
+            got.append(sorted(map(tuple, Q["rf_predictions"](spark, SF01).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        mj._FITTED.clear()
+    assert got[0] == got[1] and len(got[0]) > 0

@@ -152,8 +152,22 @@ def forest_pipeline(features: list[str], label: str, weight: str = "w", seed: in
     return Pipeline(stages=[assembler, scaler, forest])
 
 
-def fit(train: DataFrame, features: list[str], label: str, **kw) -> PipelineModel:
+ROWS_PER_FIT_PARTITION = 500_000
+
+
+def fit(train: DataFrame, features: list[str], label: str, layout_keys=None, **kw) -> PipelineModel:
+    """Balanced weights, then the scaler + forest pipeline.
+
+    The forest seeds its bootstrap per input partition, so with ``layout_keys`` the
+    rows are first given a layout that depends only on the data: a partition count
+    from the row count (one per ``ROWS_PER_FIT_PARTITION``, at least 8), rows
+    hash-placed by the keys and sorted inside each partition.  The same data then
+    gives the same forest under any session settings."""
     weighted = balanced_weights(train.withColumn(label, F.col(label).cast("double")), label)
+    if layout_keys:
+        n = sum(class_counts(train, label).values())
+        parts = max(8, math.ceil(n / ROWS_PER_FIT_PARTITION))
+        weighted = weighted.repartition(parts, *layout_keys).sortWithinPartitions(*layout_keys)
     return forest_pipeline(features, label, **kw).fit(weighted)
 
 
@@ -241,7 +255,7 @@ def cross_validate(train: DataFrame, features: list[str], label: str, keys,
     def one(k: int):
         fit_on = data.where(F.col("fold") != k).drop("fold")
         held = data.where(F.col("fold") == k).drop("fold")
-        model = fit(fit_on, features, label, **kw)
+        model = fit(fit_on, features, label, layout_keys=keys, **kw)
         row = accuracy(predict(model, held, label), label).first()
         return k, (float(row["accuracy"]) if row["accuracy"] is not None else None), row["n_rows"]
 

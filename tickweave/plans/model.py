@@ -43,7 +43,7 @@ def trained(spark: SparkSession, sf_dir: str):
     names = fe.feature_columns(table)
     train = split.where(~F.col("is_test")).drop("is_test")
     test = split.where(F.col("is_test")).drop("is_test")
-    model = mo.fit(train, names, fe.LABEL)
+    model = mo.fit(train, names, fe.LABEL, layout_keys=KEYS)
     _FITTED[key] = (model, names, train, test)
     return _FITTED[key]
 
