@@ -152,7 +152,7 @@ def forest_pipeline(features: list[str], label: str, weight: str = "w", seed: in
     return Pipeline(stages=[assembler, scaler, forest])
 
 
-ROWS_PER_FIT_PARTITION = 500_000
+ROWS_PER_FIT_PARTITION = 100_000
 
 
 def fit(train: DataFrame, features: list[str], label: str, layout_keys=None, **kw) -> PipelineModel:
@@ -160,13 +160,13 @@ def fit(train: DataFrame, features: list[str], label: str, layout_keys=None, **k
 
     The forest seeds its bootstrap per input partition, so with ``layout_keys`` the
     rows are first given a layout that depends only on the data: a partition count
-    from the row count (one per ``ROWS_PER_FIT_PARTITION``, at least 8), rows
+    from the row count (one per ``ROWS_PER_FIT_PARTITION``), rows
     hash-placed by the keys and sorted inside each partition.  The same data then
     gives the same forest under any session settings."""
     weighted = balanced_weights(train.withColumn(label, F.col(label).cast("double")), label)
     if layout_keys:
         n = sum(class_counts(train, label).values())
-        parts = max(8, math.ceil(n / ROWS_PER_FIT_PARTITION))
+        parts = max(1, math.ceil(n / ROWS_PER_FIT_PARTITION))
         weighted = weighted.repartition(parts, *layout_keys).sortWithinPartitions(*layout_keys)
     return forest_pipeline(features, label, **kw).fit(weighted)
 
