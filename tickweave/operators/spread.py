@@ -225,13 +225,15 @@ def chart_profit_time(sp_high: DataFrame) -> DataFrame:
     return sp_high.select(*keys, "time", "profit_per_btc")
 
 
-def label_rate(df: DataFrame, label: str = "arbitrage_opportunity") -> DataFrame:
-    """Per class: rows and share of all rows (percent)."""
-    from pyspark.sql import Window
-    per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = F.sum("n_rows").over(Window.partitionBy())
-    return per.select(F.col(label).alias("label"), "n_rows",
-                      (F.col("n_rows") * 100.0 / total).alias("share_pct"))
+def label_rate(df: DataFrame, label: str = "arbitrage_opportunity", classes=(0, 1)) -> DataFrame:
+    """Per class: rows and share of all rows (percent).  One conditional aggregate
+    (partial on every partition), stacked to one row per class present."""
+    counts = [F.count_if(F.col(label) == k).alias(f"_c{i}") for i, k in enumerate(classes)]
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *counts)
+    pairs = ", ".join(f"{int(k)}, _c{i}" for i, k in enumerate(classes))
+    rows = one.selectExpr("_n", f"stack({len(classes)}, {pairs}) AS (label, n_rows)")
+    return rows.where(F.col("n_rows") > 0).select(
+        "label", "n_rows", (F.col("n_rows") * 100.0 / F.col("_n")).alias("share_pct"))
 
 
 def label_cut_expr(abs_pct, cut: float = LABEL_CUT):
