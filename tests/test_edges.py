@@ -299,3 +299,18 @@ def test_stratified_folds_exact_sizes(spark):
     assert sorted(sizes[1]) == [7, 7, 7, 8, 8] and sum(sizes[0]) == 411
     assert max(sizes[0]) - min(sizes[0]) <= 1 and len(sizes[0]) == 5
     assert f.count() == 448
+
+
+def test_grouped_quantiles_match_numpy(spark):
+    import numpy as np
+    from tickweave.operators.quantiles import grouped_quantiles
+    rng = np.random.default_rng(3)
+    data = {"A": rng.normal(0, 1, 700), "B": np.concatenate([np.full(300, 1.5), rng.exponential(2, 200)]),
+            "C": np.array([4.0])}
+    rows = [(g, float(v)) for g, vs in data.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, x double")
+    qs = [0.0, 0.5, 0.9, 0.999, 1.0]
+    got = grouped_quantiles(df, "g", "x", qs, buckets=8, collect_limit=20)
+    for g, vs in data.items():
+        want = np.quantile(vs, qs)
+        assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for a, b in zip(got[g], want)), g

@@ -124,6 +124,21 @@ def q_spread_percentiles(spark, sf_dir):
     return rounded(sp.spread_percentiles(spark, spread_close_frame(spark, sf_dir)))
 
 
+def q_spread_percentiles_by_base(spark, sf_dir):
+    """Exact percentiles of the absolute close spread for every base in the same
+    passes (grouped refinement)."""
+    from ..operators.quantiles import grouped_quantiles
+    from pyspark.sql import types as T
+    al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high", "close"])
+    frame = reuse(sp.spread(al_pair, EX1, EX2, "close"))
+    got = grouped_quantiles(frame, "base", "abs_price_diff_pct", [p / 100.0 for p in sp.PERCENTILES])
+    names = [f"p{str(p).replace('.', '_')}" for p in sp.PERCENTILES]
+    schema = T.StructType([T.StructField("base", T.StringType())]
+                          + [T.StructField(n, T.DoubleType()) for n in names])
+    # one row per base: a summary bounded by the number of series
+    return rounded(spark.createDataFrame([(g, *v) for g, v in sorted(got.items())], schema))
+
+
 def q_threshold_ladder(spark, sf_dir):
     return rounded(sp.threshold_ladder(spread_close_frame(spark, sf_dir)))
 
@@ -202,6 +217,7 @@ QUERIES = {
     "spread_stats": q_spread_stats,
     "spread_stats_high": q_spread_stats_high,
     "spread_percentiles": q_spread_percentiles,
+    "spread_percentiles_by_base": q_spread_percentiles_by_base,
     "threshold_ladder": q_threshold_ladder,
     "threshold_ladder_by_base": q_threshold_ladder_by_base,
     "profit_summary": q_profit_summary,

@@ -219,6 +219,9 @@ SQL = {
     "spread_percentiles": (CLOSE + "SELECT " + ", ".join(
         _r(f"quantile_cont(abs_price_diff_pct, {p / 100.0!r})", f"p{str(p).replace('.', '_')}") for p in PCTS)
         + " FROM sp"),
+    "spread_percentiles_by_base": (CLOSE_MULTI + "SELECT base, " + ", ".join(
+        _r(f"quantile_cont(abs_price_diff_pct, {p / 100.0!r})", f"p{str(p).replace('.', '_')}") for p in PCTS)
+        + " FROM sp GROUP BY base"),
     "threshold_ladder": _ladder(),
     "threshold_ladder_by_base": _ladder_by_base(),
     "profit_summary_by_base": _profit_by_base(),
