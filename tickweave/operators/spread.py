@@ -103,19 +103,17 @@ def profit_summary(sp: DataFrame, ex2: str, field: str = "close",
              "total_profit", "mean_profit", "best_profit", "worst_profit")
 
 
-def fee_clearing_summary(sp_high: DataFrame, fee: float = TRADING_FEE) -> DataFrame:
+def fee_clearing_summary(sp_high: DataFrame, fee: float = TRADING_FEE, keys=()) -> DataFrame:
     """Rows with ``|pct| > fee`` (strict): count, share, mean gross profit, mean |pct|,
-    best, total and total per trade."""
+    best, total and total per trade (per ``keys`` group when given)."""
     hit = F.abs("price_diff_pct") > F.lit(fee)
     gross = F.when(hit, F.col("profit_per_btc"))
-    return sp_high.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(hit).alias("n_clearing"),
-        F.avg(gross).alias("mean_profit"),
-        F.avg(F.when(hit, F.abs("price_diff_pct"))).alias("mean_abs_pct"),
-        F.max(gross).alias("best_profit"),
-        F.sum(gross).alias("total_profit"),
-    ).select("n_rows", "n_clearing",
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.count_if(hit).alias("n_clearing"),
+            F.avg(gross).alias("mean_profit"),
+            F.avg(F.when(hit, F.abs("price_diff_pct"))).alias("mean_abs_pct"),
+            F.max(gross).alias("best_profit"), F.sum(gross).alias("total_profit")]
+    out = sp_high.groupBy(*keys).agg(*aggs) if keys else sp_high.agg(*aggs)
+    return out.select(*keys, "n_rows", "n_clearing",
              (safe_div(F.col("n_clearing").cast("double"), F.col("n_rows").cast("double")) * 100.0)
              .alias("share_pct"),
              "mean_profit", "mean_abs_pct", "best_profit", "total_profit",

@@ -162,6 +162,11 @@ def q_fee_clearing_summary(spark, sf_dir):
     return rounded(sp.fee_clearing_summary(spread_high_frame(spark, sf_dir)))
 
 
+def q_fee_clearing_summary_by_base(spark, sf_dir):
+    al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high"])
+    return rounded(sp.fee_clearing_summary(sp.spread_high(al_pair, EX1, EX2), keys=("base",)))
+
+
 def q_top20_spreads(spark, sf_dir):
     return rounded(sp.top_spreads(spread_close_frame(spark, sf_dir), EX1, EX2, 20, "close"))
 
@@ -223,6 +228,7 @@ QUERIES = {
     "profit_summary": q_profit_summary,
     "profit_summary_by_base": q_profit_summary_by_base,
     "fee_clearing_summary": q_fee_clearing_summary,
+    "fee_clearing_summary_by_base": q_fee_clearing_summary_by_base,
     "top20_spreads": q_top20_spreads,
     "top5_profit": q_top5_profit,
     "spread_histogram": q_spread_histogram,

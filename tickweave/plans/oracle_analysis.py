@@ -118,6 +118,21 @@ def _profit_by_base() -> str:
             + " FROM s")
 
 
+HIGH_MULTI = f"WITH {candles_cte(True)}, {aligned_cte(['high'])}, {spread_high_cte()} "
+
+
+def _fee_by_base() -> str:
+    hit = "abs(price_diff_pct) > 0.2::DOUBLE"
+    return (HIGH_MULTI + f", s AS (SELECT base, count(*) AS n_rows, count(*) FILTER (WHERE {hit}) AS n_clearing, "
+            f"avg(profit_per_btc) FILTER (WHERE {hit}) AS mean_profit, "
+            f"avg(abs(price_diff_pct)) FILTER (WHERE {hit}) AS mean_abs_pct, "
+            f"max(profit_per_btc) FILTER (WHERE {hit}) AS best_profit, "
+            f"sum(profit_per_btc) FILTER (WHERE {hit}) AS total_profit FROM sph GROUP BY base) "
+            f"SELECT base, n_rows, n_clearing, {rnd('n_clearing::DOUBLE / nullif(n_rows, 0)::DOUBLE * 100.0')} AS share_pct, "
+            + ", ".join(_r(x, x) for x in ("mean_profit", "mean_abs_pct", "best_profit", "total_profit"))
+            + f", {rnd('total_profit / nullif(n_clearing, 0)::DOUBLE')} AS profit_per_trade FROM s")
+
+
 def _histogram() -> str:
     return (CLOSE + ", rng AS (SELECT min(price_diff_pct) AS mn, max(price_diff_pct) AS mx, "
             "count(price_diff_pct) AS n FROM sp), "
@@ -222,6 +237,7 @@ SQL = {
     "spread_percentiles_by_base": (CLOSE_MULTI + "SELECT base, " + ", ".join(
         _r(f"quantile_cont(abs_price_diff_pct, {p / 100.0!r})", f"p{str(p).replace('.', '_')}") for p in PCTS)
         + " FROM sp GROUP BY base"),
+    "fee_clearing_summary_by_base": _fee_by_base(),
     "threshold_ladder": _ladder(),
     "threshold_ladder_by_base": _ladder_by_base(),
     "profit_summary_by_base": _profit_by_base(),
