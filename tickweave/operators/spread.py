@@ -145,6 +145,23 @@ def top_spreads(sp: DataFrame, ex1: str, ex2: str, n: int = 20, field: str = "cl
             .limit(n))
 
 
+def top_spreads_by(sp: DataFrame, ex1: str, ex2: str, n: int = 20, field: str = "close",
+                   keys=("base",), cost: float = TOTAL_COST) -> DataFrame:
+    """The n largest ``abs`` spreads of every ``keys`` group (earlier time first on
+    ties).  Two-level top-n, so no task ranks a whole group: the n best of every
+    (group, day), then the n best of those survivors per group."""
+    from pyspark.sql import Window
+    p1, p2 = c(col_name(ex1, field)), c(col_name(ex2, field))
+    rows = sp.select(*keys, "time", p1.alias("price1"), p2.alias("price2"), "abs_price_diff_pct",
+                     net_profit_topk(F.col("price_diff"), p2, cost).alias("net_profit"),
+                     direction(F.col("price_diff"), ex1, ex2).alias("direction"))
+    order = [F.col("abs_price_diff_pct").desc(), F.col("time").asc()]
+    day = Window.partitionBy(*keys, F.date_trunc("day", F.col("time"))).orderBy(*order)
+    daily = rows.withColumn("_r", F.row_number().over(day)).where(F.col("_r") <= n).drop("_r")
+    best = Window.partitionBy(*keys).orderBy(*order)
+    return daily.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
+
+
 def top_profit(sp_high: DataFrame, ex1: str, ex2: str, n: int = 5,
                fee: float = TRADING_FEE) -> DataFrame:
     """The n largest gross profits among fee-clearing rows (top-k report)."""

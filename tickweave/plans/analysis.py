@@ -171,6 +171,11 @@ def q_top20_spreads(spark, sf_dir):
     return rounded(sp.top_spreads(spread_close_frame(spark, sf_dir), EX1, EX2, 20, "close"))
 
 
+def q_top20_spreads_by_base(spark, sf_dir):
+    al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high", "close"])
+    return rounded(sp.top_spreads_by(sp.spread(al_pair, EX1, EX2, "close"), EX1, EX2, 20))
+
+
 def q_top5_profit(spark, sf_dir):
     return rounded(sp.top_profit(spread_high_frame(spark, sf_dir), EX1, EX2, 5))
 
@@ -230,6 +235,7 @@ QUERIES = {
     "fee_clearing_summary": q_fee_clearing_summary,
     "fee_clearing_summary_by_base": q_fee_clearing_summary_by_base,
     "top20_spreads": q_top20_spreads,
+    "top20_spreads_by_base": q_top20_spreads_by_base,
     "top5_profit": q_top5_profit,
     "spread_histogram": q_spread_histogram,
     "chart_spread_band": q_chart_spread_band,

@@ -263,6 +263,13 @@ SQL = {
                       f"{_r('abs(price_diff) - ' + chr(34) + EX2 + ':close' + chr(34) + ' * ' + COST + ' / 100.0', 'net_profit')}, "
                       f"CASE WHEN price_diff > 0 THEN 'SELL {EX1}, BUY {EX2}' ELSE 'SELL {EX2}, BUY {EX1}' END AS direction "
                       "FROM sp ORDER BY abs_price_diff_pct DESC, time ASC LIMIT 20"),
+    "top20_spreads_by_base": (CLOSE_MULTI + ", t AS (SELECT *, row_number() OVER (PARTITION BY base "
+                              "ORDER BY abs_price_diff_pct DESC, time ASC) AS rank FROM sp) "
+                              f"SELECT base, time, {_r(chr(34) + EX1 + ':close' + chr(34), 'price1')}, "
+                              f"{_r(chr(34) + EX2 + ':close' + chr(34), 'price2')}, {_r('abs_price_diff_pct', 'abs_price_diff_pct')}, "
+                              f"{_r('abs(price_diff) - ' + chr(34) + EX2 + ':close' + chr(34) + ' * ' + COST + ' / 100.0', 'net_profit')}, "
+                              f"CASE WHEN price_diff > 0 THEN 'SELL {EX1}, BUY {EX2}' ELSE 'SELL {EX2}, BUY {EX1}' END AS direction, "
+                              "rank::INTEGER AS rank FROM t WHERE rank <= 20"),
     "top5_profit": (HIGH + f"SELECT base, time, {_r(chr(34) + EX1 + ':high' + chr(34), 'price1')}, "
                     f"{_r(chr(34) + EX2 + ':high' + chr(34), 'price2')}, {_r('profit_per_btc', 'profit_per_btc')}, "
                     f"{_r('price_diff_pct', 'price_diff_pct')}, arbitrage_direction FROM sph "
