@@ -1,9 +1,11 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import packing
+from . import packing, quality, toxicity
 
 QUERIES = {
+    "op6_importance_resampling": quality.op6_importance_resampling,
+    "op10_naive_bayes_toxicity": toxicity.op10_naive_bayes_toxicity,
     "op4_sum_of_squares_packing": packing.op4_sum_of_squares_packing,
 }
 SQL: dict[str, str] = {}
