@@ -1,11 +1,15 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import packing, quality, toxicity
+from . import decontaminate, packing, quality, simhash, toxicity
 
 QUERIES = {
+    "op2_winnowing": decontaminate.op2_winnowing,
+    "op3_generalised_pigeonhole": simhash.op3_generalised_pigeonhole,
+    "op4_sum_of_squares_packing": packing.op4_sum_of_squares_packing,
     "op6_importance_resampling": quality.op6_importance_resampling,
     "op10_naive_bayes_toxicity": toxicity.op10_naive_bayes_toxicity,
-    "op4_sum_of_squares_packing": packing.op4_sum_of_squares_packing,
 }
-SQL: dict[str, str] = {}
+SQL = {
+    "op2_winnowing": decontaminate.OP2_SQL,
+}

@@ -27,7 +27,7 @@ BITS = 20
 MAX_FIT_ROWS = 32_768  # bound on the labelled rows a model is fitted on
 MAX_FEATURES = 1_024  # scaled features that enter the regression, strongest first
 MIN_Z = 4.0
-SMOOTHING = 0.5
+SMOOTHING = 0.05
 PENALTY = 0.02
 THRESHOLD = 0.3
 
