@@ -1,13 +1,14 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import decontaminate, packing, quality, simhash, toxicity
+from . import decontaminate, langid, packing, quality, simhash, toxicity
 
 QUERIES = {
     "op2_winnowing": decontaminate.op2_winnowing,
     "op3_generalised_pigeonhole": simhash.op3_generalised_pigeonhole,
     "op4_sum_of_squares_packing": packing.op4_sum_of_squares_packing,
     "op6_importance_resampling": quality.op6_importance_resampling,
+    "op9_kneser_ney_language_id": langid.op9_kneser_ney_language_id,
     "op10_naive_bayes_toxicity": toxicity.op10_naive_bayes_toxicity,
 }
 SQL = {
