@@ -1,16 +1,18 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import decontaminate, langid, packing, quality, simhash, toxicity
+from . import decontaminate, langid, packing, quality, simhash, topk, toxicity
 
 QUERIES = {
     "op2_winnowing": decontaminate.op2_winnowing,
     "op3_generalised_pigeonhole": simhash.op3_generalised_pigeonhole,
     "op4_sum_of_squares_packing": packing.op4_sum_of_squares_packing,
     "op6_importance_resampling": quality.op6_importance_resampling,
+    "op7_columnar_branch_and_bound": topk.op7_columnar_branch_and_bound,
     "op9_kneser_ney_language_id": langid.op9_kneser_ney_language_id,
     "op10_naive_bayes_toxicity": toxicity.op10_naive_bayes_toxicity,
 }
 SQL = {
     "op2_winnowing": decontaminate.OP2_SQL,
+    "op7_columnar_branch_and_bound": topk.OP7_SQL,
 }
