@@ -1,7 +1,7 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import decontaminate, langid, packing, quality, simhash, topk, toxicity
+from . import decontaminate, langid, packing, quality, simhash, tokencount, topk, toxicity
 
 QUERIES = {
     "op2_winnowing": decontaminate.op2_winnowing,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_sum_of_squares_packing": packing.op4_sum_of_squares_packing,
     "op6_importance_resampling": quality.op6_importance_resampling,
     "op7_columnar_branch_and_bound": topk.op7_columnar_branch_and_bound,
+    "op8_trie_unigram_counts": tokencount.op8_trie_unigram_counts,
     "op9_kneser_ney_language_id": langid.op9_kneser_ney_language_id,
     "op10_naive_bayes_toxicity": toxicity.op10_naive_bayes_toxicity,
 }
