@@ -1,12 +1,13 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import decontaminate, langid, packing, quality, simhash, tokencount, topk, toxicity
+from . import decontaminate, langid, packing, quality, simhash, tokencount, topk, toxicity, wrappers
 
 QUERIES = {
     "op2_winnowing": decontaminate.op2_winnowing,
     "op3_generalised_pigeonhole": simhash.op3_generalised_pigeonhole,
     "op4_sum_of_squares_packing": packing.op4_sum_of_squares_packing,
+    "op5_union_free_wrappers": wrappers.op5_union_free_wrappers,
     "op6_importance_resampling": quality.op6_importance_resampling,
     "op7_columnar_branch_and_bound": topk.op7_columnar_branch_and_bound,
     "op8_trie_unigram_counts": tokencount.op8_trie_unigram_counts,
