@@ -1,9 +1,10 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import decontaminate, langid, packing, quality, simhash, tokencount, topk, toxicity, wrappers
+from . import decontaminate, langid, packing, quality, quotes, simhash, tokencount, topk, toxicity, wrappers
 
 QUERIES = {
+    "op1_quotation_linking": quotes.op1_quotation_linking,
     "op2_winnowing": decontaminate.op2_winnowing,
     "op3_generalised_pigeonhole": simhash.op3_generalised_pigeonhole,
     "op4_sum_of_squares_packing": packing.op4_sum_of_squares_packing,
@@ -15,6 +16,7 @@ QUERIES = {
     "op10_naive_bayes_toxicity": toxicity.op10_naive_bayes_toxicity,
 }
 SQL = {
+    "op1_quotation_linking": quotes.OP1_SQL,
     "op2_winnowing": decontaminate.OP2_SQL,
     "op7_columnar_branch_and_bound": topk.OP7_SQL,
 }
