@@ -10,7 +10,7 @@ from tickweave.operators import align as al
 from tickweave.operators import candles as cd
 from tickweave.operators import model as mo
 from tickweave.operators import spread as sp
-from tickweave.operators.quantiles import exact_quantiles
+from tickweave.operators.quantiles import quantiles
 from tickweave.sources import chunks as ch
 from tickweave.sources import payloads as pl
 
@@ -161,13 +161,31 @@ def test_histogram_edges(spark):
     assert [r["bin"] for r in h2 if r["n_rows"]] == [50] and math.isclose(h2[0]["bin_lo"], 1.5)
 
 
-def test_quantiles_match_numpy_with_refinement(spark):
+def _quantiles(df, qs):
+    return list(quantiles(df, "x", qs, [f"q{i}" for i in range(len(qs))]).first())
+
+
+@pytest.mark.parametrize("values", [
+    [10.0 ** -k for k in range(300)],  # no equal-width buckets separate these
+    [0.1, 0.3, 0.1 + (0.3 - 0.1), 0.7, 0.7 + (1.1 - 0.7), 1.1],  # a + (b - a) is not b
+    [2.5] * 120_000 + [1.0, 3.0, 4.0],  # most rows are one value
+    [-0.0, 0.0, -1e300, 1e300]])
+def test_quantiles_of_hard_columns(spark, values):
+    import numpy as np
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+    qs = [0.0, 0.25, 0.5, 0.9, 0.999]
+    want = np.quantile(values, qs)
+    got = _quantiles(df, qs)
+    assert all(a == b or math.isclose(a, b, rel_tol=1e-12) for a, b in zip(got, want)), (got, want)
+
+
+def test_quantiles_match_numpy(spark):
     import numpy as np
     rng = np.random.default_rng(7)
     vals = np.concatenate([rng.normal(0, 1, 3000), np.full(500, 0.25), rng.exponential(5, 1500)])
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     qs = [0.0, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999, 1.0]
-    got = exact_quantiles(df, "x", qs, buckets=16, collect_limit=50)
+    got = _quantiles(df, qs)
     want = np.quantile(vals, qs)
     assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for a, b in zip(got, want))
 
@@ -249,10 +267,10 @@ def test_pair_lookup_priority(spark):
 def test_quantiles_all_equal_and_single(spark):
     one = spark.createDataFrame([(3.5,)], "x double")
     same = spark.createDataFrame([(2.0,)] * 50, "x double")
-    assert exact_quantiles(one, "x", [0.0, 0.5, 1.0]) == [3.5, 3.5, 3.5]
-    assert exact_quantiles(same, "x", [0.3, 0.999]) == [2.0, 2.0]
+    assert _quantiles(one, [0.0, 0.5, 1.0]) == [3.5, 3.5, 3.5]
+    assert _quantiles(same, [0.3, 0.999]) == [2.0, 2.0]
     empty = spark.createDataFrame([], "x double")
-    assert exact_quantiles(empty, "x", [0.5]) == [None]
+    assert _quantiles(empty, [0.5]) == [None]
 
 
 def test_garbage_times_are_rejected_not_fatal(spark):
@@ -303,14 +321,13 @@ def test_stratified_folds_exact_sizes(spark):
 
 def test_grouped_quantiles_match_numpy(spark):
     import numpy as np
-    from tickweave.operators.quantiles import grouped_quantiles
     rng = np.random.default_rng(3)
     data = {"A": rng.normal(0, 1, 700), "B": np.concatenate([np.full(300, 1.5), rng.exponential(2, 200)]),
             "C": np.array([4.0])}
     rows = [(g, float(v)) for g, vs in data.items() for v in vs]
     df = spark.createDataFrame(rows, "g string, x double")
     qs = [0.0, 0.5, 0.9, 0.999, 1.0]
-    got = grouped_quantiles(df, "g", "x", qs, buckets=8, collect_limit=20)
+    got = {r[0]: list(r)[1:] for r in quantiles(df, "x", qs, list("abcde"), keys=("g",)).collect()}
     for g, vs in data.items():
         want = np.quantile(vs, qs)
         assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for a, b in zip(got[g], want)), g

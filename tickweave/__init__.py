@@ -14,7 +14,7 @@ The main operators are importable from the package root, e.g.
 from .operators.align import align, price_series, widen
 from .operators.candles import chunked_candles, dedupe, fill_gaps, ohlc
 from .operators.features import engineer
-from .operators.quantiles import exact_quantiles
+from .operators.quantiles import quantiles
 from .operators.rolling import rolling
 from .operators.spread import (fee_clearing_summary, histogram, profit_summary, spread,
                                spread_high, threshold_ladder, top_spreads)
@@ -26,7 +26,7 @@ __version__ = "0.1.0"
 
 __all__ = [
     "align", "build_session", "chunk_plan", "chunked_candles", "decode_candles", "decode_trades",
-    "dedupe", "engineer", "exact_quantiles", "fee_clearing_summary", "fill_gaps", "histogram",
-    "load_status", "ohlc", "price_series", "profit_summary", "read_pages", "release", "rolling",
+    "dedupe", "engineer", "fee_clearing_summary", "fill_gaps", "histogram",
+    "load_status", "ohlc", "price_series", "profit_summary", "quantiles", "read_pages", "release", "rolling",
     "spread", "spread_high", "threshold_ladder", "top_spreads", "widen",
 ]

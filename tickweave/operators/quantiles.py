@@ -1,190 +1,66 @@
-"""Exact quantiles (linear interpolation, as pandas/numpy) without one big group.
+"""Exact quantiles (linear interpolation, as pandas/numpy) in one distributed plan.
 
-Spark's exact ``percentile``/``median`` keep every distinct value of the column in
-one final task.  Here the needed order statistics are found by histogram
-refinement: each round is one distributed ``groupBy`` over equal-width buckets of
-the current interval of every wanted rank (at most ``buckets`` rows per rank come
-back), and the interval shrinks to the one bucket that holds the rank.  Once an
-interval holds at most ``collect_limit`` rows - a count known before anything is
-fetched - those values are fetched and the rank is read off directly.  With the
-default sizes one or two rounds suffice.
+Spark's exact ``percentile``/``median`` keep every distinct value of a group in one
+final task.  Here equal values are counted first, the counted values are
+range-partitioned (Spark samples the bounds), and each range's count gives the rows
+below it.  Only the ranges that hold a wanted rank are summed up value by value.
+There is no size switch and no value reaches the driver; a value that holds most of
+the rows is one counted row.
 """
 from __future__ import annotations
 
-import math
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..session import reuse
 
 
-def _lerp(lo: float, hi: float, frac: float) -> float:
+def lerp(lo: Column, hi: Column, frac: Column) -> Column:
     """numpy's linear interpolation (the upper form from the middle on)."""
     diff = hi - lo
-    if frac >= 0.5:
-        return hi - diff * (1 - frac)
-    return lo + diff * frac
-
-
-def order_statistics(values: DataFrame, ranks: list[int], buckets: int = 4096,
-                     collect_limit: int = 100_000, max_rounds: int = 12,
-                     stats=None) -> dict[int, float]:
-    """Exact values at 0-based ``ranks`` of the single double column ``x``
-    (``stats`` = (count, min, max) when already known)."""
-    state = {}
-    if stats is None:
-        row = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
-        stats = (row[0], row[1], row[2])
-    n, lo, hi = stats
-    for r in ranks:
-        # interval [a, b] inclusive, rows below a, rows inside
-        state[r] = (lo, hi, 0, n)
-    result: dict[int, float] = {}
-    for _ in range(max_rounds):
-        pending = {}
-        for r, (a, b, below, inside) in state.items():
-            if r in result:
-                continue
-            if a == b:
-                result[r] = a
-            elif inside <= collect_limit:
-                pending.setdefault((a, b, below, inside), []).append(r)
-        for (a, b, below, _), rs in pending.items():
-            got = sorted(x[0] for x in values.where((F.col("x") >= a) & (F.col("x") <= b))
-                         .select("x").collect())
-            for r in rs:
-                result[r] = got[r - below]
-        open_ranks = [r for r in state if r not in result]
-        if not open_ranks:
-            return result
-        # one refinement round for all open ranks at once
-        intervals = sorted({state[r][:2] for r in open_ranks})
-        conds = [(F.col("x") >= a) & (F.col("x") <= b) for a, b in intervals]
-        tags = F.array_compact(F.array(*[F.when(cnd, F.lit(i)) for i, cnd in enumerate(conds)]))
-        los = F.array(*[F.lit(float(a)) for a, _ in intervals])
-        widths = F.array(*[F.lit(float(b) - float(a)) for a, b in intervals])
-        tagged = values.select("x", F.explode(tags).alias("iv"))
-        lo = F.element_at(los, F.col("iv") + 1)
-        width = F.element_at(widths, F.col("iv") + 1)
-        bucket = F.least(F.floor((F.col("x") - lo) / width * buckets), F.lit(buckets - 1))
-        hist = (tagged.groupBy("iv", bucket.alias("bk"))
-                .agg(F.count(F.lit(1)).alias("cnt"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                .collect())
-        per_iv: dict[int, list] = {}
-        for row in hist:
-            per_iv.setdefault(row["iv"], []).append(row)
-        for r in open_ranks:
-            a, b, below, _ = state[r]
-            rows = sorted(per_iv[intervals.index((a, b))], key=lambda z: z["bk"])
-            acc = below
-            for row in rows:
-                if r < acc + row["cnt"]:
-                    state[r] = (row["mn"], row["mx"], acc, row["cnt"])
-                    break
-                acc += row["cnt"]
-    raise RuntimeError("quantile refinement did not converge")
-
+    return (F.when(frac == 0, lo).when(frac >= 0.5, hi - diff * (F.lit(1.0) - frac))
+            .otherwise(lo + diff * frac))
 
-def exact_quantiles(df: DataFrame, column: str, qs: list[float],
-                    persist: bool = True, **kw) -> list[float | None]:
-    """Quantiles of ``column`` (NULLs ignored), numpy 'linear' method."""
-    values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    if persist:
-        values = values.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        row = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
-        n = row[0]
-        if n == 0:
-            return [None for _ in qs]
-        pos = [(n - 1) * q for q in qs]
-        ranks = sorted({int(math.floor(p)) for p in pos} | {int(math.ceil(p)) for p in pos})
-        got = order_statistics(values, ranks, stats=(row[0], row[1], row[2]), **kw)
-        out = []
-        for p in pos:
-            lo_r, hi_r = int(math.floor(p)), int(math.ceil(p))
-            out.append(_lerp(got[lo_r], got[hi_r], p - lo_r))
-        return out
-    finally:
-        if persist:
-            values.unpersist()
 
+def quantiles(df: DataFrame, column: str, qs: list[float], names: list[str], keys=()) -> DataFrame:
+    """One row per value of ``keys`` (one row without keys) with the quantiles ``qs`` of
+    ``column`` as columns ``names``.
 
-def quantile_frame(spark: SparkSession, names: list[str], values: list[float | None]) -> DataFrame:
-    """One-row frame of named quantile results."""
-    schema = T.StructType([T.StructField(n, T.DoubleType(), True) for n in names])
-    return spark.createDataFrame([tuple(values)], schema)
+    NULLs are left out.  Without keys the row is there even for an empty input, with NULL
+    quantiles; with keys, a group has a row if it has a value."""
+    by = list(keys) or ["_all"]
+    source = df if keys else df.withColumn("_all", F.lit(0))
+    ranged = reuse(source.select(*by, F.col(column).cast("double").alias("x")).na.drop()
+                   .groupBy(*by, "x").agg(F.count(F.lit(1)).alias("c"))
+                   .repartitionByRange(*by, "x").withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (ranged.groupBy(*by, "part").agg(F.sum("c").alias("m"))
+             .withColumn("below", F.coalesce(F.sum("m").over(before), F.lit(0)))
+             .withColumn("n", F.sum("m").over(Window.partitionBy(*by))))
+    # 0-based position of each quantile, as (index, lower rank, upper rank, fraction)
+    place = [(F.col("n") - 1) * F.lit(float(q)) for q in qs]
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.floor(p).alias("lo"), F.ceil(p).alias("hi"),
+                                (p - F.floor(p)).alias("frac")) for i, p in enumerate(place)])
+    targets = (parts.select(*by, "part", "below", "m", F.explode(wanted).alias("w"))
+               .where((F.col("w.hi") >= F.col("below")) & (F.col("w.lo") < F.col("below") + F.col("m"))))
+    edges = targets.groupBy(*by, "part", "below").agg(F.collect_list("w").alias("ws"))
+    inside = Window.partitionBy(*by, "part").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("below") + F.coalesce(F.sum("c").over(inside), F.lit(0))
+    held = (ranged.join(edges, [*by, "part"]).withColumn("start", start)
+            .select(*by, "x", "start", (F.col("start") + F.col("c")).alias("stop"), F.explode("ws").alias("w")))
 
+    def at(rank: str) -> Column:
+        return F.max(F.when((F.col(rank) >= F.col("start")) & (F.col(rank) < F.col("stop")), F.col("x")))
+    found = held.groupBy(*by, F.col("w.i").alias("i"), F.col("w.frac").alias("frac")).agg(
+        at("w.lo").alias("lo"), at("w.hi").alias("hi"))
+    value = lerp(F.col("lo"), F.col("hi"), F.col("frac"))
+    picks = [F.max(F.when(F.col("i") == i, value)).alias(name) for i, name in enumerate(names)]
+    return found.groupBy(*keys).agg(*picks) if keys else found.agg(*picks)
 
-def grouped_quantiles(df: DataFrame, group: str, column: str, qs: list[float],
-                      buckets: int = 4096, collect_limit: int = 100_000,
-                      max_rounds: int = 12) -> dict:
-    """Exact quantiles of ``column`` for every value of ``group`` in the same passes.
 
-    The same refinement as ``exact_quantiles``, with (group, rank) targets: each
-    round joins the rows to the small table of open intervals (one row per target,
-    broadcast: its size is groups x ranks, known before the join) and counts
-    buckets per target.  Returns {group value: [quantiles]}."""
-    spark = df.sparkSession
-    values = (df.select(F.col(group).alias("g"), F.col(column).cast("double").alias("x"))
-              .where(F.col("x").isNotNull() & F.col("g").isNotNull())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        stats = {r["g"]: (r["n"], r["lo"], r["hi"]) for r in values.groupBy("g").agg(
-            F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
-        state, result = {}, {}
-        for g, (n, lo, hi) in stats.items():
-            for p in [(n - 1) * q for q in qs]:
-                for r in {int(math.floor(p)), int(math.ceil(p))}:
-                    state[(g, r)] = (lo, hi, 0, n)
-        for _ in range(max_rounds):
-            open_t = [t for t in state if t not in result]
-            for t in open_t:
-                a, b, _, inside = state[t]
-                if a == b:
-                    result[t] = a
-            small = [t for t in open_t if t not in result and state[t][3] <= collect_limit]
-            if small:
-                iv = spark.createDataFrame([(i, t[0], float(state[t][0]), float(state[t][1]))
-                                            for i, t in enumerate(small)], "tid int, g string, a double, b double")
-                got: dict[int, list] = {}
-                rows = (values.join(F.broadcast(iv), "g")
-                        .where((F.col("x") >= F.col("a")) & (F.col("x") <= F.col("b")))
-                        .select("tid", "x").collect())
-                for row in rows:
-                    got.setdefault(row["tid"], []).append(row["x"])
-                for i, t in enumerate(small):
-                    vals = sorted(got.get(i, []))
-                    result[t] = vals[t[1] - state[t][2]]
-            open_t = [t for t in state if t not in result]
-            if not open_t:
-                break
-            iv = spark.createDataFrame([(i, t[0], float(state[t][0]), float(state[t][1]) - float(state[t][0]))
-                                        for i, t in enumerate(open_t)], "tid int, g string, a double, w double")
-            bk = F.least(F.floor((F.col("x") - F.col("a")) / F.col("w") * buckets), F.lit(buckets - 1))
-            hist = (values.join(F.broadcast(iv), "g")
-                    .where((F.col("x") >= F.col("a")) & (F.col("x") <= F.col("a") + F.col("w")))
-                    .groupBy("tid", bk.alias("bk"))
-                    .agg(F.count(F.lit(1)).alias("cnt"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                    .collect())
-            per: dict[int, list] = {}
-            for row in hist:
-                per.setdefault(row["tid"], []).append(row)
-            for i, t in enumerate(open_t):
-                _, _, below, _ = state[t]
-                acc = below
-                for row in sorted(per.get(i, []), key=lambda z: z["bk"]):
-                    if t[1] < acc + row["cnt"]:
-                        state[t] = (row["mn"], row["mx"], acc, row["cnt"])
-                        break
-                    acc += row["cnt"]
-        out = {}
-        for g, (n, _, _) in stats.items():
-            vals = []
-            for p in [(n - 1) * q for q in qs]:
-                lo_r, hi_r = int(math.floor(p)), int(math.ceil(p))
-                vals.append(_lerp(result[(g, lo_r)], result[(g, hi_r)], p - lo_r))
-            out[g] = vals
-        return out
-    finally:
-        values.unpersist()
+def beside(*frames: DataFrame) -> DataFrame:
+    """One-row frames with different columns as one row (a union and an aggregate, no join)."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])

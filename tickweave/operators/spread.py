@@ -7,14 +7,14 @@ pass (see ``quantiles``).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import (LABEL_CUT, PROFITABLE_CUT, TOTAL_COST, TRADING_FEE, c,
                               col_name, direction, net_profit_topk, net_profit_total,
                               parity_class, pct_of, safe_div)
 from ..session import reuse
-from .quantiles import exact_quantiles, quantile_frame
+from .quantiles import beside, quantiles
 
 # Ladder rungs (percent) and reported percentiles.
 LADDER = [0.1, 0.2, 0.3, 0.5, 0.8, 1.0, 1.5, 2.0]
@@ -45,20 +45,18 @@ def spread_stats(sp: DataFrame, column: str = "price_diff_pct", keys=()) -> Data
     return sp.groupBy(*keys).agg(*aggs) if keys else sp.agg(*aggs)
 
 
-def spread_stats_with_median(spark: SparkSession, sp: DataFrame,
-                             column: str = "price_diff_pct") -> DataFrame:
-    """``spread_stats`` plus the exact median (distributed selection).  The frame is
-    kept between the statistics pass and the selection passes."""
+def spread_stats_with_median(sp: DataFrame, column: str = "price_diff_pct") -> DataFrame:
+    """``spread_stats`` plus the exact median.  The frame is kept between the statistics
+    pass and the quantile plan."""
     sp = reuse(sp)
-    med = exact_quantiles(sp, column, [0.5])[0]
-    return spread_stats(sp, column).withColumn("median", F.lit(med).cast("double"))
+    return beside(spread_stats(sp, column), quantiles(sp, column, [0.5], ["median"]))
 
 
-def spread_percentiles(spark: SparkSession, sp: DataFrame,
-                       column: str = "abs_price_diff_pct", pcts=PERCENTILES) -> DataFrame:
-    vals = exact_quantiles(sp, column, [p / 100.0 for p in pcts])
+def spread_percentiles(sp: DataFrame, column: str = "abs_price_diff_pct", pcts=PERCENTILES,
+                       keys=()) -> DataFrame:
+    """Exact percentiles of a spread column, as one row, or one per value of ``keys``."""
     names = [f"p{str(p).replace('.', '_')}" for p in pcts]
-    return quantile_frame(spark, names, vals)
+    return quantiles(sp, column, [p / 100.0 for p in pcts], names, keys)
 
 
 def approx_percentiles(sp: DataFrame, column: str = "abs_price_diff_pct",

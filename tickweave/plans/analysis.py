@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import align as al
 from ..operators import candles as cd
 from ..operators import spread as sp
+from ..operators.quantiles import beside, quantiles
 from ..session import reuse
 from .common import (BUCKET, EX1, EX2, SEQ_FOLLOWS_TIME, hourly_candles, pair_candles, rounded,
                      trades)
@@ -110,33 +111,24 @@ def q_spread_high(spark, sf_dir):
 
 
 def q_spread_stats(spark, sf_dir):
-    return rounded(sp.spread_stats_with_median(spark, spread_close_frame(spark, sf_dir)))
+    return rounded(sp.spread_stats_with_median(spread_close_frame(spark, sf_dir)))
 
 
 def q_spread_stats_high(spark, sf_dir):
     frame = reuse(spread_high_frame(spark, sf_dir))
-    from ..operators.quantiles import exact_quantiles
-    med = exact_quantiles(frame, "profit_per_btc", [0.5])[0]
-    return rounded(sp.high_stats(frame).withColumn("profit_median", F.lit(med).cast("double")))
+    # one row each side: the summary and its median
+    return rounded(beside(sp.high_stats(frame),
+                          quantiles(frame, "profit_per_btc", [0.5], ["profit_median"])))
 
 
 def q_spread_percentiles(spark, sf_dir):
-    return rounded(sp.spread_percentiles(spark, spread_close_frame(spark, sf_dir)))
+    return rounded(sp.spread_percentiles(spread_close_frame(spark, sf_dir)))
 
 
 def q_spread_percentiles_by_base(spark, sf_dir):
-    """Exact percentiles of the absolute close spread for every base in the same
-    passes (grouped refinement)."""
-    from ..operators.quantiles import grouped_quantiles
-    from pyspark.sql import types as T
+    """Exact percentiles of the absolute close spread for every base in one plan."""
     al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high", "close"])
-    frame = reuse(sp.spread(al_pair, EX1, EX2, "close"))
-    got = grouped_quantiles(frame, "base", "abs_price_diff_pct", [p / 100.0 for p in sp.PERCENTILES])
-    names = [f"p{str(p).replace('.', '_')}" for p in sp.PERCENTILES]
-    schema = T.StructType([T.StructField("base", T.StringType())]
-                          + [T.StructField(n, T.DoubleType()) for n in names])
-    # one row per base: a summary bounded by the number of series
-    return rounded(spark.createDataFrame([(g, *v) for g, v in sorted(got.items())], schema))
+    return rounded(sp.spread_percentiles(sp.spread(al_pair, EX1, EX2, "close"), keys=("base",)))
 
 
 def q_threshold_ladder(spark, sf_dir):

@@ -8,7 +8,7 @@ from ..operators import align as al
 from ..operators import features as fe
 from ..operators import rolling as ro
 from ..operators import spread as sp
-from ..operators.quantiles import exact_quantiles
+from ..operators.quantiles import beside, quantiles
 from ..session import reuse
 from .common import EX1, EX2, pair_candles, rounded
 
@@ -62,14 +62,11 @@ def q_feature_stage_stats(spark, sf_dir):
     aligned = reuse(aligned_features_input(spark, sf_dir))
     full = reuse(fe.engineer(aligned, EX1, EX2))
     before = fe.basic_features(aligned, EX1, EX2).select(F.abs("price_diff_pct").alias("abs_pct"))
-    med = exact_quantiles(full, "price_diff_pct", [0.5])[0]
-    p75, p90, p95, p99 = exact_quantiles(before, "abs_pct", [0.75, 0.90, 0.95, 0.99])
-    stats = sp.spread_stats(full, "price_diff_pct")
-    return rounded(stats.select(
-        "n_rows", "mean", "std", "min", "max",
-        F.lit(med).cast("double").alias("median"),
-        F.lit(p75).cast("double").alias("abs_p75"), F.lit(p90).cast("double").alias("abs_p90"),
-        F.lit(p95).cast("double").alias("abs_p95"), F.lit(p99).cast("double").alias("abs_p99")))
+    # one row each: the statistics, the median after and the percentiles before the null drop
+    return rounded(beside(
+        sp.spread_stats(full, "price_diff_pct").select("n_rows", "mean", "std", "min", "max"),
+        quantiles(full, "price_diff_pct", [0.5], ["median"]),
+        quantiles(before, "abs_pct", [0.75, 0.90, 0.95, 0.99], ["abs_p75", "abs_p90", "abs_p95", "abs_p99"])))
 
 
 QUERIES = {
