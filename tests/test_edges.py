@@ -35,13 +35,14 @@ def test_bad_payloads_give_no_rows_and_keep_schema(spark):
               '[' + _row(MS0 + 120000, "x", 2, 1, 1, 1) + ']']
     pages = _pages(spark, [(0, i, b) for i, b in enumerate(bodies)])
     got = pl.decode_candles(pages)
-    assert got.columns[:8] == ["base", "exchange", "time", "open", "high", "low", "close", "volume"]
+    assert got.columns[:9] == ["base", "quote", "exchange", "time", "open", "high", "low", "close", "volume"]
     rows = got.collect()
     assert len(rows) == 1 and rows[0]["open"] == 1.0 and rows[0]["time"] == T0
     reasons = sorted(r["reject_reason"] for r in pl.quarantine(pages).collect())
-    assert reasons == ["bad_number", "short_row"]
-    st = {r["status"] for r in pages.select(pl.page_status(pages).alias("status")).collect()}
-    assert st == {"ok", "bad_payload", "empty"}
+    assert reasons == ["bad_number", *["bad_page"] * 5, "short_row"]
+    raw = {r["raw_row"] for r in pl.quarantine(pages).where("reject_reason = 'bad_page'").collect()}
+    assert raw == {'{"code":-1}', "garbage", good[:20], '["error","x"]', None}
+    assert {r["status"] for r in pl.candle_rows(pages).collect()} == {"ok", "empty", "rejected"}
     ls = pl.load_status(pages).first()
     assert (ls["n_pages"], ls["n_bad_pages"], ls["n_empty_pages"], ls["n_rows"], ls["n_rejected"]) == (9, 5, 1, 1, 2)
 
@@ -247,7 +248,7 @@ def test_trade_bodies(spark):
     # landing then decoding gives the trades back
     trades = spark.createDataFrame([(r["base"], r["exchange"], r["ts"], r["seq"], r["price"], r["volume"]) for r in got],
                                    "base string, exchange string, ts timestamp_ntz, seq long, price double, volume double")
-    back = pl.dedupe_trades(pl.decode_trades(land_trades(trades)))
+    back = pl.decode_trades(land_trades(trades)).drop("quote")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, trades.collect()))
 
 
@@ -276,7 +277,7 @@ def test_quantiles_all_equal_and_single(spark):
 def test_garbage_times_are_rejected_not_fatal(spark):
     good = "[" + _row(MS0, 1, 2, 0.5, 1.5, 10) + "]"
     bad = ('[[99999999999999999999,"1","1","1","1","1",0,"0",1,"0","0","0"],'
-           '[-5,"1","1","1","1","1",0,"0",1,"0","0","0"],'
+           '[-99999999999999999,"1","1","1","1","1",0,"0",1,"0","0","0"],'
            '["soon","1","1","1","1","1",0,"0",1,"0","0","0"]]')
     pages = _pages(spark, [(0, 0, good), (0, 1, bad)])
     assert pl.decode_candles(pages).count() == 1
@@ -295,7 +296,8 @@ def test_venue_symbols(spark):
     venues = ["BINANCE", "COINBASE", "GATEIO", "MEXC", "BITFINEX", "KRAKEN"]
     req = spark.createDataFrame([(v, p) for v in venues for p in ("BTC/USD", "DOGE/EUR", "ETH/USDT")],
                                 "exchange string, pair string")
-    got = {(r["exchange"], r["pair"]): r["symbol"] for r in sy.symbol_map(req).collect()}
+    cat = sy.catalogue_frame(spark, [("BITFINEX", "BTCUSD", "tBTCUSD")])
+    got = {(r["exchange"], r["pair"]): r["symbol"] for r in sy.symbol_map(req, cat).collect()}
     assert got[("BINANCE", "BTC/USD")] == "BTCUSDT" and got[("BINANCE", "DOGE/EUR")] == "DOGEEUR"
     assert got[("COINBASE", "BTC/USD")] == "BTC-USD"
     assert got[("GATEIO", "BTC/USD")] == "BTC_USDT" and got[("GATEIO", "ETH/USDT")] == "ETH_USDT"
@@ -331,3 +333,98 @@ def test_grouped_quantiles_match_numpy(spark):
     for g, vs in data.items():
         want = np.quantile(vs, qs)
         assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for a, b in zip(got[g], want)), g
+
+
+PAGES = "exchange string, base string, quote string, pair string, chunk_no int, page_no int, payload string"
+
+
+def test_nothing_is_lost_at_ingest(spark):
+    """Rows in = decoded + rejected, with the raw text of what was rejected."""
+    good = _row(MS0, 1, 2, 0.5, 1.5, 10)
+    pages = spark.createDataFrame([
+        ("BINANCE", "BTC", "USD", "BTC/USD", 0, 0, f'[{good}, "oops"]'),  # one bad element: the page is kept
+        ("NEWVENUE", "BTC", "USD", "BTC/USD", 0, 0, f"[{good}]"),
+        ("BINANCE", "BTC", "USD", "BTC/USD", 1, 0, f"[{_row(MS0 + 60000, 1, 2, 3, 4, 5)}]")], PAGES)
+    kept = {(r["exchange"], r["reject_reason"]): r["raw_row"] for r in pl.quarantine(pages).collect()}
+    assert kept == {("BINANCE", "bad_page"): f'[{good}, "oops"]', ("NEWVENUE", "unknown_layout"): f"[{good}]"}
+    status = {r["exchange"]: r for r in pl.load_status(pages).collect()}
+    assert (status["NEWVENUE"]["n_pages"], status["NEWVENUE"]["n_bad_pages"]) == (1, 1)
+    assert (status["BINANCE"]["n_pages"], status["BINANCE"]["n_bad_pages"], status["BINANCE"]["n_rows"]) == (2, 1, 1)
+
+
+def test_trades_without_id_and_bad_trades(spark):
+    """A border trade in two chunks is one trade; equal trades inside a page stay apart; a bad
+    time or price is kept aside."""
+    def body(*rows):
+        return '{"error":[],"result":{"XBTUSD":[' + ",".join(rows) + "]}}"
+    border = '["5","1",1704067500.0]'
+    pages = spark.createDataFrame([
+        ("KRAKEN", "BTC", "USD", "XBTUSD", 0, 0, body('["4","1",1704067200.0]', '["4","1",1704067200.0]', border)),
+        ("KRAKEN", "BTC", "USD", "XBTUSD", 1, 0, body(border, '["6","1","x"]', '["n/a","1",1704067501.0]'))], PAGES)
+    got = pl.decode_trades(pages)
+    assert sorted((r["price"], r["volume"]) for r in got.collect()) == [(4.0, 1.0), (4.0, 1.0), (5.0, 1.0)]
+    assert cd.ohlc(got, "1 hour").first()["volume"] == 3.0
+    assert sorted((r["reject_reason"], r["raw_row"]) for r in pl.quarantine_trades(pages).collect()) == [
+        ("bad_number", '["n/a","1","1.704067501E9"]'), ("bad_time", '["6","1","x"]')]
+    status = pl.trade_load_status(pages).first()
+    assert (status["n_pages"], status["n_rows"], status["n_rejected"]) == (2, 4, 2)
+
+
+@pytest.mark.parametrize("venue,body", [
+    ("BINANCE", '[[1704067200000,"1","4","0.5","2","9",1704067259999,"0",1,"0","0","0"]]'),
+    ("BITFINEX", "[[1704067200000,1,2,4,0.5,9]]"),
+    ("COINBASE", "[[1704067200,0.5,4,1,2,9]]"),
+    ("GATEIO", '[["1704067200","9","2","4","0.5","1","0","true"]]'),
+    ("MEXC", '[[1704067200000,"1","4","0.5","2","9",1704067259999,"0"]]')])
+def test_one_literal_body_per_venue(spark, venue, body):
+    pages = spark.createDataFrame([(venue, "BTC", "USD", "BTC/USD", 0, 0, body)], PAGES)
+    r = pl.decode_candles(pages).first()
+    assert (r["time"], r["open"], r["high"], r["low"], r["close"], r["volume"]) == (T0, 1.0, 4.0, 0.5, 2.0, 9.0)
+
+
+def test_ids_that_run_against_time(spark):
+    rows = [("BTC", "K", T0 + dt.timedelta(seconds=s), q, p, 1.0) for s, q, p in
+            [(0, 900, 10.0), (1, 5, 20.0), (1, 4, 15.0), (2, 1, 30.0)]]
+    t = spark.createDataFrame(rows, "base string, exchange string, ts timestamp_ntz, seq long, price double, volume double")
+    got = cd.ohlc(t, "1 minute").first()
+    assert (got["open"], got["close"]) == (10.0, 30.0)
+    second = cd.ohlc(t, "1 second").orderBy("time").collect()[1]
+    assert (second["open"], second["close"]) == (15.0, 20.0)
+
+
+def test_times_before_1970(spark):
+    pages = _pages(spark, [(0, 0, "[" + _row(-60_000, 1, 2, 0.5, 1.5, 10) + "]")])
+    assert pl.decode_candles(pages).first()["time"] == dt.datetime(1969, 12, 31, 23, 59)
+
+
+def test_wide_csv_is_read_by_its_header(spark, tmp_path):
+    from tickweave.sources import files as fl
+    (tmp_path / "w.csv").write_text("time,BINANCE:close,COINBASE:close\n2024-01-01 00:00,1.5,2.5\nbad,,x\n")
+    got = fl.read_wide(spark, str(tmp_path / "w.csv"), ["COINBASE", "BINANCE"], fields=("close",)).collect()
+    assert [tuple(r) for r in got] == [(T0, 2.5, 1.5), (None, None, None)]
+    with pytest.raises(ValueError, match="MEXC:close"):
+        fl.read_wide(spark, str(tmp_path / "w.csv"), ["MEXC"], fields=("close",))
+
+
+def test_pairs_of_one_base_stay_apart(spark):
+    good = "[" + _row(MS0, 1, 2, 0.5, 1.5, 10) + "]"
+    pages = spark.createDataFrame([("BINANCE", "ETH", q, f"ETH/{q}", 0, 0, good) for q in ("USDT", "BTC")], PAGES)
+    assert {r["quote"] for r in cd.dedupe(pl.decode_candles(pages)).collect()} == {"USDT", "BTC"}
+
+
+def test_listed_symbol_comes_from_the_catalogue(spark):
+    from tickweave.sources import symbols as sy
+    cat = sy.catalogue_frame(spark, [("BITFINEX", "DOGE:USD", "tDOGE:USD")])
+    req = spark.createDataFrame([("BITFINEX", "DOGE/USD"), ("BITFINEX", "XYZ/USD"), ("MEXC", "DOGE/USD")],
+                                "exchange string, pair string")
+    got = {(r["exchange"], r["base"]): r["symbol"] for r in sy.symbol_map(req, cat).collect()}
+    assert got == {("BITFINEX", "DOGE"): "tDOGE:USD", ("BITFINEX", "XYZ"): None, ("MEXC", "DOGE"): "DOGEUSDT"}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+    from tickweave.session import checkpoint_dir
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=context))

@@ -1,15 +1,13 @@
-"""Plan shapes that the jobs rely on at scale, checked on executed (adaptive) plans."""
+"""Plan shapes that the jobs rely on at scale, checked on final (adaptive) plans."""
 import pytest
 
-import __spark_entry__ as e
+from tickweave.plans import registry
 from tickweave.session import release
 
 from conftest import SF001
 
-Q = e.queries()
+Q = registry.queries()
 
-# sort-based aggregation is expected only where a struct ordering is the feature
-SORT_AGG_OK = {"ohlc_bulk"}
 # jobs whose series key is a real column (multi-series tape)
 MULTI_SERIES = ["rolling_mean", "adapt_binance", "adapt_kraken_trades", "candle_preview"]
 
@@ -18,8 +16,10 @@ def executed(spark, key):
     release()
     spark.catalog.clearCache()
     df = Q[key](spark, SF001)
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    df.collect()  # runs this frame's own execution, so its adaptive plan becomes the final one
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=false" not in plan
+    return plan
 
 
 @pytest.mark.parametrize("key", sorted(k for k in Q if k not in {
@@ -28,8 +28,7 @@ def executed(spark, key):
 def test_no_cartesian_and_hash_aggregates(spark, key):
     plan = executed(spark, key)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    if key not in SORT_AGG_OK:
-        assert "SortAggregate" not in plan, key
+    assert "SortAggregate" not in plan, key
 
 
 def test_pair_jobs_push_the_venue_filter(spark):
@@ -44,3 +43,19 @@ def test_pair_jobs_push_the_venue_filter(spark):
 @pytest.mark.parametrize("key", MULTI_SERIES)
 def test_no_single_partition_with_real_series_keys(spark, key):
     assert "SinglePartition" not in executed(spark, key)
+
+
+def test_gap_fill_reads_the_trades_once_and_deals_out_the_pieces(spark):
+    plan = executed(spark, "ohlc_gapfill")
+    assert plan.count("FileScan") <= 1
+    assert "REPARTITION_BY_COL" in plan
+
+
+def test_trade_window_pushes_both_bounds(spark):
+    plan = executed(spark, "trade_window")
+    assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(ts" in plan
+
+
+def test_chart_series_is_a_filter(spark):
+    plan = executed(spark, "chart_series")
+    assert plan.count("Exchange hashpartitioning") == 1  # the candles' own

@@ -53,6 +53,7 @@ def pct_of(diff: Column, base: Column) -> Column:
     return safe_div(diff, base) * F.lit(100.0)
 
 
+# The wording of the two directions and the two point colours.
 def direction(diff: Column, ex1: str, ex2: str) -> Column:
     """Positive difference: sell on the first venue; zero or negative: on the second."""
     return (F.when(diff > 0, F.lit(f"SELL {ex1}, BUY {ex2}"))
@@ -74,14 +75,14 @@ def net_profit_total(abs_pct: Column, price2: Column, cost: float = TOTAL_COST)
     return (abs_pct - F.lit(cost)) * price2 / F.lit(100.0)
 
 
-# epoch microseconds accepted as times: 1970-01-01 up to (not incl.) 2262-01-01
-MAX_EPOCH_MICROS = 9_183_110_400_000_000
+# Epoch microseconds accepted as times: years 1 to 9999, what a timestamp prints as.
+MIN_EPOCH_MICROS, MAX_EPOCH_MICROS = -62_135_596_800_000_000, 253_402_300_800_000_000
 
 
-def micros_to_ntz(micros: Column) -> Column:
-    """Epoch microseconds (double) -> naive UTC; NULL outside the accepted range
-    instead of an overflow error (one bad value must not fail a whole load)."""
-    ok = (micros >= F.lit(0.0)) & (micros < F.lit(float(MAX_EPOCH_MICROS)))
+def micros_to_ntz(micros: Column, low: int = MIN_EPOCH_MICROS, high: int = MAX_EPOCH_MICROS) -> Column:
+    """Epoch microseconds (double) -> naive UTC; NULL outside ``[low, high)`` instead of an
+    overflow error (one bad value must not fail a whole load)."""
+    ok = (micros >= F.lit(float(low))) & (micros < F.lit(float(high)))
     return F.when(ok, F.timestamp_micros(F.round(micros).cast("long"))).cast("timestamp_ntz")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import c, col_name
 from ..session import reuse
-from .candles import CANDLE_FIELDS
+from .candles import CANDLE_FIELDS, series_keys
 
 # Venue order of the wide table (also the column order).
 VENUES = ["COINBASE", "BINANCE", "BITFINEX", "MEXC", "GATEIO", "KRAKEN"]
@@ -32,11 +32,13 @@ def present_venues(candles: DataFrame, venues=VENUES) -> list[str]:
 
 
 def widen(candles: DataFrame, venues: list[str] | None = None,
-          fields=CANDLE_FIELDS, keys=("base",)) -> DataFrame:
-    """Long candles -> one row per (base, time), ``VENUE:field`` columns.
+          fields=CANDLE_FIELDS, keys=None) -> DataFrame:
+    """Long candles -> one row per (pair, time), ``VENUE:field`` columns; the pair is base
+    and, where the table has one, quote.
 
     Without an explicit venue list the candles are read twice (venue list, then
     pivot), so they are kept between the two reads."""
+    keys = keys or tuple(k for k in series_keys(candles) if k != "exchange")
     # a NULL time never matches (rows without a time belong to the quarantine)
     candles = candles.where(F.col("time").isNotNull())
     if venues is None:
@@ -63,11 +65,6 @@ def widen_chain(candles: DataFrame, venues: list[str] | None = None,
     return reduce(lambda a, b: a.join(b, [*keys, "time"], "full"), parts)
 
 
-def venue_slice(candles: DataFrame, venue: str, fields, keys=("base",)) -> DataFrame:
-    return (candles.where(F.col("exchange") == venue)
-            .select(*keys, "time", *[F.col(f).alias(col_name(venue, f)) for f in fields]))
-
-
 def align(candles: DataFrame, ex1: str, ex2: str, fields, keys=("base",)) -> DataFrame:
     """Rows where both venues have every chosen field (outer join + drop nulls
     == inner join + drop nulls).
@@ -80,22 +77,6 @@ def align(candles: DataFrame, ex1: str, ex2: str, fields, keys=("base",)) -> Dat
     return wide.select(*keys, "time", *[c(x) for x in cols]).na.drop(subset=cols)
 
 
-def align_join(candles: DataFrame, ex1: str, ex2: str, fields, keys=("base",)) -> DataFrame:
-    """The same as an inner join of the two venue slices (for stored candle tables
-    partitioned by venue, where each slice is a pruned read)."""
-    a = venue_slice(candles, ex1, fields, keys)
-    b = venue_slice(candles, ex2, fields, keys)
-    cols = [col_name(v, f) for f in fields for v in (ex1, ex2)]
-    out = a.join(b, [*keys, "time"], "inner").select(*keys, "time", *[c(x) for x in cols])
-    return out.na.drop(subset=cols)
-
-
-def align_wide(wide: DataFrame, ex1: str, ex2: str, fields, keys=("base",)) -> DataFrame:
-    """The same from an already wide table (e.g. one read back from CSV)."""
-    cols = [col_name(v, f) for f in fields for v in (ex1, ex2)]
-    return wide.select(*keys, "time", *[c(x) for x in cols]).na.drop(subset=cols)
-
-
 def unpivot_wide(wide: DataFrame, venues, field: str = "high", keys=("base",)) -> DataFrame:
     """Wide -> long for one field; each venue keeps only its own non-null rows."""
     present = [v for v in venues if col_name(v, field) in wide.columns]

@@ -8,41 +8,49 @@ shuffle, whatever the skew between series.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import bucket_seconds, floor_time
+from ..session import reuse
 
 SERIES = ("base", "exchange")
 CANDLE_FIELDS = ("open", "high", "low", "close", "volume")
 
 
-def ohlc(trades: DataFrame, bucket: str = "1 minute", keys=SERIES,
-         ts: str = "ts", seq: str = "seq", seq_follows_time: bool = False,
-         tie_break=()) -> DataFrame:
+def series_keys(df: DataFrame) -> tuple[str, ...]:
+    """The columns that name a series: base, quote where the table has one, exchange."""
+    return ("base", "quote", "exchange") if "quote" in df.columns else SERIES
+
+
+def trade_order(ts: Column, seq: Column) -> Column:
+    """(ts, seq) as one number: microseconds times 2 * 10^19 plus the sequence number, exact
+    for every ``long`` sequence.  A decimal is a hash-aggregate ordering key; a struct is not."""
+    step = F.expr("CAST('20000000000000000000' AS DECIMAL(20,0))")
+    micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(16,0)")
+    return micros * step + seq.cast("decimal(19,0)")
+
+
+def ohlc(trades: DataFrame, bucket: str = "1 minute", keys=None,
+         ts: str = "ts", seq: str = "seq", order: Column | None = None) -> DataFrame:
     """Tumbling-bucket OHLC + volume per series.
 
     ``open``/``close`` are the prices of the first/last trade by ``(ts, seq)``;
     ``min_by``/``max_by`` keep that exact under any shuffle order (``first``/``last``
     would not).  Trades with a NULL price count for volume only, as pandas does.
-
-    A struct ordering key makes Spark plan a sort-based aggregate.  When the feed's
-    sequence number already orders trades in time (exchange trade ids do),
-    ``seq_follows_time=True`` orders by ``seq`` alone: one ``long`` key, so the
-    aggregate is hash-based with map-side partial aggregation.  ``tie_break`` adds
-    columns after ``(ts, seq)`` for feeds whose sequence is not unique.
+    ``order`` replaces the ordering key for feeds that need another one.
     """
-    key = (F.col(seq) if seq_follows_time and not tie_break
-           else F.struct(F.col(ts), F.col(seq), *[F.col(x) for x in tie_break]))
-    order = F.when(F.col("price").isNotNull(), key)
+    keys = keys or series_keys(trades)
+    key = trade_order(F.col(ts), F.col(seq)) if order is None else order
+    first = F.when(F.col("price").isNotNull(), key)
     secs = bucket_seconds(bucket)
     return (trades
             .where(F.col(ts).isNotNull())
             .groupBy(*keys, floor_time(F.col(ts), secs).alias("time"))
-            .agg(F.min_by("price", order).alias("open"),
+            .agg(F.min_by("price", first).alias("open"),
                  F.max("price").alias("high"),
                  F.min("price").alias("low"),
-                 F.max_by("price", order).alias("close"),
+                 F.max_by("price", first).alias("close"),
                  F.coalesce(F.sum("volume"), F.lit(0.0)).alias("volume")))
 
 
@@ -54,7 +62,7 @@ def trade_range(trades: DataFrame, start, end, ts: str = "ts") -> DataFrame:
 
 
 def chunked_candles(trades: DataFrame, start, bucket: str = "1 minute",
-                    chunk_minutes: int = 300, keys=SERIES, **kw) -> DataFrame:
+                    chunk_minutes: int = 300, keys=None, **kw) -> DataFrame:
     """Candles as a chunked collector builds them from a trade feed.
 
     The range from ``start`` is requested in ``chunk_minutes`` chunks whose ends are
@@ -62,21 +70,26 @@ def chunked_candles(trades: DataFrame, start, bucket: str = "1 minute",
     candles are built per chunk (a border bucket can hold only that border trade)
     and the earlier chunk's candle wins.  Each trade is tagged with its chunk(s)
     by arithmetic, not by a range join."""
-    from ..sources.landing import with_chunks
+    from ..sources.chunks import with_chunks
+    keys = keys or series_keys(trades)
     tagged = with_chunks(trades, "ts", F.lit(start).cast("timestamp_ntz"), chunk_minutes)
     per_chunk = ohlc(tagged, bucket, keys=(*keys, "chunk_no"), **kw)
     return dedupe(per_chunk.withColumn("page_no", F.lit(0)).withColumn("pos", F.lit(0)),
                   keys=(*keys, "time"))
 
 
-def fill_gaps(candles: DataFrame, bucket: str = "1 minute", keys=SERIES,
+def fill_gaps(candles: DataFrame, bucket: str = "1 minute", keys=None,
               chunk_buckets: int = 1440) -> DataFrame:
     """Add empty buckets between each series' first and last candle.
 
     Filled rows have NULL prices and volume 0.  The bucket grid of a series is
     generated in pieces of ``chunk_buckets`` (one day of minutes by default), so
-    no single array grows with the length of the series.
+    no single array grows with the length of the series; the pieces are dealt out
+    before they are expanded, so a long series is many tasks' work.  The candles are
+    read twice (extent, join) and kept in between.
     """
+    keys = keys or series_keys(candles)
+    candles = reuse(candles)
     secs = bucket_seconds(bucket)
     step = F.lit(secs * 1_000_000)
     ext = (candles.groupBy(*keys)
@@ -86,7 +99,7 @@ def fill_gaps(candles: DataFrame, bucket: str = "1 minute", keys=SERIES,
     pieces = ext.select(*keys, "_t0", n.alias("_n"),
                         F.explode(F.sequence(F.lit(0).cast("long"),
                                              F.floor(n / chunk_buckets).cast("long")))
-                        .alias("_piece"))
+                        .alias("_piece")).repartition(*keys, "_piece")
     lo = F.col("_piece") * chunk_buckets
     hi = F.least(F.col("_n"), lo + (chunk_buckets - 1))
     grid = (pieces.select(*keys, "_t0", F.explode(F.sequence(lo, hi)).alias("_i"))
@@ -98,40 +111,43 @@ def fill_gaps(candles: DataFrame, bucket: str = "1 minute", keys=SERIES,
 
 
 def load_order(chunk: str = "chunk_no", page: str = "page_no", pos: str = "pos"):
-    """(chunk, page, position) packed into one ``long`` in load order
-    (chunk < 2^23, page < 2^20, position < 2^20)."""
-    return (F.col(chunk).cast("long") * F.lit(1 << 40) + F.col(page).cast("long") * F.lit(1 << 20)
-            + F.col(pos).cast("long"))
+    """(chunk, page, position) in load order as one number (page below 10^18, position
+    below 10^10; a ``long`` page number or an array position cannot exceed them)."""
+    wide = [F.col(c).cast("decimal(19,0)") for c in (chunk, page, pos)]
+    return (wide[0] * F.expr("CAST('10000000000000000000' AS DECIMAL(20,0))")
+            + wide[1] * F.expr("CAST('10000000000' AS DECIMAL(11,0))") + wide[2]).cast("decimal(38,0)")
 
 
-def dedupe(rows: DataFrame, keys=(*SERIES, "time"), order=("chunk_no", "page_no", "pos")) -> DataFrame:
+def dedupe(rows: DataFrame, keys=None, order=("chunk_no", "page_no", "pos")) -> DataFrame:
     """One row per key, the first in load order (earlier chunk wins).
 
     An aggregate instead of a ranking window: partial aggregation on the map side
-    and no sort of whole partitions.  The load order is one ``long`` and every
+    and no sort of whole partitions.  The load order is one number and every
     value column its own ``min_by``, so the aggregate is hash-based.
     """
+    keys = keys or (*series_keys(rows), "time")
     values = [c for c in rows.columns if c not in keys and c not in order]
     ordered = rows.select(*keys, *values, load_order(*order).alias("_ord"))
     return ordered.groupBy(*keys).agg(*[F.min_by(v, "_ord").alias(v) for v in values])
 
 
-def series_extent(candles: DataFrame, keys=SERIES) -> DataFrame:
-    return (candles.groupBy(*keys)
+def series_extent(candles: DataFrame, keys=None) -> DataFrame:
+    return (candles.groupBy(*(keys or series_keys(candles)))
             .agg(F.count(F.lit(1)).alias("n_rows"),
                  F.min("time").alias("first_time"),
                  F.max("time").alias("last_time")))
 
 
-def candle_stats(candles: DataFrame, keys=SERIES) -> DataFrame:
-    return (candles.groupBy(*keys)
+def candle_stats(candles: DataFrame, keys=None) -> DataFrame:
+    return (candles.groupBy(*(keys or series_keys(candles)))
             .agg(F.min("open").alias("min_open"), F.max("open").alias("max_open"),
                  F.min("close").alias("min_close"), F.max("close").alias("max_close"),
                  F.sum("volume").alias("total_volume")))
 
 
-def coverage(candles: DataFrame, bucket: str = "1 minute", keys=SERIES) -> DataFrame:
+def coverage(candles: DataFrame, bucket: str = "1 minute", keys=None) -> DataFrame:
     """Candles present vs. buckets expected between the first and the last one."""
+    keys = keys or series_keys(candles)
     secs = bucket_seconds(bucket)
     ext = series_extent(candles, keys)
     span = (F.unix_seconds(F.col("last_time").cast("timestamp"))
@@ -143,14 +159,14 @@ def coverage(candles: DataFrame, bucket: str = "1 minute", keys=SERIES) -> DataF
                       (expected - F.col("n_rows")).alias("missing"))
 
 
-def preview(candles: DataFrame, n: int = 5, keys=SERIES) -> DataFrame:
+def preview(candles: DataFrame, n: int = 5, keys=None) -> DataFrame:
     """First and last ``n`` candles of every series (head/tail preview).
 
     Two-level top-n so that no task sorts a whole series: first the n
     earliest/latest rows of every (series, day), then of those survivors per
     series (n rows per day of the series at most).
     """
-    from pyspark.sql import Window
+    keys = keys or series_keys(candles)
     day = F.date_trunc("day", F.col("time"))
     outs = []
     for part, order in (("head", F.col("time").asc()), ("tail", F.col("time").desc())):

@@ -68,15 +68,13 @@ def engineer(aligned: DataFrame, ex1: str, ex2: str, windows=WINDOWS, keys=("bas
              + ["price_diff", "price_diff_pct", f"{ex1}_spread", f"{ex2}_spread", "spread_diff",
                 "volume_ratio"] + [s.name for s in specs] + ["hour", "minute", "day_of_week", LABEL])
     out = out.select(*[c(x) for x in order])
-    return out.na.drop() if drop_incomplete else out
+    if not drop_incomplete:
+        return out
+    # one predicate over an array: as 48 separate null checks it makes the optimizer's
+    # constraint inference grow with their combinations
+    return out.where(~F.array_contains(F.array(*[c(x).isNull() for x in order]), True))
 
 
 def feature_columns(df: DataFrame, keys=("base",)) -> list[str]:
     """Every column but time, label, the spread itself and the series keys."""
     return [x for x in df.columns if x not in NOT_FEATURES and x not in keys]
-
-
-def rolling_features(basic: DataFrame, ex1: str, ex2: str, windows=WINDOWS, keys=("base",),
-                     block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Adds the rolling columns (means, volatilities, momenta for every window)."""
-    return rolling(basic, list(keys), rolling_specs(ex1, ex2, windows), block=block)

@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,8 +44,14 @@ def guard(df: DataFrame, label: str, min_positives: int = MIN_POSITIVES) -> Data
                       ((F.col("n_positive") >= min_positives) & (F.col("n_negative") >= 2)).alias("trainable"))
 
 
-def _hash(keys, seed: int):
-    return F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+_HASH_BITS = 60
+
+
+def row_hash(keys, seed: int) -> Column:
+    """60 bits of the md5 of seed and keys as text: an order of rows that other engines
+    can compute too."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, _HASH_BITS // 4), 16, 10).cast("long")
 
 
 def test_allocation(counts: dict, test_size: float = TEST_SIZE) -> dict:
@@ -80,8 +86,8 @@ def stratified_split(df: DataFrame, label: str, keys, test_size: float = TEST_SI
         need = (F.when(F.col(label) == cls, F.lit(k)) if need is None
                 else need.when(F.col(label) == cls, F.lit(k)))
     need = (need if need is not None else F.lit(0)).cast("long")
-    h = _hash(keys, seed)
-    tagged = df.select("*", h.alias("_h"), F.shiftright(h, 64 - _BUCKET_BITS).alias("_b"))
+    h = row_hash(keys, seed)
+    tagged = df.select("*", h.alias("_h"), F.shiftright(h, _HASH_BITS - _BUCKET_BITS).alias("_b"))
     counts = tagged.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     run = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     cum = counts.select(label, "_b", "_cnt", F.sum("_cnt").over(run).alias("_cum"))
@@ -105,8 +111,8 @@ def class_rank(df: DataFrame, label: str, keys, seed: int) -> DataFrame:
     order) and ``_n`` (class size) without ranking a whole class in one task:
     rows are ranked inside their 2^16 hash buckets, shifted by the running count of
     the class's earlier buckets (a table of at most 2^16 rows per class)."""
-    h = _hash(keys, seed)
-    tagged = df.select("*", h.alias("_h"), F.shiftright(h, 64 - _BUCKET_BITS).alias("_b"))
+    h = row_hash(keys, seed)
+    tagged = df.select("*", h.alias("_h"), F.shiftright(h, _HASH_BITS - _BUCKET_BITS).alias("_b"))
     counts = tagged.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(label, "_b", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
@@ -268,12 +274,3 @@ def cross_validate(train: DataFrame, features: list[str], label: str, keys,
     schema = "fold int, accuracy double, n_rows long, mean_accuracy double, two_std double"
     return spark.createDataFrame([(k, a, n, mean, None if std is None else 2 * std) for k, a, n in accs],
                                  schema)
-
-
-fit_forest = fit
-
-
-def evaluate(pred: DataFrame, label: str) -> dict[str, DataFrame]:
-    """Confusion table, per-class report and accuracy of a prediction frame."""
-    conf = confusion(pred, label)
-    return {"confusion": conf, "report": report(conf), "accuracy": accuracy(pred, label)}

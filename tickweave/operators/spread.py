@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import (LABEL_CUT, PROFITABLE_CUT, TOTAL_COST, TRADING_FEE, c,
+from ..functions.expr import (PROFITABLE_CUT, TOTAL_COST, TRADING_FEE, c,
                               col_name, direction, net_profit_topk, net_profit_total,
                               parity_class, pct_of, safe_div)
 from ..session import reuse
@@ -59,14 +59,6 @@ def spread_percentiles(sp: DataFrame, column: str = "abs_price_diff_pct", pcts=P
     return quantiles(sp, column, [p / 100.0 for p in pcts], names, keys)
 
 
-def approx_percentiles(sp: DataFrame, column: str = "abs_price_diff_pct",
-                       pcts=PERCENTILES, accuracy: int = 100_000) -> DataFrame:
-    """Bounded-memory sketch alternative (``percentile_approx``) for huge inputs."""
-    arr = F.percentile_approx(column, [p / 100.0 for p in pcts], accuracy)
-    names = [f"p{str(p).replace('.', '_')}" for p in pcts]
-    return sp.agg(arr.alias("_q")).select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-
-
 def threshold_ladder(sp: DataFrame, thresholds=LADDER, cost: float = TOTAL_COST,
                      column: str = "abs_price_diff_pct", keys=()) -> DataFrame:
     """For every rung: rows with ``abs >= rung``, their share (percent), and whether
@@ -247,7 +239,3 @@ def label_rate(df: DataFrame, label: str = "arbitrage_opportunity", classes=(0,
     rows = one.selectExpr("_n", f"stack({len(classes)}, {pairs}) AS (label, n_rows)")
     return rows.where(F.col("n_rows") > 0).select(
         "label", "n_rows", (F.col("n_rows") * 100.0 / F.col("_n")).alias("share_pct"))
-
-
-def label_cut_expr(abs_pct, cut: float = LABEL_CUT):
-    return (abs_pct >= F.lit(cut)).cast("int")

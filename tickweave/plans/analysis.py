@@ -6,6 +6,8 @@ histograms).
 """
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from ..operators import candles as cd
 from ..operators import spread as sp
 from ..operators.quantiles import beside, quantiles
 from ..session import reuse
-from .common import (BUCKET, EX1, EX2, SEQ_FOLLOWS_TIME, hourly_candles, pair_candles, rounded,
+from .common import (BUCKET, EX1, EX2, hourly_candles, pair_candles, rounded,
                      trades)
 
 # Venues drawn in the multi-venue price chart.
@@ -30,13 +32,13 @@ def q_ohlc_gapfill(spark, sf_dir):
 
 
 def q_ohlc_bulk(spark, sf_dir):
-    """``lineitem`` as a bulk trade feed: all trades of a day share one time stamp
-    and the line key repeats, so open/close rest on the (ts, seq, price, volume)
-    ordering (sort-based aggregate)."""
+    """``lineitem`` as a bulk trade feed: all trades of a day share one time stamp and the
+    line key repeats, so open/close rest on the feed's own order (day, line key, line price,
+    quantity)."""
     from ..sources.tape import lineitem_trades
     from ..session import configure
     configure(spark)
-    return rounded(cd.ohlc(lineitem_trades(spark, sf_dir), BUCKET, tie_break=("price", "volume")))
+    return rounded(cd.ohlc(lineitem_trades(spark, sf_dir), BUCKET, order=F.col("place")))
 
 
 def q_series_extent(spark, sf_dir):
@@ -48,7 +50,29 @@ def q_trade_range(spark, sf_dir):
     shared ends from the first hour, candles per request, earlier request wins."""
     t = trades(spark, sf_dir, multi_base=True)
     start = t.agg(F.date_trunc("hour", F.min("ts")).cast("timestamp_ntz")).first()[0]
-    return rounded(cd.chunked_candles(t, start, BUCKET, seq_follows_time=SEQ_FOLLOWS_TIME)
+    return rounded(cd.chunked_candles(t, start, BUCKET)
+                   .select("base", "exchange", "time", "open", "high", "low", "close", "volume"))
+
+
+def q_trade_window(spark, sf_dir):
+    """Trades of the first three days, both bounds kept and pushed to the scan."""
+    t = trades(spark, sf_dir, multi_base=True)
+    start = t.agg(F.min("ts")).first()[0]
+    inside = cd.trade_range(t, start, start + dt.timedelta(days=3))
+    return rounded(inside.groupBy("base", "exchange").agg(
+        F.count(F.lit(1)).alias("n_trades"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        F.sum("volume").alias("volume")))
+
+
+def q_border_trades(spark, sf_dir):
+    """The feed with every time floored to ten minutes, so that trades lie on the shared ends
+    of the 300-minute requests: chunked collection in 30-minute candles."""
+    t = trades(spark, sf_dir, multi_base=True).withColumn(
+        "ts", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))
+                                 - F.pmod(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(600_000_000)))
+        .cast("timestamp_ntz"))
+    start = t.agg(F.date_trunc("hour", F.min("ts")).cast("timestamp_ntz")).first()[0]
+    return rounded(cd.chunked_candles(t, start, "30 minutes")
                    .select("base", "exchange", "time", "open", "high", "low", "close", "volume"))
 
 
@@ -197,8 +221,7 @@ def q_chart_profit_time(spark, sf_dir):
 
 
 def q_chart_series(spark, sf_dir):
-    wide = al.widen(hourly_candles(spark, sf_dir, venues=CHART_VENUES), CHART_VENUES, fields=("high",))
-    return rounded(al.unpivot_wide(wide, CHART_VENUES, "high"))
+    return rounded(al.price_series(hourly_candles(spark, sf_dir, venues=CHART_VENUES), CHART_VENUES, "high"))
 
 
 QUERIES = {
@@ -207,6 +230,8 @@ QUERIES = {
     "ohlc_gapfill": q_ohlc_gapfill,
     "series_extent": q_series_extent,
     "trade_range": q_trade_range,
+    "trade_window": q_trade_window,
+    "border_trades": q_border_trades,
     "candle_stats": q_candle_stats,
     "coverage": q_coverage,
     "candle_preview": q_candle_preview,

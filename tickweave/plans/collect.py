@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from ..operators import align as al
 from ..operators import candles as cd
-from ..session import reuse, scratch_path
+from ..session import configure, reuse, scratch_path
 from ..sources import chunks as ch
 from ..sources import files as fl
 from ..sources import landing as ld
 from ..sources import payloads as pl
 from ..sources import symbols as sy
-from .common import candles_of, hourly_candles, rounded, trades
+from ..sources.tape import events_trades
+from .common import BUCKET, candles_of, hourly_candles, rounded, trades
 
 CANDLE_OUT = ["base", "exchange", "time", "open", "high", "low", "close", "volume"]
 
@@ -55,13 +56,13 @@ def kraken_pages(spark, sf_dir) -> DataFrame:
 
 
 def q_adapt_kraken_trades(spark, sf_dir):
-    got = pl.dedupe_trades(pl.decode_trades(kraken_pages(spark, sf_dir)))
+    got = pl.decode_trades(kraken_pages(spark, sf_dir))
     return rounded(got.select("base", "exchange", "ts", "seq", "price", "volume"))
 
 
 def q_adapt_kraken(spark, sf_dir):
     """Trade pages -> trades -> hourly candles (the trade venue's adapter end to end)."""
-    got = pl.dedupe_trades(pl.decode_trades(kraken_pages(spark, sf_dir)))
+    got = pl.decode_trades(kraken_pages(spark, sf_dir))
     return rounded(candles_of(got).select(*CANDLE_OUT))
 
 
@@ -91,16 +92,7 @@ def damaged_pages(spark, sf_dir) -> DataFrame:
 def q_bad_payloads(spark, sf_dir):
     """Every page in every damage kind: page status and rows decoded / rejected."""
     pages = damaged_pages(spark, sf_dir)
-    status = pages.select("damage", pl.page_status(pages).alias("status"))
-    per_page = status.groupBy("damage").agg(
-        F.count(F.lit(1)).alias("n_pages"),
-        F.count_if(F.col("status") == "bad_payload").alias("n_bad_pages"),
-        F.count_if(F.col("status") == "empty").alias("n_empty_pages"))
-    good = pl.decode_candles(pages, layout_col="layout", carry=("damage",)) \
-        .groupBy("damage").agg(F.count(F.lit(1)).alias("n_rows"))
-    return per_page.join(good, "damage", "left").select(
-        "damage", "n_pages", "n_bad_pages", "n_empty_pages",
-        F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+    return pl.status_counts(pl.candle_rows(pages, layout_col="layout"), "damage").drop("n_rejected")
 
 
 def q_load_status(spark, sf_dir):
@@ -124,7 +116,7 @@ def series_of(spark, sf_dir) -> DataFrame:
 
 def q_symbol_map(spark, sf_dir):
     req = series_of(spark, sf_dir).select("exchange", F.concat("base", F.lit("/"), "quote").alias("pair"))
-    return sy.symbol_map(req)
+    return sy.symbol_map(req, sy.catalogue_frame(spark, CATALOGUE))
 
 
 def q_currency_list(spark, sf_dir):
@@ -166,6 +158,79 @@ def q_csv_roundtrip(spark, sf_dir):
     return rounded(back.select("base", "time", *[F.col(f"`{c}`") for c in wide.columns[2:]]))
 
 
+def q_wide_by_header(spark, sf_dir):
+    """The wide CSV read for two of its venues in the opposite order of the file's columns."""
+    candles = reuse(hourly_candles(spark, sf_dir, multi_base=True))
+    path = scratch_path(spark, f"wide-csv-{uuid.uuid4().hex}")
+    fl.write_wide(al.widen(candles, ["BINANCE", "BITFINEX", "COINBASE"]), path, "csv")
+    return rounded(fl.read_wide(spark, path, ["COINBASE", "BINANCE"], "csv", fields=("high", "close")))
+
+
+# The three pairs of a triangle, by user_id % 3.
+TRIANGLE = [("BTC", "USDT"), ("ETH", "USDT"), ("ETH", "BTC")]
+
+
+def triangle_trades(spark, sf_dir) -> DataFrame:
+    """The tape with three pairs, two of which share their base and two their quote."""
+    configure(spark)
+    pick = (F.pmod(F.col("user_id"), F.lit(3)) + 1).cast("int")
+    tape = events_trades(spark, sf_dir, extra=("user_id",))
+    return tape.select(
+        F.element_at(F.array(*[F.lit(b) for b, _ in TRIANGLE]), pick).alias("base"),
+        F.element_at(F.array(*[F.lit(q) for _, q in TRIANGLE]), pick).alias("quote"),
+        "exchange", "ts", "seq", "price", "volume")
+
+
+def q_collect_pairs(spark, sf_dir):
+    """Candles of three pairs of each venue landed, decoded and de-duplicated: pairs that share
+    a base stay apart."""
+    pages = ld.land_candles(cd.ohlc(triangle_trades(spark, sf_dir), BUCKET), "BINANCE")
+    got = cd.dedupe(pl.decode_candles(pages, layout_col="layout"))
+    return rounded(got.select("base", "quote", "exchange", "time", "open", "high", "low", "close", "volume"))
+
+
+def q_sink_pairs(spark, sf_dir):
+    """The same three pairs as series files: one folder per venue, base and quote."""
+    path = scratch_path(spark, f"pairs-{uuid.uuid4().hex}")
+    fl.write_series(cd.ohlc(triangle_trades(spark, sf_dir), BUCKET), path)
+    return rounded(fl.read_series(spark, path).select("base", "quote", "exchange", "time", "open", "high", "low",
+                                                      "close", "volume"))
+
+
+MINUTE_PAGE_LIMIT = 3
+
+
+def minute_pages(spark, sf_dir, layout: str) -> DataFrame:
+    """Minute candles in pages of three rows, followed by a later load of the same range with
+    other prices (which must lose everywhere)."""
+    candles = cd.ohlc(trades(spark, sf_dir, multi_base=True), "1 minute")
+    first = ld.land_candles(candles, layout, page_limit=MINUTE_PAGE_LIMIT)
+    stale = candles.select(*[(F.col(c) * 2 if c in cd.CANDLE_FIELDS else F.col(c)).alias(c) for c in candles.columns])
+    later = ld.land_candles(stale, layout, page_limit=MINUTE_PAGE_LIMIT)
+    return first.unionByName(later.withColumn("chunk_no", F.col("chunk_no") + 1_000_000))
+
+
+def q_minute_candles(spark, sf_dir):
+    """Several pages per chunk, shared chunk borders and a contradicting later load:
+    the first load's candles come back."""
+    rows = pl.decode_candles(minute_pages(spark, sf_dir, "GATEIO"), layout_col="layout")
+    return rounded(cd.dedupe(rows).select(*CANDLE_OUT))
+
+
+def q_minute_pages(spark, sf_dir):
+    """Pages and rows of the minute load, per venue and base."""
+    return pl.load_status(minute_pages(spark, sf_dir, "COINBASE"), layout_col="layout")
+
+
+def q_trade_load_status(spark, sf_dir):
+    """Trade pages whole, cut off and replaced by an error, by venue and base."""
+    pages = reuse(kraken_pages(spark, sf_dir))
+    cut = pages.withColumn("payload", F.substring("payload", 1, 20))
+    error = pages.withColumn("payload", F.lit('{"error":["EQuery:Unknown asset pair"]}'))
+    no_time = pages.withColumn("payload", F.regexp_replace("payload", r'",[0-9.E]+,"b"', '","x","b"'))
+    return pl.trade_load_status(pages.unionByName(cut).unionByName(error).unionByName(no_time))
+
+
 def q_sink_series(spark, sf_dir):
     """Long candles -> Parquet partitioned by venue and base -> read back."""
     candles = hourly_candles(spark, sf_dir, multi_base=True)
@@ -211,6 +276,12 @@ QUERIES = {
     "pair_lookup": q_pair_lookup,
     "time_coerce": q_time_coerce,
     "csv_roundtrip": q_csv_roundtrip,
+    "wide_by_header": q_wide_by_header,
+    "collect_pairs": q_collect_pairs,
+    "sink_pairs": q_sink_pairs,
+    "minute_candles": q_minute_candles,
+    "minute_pages": q_minute_pages,
+    "trade_load_status": q_trade_load_status,
     "landed_files": q_landed_files,
     "sink_series": q_sink_series,
     "sink_series_csv": q_sink_series_csv,

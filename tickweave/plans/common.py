@@ -43,14 +43,8 @@ def trades(spark: SparkSession, sf_dir: str, multi_base: bool = False,
     return events_trades(spark, sf_dir, multi_base, venues)
 
 
-# The tape's seq (event_id) rises with ts in every driver table (checked on all
-# three scale factors), so ordering trades by seq alone is exact and lets the
-# candle aggregate run hash-based.
-SEQ_FOLLOWS_TIME = True
-
-
 def candles_of(trades_df: DataFrame) -> DataFrame:
-    return ohlc(trades_df, BUCKET, seq_follows_time=SEQ_FOLLOWS_TIME)
+    return ohlc(trades_df, BUCKET)
 
 
 def hourly_candles(spark: SparkSession, sf_dir: str, multi_base: bool = False,

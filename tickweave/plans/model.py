@@ -3,8 +3,8 @@
 The feature table is checkpointed (reliable checkpoint folder of the session)
 before training: the forest makes many passes over it, and a lost executor then
 re-reads the checkpoint instead of recomputing candles, joins and windows.
-The fitted model is kept per input folder for the life of the process, so the
-evaluation tables of one run share one fit.
+A fitted model is kept with the content of the feature table it was fitted on, so the
+evaluation tables of one run share one fit and changed data get their own.
 """
 from __future__ import annotations
 
@@ -22,17 +22,26 @@ KEYS = ["base", "time"]
 _FITTED: dict = {}
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table, checkpointed: its readers do not plan the windows again."""
+    checkpoint_dir(spark)
+    return feature_table(spark, sf_dir).checkpoint(eager=True)
+
+
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mo.stratified_split(feature_table(spark, sf_dir), fe.LABEL, KEYS)
+    return mo.stratified_split(stored_features(spark, sf_dir), fe.LABEL, KEYS)
 
 
 def trained(spark: SparkSession, sf_dir: str):
-    """(model, feature names, train, test) - or None when the guard stops training."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """(model, feature names, train, test) - or None when the guard stops training.
+
+    A fit is shared by the evaluation tables of one session as long as the feature table
+    is the same, rows and values (their count and summed hash)."""
+    table = stored_features(spark, sf_dir)
+    content = table.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*table.columns).cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, *content)
     if key in _FITTED:
         return _FITTED[key]
-    checkpoint_dir(spark)
-    table = feature_table(spark, sf_dir).checkpoint(eager=True)
     counts = mo.class_counts(table, fe.LABEL)
     if counts.get(1, 0) < mo.MIN_POSITIVES or counts.get(0, 0) < 2:
         _FITTED[key] = None
@@ -62,6 +71,55 @@ def q_stratified_split(spark, sf_dir):
                      F.col(fe.LABEL).alias("label")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def q_split_rows(spark, sf_dir):
+    """Which rows are held out."""
+    s = split_table(spark, sf_dir)
+    return s.select(*KEYS, F.when(F.col("is_test"), F.lit("test")).otherwise(F.lit("train")).alias("split"))
+
+
+def q_cv_fold_rows(spark, sf_dir):
+    """Which fold each training row is evaluated in."""
+    train = split_table(spark, sf_dir).where(~F.col("is_test")).drop("is_test").checkpoint(eager=True)
+    return mo.with_fold(train, fe.LABEL, KEYS).select(*KEYS, "fold")
+
+
+def q_scaler_fit(spark, sf_dir):
+    """Mean and sample std that the fitted scaler holds for every feature, as mantissa and
+    power of ten (the features' sizes span ten orders of magnitude)."""
+    got = trained(spark, sf_dir)
+    if got is None:
+        return _empty(spark, "feature string, mean_power int, mean double, std_power int, std double")
+    model, names, _, _ = got
+    scaler = model.stages[1]  # two numbers per feature, already on the driver
+    rows = list(zip(names, scaler.mean.toArray().tolist(), scaler.std.toArray().tolist()))
+    held = spark.createDataFrame(rows, "feature string, mean double, std double")
+    power = {x: F.floor(F.log10(F.when(F.col(x) != 0, F.abs(x)).otherwise(1.0))).cast("int") for x in ("mean", "std")}
+    return rounded(held.select("feature", power["mean"].alias("mean_power"), (F.col("mean") / F.pow(F.lit(10.0), power["mean"])).alias("mean"),
+                               power["std"].alias("std_power"), (F.col("std") / F.pow(F.lit(10.0), power["std"])).alias("std")))
+
+
+def rule_predictions(spark, sf_dir) -> DataFrame:
+    """A fixed rule as predictor: the mean difference of five buckets is above 1."""
+    return feature_table(spark, sf_dir).select(
+        fe.LABEL, (F.abs("price_diff_ma_5") > 1.0).cast("double").alias("prediction"))
+
+
+def q_rule_confusion(spark, sf_dir):
+    return mo.confusion(rule_predictions(spark, sf_dir), fe.LABEL)
+
+
+def q_rule_report(spark, sf_dir):
+    return rounded(mo.report(mo.confusion(rule_predictions(spark, sf_dir), fe.LABEL)))
+
+
+def q_class_support(spark, sf_dir):
+    """Held-out rows per class, as the forest's confusion table has them."""
+    pred = predictions(spark, sf_dir)
+    if pred is None:
+        return _empty(spark, "label int, n_rows long")
+    return mo.confusion(pred, fe.LABEL).groupBy(F.col("actual").alias("label")).agg(F.sum("n_rows").alias("n_rows"))
+
+
 def q_split_rates(spark, sf_dir):
     s = split_table(spark, sf_dir)
     return rounded(s.groupBy(F.when(F.col("is_test"), F.lit("test")).otherwise(F.lit("train")).alias("split"))
@@ -170,7 +228,13 @@ def q_model_roundtrip(spark, sf_dir):
 QUERIES = {
     "train_guard": q_train_guard,
     "stratified_split": q_stratified_split,
+    "split_rows": q_split_rows,
     "split_rates": q_split_rates,
+    "cv_fold_rows": q_cv_fold_rows,
+    "scaler_fit": q_scaler_fit,
+    "rule_confusion": q_rule_confusion,
+    "rule_report": q_rule_report,
+    "class_support": q_class_support,
     "scaled_features": q_scaled_features,
     "rf_predictions": q_rf_predictions,
     "confusion_matrix": q_confusion_matrix,

@@ -173,31 +173,44 @@ def _chart_series() -> str:
 
 
 _BULK = (f"WITH tape AS ({sql_lineitem_trades()}), candles AS (SELECT base, exchange, "
-         "date_trunc('hour', ts) AS time, arg_min(price, {'t': ts, 's': seq, 'p': price, 'v': volume}) AS open, max(price) AS high, "
-         "min(price) AS low, arg_max(price, {'t': ts, 's': seq, 'p': price, 'v': volume}) AS close, coalesce(sum(volume), 0) AS volume "
+         "date_trunc('hour', ts) AS time, arg_min(price, {'t': ts, 's': seq, 'e': e, 'v': volume}) AS open, max(price) AS high, "
+         "min(price) AS low, arg_max(price, {'t': ts, 's': seq, 'e': e, 'v': volume}) AS close, coalesce(sum(volume), 0) AS volume "
          "FROM tape WHERE ts IS NOT NULL GROUP BY base, exchange, date_trunc('hour', ts)) "
          f"SELECT {CANDLE_OUT} FROM candles")
 
 _US = 300 * 60 * 1_000_000
-_CHUNKED = (f"WITH {tape_cte(True)}, st AS (SELECT date_trunc('hour', min(ts)) AS s FROM tape), "
+
+
+def _chunked(tape: str, bucket: str) -> str:
+    """Candles per inclusive 300-minute request; the earlier request's candle wins."""
+    order = "{'t': ts, 's': seq}"
+    return (f"WITH {tape}, st AS (SELECT date_trunc('hour', min(ts)) AS s FROM tape), "
             "tg AS (SELECT t.*, epoch_us(t.ts) - epoch_us(st.s) AS off FROM tape t, st), "
             f"ch AS (SELECT *, off // {_US} AS k FROM tg UNION ALL "
             f"SELECT *, off // {_US} - 1 AS k FROM tg WHERE off % {_US} = 0 AND off // {_US} >= 1), "
-            "pc AS (SELECT base, exchange, k, date_trunc('hour', ts) AS time, arg_min(price, ts) AS open, "
-            "max(price) AS high, min(price) AS low, arg_max(price, ts) AS close, "
-            "coalesce(sum(volume), 0) AS volume FROM ch GROUP BY base, exchange, k, date_trunc('hour', ts)), "
+            f"pc AS (SELECT base, exchange, k, {bucket} AS time, arg_min(price, {order}) AS open, "
+            f"max(price) AS high, min(price) AS low, arg_max(price, {order}) AS close, "
+            f"coalesce(sum(volume), 0) AS volume FROM ch GROUP BY base, exchange, k, {bucket}), "
             "candles AS (SELECT base, exchange, time, arg_min(open, k) AS open, arg_min(high, k) AS high, "
             "arg_min(low, k) AS low, arg_min(close, k) AS close, arg_min(volume, k) AS volume "
             "FROM pc GROUP BY base, exchange, time) "
             f"SELECT {CANDLE_OUT} FROM candles")
 
+
+_BORDER_TAPE = (f"raw AS ({sql_events_trades(True)}), "
+                "tape AS (SELECT * REPLACE (time_bucket(INTERVAL 10 MINUTE, ts) AS ts) FROM raw)")
+
 SQL = {
     "ohlc": f"WITH {candles_cte(True)} SELECT {CANDLE_OUT} FROM candles",
     "ohlc_bulk": _BULK,
     "ohlc_gapfill": _fill_gaps(),
     "series_extent": (f"WITH {candles_cte(True)} SELECT base, exchange, count(*) AS n_rows, "
                       "min(time) AS first_time, max(time) AS last_time FROM candles GROUP BY base, exchange"),
-    "trade_range": _CHUNKED,
+    "trade_range": _chunked(tape_cte(True), "date_trunc('hour', ts)"),
+    "border_trades": _chunked(_BORDER_TAPE, "time_bucket(INTERVAL 30 MINUTE, ts)"),
+    "trade_window": (f"WITH {tape_cte(True)} SELECT base, exchange, count(*) AS n_trades, min(ts) AS first_ts, "
+                     f"max(ts) AS last_ts, {_r('sum(volume)', 'volume')} FROM tape "
+                     "WHERE ts <= (SELECT min(ts) FROM tape) + INTERVAL 3 DAY GROUP BY base, exchange"),
     "candle_stats": (f"WITH {candles_cte(True)} SELECT base, exchange, "
                      f"{_r('min(open)', 'min_open')}, {_r('max(open)', 'max_open')}, "
                      f"{_r('min(close)', 'min_close')}, {_r('max(close)', 'max_close')}, "

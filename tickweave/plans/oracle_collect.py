@@ -6,6 +6,7 @@ candle (or trade) table itself; page and row counts follow from the chunk rule
 """
 from __future__ import annotations
 
+from ..sources.tape import sql_events_trades
 from .oracle_analysis import CANDLE_OUT, R, candles_cte, rnd, tape_cte, wide_select
 
 CHUNK_US = 300 * 60 * 1_000_000
@@ -34,13 +35,6 @@ def _bad_payloads() -> str:
     return _LANDED + f"SELECT * FROM ({rows})"
 
 
-_SYMBOL = ("CASE exchange WHEN 'BINANCE' THEN base || 'USDT' WHEN 'COINBASE' THEN base || '-USD' "
-           "WHEN 'GATEIO' THEN base || '_USDT' WHEN 'MEXC' THEN base || 'USDT' "
-           "WHEN 'BITFINEX' THEN 't' || upper(base) || 'USD' "
-           "WHEN 'KRAKEN' THEN CASE upper(base) WHEN 'BTC' THEN 'XBT' WHEN 'ETH' THEN 'ETH' "
-           "WHEN 'DOGE' THEN 'DOG' WHEN 'USD' THEN 'USD' WHEN 'USDT' THEN 'USD' WHEN 'EUR' THEN 'EUR' "
-           "ELSE upper(base) END || 'USD' END")
-
 _KR = ("CASE upper({x}) WHEN 'BTC' THEN 'XBT' WHEN 'ETH' THEN 'ETH' WHEN 'DOGE' THEN 'DOG' "
        "WHEN 'USD' THEN 'USD' WHEN 'USDT' THEN 'USD' WHEN 'EUR' THEN 'EUR' ELSE upper({x}) END")
 
@@ -59,6 +53,17 @@ _PAIR_LOOKUP = (
     "SELECT req.exchange, req.base, req.quote, hit.symbol, hit.symbol IS NOT NULL AS supported "
     "FROM req LEFT JOIN hit USING (exchange, base, quote)")
 
+# the same catalogue decides what the listed venue is asked for
+_SYMBOLS = (
+    f"WITH {tape_cte(True)}, s AS (SELECT DISTINCT exchange, base FROM tape), "
+    "cat(base, symbol) AS (SELECT split_part(replace(replace(name, ':', ''), 'USD', ''), ':', 1), 't' || name FROM "
+    "(VALUES ('BTCUSD'), ('ETHUSD'), ('DOGE:USD')) v(name)) "
+    "SELECT exchange, base, 'USD' AS quote, base || '/USD' AS pair, "
+    "CASE exchange WHEN 'BINANCE' THEN base || 'USDT' WHEN 'COINBASE' THEN base || '-USD' "
+    "WHEN 'GATEIO' THEN base || '_USDT' WHEN 'MEXC' THEN base || 'USDT' "
+    "WHEN 'BITFINEX' THEN (SELECT symbol FROM cat WHERE cat.base = s.base) "
+    f"WHEN 'KRAKEN' THEN {_KR.format(x='base')} || 'USD' END AS symbol FROM s")
+
 _CHUNKS = (
     f"WITH {tape_cte(True)}, r AS (SELECT base, exchange, date_trunc('hour', min(ts)) AS s, "
     "date_trunc('hour', max(ts)) + INTERVAL 1 HOUR AS e FROM tape GROUP BY base, exchange), "
@@ -85,7 +90,49 @@ _TIMES = (
     "SELECT seq, 'junk' AS kind, exchange AS text FROM tape) "
     "SELECT seq, kind, text, date_trunc('minute', TRY_CAST(text AS TIMESTAMP)) AS time FROM x")
 
+# three pairs by user_id % 3, two of which share their base
+_TRIANGLE = ("WITH tape AS (SELECT CASE user_id % 3 WHEN 0 THEN 'BTC' ELSE 'ETH' END AS base, "
+             "CASE user_id % 3 WHEN 2 THEN 'BTC' ELSE 'USDT' END AS quote, t.* EXCLUDE (base) FROM "
+             f"({sql_events_trades(False)}) t JOIN (SELECT event_id AS seq, user_id FROM events) USING (seq)), "
+             "candles AS (SELECT base, quote, exchange, date_trunc('hour', ts) AS time, arg_min(price, ts) AS open, "
+             "max(price) AS high, min(price) AS low, arg_max(price, ts) AS close, coalesce(sum(volume), 0) AS volume "
+             "FROM tape WHERE ts IS NOT NULL GROUP BY ALL) "
+             f"SELECT quote, {CANDLE_OUT} FROM candles")
+
+# minute candles of the multi-series tape, and the pages of three rows they land in
+_MINUTE = (f"WITH {tape_cte(True)}, candles AS (SELECT base, exchange, date_trunc('minute', ts) AS time, "
+           "arg_min(price, ts) AS open, max(price) AS high, min(price) AS low, arg_max(price, ts) AS close, "
+           "coalesce(sum(volume), 0) AS volume FROM tape WHERE ts IS NOT NULL GROUP BY ALL) ")
+_MINUTE_PAGES = (_MINUTE + ", st AS (SELECT date_trunc('hour', min(time)) AS s FROM candles), "
+                 "tg AS (SELECT c.exchange, c.base, epoch_us(c.time) - epoch_us(st.s) AS off FROM candles c, st), "
+                 f"ch AS (SELECT exchange, base, off // {CHUNK_US} AS k FROM tg UNION ALL "
+                 f"SELECT exchange, base, off // {CHUNK_US} - 1 AS k FROM tg "
+                 f"WHERE off % {CHUNK_US} = 0 AND off // {CHUNK_US} >= 1), "
+                 "per AS (SELECT exchange, base, k, count(*) AS n FROM ch GROUP BY ALL) "
+                 "SELECT exchange, base, (2 * sum(ceil(n / 3.0)))::BIGINT AS n_pages, 0::BIGINT AS n_bad_pages, "
+                 "0::BIGINT AS n_empty_pages, (2 * sum(n))::BIGINT AS n_rows, 0::BIGINT AS n_rejected "
+                 "FROM per GROUP BY exchange, base")
+
+# trade pages: chunk of the trade (two on a border) and trade id div 1000
+_TRADE_PAGES = (f"WITH {tape_cte(True)}, st AS (SELECT date_trunc('hour', min(ts)) AS s FROM tape), "
+                "tg AS (SELECT t.exchange, t.base, seq, epoch_us(ts) - epoch_us(st.s) AS off FROM tape t, st), "
+                f"ch AS (SELECT exchange, base, seq, off // {CHUNK_US} AS k FROM tg UNION ALL "
+                f"SELECT exchange, base, seq, off // {CHUNK_US} - 1 AS k FROM tg "
+                f"WHERE off % {CHUNK_US} = 0 AND off // {CHUNK_US} >= 1), "
+                "p AS (SELECT exchange, base, count(DISTINCT (k, seq // 1000)) AS p, count(*) AS n FROM ch GROUP BY ALL) "
+                "SELECT exchange, base, (4 * p)::BIGINT AS n_pages, (2 * p)::BIGINT AS n_bad_pages, "
+                "0::BIGINT AS n_empty_pages, n::BIGINT AS n_rows, n::BIGINT AS n_rejected FROM p")
+
 SQL = {
+    "collect_pairs": _TRIANGLE,
+    "sink_pairs": _TRIANGLE,
+    "minute_candles": _MINUTE + f"SELECT {CANDLE_OUT} FROM candles",
+    "minute_pages": _MINUTE_PAGES,
+    "trade_load_status": _TRADE_PAGES,
+    "wide_by_header": (f"WITH {candles_cte(True)} SELECT base, time, " + ", ".join(
+        rnd(f"max(CASE WHEN exchange = '{v}' THEN {f} END)") + f' AS "{v}:{f}"'
+        for v in ("COINBASE", "BINANCE") for f in ("high", "close"))
+        + " FROM candles GROUP BY base, time"),
     "adapt_binance": CANDLES,
     "adapt_bitfinex": CANDLES,
     "adapt_coinbase": CANDLES,
@@ -101,10 +148,10 @@ SQL = {
     "load_status": (_LANDED + "SELECT exchange, base, (9 * p)::BIGINT AS n_pages, (5 * p)::BIGINT AS n_bad_pages, "
                     "p::BIGINT AS n_empty_pages, l::BIGINT AS n_rows, (2 * l)::BIGINT AS n_rejected FROM ser"),
     "quarantine": (_LANDED + "SELECT exchange, base, 'short_row' AS reject_reason, l::BIGINT AS n_rows FROM ser "
-                   "UNION ALL SELECT exchange, base, 'bad_number' AS reject_reason, l::BIGINT AS n_rows FROM ser"),
+                   "UNION ALL SELECT exchange, base, 'bad_number' AS reject_reason, l::BIGINT AS n_rows FROM ser "
+                   "UNION ALL SELECT exchange, base, 'bad_page' AS reject_reason, (5 * p)::BIGINT AS n_rows FROM ser"),
     "chunk_plan": _CHUNKS,
-    "symbol_map": (f"WITH {tape_cte(True)}, s AS (SELECT DISTINCT exchange, base FROM tape) "
-                   f"SELECT exchange, base, 'USD' AS quote, base || '/USD' AS pair, {_SYMBOL} AS symbol FROM s"),
+    "symbol_map": _SYMBOLS,
     "currency_list": _CURRENCY,
     "pair_lookup": _PAIR_LOOKUP,
     "time_coerce": _TIMES,

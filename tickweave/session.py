@@ -7,6 +7,7 @@ broadcast conversion (by measured size) and skew splits are decided at run time.
 """
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark import StorageLevel
@@ -19,10 +20,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # The 48-column feature table (21 window columns, then a null drop) makes
-    # constraint inference grow combinatorially; all joins here are equi-joins on
-    # non-null keys and scans carry explicit filters, so nothing is lost.
-    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -74,26 +71,31 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Reliable checkpoint folder of this session.
-
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``; a
-    folder is only made here when the session names none (local tests).
-    """
+    """Reliable checkpoint folder of this session: the shared folder named by
+    ``spark.checkpoint.dir``.  A folder is only made here when the session names none and
+    runs on this machine alone; on a cluster that raises, since executors would not see it."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tickweave-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for intermediate tables, inside the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    """A path for intermediate tables, inside the shared checkpoint folder; ``release``
+    deletes what was written there."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    _SCRATCH.append((spark, path))
+    return path
 
 
 _KEPT: list[DataFrame] = []
@@ -110,9 +112,15 @@ def reuse(df: DataFrame) -> DataFrame:
 
 
 def release() -> int:
-    """Drop every frame kept by ``reuse`` (call between jobs of a long-lived
-    session once their results are written).  Returns how many were dropped."""
-    n = len(_KEPT)
+    """Drop every frame kept by ``reuse`` and delete the scratch tables (call between jobs
+    of a long-lived session once their results are written).  Returns how many were dropped."""
+    n = len(_KEPT) + len(_SCRATCH)
     while _KEPT:
         _KEPT.pop().unpersist()
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        if spark.sparkContext._jsc is None:
+            continue  # the session has ended
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
     return n

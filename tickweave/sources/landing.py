@@ -12,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.candles import series_keys
 from ..operators.rolling import with_row_index
 from ..session import reuse
+from .chunks import CHUNK_MINUTES, with_chunks
 from .symbols import kraken_symbol
 
-CHUNK_MINUTES = 300
 PAGE_LIMIT = 1000
 
 
@@ -43,47 +44,40 @@ def _row_text(layout: str) -> Column:
     return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
 
 
-def with_chunks(df: DataFrame, time_col: str, start: Column, chunk_minutes: int = CHUNK_MINUTES) -> DataFrame:
-    """Adds ``chunk_no``; a row on a chunk border is emitted for both chunks."""
-    secs = chunk_minutes * 60
-    off = F.unix_micros(F.col(time_col).cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    k = F.floor(off / F.lit(secs * 1_000_000)).cast("long")
-    border = (F.pmod(off, F.lit(secs * 1_000_000)) == 0) & (k >= 1)
-    chunks = F.when(border, F.array(k - 1, k)).otherwise(F.array(k))
-    return df.select("*", F.explode(chunks).alias("chunk_no"))
-
-
 def range_start(df: DataFrame, time_col: str) -> Column:
     """The range start (the earliest row's hour) as a literal: one scalar result."""
     first = df.agg(F.date_trunc("hour", F.min(time_col)).cast("timestamp_ntz")).first()[0]
     return F.lit(first).cast("timestamp_ntz")
 
 
-def _paged(df: DataFrame, keys, order: list[str]) -> DataFrame:
-    """Adds ``page_no`` = position in (keys) by ``order`` div PAGE_LIMIT.  The
+def _paged(df: DataFrame, keys, order: list[str], page_limit: int) -> DataFrame:
+    """Adds ``page_no`` = position in (keys) by ``order`` div the page limit.  The
     position is ranked per minute and shifted by running minute counts (candles
     are unique per bucket, so a chunk holds a bounded number of them)."""
     ranked = with_row_index(df, keys, order, segment="minute", out="_pos")
-    return ranked.withColumn("page_no", F.floor(F.col("_pos") / PAGE_LIMIT).cast("int")).drop("_pos")
+    return ranked.withColumn("page_no", F.floor(F.col("_pos") / page_limit).cast("int")).drop("_pos")
 
 
-def land_candles(candles: DataFrame, layout: str, chunk_minutes: int = CHUNK_MINUTES) -> DataFrame:
+def land_candles(candles: DataFrame, layout: str, chunk_minutes: int = CHUNK_MINUTES,
+                 page_limit: int = PAGE_LIMIT) -> DataFrame:
     """Candles (any venue) serialised as ``layout`` pages.
 
     The page keeps the candle's own venue in ``exchange`` and the layout in
-    ``layout``.  The candles are read three times (range start, per-minute counts,
-    rows) and kept in between; they are far smaller than the trades behind them.
-    (Trades are not kept: their extra reads are column-pruned scans.)"""
+    ``layout``; candles without a quote column are USD pairs.  The candles are read
+    three times (range start, per-minute counts, rows) and kept in between; they are
+    far smaller than the trades behind them."""
     candles = reuse(candles)
     tagged = with_chunks(candles, "time", range_start(candles, "time"), chunk_minutes)
-    paged = _paged(tagged, ["exchange", "base", "chunk_no"], ["time"])
+    keys = series_keys(candles)
+    paged = _paged(tagged, [*keys, "chunk_no"], ["time"], page_limit)
     desc = layout == "COINBASE"  # this venue answers newest first
-    rows = paged.select("exchange", "base", "chunk_no", "page_no", "time", _row_text(layout).alias("_t"))
-    pages = rows.groupBy("exchange", "base", "chunk_no", "page_no").agg(
+    rows = paged.select(*keys, "chunk_no", "page_no", "time", _row_text(layout).alias("_t"))
+    pages = rows.groupBy(*keys, "chunk_no", "page_no").agg(
         F.sort_array(F.collect_list(F.struct("time", "_t")), asc=not desc).alias("_rows"))
+    quote = F.col("quote") if "quote" in keys else F.lit("USD")
     return pages.select(
-        "exchange", "base", F.lit("USD").alias("quote"),
-        F.concat("base", F.lit("/USD")).alias("pair"), "chunk_no", "page_no",
+        "exchange", "base", quote.alias("quote"),
+        F.concat("base", F.lit("/"), quote).alias("pair"), "chunk_no", "page_no",
         F.concat(F.lit("["), F.array_join(F.transform("_rows", lambda r: r["_t"]), ","), F.lit("]"))
         .alias("payload"),
         F.lit(layout).alias("layout"))

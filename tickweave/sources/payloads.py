@@ -2,18 +2,22 @@
 
 A landed page is one raw response body kept as text, with the request it
 answered: ``exchange, base, quote, pair, chunk_no, page_no, payload``.  Decoding
-is one scan over all pages of all venues: the page is parsed with ``from_json``,
+is one scan over all pages of all venues: the page is parsed once with ``from_json``,
 its rows are exploded, and fields are picked by position from a small layout
 table (one row per venue), so a new venue is a new layout row, not new code.
 
-Bad bodies (error objects, garbage, truncated text, flat arrays, NULL) parse to
-NULL and yield no rows; the page is reported in ``load_status`` and the rows that
-cannot be used (too few fields, no time, non-numeric price) go to ``quarantine``
-instead of the candle table.
+Nothing is lost on the way: every row of ``candle_rows``/``trade_rows`` is either good or
+carries a reject reason and its raw text.  A page that does not parse (error object,
+garbage, truncated text, flat array, NULL) or whose venue has no layout is one such row;
+an empty page is a row with status ``empty`` and nothing to decode.  ``decode_*`` keep the
+good rows, ``quarantine*`` the rejected ones and ``load_status`` counts both.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import epoch_to_ntz, floor_time, micros_to_ntz, nan_to_null
@@ -36,6 +40,7 @@ LAYOUT_SCHEMA = ("_layout string, t_pos int, unit string, o_pos int, h_pos int,
 TRADE_PRICE, TRADE_VOLUME, TRADE_TIME, TRADE_ID = 0, 1, 2, 6
 
 ROWS = "array<array<string>>"
+TRADE_BODY = "struct<error:array<string>,result:map<string,string>>"
 # a landed page as stored: one JSON object per line, folders per venue
 PAGE_SCHEMA = ("base string, quote string, pair string, chunk_no int, page_no int, "
                "payload string, layout string, exchange string")
@@ -50,11 +55,6 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed pages back, with an explicit schema (no inference pass over the
     bodies); a filter on ``exchange`` reads only that venue's folder."""
     return spark.read.schema(PAGE_SCHEMA).json(path)
-TRADE_BODY = "struct<error:array<string>,result:map<string,string>>"
-
-
-def layouts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CANDLE_LAYOUTS, LAYOUT_SCHEMA)
 
 
 def _layout_of(layout: Column) -> Column:
@@ -78,106 +78,130 @@ def _bad_number(arr: Column, pos: Column) -> Column:
     return raw.isNotNull() & raw.try_cast("double").isNull()
 
 
-def explode_pages(pages: DataFrame, layout_col: str = "exchange") -> DataFrame:
-    """One row per element of every page: page keys, ``pos``, ``row`` (array<string>)
-    and the venue layout.  Pages that do not parse give no rows."""
-    lay = _layout_of(F.col(layout_col))
-    parsed = (pages.select("*", lay.alias("_lay"), F.from_json("payload", ROWS).alias("_rows"))
-              .where(F.col("_lay").isNotNull()))
-    return parsed.select(*[c for c in pages.columns if c != "payload"],
-                         *[F.col(f"_lay.{n}").alias(n) for n in
-                           ("t_pos", "unit", "o_pos", "h_pos", "l_pos", "c_pos", "v_pos", "n_fields")],
-                         F.posexplode("_rows").alias("pos", "row"))
+PAGE_REJECTS = ("bad_page", "unknown_layout")
 
 
-def _candle_fields(rows: DataFrame, bucket_secs: int = 60) -> DataFrame:
-    r = F.col("row")
-    t = epoch_to_ntz(F.get(r, F.col("t_pos")), F.col("unit"))
-    bad_num = (_bad_number(r, F.col("o_pos")) | _bad_number(r, F.col("h_pos"))
-               | _bad_number(r, F.col("l_pos")) | _bad_number(r, F.col("c_pos"))
-               | _bad_number(r, F.col("v_pos")))
+def _exploded(pages: DataFrame, rows: Column, unknown: Column, *extra: Column) -> DataFrame:
+    """One row per element of every page (one for an empty or rejected page): the page
+    columns, ``pos``, ``row``, ``page_reject`` and the raw body of rejected pages."""
+    reject = F.when(unknown, F.lit("unknown_layout")).when(F.col("_rows").isNull(), F.lit("bad_page"))
+    parsed = (pages.select("*", F.when(~unknown, rows).alias("_rows"), *extra)
+              .withColumn("page_reject", reject)
+              .withColumn("raw_page", F.when(F.col("page_reject").isNotNull(), F.col("payload"))))
+    keep = [c for c in parsed.columns if c not in ("payload", "_rows")]
+    return parsed.select(*keep, F.posexplode_outer("_rows").alias("pos", "row"))
+
+
+def _status(rows: DataFrame, reason: Column, unusable: Column) -> DataFrame:
+    """Adds ``status`` (ok, empty, rejected), ``reject_reason`` and ``raw_row``."""
+    why = F.coalesce(F.col("page_reject"), F.when(F.col("pos").isNotNull(), reason))
+    return rows.select(
+        "*", F.when(why.isNotNull(), F.lit("rejected")).when(F.col("pos").isNull(), F.lit("empty"))
+        .otherwise(F.lit("ok")).alias("status"), why.alias("reject_reason"),
+        F.when(why.isNotNull(), F.coalesce("raw_page", unusable)).alias("raw_row"))
+
+
+def candle_rows(pages: DataFrame, layout_col: str = "exchange", bucket_secs: int = 60) -> DataFrame:
+    """Every element of every candle page with its fields, status and reject reason."""
+    lay, r = F.col("_lay"), F.col("row")
+    rows = _exploded(pages, F.from_json("payload", ROWS), _layout_of(F.col(layout_col)).isNull(),
+                     _layout_of(F.col(layout_col)).alias("_lay"))
+    t = epoch_to_ntz(F.get(r, lay["t_pos"]), lay["unit"])
+    fields = {"open": "o_pos", "high": "h_pos", "low": "l_pos", "close": "c_pos", "volume": "v_pos"}
+    bad_number = reduce(or_, [_bad_number(r, lay[p]) for p in fields.values()])
     reason = (F.when(r.isNull(), F.lit("null_row"))
-              .when(F.size(r) < F.col("n_fields"), F.lit("short_row"))
+              .when(F.size(r) < lay["n_fields"], F.lit("short_row"))
               .when(t.isNull(), F.lit("bad_time"))
-              .when(bad_num, F.lit("bad_number")))
-    keys = [c for c in rows.columns if c not in ("t_pos", "unit", "o_pos", "h_pos", "l_pos",
-                                                  "c_pos", "v_pos", "n_fields", "row")]
-    return rows.select(*keys, reason.alias("reject_reason"), r.alias("row"),
-                       floor_time(t, bucket_secs).alias("time"),
-                       _num(r, F.col("o_pos")).alias("open"), _num(r, F.col("h_pos")).alias("high"),
-                       _num(r, F.col("l_pos")).alias("low"), _num(r, F.col("c_pos")).alias("close"),
-                       _num(r, F.col("v_pos")).alias("volume"))
+              .when(bad_number, F.lit("bad_number")))
+    out = _status(rows, reason, F.to_json("row"))
+    return out.select(*[c for c in out.columns if c not in ("_lay", "row", "page_reject", "raw_page")],
+                      floor_time(t, bucket_secs).alias("time"),
+                      *[_num(r, lay[p]).alias(name) for name, p in fields.items()])
+
+
+def _carried(pages: DataFrame) -> list[str]:
+    return ["base", *(["quote"] if "quote" in pages.columns else []), "exchange"]
 
 
 def decode_candles(pages: DataFrame, layout_col: str = "exchange", keep_order: bool = True,
                    carry=()) -> DataFrame:
-    """Good candle rows of all pages: base, exchange, time, open..volume, plus the load
-    order ``chunk_no, page_no, pos`` (for keep-first dedupe) when ``keep_order`` and
-    any page columns named in ``carry``."""
-    rows = _candle_fields(explode_pages(pages, layout_col))
-    good = rows.where(F.col("reject_reason").isNull())
+    """Good candle rows of all pages: base, quote (where pages name it), exchange, time,
+    open..volume, plus the load order ``chunk_no, page_no, pos`` (for keep-first dedupe)
+    when ``keep_order`` and any page columns named in ``carry``."""
+    good = candle_rows(pages, layout_col).where(F.col("status") == "ok")
     order = ["chunk_no", "page_no", "pos"] if keep_order else []
-    return good.select(*carry, "base", "exchange", "time", "open", "high", "low", "close", "volume",
-                       *order)
+    return good.select(*carry, *_carried(pages), "time", "open", "high", "low", "close", "volume", *order)
 
 
 def quarantine(pages: DataFrame, layout_col: str = "exchange") -> DataFrame:
-    """Rows that cannot be used, with the reason and the raw row text."""
-    rows = _candle_fields(explode_pages(pages, layout_col))
-    return rows.where(F.col("reject_reason").isNotNull()).select(
-        "exchange", "base", "chunk_no", "page_no", "pos", "reject_reason",
-        F.to_json("row").alias("raw_row"))
+    """What cannot be used, with the reason and the raw text (of the row, or of the page
+    when the page as a whole is rejected; ``pos`` is NULL then)."""
+    return _rejected(candle_rows(pages, layout_col), pages)
+
+
+def _rejected(rows: DataFrame, pages: DataFrame) -> DataFrame:
+    return rows.where(F.col("status") == "rejected").select(
+        *_carried(pages), "chunk_no", "page_no", "pos", "reject_reason", "raw_row")
 
 
-def page_status(pages: DataFrame) -> Column:
-    """'bad_payload' (does not parse as rows), 'empty' or 'ok' for a candle page."""
-    parsed = F.from_json("payload", ROWS)
-    return (F.when(parsed.isNull(), F.lit("bad_payload"))
-            .when(F.size(parsed) == 0, F.lit("empty"))
-            .otherwise(F.lit("ok")))
+def status_counts(rows: DataFrame, *keys: str) -> DataFrame:
+    """Pages by status, rows decoded and rows rejected, from ``candle_rows``/``trade_rows``."""
+    page = F.coalesce(F.col("pos"), F.lit(0)) == 0  # the row that stands for its page
+    return rows.groupBy(*keys).agg(
+        F.count_if(page).alias("n_pages"),
+        F.count_if(F.col("reject_reason").isin(*PAGE_REJECTS)).alias("n_bad_pages"),
+        F.count_if(F.col("status") == "empty").alias("n_empty_pages"),
+        F.count_if(F.col("status") == "ok").alias("n_rows"),
+        F.count_if((F.col("status") == "rejected") & F.col("pos").isNotNull()).alias("n_rejected"))
 
 
 def load_status(pages: DataFrame, layout_col: str = "exchange") -> DataFrame:
-    """Per venue and base: pages by status, rows decoded and rows rejected."""
-    per_page = pages.select("exchange", "base", page_status(pages).alias("status"))
-    pg = per_page.groupBy("exchange", "base").agg(
-        F.count(F.lit(1)).alias("n_pages"),
-        F.count_if(F.col("status") == "bad_payload").alias("n_bad_pages"),
-        F.count_if(F.col("status") == "empty").alias("n_empty_pages"))
-    rows = _candle_fields(explode_pages(pages, layout_col))
-    rw = rows.groupBy("exchange", "base").agg(
-        F.count_if(F.col("reject_reason").isNull()).alias("n_rows"),
-        F.count_if(F.col("reject_reason").isNotNull()).alias("n_rejected"))
-    out = pg.join(rw, ["exchange", "base"], "left")
-    return out.select("exchange", "base", "n_pages", "n_bad_pages", "n_empty_pages",
-                      F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-                      F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"))
+    """Per venue and base: pages by status, rows decoded and rows rejected (one pass)."""
+    return status_counts(candle_rows(pages, layout_col), "exchange", "base")
 
 
-def decode_trades(pages: DataFrame) -> DataFrame:
-    """Trade-endpoint bodies (an object whose ``result.<pair>`` holds the trade
-    rows) -> base, exchange, ts, seq, price, volume.  ``seq`` is the trade id when
-    the row carries one, else the load position."""
+def trade_rows(pages: DataFrame) -> DataFrame:
+    """Every trade of every trade-endpoint body (an object whose ``result.<pair>`` holds the
+    rows) with its fields, status and reject reason.  ``seq`` is the trade id, NULL where the
+    row carries none."""
     body = F.from_json("payload", TRADE_BODY)
-    rows_text = body.getField("result")[F.col("pair")]
-    parsed = pages.select("exchange", "base", "chunk_no", "page_no",
-                          F.posexplode(F.from_json(rows_text, ROWS)).alias("pos", "row"))
+    rows = _exploded(pages, F.from_json(body.getField("result")[F.col("pair")], ROWS), F.lit(False))
     r = F.col("row")
-    t_sec = F.get(r, F.lit(TRADE_TIME)).try_cast("double")
-    ts = micros_to_ntz(t_sec * F.lit(1_000_000.0))
-    fallback = (F.col("chunk_no").cast("long") * F.lit(1 << 40) + F.col("page_no").cast("long") * F.lit(1 << 20)
-                + F.col("pos"))
-    seq = F.coalesce(F.get(r, F.lit(TRADE_ID)).try_cast("long"), fallback)
-    out = parsed.select("base", "exchange", ts.alias("ts"), seq.alias("seq"),
-                        _num(r, TRADE_PRICE).alias("price"), _num(r, TRADE_VOLUME).alias("volume"))
-    return out.where(F.col("ts").isNotNull())
-
-
-def dedupe_trades(trades: DataFrame) -> DataFrame:
-    """Pages of neighbouring chunks share their end point: one row per trade id.
-    (Copies of one id are the same trade; ``min_by`` per column keeps the
-    aggregate hash-based.)"""
-    return trades.groupBy("base", "exchange", "seq").agg(
-        F.min("ts").alias("ts"), F.min_by("price", "ts").alias("price"),
-        F.min_by("volume", "ts").alias("volume")) \
-        .select("base", "exchange", "ts", "seq", "price", "volume")
+    ts = micros_to_ntz(F.get(r, F.lit(TRADE_TIME)).try_cast("double") * F.lit(1_000_000.0))
+    bad_number = _bad_number(r, F.lit(TRADE_PRICE)) | _bad_number(r, F.lit(TRADE_VOLUME))
+    reason = (F.when(r.isNull(), F.lit("null_row")).when(ts.isNull(), F.lit("bad_time"))
+              .when(bad_number, F.lit("bad_number")))
+    out = _status(rows, reason, F.to_json("row"))
+    return out.select(*[c for c in out.columns if c not in ("row", "page_reject", "raw_page")],
+                      ts.alias("ts"), F.get(r, F.lit(TRADE_ID)).try_cast("long").alias("seq"),
+                      _num(r, TRADE_PRICE).alias("price"), _num(r, TRADE_VOLUME).alias("volume"))
+
+
+def decode_trades(pages: DataFrame) -> DataFrame:
+    """Good trades of all pages, each once: base, quote (where pages name it), exchange, ts,
+    seq, price, volume.
+
+    Neighbouring chunks share their end point, so a border trade can arrive twice.  With a
+    trade id, equal ids are one trade.  Without, trades equal in time, price and volume are
+    one trade as often as the page that has most of them says (their occurrence inside the
+    page is part of the key), and ``seq`` is the place of the first copy in load order."""
+    keys = _carried(pages)
+    good = trade_rows(pages).where(F.col("status") == "ok")
+    nth = Window.partitionBy(*keys, "chunk_no", "page_no", "ts", "price", "volume").orderBy("pos")
+    with_id = good.where(F.col("seq").isNotNull()).groupBy(*keys, "seq").agg(
+        F.min("ts").alias("ts"), F.min_by("price", "ts").alias("price"), F.min_by("volume", "ts").alias("volume"))
+    place = (F.col("chunk_no").cast("long") * 1_000_000_000 + F.col("page_no").cast("long") * 100_000 + F.col("pos"))
+    without = (good.where(F.col("seq").isNull()).withColumn("nth", F.row_number().over(nth))
+               .groupBy(*keys, "ts", "price", "volume", "nth").agg(F.min(place).alias("seq")))
+    columns = [*keys, "ts", "seq", "price", "volume"]
+    return with_id.select(*columns).unionByName(without.select(*columns))
+
+
+def quarantine_trades(pages: DataFrame) -> DataFrame:
+    """Trades and trade pages that cannot be used, with the reason and the raw text."""
+    return _rejected(trade_rows(pages), pages)
+
+
+def trade_load_status(pages: DataFrame) -> DataFrame:
+    """``load_status`` of trade pages (rows before border copies are merged)."""
+    return status_counts(trade_rows(pages), "exchange", "base")

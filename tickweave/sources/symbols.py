@@ -26,24 +26,34 @@ def kraken_symbol(base: Column, quote: Column) -> Column:
     return F.concat(_alias(base), _alias(quote))
 
 
+# The venue whose symbol is looked up in its list of pairs, and its prefix.
+LISTED_VENUE, LISTED_PREFIX = "BITFINEX", "t"
+
+
 def venue_symbol(exchange: Column, base: Column, quote: Column) -> Column:
-    """The symbol each venue is asked for."""
+    """The symbol a venue is asked for (NULL for the venue whose pairs are looked up)."""
     usdt = F.when(quote == "USD", F.lit("USDT")).otherwise(quote)
     return (F.when(exchange == "BINANCE", F.concat(base, usdt))
             .when(exchange == "COINBASE", F.concat(base, F.lit("-"), quote))
             .when(exchange == "GATEIO", F.concat(base, F.lit("_"), usdt))
             .when(exchange == "MEXC", F.concat(base, quote, F.lit("T")))
-            .when(exchange == "BITFINEX", F.concat(F.lit("t"), F.upper(base), F.upper(quote)))
             .when(exchange == "KRAKEN", kraken_symbol(base, quote)))
 
 
-def symbol_map(requests: DataFrame) -> DataFrame:
+def symbol_map(requests: DataFrame, catalogue: DataFrame) -> DataFrame:
     """``requests`` has exchange and pair ('BTC/USD') -> base, quote and the symbol
-    the venue is asked for."""
+    the venue is asked for.  One venue's symbol is its listed pair (``catalogue``, see
+    ``lookup_pairs``) with a prefix, NULL where the pair is not listed."""
     base, quote = split_pair(F.col("pair"))
     parts = requests.select("exchange", "pair", base.alias("base"), quote.alias("quote"))
-    return parts.select("exchange", "base", "quote", "pair",
-                        venue_symbol(F.col("exchange"), F.col("base"), F.col("quote")).alias("symbol"))
+    listed = F.col("exchange") == LISTED_VENUE
+    built = parts.where(~listed).withColumn(
+        "symbol", venue_symbol(F.col("exchange"), F.col("base"), F.col("quote")))
+    asked = parts.where(listed)
+    found = lookup_pairs(asked.select("exchange", "base", "quote").distinct(), catalogue)
+    looked_up = asked.join(found.select("exchange", "base", "quote", "symbol"), ["exchange", "base", "quote"], "left")
+    return (built.unionByName(looked_up.select(built.columns))
+            .select("exchange", "base", "quote", "pair", "symbol"))
 
 
 def clean_list(text: Column) -> Column:

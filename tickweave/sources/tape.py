@@ -34,8 +34,8 @@ def _venue(event_type: Column) -> Column:
 
 
 def events_trades(spark: SparkSession, sf_dir: str, multi_base: bool = False,
-                  venues: list[str] | None = None) -> DataFrame:
-    """``events`` as trades: base, exchange, ts, seq, price, volume.
+                  venues: list[str] | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``events`` as trades: base, exchange, ts, seq, price, volume (and raw columns ``extra``).
 
     ``venues`` keeps only those venues, as a filter on the raw ``event_type`` column
     so that it reaches the parquet scan (a filter on the mapped venue would not)."""
@@ -55,11 +55,13 @@ def events_trades(spark: SparkSession, sf_dir: str, multi_base: bool = False,
         F.col("event_id").alias("seq"),
         (F.lit(100.0) + F.col("value") / F.lit(100.0)).alias("price"),
         F.get_json_object("props", "$.k").cast("double").alias("volume"),
+        *extra,
     )
 
 
 def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` as a bulk trade feed (scale tests): price per unit on the ship date."""
+    """``lineitem`` as a bulk trade feed (scale tests): price per unit on the ship date.
+    ``place`` is the feed's order (day, line key, line price in cents, quantity) as one number."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     venues = F.array(*[F.lit(v) for _, v in EVENT_VENUE])
     return li.select(
@@ -70,6 +72,10 @@ def lineitem_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
         F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("volume"),
+        F.expr("""CAST(unix_date(CAST(l_shipdate AS DATE)) AS DECIMAL(6,0)) * CAST('10000000000000000000000000000000' AS DECIMAL(32,0))
+                  + CAST(l_orderkey * 8 + l_linenumber AS DECIMAL(18,0)) * CAST('10000000000000' AS DECIMAL(14,0))
+                  + CAST(round(l_extendedprice * 100) AS DECIMAL(10,0)) * 1000
+                  + CAST(l_quantity AS DECIMAL(3,0))""").alias("place"),
     )
 
 
@@ -91,4 +97,4 @@ def sql_lineitem_trades() -> str:
     venues = ", ".join(f"'{v}'" for _, v in EVENT_VENUE)
     return (f"SELECT 'BTC' AS base, [{venues}][l_suppkey % {len(EVENT_VENUE)} + 1] AS exchange, "
             "CAST(l_shipdate AS TIMESTAMP) AS ts, l_orderkey * 8 + l_linenumber AS seq, "
-            "l_extendedprice / nullif(l_quantity, 0) AS price, l_quantity AS volume FROM lineitem")
+            "l_extendedprice / nullif(l_quantity, 0) AS price, l_quantity AS volume, l_extendedprice AS e FROM lineitem")
