@@ -46,8 +46,8 @@ def test_no_single_partition_with_real_series_keys(spark, key):
 
 
 def test_gap_fill_reads_the_trades_once_and_deals_out_the_pieces(spark):
-    plan = executed(spark, "ohlc_gapfill")
-    assert plan.count("FileScan") <= 1
+    plan = executed(spark, "ohlc_gapfill").split("Initial Plan")[0]
+    assert plan.count("FileScan") == plan.count("InMemoryRelation")  # every scan is the kept candles' one
     assert "REPARTITION_BY_COL" in plan
 
 
@@ -57,5 +57,5 @@ def test_trade_window_pushes_both_bounds(spark):
 
 
 def test_chart_series_is_a_filter(spark):
-    plan = executed(spark, "chart_series")
+    plan = executed(spark, "chart_series").split("Initial Plan")[0]
     assert plan.count("Exchange hashpartitioning") == 1  # the candles' own

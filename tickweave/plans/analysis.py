@@ -106,20 +106,20 @@ def q_wide_candles_chain(spark, sf_dir):
 
 # --- two-venue alignment and spread --------------------------------------------------
 
-def aligned_close(spark, sf_dir):
-    return al.align(pair_candles(spark, sf_dir), EX1, EX2, ["high", "close"])
+def aligned_close(spark, sf_dir, ex1=EX1, ex2=EX2, multi_base=False):
+    return al.align(pair_candles(spark, sf_dir, multi_base, (ex1, ex2)), ex1, ex2, ["high", "close"])
 
 
-def aligned_high(spark, sf_dir):
-    return al.align(pair_candles(spark, sf_dir), EX1, EX2, ["high"])
+def aligned_high(spark, sf_dir, ex1=EX1, ex2=EX2, multi_base=False):
+    return al.align(pair_candles(spark, sf_dir, multi_base, (ex1, ex2)), ex1, ex2, ["high"])
 
 
-def spread_close_frame(spark, sf_dir):
-    return sp.spread(aligned_close(spark, sf_dir), EX1, EX2, "close")
+def spread_close_frame(spark, sf_dir, ex1=EX1, ex2=EX2, multi_base=False):
+    return sp.spread(aligned_close(spark, sf_dir, ex1, ex2, multi_base), ex1, ex2, "close")
 
 
-def spread_high_frame(spark, sf_dir):
-    return sp.spread_high(aligned_high(spark, sf_dir), EX1, EX2)
+def spread_high_frame(spark, sf_dir, ex1=EX1, ex2=EX2, multi_base=False):
+    return sp.spread_high(aligned_high(spark, sf_dir, ex1, ex2, multi_base), ex1, ex2)
 
 
 def q_aligned_pair(spark, sf_dir):
@@ -130,8 +130,8 @@ def q_spread_close(spark, sf_dir):
     return rounded(spread_close_frame(spark, sf_dir))
 
 
-def q_spread_high(spark, sf_dir):
-    return rounded(spread_high_frame(spark, sf_dir))
+def q_spread_high(spark, sf_dir, ex1=EX1, ex2=EX2):
+    return rounded(spread_high_frame(spark, sf_dir, ex1, ex2))
 
 
 def q_spread_stats(spark, sf_dir):
@@ -151,23 +151,20 @@ def q_spread_percentiles(spark, sf_dir):
 
 def q_spread_percentiles_by_base(spark, sf_dir):
     """Exact percentiles of the absolute close spread for every base in one plan."""
-    al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high", "close"])
-    return rounded(sp.spread_percentiles(sp.spread(al_pair, EX1, EX2, "close"), keys=("base",)))
+    return rounded(sp.spread_percentiles(spread_close_frame(spark, sf_dir, multi_base=True), keys=("base",)))
 
 
-def q_threshold_ladder(spark, sf_dir):
-    return rounded(sp.threshold_ladder(spread_close_frame(spark, sf_dir)))
+def q_threshold_ladder(spark, sf_dir, ex1=EX1, ex2=EX2):
+    return rounded(sp.threshold_ladder(spread_close_frame(spark, sf_dir, ex1, ex2)))
 
 
 def q_threshold_ladder_by_base(spark, sf_dir):
     """The ladder of every base in one pass (multi-series tape)."""
-    al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high", "close"])
-    return rounded(sp.threshold_ladder(sp.spread(al_pair, EX1, EX2, "close"), keys=("base",)))
+    return rounded(sp.threshold_ladder(spread_close_frame(spark, sf_dir, multi_base=True), keys=("base",)))
 
 
 def q_profit_summary_by_base(spark, sf_dir):
-    al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high", "close"])
-    return rounded(sp.profit_summary(sp.spread(al_pair, EX1, EX2, "close"), EX2, "close", keys=("base",)))
+    return rounded(sp.profit_summary(spread_close_frame(spark, sf_dir, multi_base=True), EX2, "close", keys=("base",)))
 
 
 def q_profit_summary(spark, sf_dir):
@@ -179,17 +176,15 @@ def q_fee_clearing_summary(spark, sf_dir):
 
 
 def q_fee_clearing_summary_by_base(spark, sf_dir):
-    al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high"])
-    return rounded(sp.fee_clearing_summary(sp.spread_high(al_pair, EX1, EX2), keys=("base",)))
+    return rounded(sp.fee_clearing_summary(spread_high_frame(spark, sf_dir, multi_base=True), keys=("base",)))
 
 
-def q_top20_spreads(spark, sf_dir):
-    return rounded(sp.top_spreads(spread_close_frame(spark, sf_dir), EX1, EX2, 20, "close"))
+def q_top20_spreads(spark, sf_dir, ex1=EX1, ex2=EX2):
+    return rounded(sp.top_spreads(spread_close_frame(spark, sf_dir, ex1, ex2), ex1, ex2, 20, "close"))
 
 
 def q_top20_spreads_by_base(spark, sf_dir):
-    al_pair = al.align(pair_candles(spark, sf_dir, multi_base=True), EX1, EX2, ["high", "close"])
-    return rounded(sp.top_spreads_by(sp.spread(al_pair, EX1, EX2, "close"), EX1, EX2, 20))
+    return rounded(sp.top_spreads_by(spread_close_frame(spark, sf_dir, multi_base=True), EX1, EX2, 20))
 
 
 def q_top5_profit(spark, sf_dir):
@@ -224,7 +219,18 @@ def q_chart_series(spark, sf_dir):
     return rounded(al.price_series(hourly_candles(spark, sf_dir, venues=CHART_VENUES), CHART_VENUES, "high"))
 
 
+# A second venue pair, for the jobs registered with another pair.
+OTHER = ("COINBASE", "KRAKEN")
+
+
+def _other(job):
+    return lambda spark, sf_dir: job(spark, sf_dir, *OTHER)
+
+
 QUERIES = {
+    "threshold_ladder_other_pair": _other(q_threshold_ladder),
+    "top20_spreads_other_pair": _other(q_top20_spreads),
+    "spread_high_other_pair": _other(q_spread_high),
     "ohlc": q_ohlc,
     "ohlc_bulk": q_ohlc_bulk,
     "ohlc_gapfill": q_ohlc_gapfill,

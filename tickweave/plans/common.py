@@ -52,6 +52,7 @@ def hourly_candles(spark: SparkSession, sf_dir: str, multi_base: bool = False,
     return candles_of(trades(spark, sf_dir, multi_base, venues))
 
 
-def pair_candles(spark: SparkSession, sf_dir: str, multi_base: bool = False) -> DataFrame:
+def pair_candles(spark: SparkSession, sf_dir: str, multi_base: bool = False,
+                 venues: tuple[str, str] = (EX1, EX2)) -> DataFrame:
     """Candles of the two analysed venues only (the scan reads nothing else)."""
-    return hourly_candles(spark, sf_dir, multi_base, [EX1, EX2])
+    return hourly_candles(spark, sf_dir, multi_base, list(venues))

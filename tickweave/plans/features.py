@@ -21,11 +21,16 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fe.engineer(aligned_features_input(spark, sf_dir), EX1, EX2)
 
 
+# rows per block in the registered rolling jobs: below the length of their series, so that
+# every job copies halo rows between blocks
+JOB_BLOCK = 128
+
+
 def _rolling_kind(spark, sf_dir, kind: str) -> DataFrame:
     aligned = aligned_features_input(spark, sf_dir, multi_base=True)
     basic = fe.basic_features(aligned, EX1, EX2)
     specs = [s for s in fe.rolling_specs(EX1, EX2) if s.kind == kind]
-    out = ro.rolling(basic, ["base"], specs)
+    out = ro.rolling(basic, ["base"], specs, block=JOB_BLOCK)
     return rounded(out.select("base", "time", *[s.name for s in specs]))
 
 

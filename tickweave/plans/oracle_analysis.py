@@ -304,3 +304,8 @@ SQL = {
     "chart_profit_time": HIGH + f"SELECT base, time, {_r('profit_per_btc', 'profit_per_btc')} FROM sph",
     "chart_series": _chart_series(),
 }
+
+# the same reports of another venue pair (the tape's own venue mapping stays as it is)
+_TAPE = sql_events_trades(False)
+SQL.update({f"{key}_other_pair": SQL[key].replace(_TAPE, "@").replace(EX1, "COINBASE").replace(EX2, "KRAKEN").replace("@", _TAPE)
+            for key in ("threshold_ladder", "top20_spreads", "spread_high")})
