@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.candles import SERIES
+from ..operators.candles import SERIES, trade_order
 
 TRADE_SCHEMA = T.StructType([
     T.StructField("base", T.StringType()),
@@ -39,7 +39,7 @@ def stream_candles(trades: DataFrame, bucket: str = "1 minute", late: str = "10
     session zone (UTC) and bucket starts are cast back to naive UTC."""
     if dict(trades.dtypes).get("ts") == "timestamp_ntz":
         trades = trades.withColumn("ts", F.col("ts").cast("timestamp"))
-    order = F.when(F.col("price").isNotNull(), F.struct("ts", "seq"))
+    order = F.when(F.col("price").isNotNull(), trade_order(F.col("ts"), F.col("seq")))
     return (trades.withWatermark("ts", late)
             .groupBy(*keys, F.window("ts", bucket).alias("w"))
             .agg(F.min_by("price", order).alias("open"), F.max("price").alias("high"),
