@@ -12,8 +12,11 @@ need no padding.
 """
 from __future__ import annotations
 
+import os
+import re
+import unicodedata
 import zlib
-from itertools import islice
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ from .common import table, text_blocks
 
 CAPACITY = 4096
 END_ID = 2
-CACHE_UNITS = 400_000  # distinct white-space units whose ids a worker remembers
+CACHE_UNITS = 700_000  # white-space units of a generation whose ids a worker remembers
 MAX_OPEN = 4096  # partly filled windows held at once; beyond it they are closed by cutting
 SEQUENCES_PER_TASK = 1 << 33  # sequence ids: task number times this, plus a counter
 
@@ -35,30 +38,70 @@ _ARROW = pa.schema([(name, pa.int64()) for name in
                      "offset")])
 
 
+# a run of letters, then ASCII punctuation: two pre-tokens whatever the letters are
+_WORD = re.compile(r"([^\W\d_]+)([!-/:-@\[-^`{-~]*)")
+
+
+def byte_letters() -> str:
+    """The byte-level alphabet: printable Latin-1 characters stand for themselves, the other
+    bytes for the code points from 256 on (as a table for ``str.translate``)."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return "".join(chr(b if b in printable else next(rest)) for b in range(256))
+
+
 class UnitTokenizer:
     """Token ids of texts as little-endian 32-bit bytes.
 
     The pre-tokenizer never joins text across white space, so a text's ids are those
-    of its white-space units in order; each distinct unit is encoded once."""
+    of its white-space units in order; a remembered unit is not encoded again.  A unit of
+    letters and trailing ASCII punctuation is the lower-case letters and the punctuation,
+    each a pre-token of its own, so the letters go straight to the model.
+
+    Units are remembered in two generations: a full one replaces the older, and units met
+    again move up, so common units stay and memory is bounded."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
-        self.units: dict[str, bytes] = {"": b""}
+        self.letters = byte_letters()
+        self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         rows = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        new = set().union(*rows).difference(self.units)
-        if len(self.units) + len(new) > CACHE_UNITS:
-            self.units = {"": b""}
-            new = set().union(*rows).difference(self.units)
-        names = iter(new)
-        while part := list(islice(names, 20_000)):
-            for unit, enc in zip(part, self.model.encode_batch(part, add_special_tokens=False)):
-                self.units[unit] = np.array(enc.ids, dtype="<u4").tobytes()
-        get = self.units.__getitem__
+        if len(self.units) > CACHE_UNITS:
+            self.units, self.older = {}, self.units
+        units, older = self.units, self.older
+        for unit in set().union(*rows).difference(units):
+            units[unit] = older.get(unit) or self._unit(unit)
+        get = units.__getitem__
         return [b"".join(map(get, row)) for row in rows]
 
+    def _unit(self, unit: str) -> bytes:
+        word = _WORD.fullmatch(unit)
+        if not word:
+            return self._exact(unit)
+        core, tail = word.groups()
+        core = unicodedata.normalize("NFC", core).lower()
+        if not core.isalpha() or "\u03c2" in core:  # a final sigma: lower() looks at context
+            return self._exact(unit)
+        ids = self.units.get(core) or self.older.get(core)
+        if ids is None:
+            piece = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
+            tokens = [t.id for t in self.model.model.tokenize(piece)]
+            ids = self.units[core] = pack_ids(f"<{len(tokens)}I", *tokens)
+        if tail:
+            if tail not in self.units:
+                self.units[tail] = self._exact(tail)
+            ids += self.units[tail]
+        return ids
+
+    def _exact(self, unit: str) -> bytes:
+        ids = self.model.encode(unit, add_special_tokens=False).ids
+        return pack_ids(f"<{len(ids)}I", *ids)
+
 
 _TOKENIZERS: dict[str, UnitTokenizer] = {}
 
