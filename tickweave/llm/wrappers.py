@@ -48,7 +48,8 @@ BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary searc
 BOILERPLATE_NAMES = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs
 comment comments consent cookie cookies disclaimer footer gdpr login menu modal nav navbar navigation newsletter
 notice notification pagination popup promo promotion related reply replies respond share sharing sidebar signup
-social sponsor sponsored subscribe subscription toolbar topbar widget widgets""".split())
+social sponsor sponsored subscribe subscription toolbar topbar widget widgets colophon commentlist main-menu
+main-nav main-navigation masthead page-footer site-footer site-header site-nav site-navigation skip-link""".split())
 MAIN_NAMES = frozenset("""article article-body article-content content entry entry-content main main-content
 page-content post post-body post-content story story-body""".split())
 CLOSES_PARAGRAPH = frozenset("""address article aside blockquote details div dl fieldset figure footer form h1 h2
