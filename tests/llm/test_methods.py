@@ -205,6 +205,11 @@ def test_language_on_held_out_rows(spark):
     assert sum(r.lang_pred == r.lang for r in rows) >= 0.97 * len(rows)
 
 
+def test_numerals_are_no_letters():
+    owner, _ = langid.char_keys(["12 ² Ⅷ _ !", "²a", None, "", "é"])
+    assert sorted(set(owner.tolist())) == [1, 4]
+
+
 def test_kneser_ney_sums_to_one(spark):
     """Over the alphabet, every language's probabilities after any context sum to 1 (with the
     share of the character never seen)."""
