@@ -30,6 +30,7 @@ MIN_Z = 4.0
 SMOOTHING = 0.05
 PENALTY = 0.02
 THRESHOLD = 0.3
+BLOCK = 500_000  # characters whose n-grams are held at once
 
 
 def char_ngrams(texts: list, orders: tuple = ORDERS,
@@ -82,7 +83,7 @@ def _count_task(batches):
     """(feature, texts with it, toxic texts with it); feature -1 counts the texts."""
     size = 1 << BITS
     total, toxic = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
-    for part, texts in text_blocks(batches):
+    for part, texts in text_blocks(batches, chars=BLOCK):
         label = np.asarray(part.column(1), dtype=bool)
         docs, codes = present(*char_ngrams(texts))
         total[:size] += np.bincount(codes, minlength=size)
@@ -98,7 +99,7 @@ def _count_task(batches):
 
 def _present_task(kept: np.ndarray):
     def run(batches):
-        for part, texts in text_blocks(batches):
+        for part, texts in text_blocks(batches, chars=BLOCK):
             docs, codes = char_ngrams(texts)
             at = np.minimum(np.searchsorted(kept, codes), len(kept) - 1)
             hit = kept[at] == codes
@@ -190,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_FIT_ROWS) -> Model:
 
 def _score_task(shared):
     def run(batches):
-        for part, texts in text_blocks(batches):
+        for part, texts in text_blocks(batches, chars=BLOCK):
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(shared.value.score(texts))], names=["doc_id", "score"])
     return run
@@ -210,7 +211,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for part, texts in text_blocks(batches):
+        for part, texts in text_blocks(batches, chars=BLOCK):
             yield part.filter(pa.array(shared.value.score(texts) < threshold))
     return docs.mapInArrow(run, docs.schema)
 
