@@ -105,13 +105,11 @@ def _threads(replies: DataFrame, scratch: Scratch) -> DataFrame:
         turn += 1
         above = state.select("conv_id", F.col("turn").alias("parent"), F.col("parent").alias("_next"),
                              F.col("root").alias("_root"), F.col("depth").alias("_depth"))
-        done = F.col("root").isNotNull()
-        state = scratch.keep(
-            state.join(above, ["conv_id", "parent"], "left")
-            .select("conv_id", "turn", F.when(done, None).otherwise(F.col("_next")).alias("parent"),
-                    F.coalesce("root", "_root").alias("root"),
-                    F.when(done, F.col("depth")).otherwise(F.col("depth") + F.col("_depth")).alias("depth")),
-            f"threads-{turn}")
+        pending = state.where("root IS NULL")  # only messages whose root is still open are joined
+        moved = pending.drop("root").join(above, ["conv_id", "parent"], "left").select(
+            "conv_id", "turn", F.when(F.col("_root").isNull(), F.col("_next")).alias("parent"),
+            F.col("_root").alias("root"), (F.col("depth") + F.col("_depth")).alias("depth"))
+        state = scratch.keep(state.where("root IS NOT NULL").unionByName(moved), f"threads-{turn}")
         scratch.drop(f"threads-{turn - 1}")
     return state.select("conv_id", "turn", "root", "depth")
 
