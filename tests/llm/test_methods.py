@@ -298,6 +298,31 @@ def test_wrapper_inference():
     assert len(wild[0][3]) <= wrappers.MAX_ITEMS
 
 
+def test_repeated_text_of_a_host_is_template(spark):
+    """Unlisted furniture, in and outside the article; the plain tag and name rule keeps it."""
+    def page(k, advert=True):
+        return ("<body><div class=x1>All our topics</div><article><h1>Title %d</h1>%s<p>Story %d told.</article>"
+                % (k, "<div class=x2>Buy the paper</div>" * advert, k))
+    bare = "<body><div>Home and more</div><div><p>Report %d</div>"
+    rows = [(k, "http://a/%d" % k, page(k, k % 4 > 0)) for k in range(12)]  # advert on 9 of 12 pages
+    rows += [(20 + k, "http://b/%d" % k, page(k)) for k in range(3)]
+    rows += [(30 + k, "http://c/%d" % k, bare % k) for k in range(4)]
+    rows += [(40 + k, "http://d/%d" % k, "<article><p>One long shared story.<p>v%d</article>" % k) for k in range(2)]
+    rows += [(50 + k, "http://e/%d" % k, page(1)) for k in range(5)]  # copies of one page are no evidence
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in wrappers.main_text(pages).collect()}
+    for k in range(12):
+        assert got[k] == f"Title {k}\n\nStory {k} told."
+    for k in range(3):
+        assert got[20 + k] == f"Title {k}\n\nStory {k} told."
+    for k in range(4):
+        assert got[30 + k] == f"Report {k}"
+    for k in range(2):
+        assert got[40 + k] == f"One long shared story.\n\nv{k}"
+    for k in range(5):
+        assert got[50 + k] == "Title 1\n\nBuy the paper\n\nStory 1 told."
+
+
 def test_pipeline_stages_take_effect(spark):
     sf = "/root/testdata/sf0.01"
     from tickweave.llm.common import Scratch, table

@@ -6,14 +6,20 @@ repeated.  Pages of a host are aligned one after the other:
 
 - equal items in a row, or equal runs of up to three items, become one repeated item or group;
 - items that only one side has become optional;
-- text differs between pages, so text is a slot.
+- text that differs between pages is a data slot, equal text a fixed token of the template.
+
+Text at a path is equal if it stands there on every different page of the host, or, from
+``MANY_PAGES`` pages on, on more than half of them (so an advert left out of some pages is
+fixed, and copies of one page are not).  It is counted per host, path and text; a page of
+the same slots counts once.  One page fixes nothing.  Two pages may be versions of one
+article, so of two, a page with more fixed than other text keeps it all.
 
 Expressions need no union: a child list too irregular to stay below ``MAX_ITEMS`` items
 becomes one repeated group of optional items.  The result is one wrapper per host: its
-expression and the places (element paths) of its text slots.  A slot belongs to the main
-text if no element above it is boilerplate (menus, headers, footers, sidebars, notices,
-adverts, forms, comments) and it lies in an article; pages of the host without an article
-use the main region, or else whatever is not boilerplate.
+expression, with the fixed tokens and the places (element paths) of the data slots.  A data
+slot belongs to the main text if no element above it is boilerplate (menus, headers, footers,
+sidebars, notices, adverts, forms, comments) and it lies in an article; pages without data in
+an article use the main region, or else whatever is not boilerplate.
 
 Distinct page structures are summed up per host before any grouping and merged in rounds of
 bounded groups, so a host with a third of all pages is no single task's work.  Pages are only
@@ -21,6 +27,7 @@ joined with their host's wrapper; Spark broadcasts the wrappers if they are smal
 """
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -36,7 +43,8 @@ from .common import Scratch, table, text_blocks
 
 MAX_ITEMS = 32  # items of a child list before it becomes a group of optional items
 GROUP = 64  # expressions of a host merged in one group
-SLOT, REPEAT = "#", "()"
+MANY_PAGES = 10  # different pages of a host from which text on most of them is fixed
+SLOT, FIXED, REPEAT = "#", "=", "()"  # a fixed token has the number of its text behind the sign
 
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label
 mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr""".split())
@@ -155,16 +163,23 @@ def slots(html: str | None) -> list[tuple[tuple[str, ...], str]]:
     return out
 
 
+def slot_key(path: tuple[str, ...], text: str) -> int:
+    """A number for a text at a path."""
+    whole = "\x1f".join((*path, text)).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(whole, digest_size=8).digest(), "big", signed=True)
+
+
 # expressions -----------------------------------------------------------------------------------
 # an item is (symbol, optional, repeated, items below)
 
-def _children(found: list[tuple[tuple[str, ...], str]], depth: int = 0) -> list[tuple]:
-    """The tree of slots as items: neighbours below the same symbol share an element."""
+def _children(found: list[tuple], depth: int = 0, fixed=frozenset()) -> list[tuple]:
+    """The tree of slots (path, text or its number) as items: neighbours below the same symbol
+    share an element; what is in ``fixed`` becomes a fixed token."""
     out, k = [], 0
     while k < len(found):
         path = found[k][0]
         if len(path) == depth:
-            out.append((SLOT, False, False, ()))
+            out.append((f"{FIXED}{found[k][1]}" if found[k][1] in fixed else SLOT, False, False, ()))
             k += 1
             continue
         end = k + 1
@@ -174,7 +189,7 @@ def _children(found: list[tuple[tuple[str, ...], str]], depth: int = 0) -> list[
         if path[depth].endswith("!"):
             out.append((path[depth], False, False, ()))
         else:
-            out.append((path[depth], False, False, tuple(_children(found[k:end], depth + 1))))
+            out.append((path[depth], False, False, tuple(_children(found[k:end], depth + 1, fixed))))
         k = end
     return fold(out)
 
@@ -245,7 +260,7 @@ def _tuples(items: list) -> list[tuple]:
 
 
 def slot_paths(items, above: tuple = ()) -> set[tuple[str, ...]]:
-    """Element paths of an expression's text slots, boilerplate left out."""
+    """Element paths of an expression's data slots, boilerplate left out."""
     out: set = set()
     for symbol, _, _, below in items:
         if symbol == SLOT:
@@ -255,6 +270,16 @@ def slot_paths(items, above: tuple = ()) -> set[tuple[str, ...]]:
     return out
 
 
+def fixed_keys(items) -> set[int]:
+    """Numbers of an expression's fixed tokens."""
+    out: set = set()
+    for symbol, _, _, below in items:
+        if symbol.startswith(FIXED):
+            out.add(int(symbol[len(FIXED):]))
+        out |= fixed_keys(below)
+    return out
+
+
 def region(path: tuple[str, ...]) -> int:
     """2 in an article, 1 in another main region, 0 elsewhere."""
     if any(s.rstrip("*") == "article" for s in path):
@@ -271,12 +296,31 @@ def host(url: str | None) -> str:
         return ""
 
 
+def _slot_task(batches):
+    """(host, page, keys, paths): the slots of a page as numbers of path and text with their
+    paths (JSON); page is the number of them all."""
+    for part, pages in text_blocks(batches, "html"):
+        rows = []
+        for url, page in zip(part.column(1).to_pylist(), pages):
+            found = slots(page)
+            keys = [slot_key(path, text) for path, text in found]
+            kinds = {path: k for k, path in enumerate(dict.fromkeys(path for path, _ in found))}
+            paths = json.dumps([list(kinds), [kinds[path] for path, _ in found]])
+            rows.append((host(url), slot_key((), json.dumps(keys)), keys, paths))
+        hosts, numbers, keys, paths = zip(*rows)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array(numbers, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+             pa.array(paths, pa.string())], names=["host", "page", "keys", "paths"])
+
+
 def _structure_task(batches):
     """(host, expression, pages): each distinct structure of a host once per task."""
     found: Counter = Counter()
-    for part, pages in text_blocks(batches, "html"):
-        for url, page in zip(part.column(1).to_pylist(), pages):
-            found[host(url), json.dumps(_children(slots(page)))] += 1
+    for batch in batches:
+        for name, keys, paths, fixed in zip(*(c.to_pylist() for c in batch.columns)):
+            kinds, at = json.loads(paths)
+            rows = [(tuple(kinds[k]), key) for k, key in zip(at, keys)]
+            found[name, json.dumps(_children(rows, fixed=frozenset(fixed or ())))] += 1
     if found:
         hosts, expressions = zip(*found)
         yield pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(expressions),
@@ -292,11 +336,27 @@ def _merge_group(key, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": [key[0]], "expression": [json.dumps(merged)], "pages": [rows["pages"].sum()]})
 
 
+def _fixed_texts(seen: DataFrame) -> DataFrame:
+    """(host, fixed): numbers of the texts that are equal on the pages ``seen`` of a host."""
+    sizes = seen.groupBy("host").agg(F.count("*").alias("pages")).where("pages > 1")
+    counts = (seen.select("host", F.explode(F.array_distinct("keys")).alias("key"))
+              .groupBy("host", "key").agg(F.count("*").alias("n")).where("n > 1"))
+    least = F.when(F.col("pages") < MANY_PAGES, F.col("pages")).otherwise(F.floor(F.col("pages") / 2) + 1)
+    return (counts.join(sizes, "host").where(F.col("n") >= least)
+            .groupBy("host").agg(F.collect_list("key").alias("fixed")))
+
+
 def infer(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """(host, expression, pages): one wrapper per host, in rounds of bounded groups."""
     schema = "host string, expression string, pages long"
+    seen = scratch.keep(
+        pages.select("page_id", "url", "html")
+        .mapInArrow(_slot_task, "host string, page long, keys array<long>, paths string")
+        .dropDuplicates(["host", "page"]), "slots")
+    fixed = scratch.keep(_fixed_texts(seen), "fixed")
     found = scratch.keep(
-        pages.select("page_id", "url", "html").mapInArrow(_structure_task, schema)
+        seen.join(fixed, "host", "left").select("host", "keys", "paths", "fixed")
+        .mapInArrow(_structure_task, schema)
         .groupBy("host", "expression").agg(F.sum("pages").alias("pages")), "wrappers-0")
     turn = 0
     while True:
@@ -310,24 +370,36 @@ def infer(pages: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _place_task(batches):
-    """(host, places): the paths of a wrapper's text slots, as JSON."""
+    """(host, places): as JSON, the paths of a wrapper's data slots, the numbers of its fixed
+    texts, and whether it comes from too few pages to tell a template from a copy."""
     for batch in batches:
-        paths = [[list(p) for p in sorted(slot_paths(_tuples(json.loads(e))))]
-                 for e in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([json.dumps(p) for p in paths])],
-                                         names=["host", "places"])
+        out = []
+        for expression, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            items = _tuples(json.loads(expression))
+            out.append(json.dumps([sorted(slot_paths(items)), sorted(fixed_keys(items)), n < 3]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["host", "places"])
+
+
+def data_slots(page: str | None, places: set, fixed: set, few: bool) -> list[tuple[tuple[str, ...], str]]:
+    """The slots of a page that a wrapper takes as data."""
+    found = [(path, text) for path, text in slots(page) if text]
+    data = [(path, text) for path, text in found if path in places and slot_key(path, text) not in fixed]
+    if few and 2 * sum(len(text) for _, text in data) < sum(len(text) for _, text in found):
+        return found
+    return data
 
 
 def _text_task(batches):
-    known: dict[str, set] = {}
+    known: dict[str, tuple] = {}
     for part, pages in text_blocks(batches, "html"):
         out = []
         for page, places in zip(pages, part.column(3).to_pylist()):
             if places not in known:
                 if len(known) > 1000:
                     known.clear()
-                known[places] = {tuple(p) for p in json.loads(places)}
-            found = [(region(path), text) for path, text in slots(page) if text and path in known[places]]
+                paths, fixed, few = json.loads(places)
+                known[places] = {tuple(p) for p in paths}, set(fixed), few
+            found = [(region(path), text) for path, text in data_slots(page, *known[places])]
             best = max((r for r, _ in found), default=0)
             out.append("\n\n".join(text for r, text in found if r == best))
         yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string())],
@@ -337,13 +409,14 @@ def _text_task(batches):
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages(page_id, url, html)``.
 
-    A null or empty page, or one without main text, has an empty text.  A null or unreadable
+    A null or empty page, or one without main text, has an empty text; so has one with nothing
+    but its host's fixed texts.  A null or unreadable
     url counts as the host "".  Repeated rows come back repeated; other columns are ignored; an
     empty table gives no rows."""
     scratch = Scratch(pages.sparkSession, "wrappers")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))
-    places = scratch.keep(infer(rows, scratch).select("host", "expression")
+    places = scratch.keep(infer(rows, scratch).select("host", "expression", "pages")
                           .mapInArrow(_place_task, "host string, places string"), "places")
 
     def add_host(batches):
