@@ -298,6 +298,29 @@ def test_wrapper_inference():
     assert len(wild[0][3]) <= wrappers.MAX_ITEMS
 
 
+@pytest.mark.parametrize("page", [
+    "<head><meta charset=utf-8><title>t</title><div class=content><p>TEXT</div>",
+    "<head><title>t<body><p>TEXT",
+    "<head><title>t</title></head><body><article><p>TEXT</article>",
+    *(f"<article><p>TEXT</p></article><{tag}>" for tag in ("svg", "head")),
+    *(f"<body><{tag}><article><p>TEXT</p></article>" for tag in
+      ("button", "select", "object", "svg", "math", "canvas", "audio", "video")),
+    "<button><article><p>TEXT</article><button>b</button>",
+    "<svg><svg>a</svg>b</svg><button>c</button><template><article>d</article></template><p>TEXT",
+    "<div class=sidebar-right><article><div class=share>s</div><p>TEXT</article></div>",
+    "<article class=social-science><p>TEXT</article>",
+    "<nav>menu</nav><div id=page class=widget-area><p>TEXT</div>",
+    "<article>Teaser</article><div class=content><p>TEXT</div>",
+    "<article><p>TEXT</article><div id=comments><article class=comment-body>" + "so long " * 9 + "</article></div>",
+    "<article><p>TEXT</article><div class=sidebar><p>" + "many words " * 9 + "</div>",
+    "<script>if (a < b) '<p>'</script><p>TEXT<script>open",
+])
+def test_article_is_not_dropped_whole(page):
+    text = "The whole story of it"
+    found = [(path, x) for path, x in wrappers.slots(page.replace("TEXT", text)) if x]
+    assert wrappers.main_slots(found) == [text]
+
+
 def test_repeated_text_of_a_host_is_template(spark):
     """Unlisted furniture, in and outside the article; the plain tag and name rule keeps it."""
     def page(k, advert=True):

@@ -18,8 +18,8 @@ Expressions need no union: a child list too irregular to stay below ``MAX_ITEMS`
 becomes one repeated group of optional items.  The result is one wrapper per host: its
 expression, with the fixed tokens and the places (element paths) of the data slots.  A data
 slot belongs to the main text if no element above it is boilerplate (menus, headers, footers,
-sidebars, notices, adverts, forms, comments) and it lies in an article; pages without data in
-an article use the main region, or else whatever is not boilerplate.
+sidebars, notices, adverts, forms, comments) and it lies in an article; pages with more data in
+other main regions use those, and pages with neither whatever is not boilerplate.
 
 Distinct page structures are summed up per host before any grouping and merged in rounds of
 bounded groups, so a host with a third of all pages is no single task's work.  Pages are only
@@ -49,8 +49,8 @@ SLOT, FIXED, REPEAT = "#", "=", "()"  # a fixed token has the number of its text
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label
 mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("""script style noscript template textarea title iframe svg math object select button
-head canvas audio video""".split())
+RAW = frozenset("script style noscript textarea title iframe".split())  # without an end tag, to the end of the page
+EMBEDDED = frozenset("template svg math object select button canvas audio video".split())  # left out if closed
 BOILERPLATE_TAGS = frozenset("nav footer aside form dialog menu fieldset".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 BOILERPLATE_NAMES = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs
@@ -60,6 +60,7 @@ social sponsor sponsored subscribe subscription toolbar topbar widget widgets co
 main-nav main-navigation masthead page-footer site-footer site-header site-nav site-navigation skip-link""".split())
 MAIN_NAMES = frozenset("""article article-body article-content content entry entry-content main main-content
 page-content post post-body post-content story story-body""".split())
+COMMENT_NAMES = frozenset("comment comments commentlist reply replies respond".split())
 CLOSES_PARAGRAPH = frozenset("""address article aside blockquote details div dl fieldset figure footer form h1 h2
 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul""".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -74,37 +75,79 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 # pages as trees -----------------------------------------------------------------------------
 
 def _symbol(tag: str, attributes: str, in_article: bool) -> str:
-    """The tag, with "!" for boilerplate and "*" for a main region."""
+    """The tag, with "!" for boilerplate ("?" or, for comments, "??" if only a name says so) and
+    "*" for a main region."""
     names, roles = [], []
     for kind, *values in _ATTRIBUTE.findall(attributes):
         words = "".join(values).lower().split()
         (roles if kind.lower() == "role" else names).extend(words)
     if tag in ("html", "body"):
         return tag
-    known = any(n in BOILERPLATE_NAMES or re.split("[-_]", n)[0] in BOILERPLATE_NAMES for n in names)
-    header = tag == "header" or any(n == "header" or n.startswith(("header-", "header_")) for n in names)
-    if (tag in BOILERPLATE_TAGS or known or any(r in BOILERPLATE_ROLES for r in roles)
-            or header and not in_article):
+    listed = {n if n in BOILERPLATE_NAMES else re.split("[-_]", n)[0] for n in names} & BOILERPLATE_NAMES
+    header = any(n == "header" or n.startswith(("header-", "header_")) for n in names)
+    if tag in BOILERPLATE_TAGS or any(r in BOILERPLATE_ROLES for r in roles) or tag == "header" and not in_article:
         return tag + "!"
+    if listed or header and not in_article:
+        return tag + ("!" if tag in INLINE else "??" if listed & COMMENT_NAMES else "?")
     if tag not in INLINE and (tag == "main" or "main" in roles or any(n in MAIN_NAMES for n in names)):
         return tag + "*"
     return tag
 
 
+def _embedded_end(html: str, tag: str, at: int) -> int:
+    """Where an embedded element ends that starts before ``at``; ``at`` itself if it is not closed
+    before the next one (of buttons and selects), an article or main region, or the page's end."""
+    depth = 1
+    for found in re.compile(rf"<(/?)({tag}|article|main|body)(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).finditer(html, at):
+        closing, name = found[1], found[2].lower()
+        if name == tag:
+            depth += -1 if closing else 0 if found[0].endswith("/>") else 1
+            if not depth:
+                return found.end()
+            if tag in ("button", "select"):
+                return at
+        elif tag != "template" and (not closing or name == "body"):
+            return at
+    return at
+
+
+def _shown(out: list, named: list[str]) -> set[int]:
+    """Which of the elements that only a name hides are shown after all: one with more text in
+    articles than the page's main regions have besides, and if those have none, one with more than half
+    of the text.  Comments only show on pages without other main text.
+
+    ``out`` has (elements above, text) with an element as (symbol, place in ``named`` or None)."""
+    total = main = 0
+    inside, articles = [0] * len(named), [0] * len(named)
+    for path, text in out:
+        if not text:
+            continue
+        total += len(text)
+        ids = [(depth, k) for depth, (_, k) in enumerate(path) if k is not None]
+        main += len(text) * (not ids and region(tuple(s for s, _ in path)) > 0)
+        last = max((d for d, (s, _) in enumerate(path) if s.rstrip("*?") == "article"), default=-1)
+        for depth, k in ids:
+            inside[k] += len(text)
+            articles[k] += len(text) * (depth <= last)
+    return {k for k, symbol in enumerate(named)
+            if (not main or not symbol.endswith("??")) and (articles[k] > main or not main and 2 * inside[k] > total)}
+
+
 def slots(html: str | None) -> list[tuple[tuple[str, ...], str]]:
     """The text slots of a page in order: (symbols of the elements above, text).
 
     Character references are decoded and white space runs become one space.  Slots under
-    boilerplate are left out; their outermost element stays, as a slot without text."""
+    boilerplate are left out; their outermost element stays, as a slot without text.  A name
+    does not hide the element with the article or most of the text (see ``_shown``)."""
     html = html or ""
-    path: list[tuple[str, str]] = []  # (tag, symbol)
-    out, text, at, hidden = [], [], 0, 0
+    path: list[tuple[str, str, int | None]] = []  # (tag, symbol, place in named)
+    out, text, at, hidden, named = [], [], 0, 0, []
 
     def flush():
         joined = " ".join(entities.unescape("".join(text)).split())
         text.clear()
         if joined and not hidden:
-            out.append((tuple(s for _, s in path), joined))
+            out.append((tuple((s, k) for _, s, k in path), joined))
 
     def pop(n: int):
         nonlocal hidden
@@ -122,7 +165,7 @@ def slots(html: str | None) -> list[tuple[tuple[str, ...], str]]:
         if tag == "br":
             text.append(" ")
         elif closing:
-            if tag not in INLINE or any(t == tag for t, _ in path):
+            if tag not in INLINE or any(x[0] == tag for x in path):
                 flush()
                 for n in range(len(path) - 1, -1, -1):
                     if path[n][0] == tag:
@@ -131,11 +174,18 @@ def slots(html: str | None) -> list[tuple[tuple[str, ...], str]]:
         elif tag in RAW:
             flush() if tag not in INLINE else None
             if not attributes.endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)" + (r"|(?=<body\b)" if tag == "head" else ""),
-                                 re.IGNORECASE).search(html, at)
-                at = end.end() if end else len(html)
+                stop = r"|(?=</head\b|<body\b)" if tag in ("title", "noscript") else ""
+                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z){stop}", re.IGNORECASE).search(html, at)
+                end = end or re.compile(r"</head\b|<body\b", re.IGNORECASE).search(html, at)
+                at = len(html) if not end else end.start() if end[0][1:2] == "b" or end[0][:3] == "</h" else end.end()
+        elif tag in EMBEDDED:
+            flush() if tag not in INLINE else None
+            if not attributes.endswith("/"):
+                at = _embedded_end(html, tag, at)
+        elif tag == "head":  # its elements hold no text; whatever else begins, begins the body
+            flush()
         else:
-            symbol = _symbol(tag, attributes, any(t == "article" for t, _ in path))
+            symbol = _symbol(tag, attributes, any(x[0] == "article" for x in path))
             if tag in INLINE and not symbol.endswith("!"):
                 continue
             flush()
@@ -153,14 +203,27 @@ def slots(html: str | None) -> list[tuple[tuple[str, ...], str]]:
                     pop(n)
                 elif path[n][0] in SCOPES:
                     break
-            path.append((tag, symbol))
-            if symbol.endswith("!"):
+            path.append((tag, symbol, len(named) if symbol.endswith("?") else None))
+            if symbol.endswith("?"):
+                named.append(symbol)
+            if symbol.endswith(("!", "?")):
                 if not hidden:
-                    out.append((tuple(s for _, s in path), ""))
-                hidden += 1
+                    out.append((tuple((s, k) for _, s, k in path), ""))
+                hidden += symbol.endswith("!")
     text.append(html[at:])
     flush()
-    return out
+    if not named:
+        return [(tuple(s for s, _ in above), joined) for above, joined in out]
+    shown, left, last = _shown(out, named), [], None
+    for above, joined in out:
+        cut = next((d for d, (s, k) in enumerate(above) if k is not None and k not in shown), None)
+        if cut is not None:
+            if above[cut][1] != last:
+                left.append((tuple(s.rstrip("?") for s, _ in above[:cut]) + (above[cut][0].rstrip("?") + "!",), ""))
+            last = above[cut][1]
+        elif joined or above[-1][1] is None:
+            left.append((tuple(s.rstrip("?") for s, _ in above), joined))
+    return left
 
 
 def slot_key(path: tuple[str, ...], text: str) -> int:
@@ -280,6 +343,19 @@ def fixed_keys(items) -> set[int]:
     return out
 
 
+def main_slots(data: list[tuple[tuple[str, ...], str]]) -> list[str]:
+    """The texts of the articles, or of the main regions if those hold more text besides
+    (a teaser may be an article too), or of all slots if there are neither."""
+    size = [0, 0, 0]
+    for path, text in data:
+        size[region(path)] += len(text)
+    if size[2] and size[2] >= size[1]:
+        return [text for path, text in data if region(path) == 2]
+    if size[1]:
+        return [text for path, text in data if any(s.endswith("*") for s in path)]
+    return [text for _, text in data]
+
+
 def region(path: tuple[str, ...]) -> int:
     """2 in an article, 1 in another main region, 0 elsewhere."""
     if any(s.rstrip("*") == "article" for s in path):
@@ -399,9 +475,7 @@ def _text_task(batches):
                     known.clear()
                 paths, fixed, few = json.loads(places)
                 known[places] = {tuple(p) for p in paths}, set(fixed), few
-            found = [(region(path), text) for path, text in data_slots(page, *known[places])]
-            best = max((r for r, _ in found), default=0)
-            out.append("\n\n".join(text for r, text in found if r == best))
+            out.append("\n\n".join(main_slots(data_slots(page, *known[places]))))
         yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string())],
                                          names=["page_id", "url", "text"])
 
