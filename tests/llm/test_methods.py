@@ -205,6 +205,31 @@ def test_language_on_held_out_rows(spark):
     assert sum(r.lang_pred == r.lang for r in rows) >= 0.97 * len(rows)
 
 
+def test_language_counts_beyond_memory(spark, monkeypatch):
+    """A model of more than MAX_CELLS probabilities scores as one in memory: no language loses
+    its rare 4-grams to a large one."""
+    from tickweave.llm.common import Scratch
+    rng = random.Random(2)
+    big = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(60)) for _ in range(60)]
+    rows = [(k, t, "big") for k, t in enumerate(big)]
+    rows += [(100 + k, t, "small") for k, t in enumerate(["hijab fade cab", "jag bade hag", "fag jab cede", "beg jade haj"])]
+    rows += [(200, None, "big"), (201, "12", "big"), (None, "jade cab", None), (5, big[5], "big")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+
+    def result():
+        model = langid.fit(docs, Scratch(spark, "test"))
+        got = [(r.doc_id, r.lang_pred, r.score, r.rejected) for r in langid.identify(docs, model).collect()]
+        return model, sorted(got, key=str)
+    model, want = result()
+    monkeypatch.setattr(langid, "MAX_CELLS", 64)
+    joined, got = result()
+    assert joined.tables and not model.tables
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r[2] for r in got], [r[2] for r in want], atol=1e-4)
+    small = {r[0]: r[1] for r in got}
+    assert all(small[100 + k] == "small" for k in range(4))
+
+
 def test_numerals_are_no_letters():
     owner, _ = langid.char_keys(["12 ² Ⅷ _ !", "²a", None, "", "é"])
     assert sorted(set(owner.tolist())) == [1, 4]
