@@ -82,6 +82,21 @@ def test_links_connect_what_all_pairs_connect(spark, block, monkeypatch):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b = " ".join(f"w{k}" for k in range(60)), " ".join(f"v{k * 7}" for k in range(60))
+    c = " ".join(f"u{k * 3}" for k in range(60))
+    docs = spark.createDataFrame([(5, a), (7, a), (5, b), (3, b), (9, c), (9, c), (None, c), (None, a)],
+                                 "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.text) for r in simhash.keep_first(docs).collect())
+    assert got == sorted([(5, a), (3, b), (9, c)])
+    none = spark.createDataFrame([(None, a), (None, a), (None, b)], "doc_id long, text string")
+    assert sorted(r.text for r in simhash.keep_first(none).collect()) == sorted([a, b])
+    bench = spark.createDataFrame([(1, a)], "item_id long, text string")
+    clean = decontaminate.keep_clean(docs, bench).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in clean) == sorted(
+        str(x) for x in [(5, b), (3, b), (9, c), (9, c), (None, c), (None, a)])
+
+
 def test_thresholds_meet_the_pigeonhole_sum():
     rng = np.random.default_rng(0)
     fps = rng.integers(0, 1 << 63, 500, dtype=np.uint64)

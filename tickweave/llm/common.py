@@ -48,6 +48,14 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+ROW = "_row_key"
+
+
+def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of ``docs`` with a number of their own, written so that every read sees the same."""
+    return scratch.keep(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], text: str = "text",
                 chars: int = BLOCK_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Cut Arrow batches into runs of rows of about ``chars`` characters (one row at

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import ROW, Scratch, numbered, table
 
 WINDOW = 10
 GRAM = 5
@@ -99,12 +99,13 @@ def _extended() -> Column:
         ELSE array() END""")
 
 
-def spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def spans(docs: DataFrame, benchmark: DataFrame, row: Column | None = None) -> DataFrame:
     """(row, doc_id, n_words, item_id, start, stop): every window of the benchmark that occurs
-    in a row, as 1-based word places, stop excluded; one row without item and place besides."""
+    in a row, as 1-based word places, stop excluded; one row without item and place besides.
+    ``row`` is a key of the rows of ``docs``, if they have one."""
     scratch = Scratch(docs.sparkSession, "winnow")
     hashes, items, short = _benchmark(benchmark, scratch)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"),
+    rows = docs.select((F.monotonically_increasing_id() if row is None else row).alias("row"),
                        F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
     local = hashes.count() <= MAX_BROADCAST_ROWS
     if not local:
@@ -149,11 +150,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns as they are) without a benchmark window.  Rows that
-    share a doc_id with a contaminated one go too; rows without doc_id stay."""
-    dirty = (spans(docs, benchmark).where("start IS NOT NULL").select(F.col("doc_id").alias("_dirty"))
-             .distinct())
-    return docs.join(dirty, docs["doc_id"] == F.col("_dirty"), "left_anti")
+    """The rows of ``docs`` (all columns as they are) without a benchmark window, each
+    judged by its own text and not by others with its doc_id; rows without doc_id stay."""
+    rows = numbered(docs, Scratch(docs.sparkSession, "keep-clean"))
+    dirty = (spans(rows, benchmark, F.col(ROW)).where("start IS NOT NULL AND doc_id IS NOT NULL")
+             .select(F.col("row").alias(ROW)).distinct())
+    return rows.join(dirty, ROW, "left_anti").select(*docs.columns)
 
 
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, table, text_blocks
+from .common import ROW, Scratch, numbered, table, text_blocks
 from .graph import components
 
 SHINGLE = 3
@@ -70,16 +70,17 @@ def simhash(texts: list, size: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; null, empty and blank texts have fingerprint zero."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE, row: str | None = None) -> DataFrame:
+    """(doc_id, fp) of every row, with the column ``row`` (a long) as row_key if named; null,
+    empty and blank texts have fingerprint zero."""
     def run(batches):
         for part, texts in text_blocks(batches):
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(simhash(texts, size).view(np.int64))],
-                names=["doc_id", "fp"])
+                [part.column(0), pa.array(simhash(texts, size).view(np.int64)), *part.columns[2:]],
+                names=["doc_id", "fp", *["row_key"] * bool(row)])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+                       F.col("text").cast("string").alias("text"), *[F.col(r).alias("row_key") for r in (row,) if r])
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", row_key long" * bool(row))
 
 
 # groups of bits and estimates -------------------------------------------------------------
@@ -400,22 +401,33 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, distance: int = DISTAN
     is linked to such rows only).  Other columns are ignored; an empty table gives no rows."""
     scratch = Scratch(docs.sparkSession, "simhash")
     marks = scratch.keep(fingerprints(docs, size), "marks")
+    every = _named(marks, scratch, distance)
+    return marks.join(every, "fp").select("doc_id", "fp", "component_id")
+
+
+def _named(marks: DataFrame, scratch: Scratch, distance: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint of ``marks(doc_id, fp)``; the root names the
+    component even if no row of it has a doc_id."""
     nodes = scratch.keep(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     found = components(links(nodes, scratch, distance), scratch)
     linked = found.join(nodes, F.col("node") == F.col("fp")).select("fp", "root", "first")
     named = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    linked = scratch.keep(linked.join(named, "root").select("fp", "component_id"), "linked")
-    every = (nodes.join(linked, "fp", "left")
-             .select("fp", F.coalesce("component_id", "first").alias("component_id")))
-    return marks.join(every, "fp").select("doc_id", "fp", "component_id")
+    linked = scratch.keep(linked.join(named, "root").select("fp", "root", "component_id"), "linked")
+    return (nodes.join(linked, "fp", "left")
+            .select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first").alias("component_id")))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns as they are) whose doc_id names their component: one
-    document of each group.  Rows with one doc_id go or stay together; rows without stay."""
-    found = near_duplicates(docs)
-    dropped = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_dropped"))
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped"), "left_anti")
+    """One row of each component of ``docs`` (all columns as they are): the one with the smallest
+    doc_id, null ids last, and among equal ids the first by a row key that is written first."""
+    scratch = Scratch(docs.sparkSession, "keep-first")
+    rows = numbered(docs, scratch)
+    marks = scratch.keep(fingerprints(rows, row=ROW), "marks")
+    every = _named(marks.select("doc_id", "fp"), scratch, DISTANCE).select("fp", "root")
+    placed = scratch.keep(marks.join(every, "fp").select(
+        "root", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key").alias("place")), "placed")
+    kept = placed.groupBy("root").agg(F.min("place").alias("place")).select(F.col("place.row_key").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def op3_generalised_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
