@@ -7,7 +7,7 @@ from tickweave.operators import rolling as ro
 from tickweave.plans.common import hourly_candles
 from tickweave.plans.features import aligned_features_input
 
-from conftest import SF01
+from paths import SF01
 
 
 def test_pivot_equals_outer_join_chain(spark):
@@ -78,7 +78,7 @@ def test_entry_smoke(spark):
 
 def test_guard_stops_training_at_smallest_scale(spark):
     import __spark_entry__ as e
-    from conftest import SF001
+    from paths import SF001
     g = e.queries()["train_guard"](spark, SF001).first()
     assert g["trainable"] is False
     assert e.queries()["rf_predictions"](spark, SF001).count() == 0

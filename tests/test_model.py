@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as e
 
-from conftest import SF01
+from paths import SF01
 
 Q = e.queries()
 

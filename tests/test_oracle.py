@@ -5,7 +5,7 @@ import pytest
 from tickweave.plans import registry
 from oracle_harness import compare, duck
 
-from conftest import SF01
+from paths import SF01
 
 QUERIES = registry.queries()
 SQL = registry.oracle_sql()

@@ -4,7 +4,7 @@ import pytest
 from tickweave.plans import registry
 from tickweave.session import release
 
-from conftest import SF001
+from paths import SF001
 
 Q = registry.queries()
 

@@ -8,7 +8,7 @@ from tickweave.operators.candles import ohlc
 from tickweave.sources.tape import events_trades
 from tickweave.streaming.candles import read_trades, stream_candles
 
-from conftest import SF001
+from paths import SF001
 
 
 def test_stream_equals_batch(spark):
