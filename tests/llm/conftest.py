@@ -1,14 +1,6 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from llm_cases import DOCS, NASTY, PLAIN  # noqa: E402
+from llm_cases import DOCS, NASTY, PLAIN
 
 
 @pytest.fixture(scope="session")
