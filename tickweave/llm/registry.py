@@ -1,8 +1,8 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import (decontaminate, langid, licenses, packing, quality, quotes, ranked, simhash, tokencount, topk,
-               toxicity, wrappers)
+from . import (alignment, decontaminate, langid, licenses, packing, quality, quotes, ranked, simhash, tokencount,
+               topk, toxicity, wrappers)
 
 QUERIES = {
     "op1_quotation_linking": quotes.op1_quotation_linking,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_kneser_ney_language_id": langid.op9_kneser_ney_language_id,
     "op10_naive_bayes_toxicity": toxicity.op10_naive_bayes_toxicity,
     "op11_ordered_signature_rules": licenses.op11_ordered_signature_rules,
+    "op12_perfect_hash_alignment": alignment.op12_perfect_hash_alignment,
     "op13_best_position_search": ranked.op13_best_position_search,
 }
 SQL = {
