@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from . import (analysis, collect, features, model, oracle_analysis, oracle_collect,
-               oracle_features, oracle_model)
+               oracle_features, oracle_model, oracle_stored, stored)
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
     out.update(features.QUERIES)
     out.update(model.QUERIES)
     out.update(collect.QUERIES)
+    out.update(stored.QUERIES)
     return out
 
 
@@ -20,5 +21,6 @@ def oracle_sql() -> dict:
     out.update(oracle_features.SQL)
     out.update(oracle_model.SQL)
     out.update(oracle_collect.SQL)
+    out.update(oracle_stored.SQL)
     names = queries()
     return {k: v for k, v in out.items() if k in names}

@@ -98,6 +98,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+_TABLES: list[tuple[SparkSession, str]] = []
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A catalogue name that ``release`` drops."""
+    _TABLES.append((spark, name))
+    return name
+
+
 _KEPT: list[DataFrame] = []
 
 
@@ -117,6 +126,10 @@ def release() -> int:
     n = len(_KEPT) + len(_SCRATCH)
     while _KEPT:
         _KEPT.pop().unpersist()
+    while _TABLES:
+        spark, name = _TABLES.pop()
+        if spark.sparkContext._jsc is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
     while _SCRATCH:
         spark, path = _SCRATCH.pop()
         if spark.sparkContext._jsc is None:

@@ -6,6 +6,9 @@ is one scan over all pages of all venues: the page is parsed once with ``from_js
 its rows are exploded, and fields are picked by position from a small layout
 table (one row per venue), so a new venue is a new layout row, not new code.
 
+A body that is a list but holds something else than rows is taken apart element by element
+(``VARIANT``): its rows are good, each other element is one rejected row.
+
 Nothing is lost on the way: every row of ``candle_rows``/``trade_rows`` is either good or
 carries a reject reason and its raw text.  A page that does not parse (error object,
 garbage, truncated text, flat array, NULL) or whose venue has no layout is one such row;
@@ -21,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import epoch_to_ntz, floor_time, micros_to_ntz, nan_to_null
+from ..operators.candles import load_order
 
 
 # Field positions of each venue's candle rows, the epoch unit of the
@@ -81,30 +85,45 @@ def _bad_number(arr: Column, pos: Column) -> Column:
 PAGE_REJECTS = ("bad_page", "unknown_layout")
 
 
-def _exploded(pages: DataFrame, rows: Column, unknown: Column, *extra: Column) -> DataFrame:
+def _elements(text: Column) -> Column:
+    """The elements of a JSON list as (row, raw): a list element is a row, anything else only its own text.
+    NULL for a body that is no list or holds no row at all."""
+    plain = F.transform(F.from_json(text, ROWS), lambda r: F.struct(r.alias("row"), F.lit(None).cast("string").alias("raw")))
+
+    def element(v: Column) -> Column:
+        row = F.try_variant_get(v, "$", "array<string>")
+        # a JSON null is an empty row, as in a body that parses as a whole
+        return F.struct(row.alias("row"), F.when(row.isNull() & ~F.is_variant_null(v), F.to_json(v)).alias("raw"))
+    loose = F.transform(F.try_variant_get(F.try_parse_json(text), "$", "array<variant>"), element)
+    return F.coalesce(plain, F.when(F.exists(loose, lambda e: e["row"].isNotNull()), loose))
+
+
+def _exploded(pages: DataFrame, text: Column, unknown: Column, *extra: Column) -> DataFrame:
     """One row per element of every page (one for an empty or rejected page): the page
-    columns, ``pos``, ``row``, ``page_reject`` and the raw body of rejected pages."""
+    columns, ``pos``, ``row``, ``raw_element``, ``page_reject`` and the raw body of rejected pages."""
     reject = F.when(unknown, F.lit("unknown_layout")).when(F.col("_rows").isNull(), F.lit("bad_page"))
-    parsed = (pages.select("*", F.when(~unknown, rows).alias("_rows"), *extra)
+    parsed = (pages.select("*", F.when(~unknown, _elements(text)).alias("_rows"), *extra)
               .withColumn("page_reject", reject)
               .withColumn("raw_page", F.when(F.col("page_reject").isNotNull(), F.col("payload"))))
     keep = [c for c in parsed.columns if c not in ("payload", "_rows")]
-    return parsed.select(*keep, F.posexplode_outer("_rows").alias("pos", "row"))
+    return (parsed.select(*keep, F.posexplode_outer("_rows").alias("pos", "_element"))
+            .select(*keep, "pos", F.col("_element.row").alias("row"), F.col("_element.raw").alias("raw_element")))
 
 
 def _status(rows: DataFrame, reason: Column, unusable: Column) -> DataFrame:
     """Adds ``status`` (ok, empty, rejected), ``reject_reason`` and ``raw_row``."""
-    why = F.coalesce(F.col("page_reject"), F.when(F.col("pos").isNotNull(), reason))
+    why = F.coalesce(F.col("page_reject"), F.when(F.col("raw_element").isNotNull(), F.lit("bad_element")),
+                     F.when(F.col("pos").isNotNull(), reason))
     return rows.select(
         "*", F.when(why.isNotNull(), F.lit("rejected")).when(F.col("pos").isNull(), F.lit("empty"))
         .otherwise(F.lit("ok")).alias("status"), why.alias("reject_reason"),
-        F.when(why.isNotNull(), F.coalesce("raw_page", unusable)).alias("raw_row"))
+        F.when(why.isNotNull(), F.coalesce("raw_page", "raw_element", unusable)).alias("raw_row"))
 
 
 def candle_rows(pages: DataFrame, layout_col: str = "exchange", bucket_secs: int = 60) -> DataFrame:
     """Every element of every candle page with its fields, status and reject reason."""
     lay, r = F.col("_lay"), F.col("row")
-    rows = _exploded(pages, F.from_json("payload", ROWS), _layout_of(F.col(layout_col)).isNull(),
+    rows = _exploded(pages, F.col("payload"), _layout_of(F.col(layout_col)).isNull(),
                      _layout_of(F.col(layout_col)).alias("_lay"))
     t = epoch_to_ntz(F.get(r, lay["t_pos"]), lay["unit"])
     fields = {"open": "o_pos", "high": "h_pos", "low": "l_pos", "close": "c_pos", "volume": "v_pos"}
@@ -114,7 +133,7 @@ def candle_rows(pages: DataFrame, layout_col: str = "exchange", bucket_secs: int
               .when(t.isNull(), F.lit("bad_time"))
               .when(bad_number, F.lit("bad_number")))
     out = _status(rows, reason, F.to_json("row"))
-    return out.select(*[c for c in out.columns if c not in ("_lay", "row", "page_reject", "raw_page")],
+    return out.select(*[c for c in out.columns if c not in ("_lay", "row", "raw_element", "page_reject", "raw_page")],
                       floor_time(t, bucket_secs).alias("time"),
                       *[_num(r, lay[p]).alias(name) for name, p in fields.items()])
 
@@ -165,14 +184,14 @@ def trade_rows(pages: DataFrame) -> DataFrame:
     rows) with its fields, status and reject reason.  ``seq`` is the trade id, NULL where the
     row carries none."""
     body = F.from_json("payload", TRADE_BODY)
-    rows = _exploded(pages, F.from_json(body.getField("result")[F.col("pair")], ROWS), F.lit(False))
+    rows = _exploded(pages, body.getField("result")[F.col("pair")], F.lit(False))
     r = F.col("row")
     ts = micros_to_ntz(F.get(r, F.lit(TRADE_TIME)).try_cast("double") * F.lit(1_000_000.0))
     bad_number = _bad_number(r, F.lit(TRADE_PRICE)) | _bad_number(r, F.lit(TRADE_VOLUME))
     reason = (F.when(r.isNull(), F.lit("null_row")).when(ts.isNull(), F.lit("bad_time"))
               .when(bad_number, F.lit("bad_number")))
     out = _status(rows, reason, F.to_json("row"))
-    return out.select(*[c for c in out.columns if c not in ("row", "page_reject", "raw_page")],
+    return out.select(*[c for c in out.columns if c not in ("row", "raw_element", "page_reject", "raw_page")],
                       ts.alias("ts"), F.get(r, F.lit(TRADE_ID)).try_cast("long").alias("seq"),
                       _num(r, TRADE_PRICE).alias("price"), _num(r, TRADE_VOLUME).alias("volume"))
 
@@ -184,15 +203,19 @@ def decode_trades(pages: DataFrame) -> DataFrame:
     Neighbouring chunks share their end point, so a border trade can arrive twice.  With a
     trade id, equal ids are one trade.  Without, trades equal in time, price and volume are
     one trade as often as the page that has most of them says (their occurrence inside the
-    page is part of the key), and ``seq`` is the place of the first copy in load order."""
+    page is part of the key), and ``seq`` counts the trades of one time stamp in load order.  Of copies
+    that share an id but differ, the first in load order counts."""
     keys = _carried(pages)
     good = trade_rows(pages).where(F.col("status") == "ok")
     nth = Window.partitionBy(*keys, "chunk_no", "page_no", "ts", "price", "volume").orderBy("pos")
-    with_id = good.where(F.col("seq").isNotNull()).groupBy(*keys, "seq").agg(
-        F.min("ts").alias("ts"), F.min_by("price", "ts").alias("price"), F.min_by("volume", "ts").alias("volume"))
-    place = (F.col("chunk_no").cast("long") * 1_000_000_000 + F.col("page_no").cast("long") * 100_000 + F.col("pos"))
-    without = (good.where(F.col("seq").isNull()).withColumn("nth", F.row_number().over(nth))
-               .groupBy(*keys, "ts", "price", "volume", "nth").agg(F.min(place).alias("seq")))
+    place = load_order()
+    with_id = good.where(F.col("seq").isNotNull()).withColumn("_ord", place).groupBy(*keys, "seq").agg(
+        *[F.min_by(v, "_ord").alias(v) for v in ("ts", "price", "volume")])
+    once = (good.where(F.col("seq").isNull()).withColumn("nth", F.row_number().over(nth))
+            .groupBy(*keys, "ts", "price", "volume", "nth").agg(F.min(place).alias("_ord")))
+    # trades of one time stamp keep their load order; only they need a number that tells them apart
+    together = Window.partitionBy(*keys, "ts").orderBy("_ord", "price", "volume", "nth")
+    without = once.withColumn("seq", F.row_number().over(together).cast("long"))
     columns = [*keys, "ts", "seq", "price", "volume"]
     return with_id.select(*columns).unionByName(without.select(*columns))
 
