@@ -342,14 +342,14 @@ def test_nothing_is_lost_at_ingest(spark):
     """Rows in = decoded + rejected, with the raw text of what was rejected."""
     good = _row(MS0, 1, 2, 0.5, 1.5, 10)
     pages = spark.createDataFrame([
-        ("BINANCE", "BTC", "USD", "BTC/USD", 0, 0, f'[{good}, "oops"]'),  # one bad element: the page is kept
+        ("BINANCE", "BTC", "USD", "BTC/USD", 0, 0, f'[{good}, "oops"]'),  # one bad element: its row alone is kept aside
         ("NEWVENUE", "BTC", "USD", "BTC/USD", 0, 0, f"[{good}]"),
         ("BINANCE", "BTC", "USD", "BTC/USD", 1, 0, f"[{_row(MS0 + 60000, 1, 2, 3, 4, 5)}]")], PAGES)
     kept = {(r["exchange"], r["reject_reason"]): r["raw_row"] for r in pl.quarantine(pages).collect()}
-    assert kept == {("BINANCE", "bad_page"): f'[{good}, "oops"]', ("NEWVENUE", "unknown_layout"): f"[{good}]"}
+    assert kept == {("BINANCE", "bad_element"): '"oops"', ("NEWVENUE", "unknown_layout"): f"[{good}]"}
     status = {r["exchange"]: r for r in pl.load_status(pages).collect()}
     assert (status["NEWVENUE"]["n_pages"], status["NEWVENUE"]["n_bad_pages"]) == (1, 1)
-    assert (status["BINANCE"]["n_pages"], status["BINANCE"]["n_bad_pages"], status["BINANCE"]["n_rows"]) == (2, 1, 1)
+    assert [status["BINANCE"][x] for x in ("n_pages", "n_bad_pages", "n_rows", "n_rejected")] == [2, 0, 2, 1]
 
 
 def test_trades_without_id_and_bad_trades(spark):
