@@ -22,6 +22,7 @@ from ..session import reuse
 N_TREES = 100
 MAX_DEPTH = 10
 MIN_LEAF = 5
+MIN_SPLIT = 10  # a node that splits; two leaves of MIN_LEAF rows already say so
 SEED = 42
 TEST_SIZE = 0.2
 MIN_POSITIVES = 10
@@ -248,11 +249,12 @@ def importances(model: PipelineModel, features: list[str]) -> DataFrame:
 
 
 def cross_validate(train: DataFrame, features: list[str], label: str, keys,
-                   folds: int = CV_FOLDS, parallelism: int = CV_FOLDS, **kw) -> DataFrame:
+                   folds: int = CV_FOLDS, parallelism: int = CV_FOLDS, fitted: dict | None = None, **kw) -> DataFrame:
     """Stratified k-fold accuracy on the training rows; the scaler and class weights
     are fitted inside each fold.  The folds are independent, so up to
     ``parallelism`` of them are fitted at once (concurrent Spark jobs share the
-    executors).  Returns one row per fold plus the mean and 2x population std."""
+    executors).  Returns one row per fold plus the mean and 2x population std;
+    ``fitted`` receives each fold's model and held-out rows."""
     from concurrent.futures import ThreadPoolExecutor
 
     # every fold reads the fold-tagged rows twice (fit, evaluation): tag them once
@@ -262,6 +264,8 @@ def cross_validate(train: DataFrame, features: list[str], label: str, keys,
         fit_on = data.where(F.col("fold") != k).drop("fold")
         held = data.where(F.col("fold") == k).drop("fold")
         model = fit(fit_on, features, label, layout_keys=keys, **kw)
+        if fitted is not None:
+            fitted[k] = (model, held)
         row = accuracy(predict(model, held, label), label).first()
         return k, (float(row["accuracy"]) if row["accuracy"] is not None else None), row["n_rows"]
 

@@ -8,11 +8,15 @@ evaluation tables of one run share one fit and changed data get their own.
 """
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features as fe
 from ..operators import model as mo
+from ..operators import trees as tr
 from ..operators.spread import histogram
 from ..session import checkpoint_dir, scratch_path
 from .common import rounded
@@ -225,7 +229,88 @@ def q_model_roundtrip(spark, sf_dir):
                                F.count_if(F.col("p1") == F.col("p2")).alias("n_same"))
 
 
+def forest_nodes(spark: SparkSession, model) -> DataFrame:
+    return tr.save_nodes(model, scratch_path(spark, f"forest-{uuid.uuid4().hex}"), spark)
+
+
+def _close(a: str, b: str):
+    return F.abs(F.col(a) - F.col(b)) <= 1e-9
+
+
+def q_node_predictions(spark, sf_dir):
+    """Held-out rows walked down the saved nodes: how many get the forest's class and probability."""
+    got = trained(spark, sf_dir)
+    if got is None:
+        return _empty(spark, "n_rows long, n_same_class long, n_same_probability long")
+    model, _, _, test = got
+    ours = tr.predict_by_nodes(forest_nodes(spark, model), tr.scaled_rows(model, test, KEYS), KEYS, mo.N_TREES, mo.MAX_DEPTH)
+    forest = mo.predict(model, test, fe.LABEL).select(*KEYS, F.col("prediction").cast("int").alias("c"), F.col("p_opportunity").alias("p"))
+    return ours.join(forest, KEYS).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prediction") == F.col("c")).alias("n_same_class"),
+        F.count_if(_close("p_opportunity", "p")).alias("n_same_probability"))
+
+
+def q_node_histogram(spark, sf_dir):
+    """The probability chart from the saved nodes against the forest's own: bins, and bins that agree."""
+    got = trained(spark, sf_dir)
+    if got is None:
+        return _empty(spark, "n_bins long, n_same long, n_rows long")
+    model, _, _, test = got
+    ours = tr.predict_by_nodes(forest_nodes(spark, model), tr.scaled_rows(model, test, KEYS), KEYS, mo.N_TREES, mo.MAX_DEPTH)
+    # sums of shares differ in their last bits with the order of the trees
+    a = histogram(ours.select(F.round("p_opportunity", 9).alias("p")), "p", 50).select("bin", F.col("n_rows").alias("a"))
+    b = histogram(mo.predict(model, test, fe.LABEL).select(F.round("p_opportunity", 9).alias("p")), "p", 50).select(
+        "bin", F.col("n_rows").alias("b"))
+    return a.join(b, "bin").agg(F.count(F.lit(1)).alias("n_bins"), F.count_if(F.col("a") == F.col("b")).alias("n_same"),
+                                F.sum("a").alias("n_rows"))
+
+
+def q_node_importances(spark, sf_dir):
+    """Importances summed up from the saved splits against the model's: features, equal values, equal ranks."""
+    got = trained(spark, sf_dir)
+    if got is None:
+        return _empty(spark, "n_features long, n_same_importance long, n_same_rank long")
+    model, names, _, _ = got
+    ours = tr.importances_by_nodes(forest_nodes(spark, model), names)
+    theirs = mo.importances(model, names).select("feature", F.col("rank").alias("r"), F.col("importance").alias("i"))
+    return ours.join(theirs, "feature").agg(
+        F.count(F.lit(1)).alias("n_features"), F.count_if(_close("importance", "i")).alias("n_same_importance"),
+        F.count_if(F.col("rank") == F.col("r")).alias("n_same_rank"))
+
+
+def q_cv_node_accuracy(spark, sf_dir):
+    """Each fold's accuracy from its own forest's saved nodes against the reported one."""
+    got = trained(spark, sf_dir)
+    if got is None:
+        return _empty(spark, "n_folds long, n_rows long, n_same_accuracy long")
+    _, names, train, _ = got
+    fitted: dict = {}
+    reported = mo.cross_validate(train, names, fe.LABEL, KEYS, fitted=fitted).select("fold", F.col("accuracy").alias("told"))
+    parts = []
+    for fold, (model, held) in sorted(fitted.items()):
+        ours = tr.predict_by_nodes(forest_nodes(spark, model), tr.scaled_rows(model, held, KEYS), KEYS, mo.N_TREES, mo.MAX_DEPTH)
+        right = ours.join(held.select(*KEYS, F.col(fe.LABEL).cast("int").alias("label")), KEYS)
+        parts.append(right.select(F.lit(fold).alias("fold"), (F.col("prediction") == F.col("label")).alias("right")))
+    by = reduce(DataFrame.unionByName, parts).groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.col("right").cast("double")).alias("seen"))
+    return by.join(reported, "fold").agg(F.count(F.lit(1)).alias("n_folds"), F.sum("n").alias("n_rows"),
+                                         F.count_if(_close("seen", "told")).alias("n_same_accuracy"))
+
+
+def q_node_rules(spark, sf_dir):
+    """Trees of the saved forest, and nodes that break its size rules (a split needs 10 rows, a leaf 5, a path 10 steps)."""
+    got = trained(spark, sf_dir)
+    if got is None:
+        return _empty(spark, "n_trees long, n_small_splits long, n_small_leaves long, n_orphans long, n_too_deep long")
+    return tr.node_rules(forest_nodes(spark, got[0]), mo.MIN_SPLIT, mo.MIN_LEAF, mo.MAX_DEPTH)
+
+
 QUERIES = {
+    "node_predictions": q_node_predictions,
+    "node_histogram": q_node_histogram,
+    "node_importances": q_node_importances,
+    "node_rules": q_node_rules,
+    "cv_node_accuracy": q_cv_node_accuracy,
     "train_guard": q_train_guard,
     "stratified_split": q_stratified_split,
     "split_rows": q_split_rows,

