@@ -48,12 +48,13 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
-ROW = "_row_key"
-
-
-def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of ``docs`` with a number of their own, written so that every read sees the same."""
-    return scratch.keep(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+def numbered(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """The rows of ``docs`` with a number of their own, written so that every read sees the same, and the number's
+    column, whose name no column of ``docs`` has."""
+    name = "_row_key"
+    while name in docs.columns:
+        name += "_"
+    return scratch.keep(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
 def text_blocks(batches: Iterable[pa.RecordBatch], text: str = "text",

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, Scratch, numbered, table, text_blocks
+from .common import Scratch, numbered, table, text_blocks
 from .graph import components
 
 SHINGLE = 3
@@ -421,13 +421,13 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each component of ``docs`` (all columns as they are): the one with the smallest
     doc_id, null ids last, and among equal ids the first by a row key that is written first."""
     scratch = Scratch(docs.sparkSession, "keep-first")
-    rows = numbered(docs, scratch)
-    marks = scratch.keep(fingerprints(rows, row=ROW), "marks")
+    rows, key = numbered(docs, scratch)
+    marks = scratch.keep(fingerprints(rows, row=key), "marks")
     every = _named(marks.select("doc_id", "fp"), scratch, DISTANCE).select("fp", "root")
     placed = scratch.keep(marks.join(every, "fp").select(
         "root", F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key").alias("place")), "placed")
-    kept = placed.groupBy("root").agg(F.min("place").alias("place")).select(F.col("place.row_key").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    kept = placed.groupBy("root").agg(F.min("place").alias("place")).select(F.col("place.row_key").alias(key))
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def op3_generalised_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
