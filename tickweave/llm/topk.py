@@ -27,7 +27,7 @@ QUERY_BLOCK = 2_048
 DIMENSIONS = 16  # dimensions added between two prunings
 EXACT = 1 << 53  # integers up to here are exact as doubles
 
-SCHEMA = "query_id long, vec_id long, score long"
+SCHEMA = "query_row long, query_id long, row long, vec_id long, score long"
 
 
 def usable(vector: Column) -> Column:
@@ -52,10 +52,11 @@ def _matrix(lists: pd.Series, width: int) -> np.ndarray:
     return out
 
 
-def top_of_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray,
+def top_of_block(query_rows: np.ndarray, queries: np.ndarray, places: np.ndarray, ids: np.ndarray, rows: np.ndarray,
                  k: int = K) -> tuple[list, list, list]:
-    """The k best rows of the block for every query: scores from high to low, ties to the
-    smaller id, the query's own row left out.  ``queries`` and ``rows`` are dimensions x n."""
+    """The k best rows of the block for every query, as (query, place in the block, score): scores from high to low, ties
+    to the smaller id, then to the smaller row key; the query's own row is left out.  ``queries`` and
+    ``rows`` are dimensions x n, ``places`` the row keys of the block."""
     order = np.argsort(-(np.square(rows.astype(float)).sum(axis=1)), kind="stable")
     queries, rows = queries[order], rows[order]
     largest = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, len(rows))
@@ -71,8 +72,8 @@ def top_of_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
         return np.sqrt(np.maximum(total - done, 0) * (1 + 1e-9) + 1e-6 * total + 1e-6)
     row_rest, query_rest = remaining(rows), remaining(queries)
     out_q, out_v, out_s = [], [], []
-    for q, query_id in enumerate(query_ids):
-        alive = np.flatnonzero(ids != query_id)
+    for q, own in enumerate(query_rows):
+        alive = np.flatnonzero(places != own)
         part = np.zeros(len(alive), exact)
         block = rows
         for step in range(len(edges) - 1):
@@ -88,20 +89,21 @@ def top_of_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
             edge = np.partition(part, len(part) - k)[len(part) - k]
             keep = part >= edge
             alive, part = alive[keep], part[keep]
-        best = np.lexsort((ids[alive], -part))[:k]
-        out_q += [query_id] * len(best)
-        out_v += ids[alive[best]].tolist()
+        best = np.lexsort((places[alive], ids[alive], -part))[:k]
+        out_q += [q] * len(best)
+        out_v += alive[best].tolist()
         out_s += part[best].astype(np.int64).tolist()
     return out_q, out_v, out_s
 
 
 def _meet(key, rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     if not len(rows) or not len(queries):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+        return pd.DataFrame({name.split()[0]: [] for name in SCHEMA.split(", ")}, dtype="int64")
     width = max(rows["v"].map(len).max(), queries["v"].map(len).max())
-    q, v, s = top_of_block(queries["vec_id"].to_numpy(), _matrix(queries["v"], width),
-                           rows["vec_id"].to_numpy(), _matrix(rows["v"], width))
-    return pd.DataFrame({"query_id": q, "vec_id": v, "score": s}, dtype="int64")
+    q, at, s = top_of_block(queries["row"].to_numpy(), _matrix(queries["v"], width), rows["row"].to_numpy(),
+                            rows["vec_id"].to_numpy(), _matrix(rows["v"], width))
+    return pd.DataFrame({"query_row": queries["row"].to_numpy()[q], "query_id": queries["vec_id"].to_numpy()[q],
+                         "row": rows["row"].to_numpy()[at], "vec_id": rows["vec_id"].to_numpy()[at], "score": s}, dtype="int64")
 
 
 def top_k(vectors: DataFrame, every: int = QUERY_EVERY, k: int = K) -> DataFrame:
@@ -110,22 +112,22 @@ def top_k(vectors: DataFrame, every: int = QUERY_EVERY, k: int = K) -> DataFrame
 
     Vectors that are null or hold null or non-finite components, and rows without vec_id, take
     no part.  Vectors of different lengths are compared as if the shorter had zeros.  Rows that
-    share a vec_id are one query (the copies of a query are no candidates of it, and the first
-    of differing vectors counts); other columns are ignored; an empty table gives no rows."""
+    share a vec_id are rows of their own: each is a candidate of the others, and each is a query where
+    the id asks for it; other columns are ignored; an empty table gives no rows."""
     scratch = Scratch(vectors.sparkSession, "topk")
-    data = scratch.keep(scaled(vectors).groupBy("vec_id").agg(F.min("v").alias("v")), "scaled")
+    data = scratch.keep(scaled(vectors).withColumn("row", F.monotonically_increasing_id()), "scaled")
     queries = data.where(F.col("vec_id") % every == 0)
     n, m = data.count(), queries.count()
     row_blocks, query_blocks = -(-n // ROW_BLOCK) or 1, -(-m // QUERY_BLOCK) or 1
 
     def dealt(frame: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
-        return frame.select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias(own),
+        return frame.select("row", "vec_id", "v", F.pmod(F.xxhash64("row"), F.lit(blocks)).alias(own),
                             F.explode(F.sequence(F.lit(0).cast("long"), F.lit(others - 1).cast("long"))).alias(other))
     left = dealt(data, "row_block", row_blocks, "query_block", query_blocks)
     right = dealt(queries, "query_block", query_blocks, "row_block", row_blocks)
     found = (left.groupBy("row_block", "query_block")
              .cogroup(right.groupBy("row_block", "query_block")).applyInPandas(_meet, SCHEMA))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
@@ -135,11 +137,11 @@ def op7_columnar_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 OP7_SQL = f"""
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
            FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % {QUERY_EVERY} = 0)
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r AS q, c.r, q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % {QUERY_EVERY} = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id, r) AS rank FROM s)
 WHERE rank <= {K}"""
