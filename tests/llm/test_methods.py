@@ -405,7 +405,10 @@ def test_quoted_threads(spark):
             (1, 2, "u", "On Monday X wrote:\n> Hello there. How\n> are you?\nReply to first"),
             (1, 3, "a", "> > Hello there. How are you?\n> Reply to first\n\nDeep"), (1, 4, None, None),
             (2, 0, "u", ""), (2, 5, "u", ">> unknown stuff\nok"), (3, 2000, "u", "Late one."), (3, 5000, "u", "Mid"),
-            (3, 9000, "u", "> late one\nyes"), (4, 0, "u", "Same."), (4, 1, "u", "Same."), (4, 7, "u", "> same\n>> same\nx")]
+            (3, 9000, "u", "> late one\nyes"), (4, 0, "u", "Same."), (4, 1, "u", "Same."), (4, 7, "u", "> same\n>> same\nx"),
+            # two messages of one turn: both stay, both can be quoted, each has its own parent
+            (5, 0, "u", "First one."), (5, 1, "u", "Branch b. Other b."), (5, 1, "a", "> First one.\nBranch a."), (5, 1, None, "Branch a."),
+            (5, 2, "u", "> Branch b. Other b.\nhm"), (5, 3, "u", "> hm\n> > Branch a.\nyes"), (5, 3, "u", "> hm\n> > Branch a.\nyes")]
     chats = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = quotes.link(chats)
     import duckdb
@@ -414,6 +417,8 @@ def test_quoted_threads(spark):
     con.execute("CREATE TABLE conversations AS SELECT * FROM frame")
     ok, why, _, _ = compare(got, con, quotes.OP1_SQL)
     assert ok, why
+    assert got.count() == len(rows) and got.where("conv_id = 5 AND turn = 1").count() == 3
+    assert {(r.turn, r.parent) for r in got.where("conv_id = 5").collect()} == {(0, None), (1, 0), (2, 1), (3, 2)}
     by = {(r.conv_id, r.turn): r for r in got.collect()}
     assert by[1, 2].parent == 0 and by[1, 3].parent == 2 and by[3, 9000].parent == 2000 and by[4, 7].parent == 1
     order = [(r.conv_id, r.turn) for r in quotes.reply_ordered(got).collect()]
