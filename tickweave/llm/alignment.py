@@ -28,7 +28,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from struct import pack as pack_ids
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -105,7 +105,9 @@ class Aligner:
                               f"(?s:.+?)(?=(?<![{_WHITE}])[{white}]|(?<=[{_LETTER}])[{marks}]|\\Z)") if white and marks \
             else re.compile("(?s:.+)")
         self.plain = re.compile(f"[{white}]?[{_LETTER}]+")
-        self.a_sizes, self.b_sizes = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.texts = [f"{j}{mark}" for table, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;\n"))
+                      for mark in marks for j in range(len(table))]
         self.units: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
 
@@ -118,39 +120,70 @@ class Aligner:
         if len(self.units) > CACHE_UNITS:
             self.units, self.older = {}, self.units
         units, older = self.units, self.older
-        units.update((p, older[p]) for p in parts.difference(units).intersection(older))
-        fresh = list(parts.difference(units))
+        missing = parts.difference(units)
+        known = missing.intersection(older)
+        units.update(zip(known, map(older.__getitem__, known)))
+        fresh = list(missing.difference(known))
         new = dict(zip(fresh, self._encode(fresh))) if fresh else {}
-        units.update((p, x) for p, x in new.items() if len(p) <= LONGEST_KEPT)
-        return {p: units[p] if p in units else new[p] for p in parts}
-
-    def _encode(self, parts: list[str]) -> Iterator[tuple | None]:
-        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        a_sizes, b_sizes, plain, ranks = self.a_sizes, self.b_sizes, self.plain.fullmatch, self.ranks.encode_ordinary
-        spaced = self.b.encode([p[1:] if p[0] == " " else "\n" + p for p in parts], num_threads=1)
-        for part, b in zip(parts, spaced):
-            a = ranks(part) if part.isascii() or plain(part) else self.a.encode(part, add_special_tokens=False).ids
-            whole = True
-            if part[0] != " ":
-                whole, b = b[:2] == self.lead, b[2:]
-            elif part == " ":
-                b = self.lead[:1]  # an empty text has no token
-            if not whole or not b"".join(map(a_bytes, a)) == part.encode() == b"".join(map(b_bytes, b)):
-                yield None
-                continue
-            ends, at = {}, 0
-            for k, token in enumerate(b):
-                at += b_sizes[token]
-                ends[at] = k
-            pairs, groups, at, from_a, from_b = [], [], 0, 0, 0
-            for j, token in enumerate(a):
-                at += a_sizes[token]
-                k = ends.get(at)
-                if k is not None:
-                    pairs.append(token * B_IDS + b[k])
-                    groups.append(",".join(map(str, a[from_a:j + 1])) + "|" + ",".join(map(str, b[from_b:k + 1])))
-                    from_a, from_b = j + 1, k + 1
-            yield len(a), len(b), pack_ids(f"<{len(pairs)}I", *pairs), ";".join(groups)
+        units.update(new)
+        found = dict(zip(parts, map(units.__getitem__, parts)))
+        for part in [p for p in fresh if len(p) > LONGEST_KEPT]:
+            del units[part]
+        return found
+
+    def _encode(self, parts: list[str]) -> list[tuple | None]:
+        a_all, b_all = self._tokens(parts)
+        found = self._grouped(parts, a_all, b_all)
+        if found is None:  # some unit is not spelled: it is left out and the others go together
+            whole = [k for k, (p, a, b) in enumerate(zip(parts, a_all, b_all)) if self._spelled([p], [a], [b])]
+            found, rest = [None] * len(parts), self._grouped(*([x[k] for k in whole] for x in (parts, a_all, b_all)))
+            for k, unit in zip(whole, rest):
+                found[k] = unit
+        return found
+
+    def _tokens(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of both tokenizers of each unit (none of B where what it puts in front is not its own token)."""
+        plain, ranks = self.plain.fullmatch, self.ranks.encode_ordinary
+        a_all = [ranks(p) if p.isascii() or plain(p) else self.a.encode(p, add_special_tokens=False).ids for p in parts]
+        b_all = self.b.encode([p[1:] if p[0] == " " else "\n" + p for p in parts], num_threads=1)
+        for k, p in enumerate(parts):
+            if p[0] != " ":
+                b_all[k] = b_all[k][2:] if b_all[k][:2] == self.lead else []
+            elif p == " ":
+                b_all[k] = self.lead[:1]  # an empty text has no token
+        return a_all, b_all
+
+    def _spelled(self, parts: list[str], a_all: list[list[int]], b_all: list[list[int]]) -> bool:
+        """Whether the tokens of both spell the units, which then end together."""
+        raw = "".join(parts).encode()
+        a, b = list(chain.from_iterable(a_all)), list(chain.from_iterable(b_all))
+        return raw == b"".join(map(self.a_bytes.__getitem__, a)) == b"".join(map(self.b_bytes.__getitem__, b))
+
+    def _grouped(self, parts: list[str], a_all: list[list[int]], b_all: list[list[int]]) -> list[tuple] | None:
+        """Alignments of units that both tokenizers spell, all at once; None if one does not."""
+        if not parts:
+            return []
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a_all, b_all))
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a_all, b_all))
+        if not n_a.all() or not n_b.all() or not self._spelled(parts, a_all, b_all):
+            return None
+        ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        last_a, last_b = np.cumsum(n_a) - 1, np.cumsum(n_b) - 1
+        if not np.array_equal(ends_a[last_a], ends_b[last_b]) or not np.array_equal(
+                ends_a[last_a], np.cumsum(np.fromiter((len(p.encode()) for p in parts), np.int64, len(parts)))):
+            return None
+        _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        pairs = (a[at_a] * B_IDS + b[at_b]).astype("<u4").tobytes()
+        # every token's text with what follows it: a comma, the bar after A's part of a group, a semicolon, the end of a unit
+        mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        mark_a[at_a], mark_b[at_b] = 1, 1
+        group_a, group_b = np.cumsum(mark_a) - mark_a, np.cumsum(mark_b) - mark_b
+        mark_b[last_b] = 2
+        codes = np.concatenate([a + mark_a * len(self.a_bytes), b + mark_b * len(self.b_bytes) + 2 * len(self.a_bytes)])
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        groups = "".join(map(self.texts.__getitem__, codes[order].tolist())).split("\n")
+        edges = (4 * np.searchsorted(at_a, np.concatenate([[-1], last_a]), side="right")).tolist()
+        return list(zip(n_a.tolist(), n_b.tolist(), [pairs[i:j] for i, j in zip(edges, edges[1:])], groups))
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -191,7 +224,7 @@ def _blocks(a_path: str, b_path: str):
             broken = {p for p, u in units.items() if u is None}
             seen: Counter = Counter()
             for parts in rows:
-                if broken.isdisjoint(parts):
+                if not broken or broken.isdisjoint(parts):
                     seen.update(parts)
             pairs, counts = linked([units[p] for p in seen], np.fromiter(seen.values(), np.int64, len(seen)))
             n = part.num_rows
@@ -383,14 +416,12 @@ def _looked_up(a_path: str, b_path: str):
         units = model.aligned(set().union(*rows))
         place = {p: k for k, p in enumerate(units)}
         broken = {p for p, u in units.items() if u is None}
-        groups = [u[3] if u else "" for u in units.values()]
         numbers = np.zeros((len(units), 5), np.int64)
-        runs = [u[2] if u else b"" for u in units.values()]
+        numbers_a, numbers_b, runs, groups = zip(*(u or (0, 0, b"", "") for u in units.values())) if units else ([], [], [], [])
         asked = np.frombuffer(b"".join(runs), "<u4").astype(np.int64)
         edges = np.concatenate([[0], np.cumsum([len(r) // 4 for r in runs])]).astype(np.int64)
         found = np.minimum(np.searchsorted(pairs, asked), max(len(pairs) - 1, 0))
-        numbers[:, 0] = [u[0] if u else 0 for u in units.values()]
-        numbers[:, 1] = [u[1] if u else 0 for u in units.values()]
+        numbers[:, 0], numbers[:, 1] = numbers_a, numbers_b
         numbers[:, 2] = np.diff(edges)
         for column, values in ((3, best), (4, counts)):
             # units that only stand in texts without tokens may have pairs that were never counted
@@ -398,7 +429,7 @@ def _looked_up(a_path: str, b_path: str):
             numbers[:, column] = np.diff(np.concatenate([[0], np.cumsum(of_asked)])[edges])
         out = []
         for row, doc_id, parts in zip(docs["row"], docs["doc_id"], rows):
-            at = list(map(place.__getitem__, parts)) if broken.isdisjoint(parts) else []
+            at = list(map(place.__getitem__, parts)) if not broken or broken.isdisjoint(parts) else []
             n_a, n_b, links, n_best, total = numbers[at].sum(axis=0).tolist() if at else [0] * 5
             digest = hashlib.sha256(";".join(map(groups.__getitem__, at)).encode()).hexdigest() if at else ""
             out.append((row, doc_id, n_a, n_b, links, links, n_best, total, digest))
