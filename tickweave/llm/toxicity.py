@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table, text_blocks
+from .common import Scratch, held_out, table, text_blocks
 
 ORDERS = (4, 5, 6)
 BITS = 20
@@ -164,8 +164,10 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_FIT_ROWS) -> Model:
                         F.col("text").cast("string").alias("text"))
             .join(F.broadcast(sampled_labels(labels, "toxic", limit)), "doc_id")
             .select("text", "label"))
-    counts = (rows.mapInArrow(_count_task, "feature long, total long, toxic long")
-              .groupBy("feature").agg(F.sum("total").alias("n"), F.sum("toxic").alias("p")))
+    # written: the class sizes and the ratios read the same counts
+    counts = Scratch(docs.sparkSession, "toxicity").keep(
+        rows.mapInArrow(_count_task, "feature long, total long, toxic long")
+        .groupBy("feature").agg(F.sum("total").alias("n"), F.sum("toxic").alias("p")), "counts")
     sizes = counts.where("feature = -1").collect()
     n, p = (sizes[0]["n"], sizes[0]["p"]) if sizes else (0, 0)
     coef = np.zeros(1 << BITS, np.float32)
