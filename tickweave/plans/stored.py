@@ -198,12 +198,15 @@ def q_fee_clearing_all_pairs(spark, sf_dir):
 def q_best_pair_by_time(spark, sf_dir):
     """The widest close spread of each base and hour over all pairs, and which way to trade it."""
     wide = pair_spreads(spark, sf_dir).where(F.col("abs_price_diff_pct").isNotNull())
-    # of equal spreads the first pair in registry order
-    rank = F.array_position(F.array(*[F.lit(v) for v in al.VENUES]), F.col("ex1")) * 100 + F.array_position(
-        F.array(*[F.lit(v) for v in al.VENUES]), F.col("ex2"))
+    # of equal spreads the first pair in registry order; a pair is one number, so that the aggregate hashes
+    venues = F.array(*[F.lit(v) for v in al.VENUES])
+    rank = (F.array_position(venues, F.col("ex1")) * 100 + F.array_position(venues, F.col("ex2"))).cast("int")
     best = wide.groupBy("base", "time").agg(F.max("abs_price_diff_pct").alias("best"))
     held = wide.join(best, ["base", "time"]).where(F.col("abs_price_diff_pct") == F.col("best")).withColumn("_rank", rank)
-    one = held.groupBy("base", "time").agg(*[F.min_by(x, "_rank").alias(x) for x in ("ex1", "ex2", "price_diff", "abs_price_diff_pct")])
+    first = held.groupBy("base", "time").agg(F.min("_rank").alias("_rank"), *[
+        F.min_by(x, "_rank").alias(x) for x in ("price_diff", "abs_price_diff_pct")])
+    one = first.select("*", F.element_at(venues, F.floor(F.col("_rank") / 100).cast("int")).alias("ex1"),
+                       F.element_at(venues, F.col("_rank") % 100).alias("ex2"))
     return rounded(one.select("base", "time", "ex1", "ex2", "abs_price_diff_pct",
                               pr.pair_direction(F.col("price_diff")).alias("direction")))
 

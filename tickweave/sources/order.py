@@ -16,7 +16,8 @@ def order_report(spark: SparkSession, path: str, keys, time: str = "time") -> Da
     keys = list(keys)
     place = F.col("_metadata.row_index")
     rows = spark.read.parquet(path).select(
-        *keys, F.col(time).alias("t"), F.col("_metadata.file_path").alias("file"), place.alias("place"),
+        *keys, F.col(time).try_cast("timestamp_ntz").alias("t"),  # wide tables store minutes as text
+        F.col("_metadata.file_path").alias("file"), place.alias("place"),
         F.floor(place / SEGMENT).alias("segment"))
     before = F.lag("t").over(Window.partitionBy(*keys, "file", "segment").orderBy("place"))
     segments = (rows.withColumn("late", F.col("t") < before).groupBy(*keys, "file", "segment")
