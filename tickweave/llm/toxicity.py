@@ -2,9 +2,10 @@
 
 Features are hashed character n-grams (present or not).  Each is scaled by its naive
 Bayes log-count ratio between toxic and other labelled texts, and an L2-penalised
-logistic regression is fitted on the scaled features.  A feature whose ratio is within
-``MIN_Z`` standard errors of zero keeps the value zero: on long texts those would only
-add noise.
+logistic regression is fitted on the scaled features.  A feature whose log odds ratio, with
+half a text added to each count, is within ``MIN_Z`` standard errors of zero keeps the value
+zero: on long texts those would only add noise.  The half text gives n-grams of one class
+only a finite error too, so the frequent ones among them have their say.
 
 The ratios and the regression use at most ``MAX_FIT_ROWS`` labelled rows, chosen by a
 hash of the id; scoring reads every text whole.  Both passes are narrow: texts are never
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, held_out, table, text_blocks
@@ -25,9 +26,9 @@ from .common import Scratch, held_out, table, text_blocks
 ORDERS = (4, 5, 6)
 BITS = 20
 MAX_FIT_ROWS = 32_768  # bound on the labelled rows a model is fitted on
-MAX_FEATURES = 1_024  # scaled features that enter the regression, strongest first
 MIN_Z = 4.0
 SMOOTHING = 0.05
+HALF = 0.5  # added to each count of the log odds ratio that MIN_Z judges
 PENALTY = 0.02
 THRESHOLD = 0.3
 BLOCK = 500_000  # characters whose n-grams are held at once
@@ -155,6 +156,14 @@ def sampled_labels(labels: DataFrame, name: str, limit: int = MAX_FIT_ROWS) -> D
     return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
+def odds_z(total: Column, toxic: Column, n: int, p: int) -> Column:
+    """Log odds ratio of a feature in ``total`` texts, ``toxic`` of them toxic, in standard errors;
+    ``p`` of all ``n`` texts are toxic."""
+    cells = [toxic + HALF, p - toxic + HALF, total - toxic + HALF, n - p - (total - toxic) + HALF]
+    odds = F.log(cells[0]) - F.log(cells[1]) - F.log(cells[2]) + F.log(cells[3])
+    return odds / F.sqrt(sum((1 / c for c in cells[1:]), 1 / cells[0]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_FIT_ROWS) -> Model:
     """Fit on the labelled rows of ``docs`` outside the held-out fold.
 
@@ -176,10 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_FIT_ROWS) -> Model:
     a = SMOOTHING
     pos, neg = F.col("p") + a, F.col("n") - F.col("p") + a
     ratio = F.log(pos / (p + 2 * a)) - F.log(neg / (n - p + 2 * a))
-    best = (counts.where("feature >= 0").select("feature", ratio.alias("ratio"),
-                                                (F.abs(ratio) / F.sqrt(1 / pos + 1 / neg)).alias("z"))
-            .where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "feature").limit(MAX_FEATURES)
-            .toPandas().sort_values("feature"))
+    best = (counts.where((F.col("feature") >= 0) & (F.abs(odds_z(F.col("n"), F.col("p"), n, p)) >= MIN_Z))
+            .select("feature", ratio.alias("ratio")).toPandas().sort_values("feature"))
     kept, ratios = best["feature"].to_numpy(np.int64), best["ratio"].to_numpy(float)
     if not len(kept):
         return Model(coef, float(np.log(p / (n - p))))
