@@ -190,6 +190,68 @@ def test_toxicity_on_held_out_rows(spark):
     assert right >= 0.93 * len(rows)
 
 
+def plain_features(text):
+    """Hash values of a text's 4- to 6-grams, one by one."""
+    chars, found = f" {' '.join(text.lower().split())} ", set()
+    for n in toxicity.ORDERS:
+        for at in range(len(chars) - n + 1):
+            code = n
+            for c in chars[at:at + n]:
+                code = (code * 0x01000193 + ord(c)) % (1 << 32)
+            code = ((code ^ code >> 15) * 0x9E3779B1) % (1 << 32)
+            found.add(code >> 32 - toxicity.BITS)
+    return found
+
+
+def test_toxicity_recomputed(spark):
+    """Counts, log odds, ratios and the regression's least penalised loss, feature by feature."""
+    rng, rows, labels = random.Random(5), [], []
+    for k in range(400):
+        words = [rng.choice(["plain", "green", "table", "river", "stone"]) for _ in range(6)]
+        toxic = k % 3 == 0
+        if toxic and k % 4:
+            words[rng.randrange(6)] = "zzqx"  # in toxic texts only
+        if rng.random() < (0.7 if toxic else 0.1):
+            words[rng.randrange(6)] = "foul"
+        rows.append((k, " ".join(words)))
+        labels.append((k, int(toxic)))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"),
+                         spark.createDataFrame(labels, "doc_id long, toxic int"))
+    train = [k for k in range(400) if zlib.crc32(str(k).encode()) % 4 != 2]
+    feats, n, p = {k: plain_features(rows[k][1]) for k in train}, len(train), sum(labels[k][1] for k in train)
+    ratio = {}
+    for f in set().union(*feats.values()):
+        total = sum(f in feats[k] for k in train)
+        toxic = sum(f in feats[k] and labels[k][1] for k in train)
+        a, b, c, d = toxic + .5, p - toxic + .5, total - toxic + .5, n - p - total + toxic + .5
+        if abs(np.log(a * d / b / c)) / np.sqrt(1 / a + 1 / b + 1 / c + 1 / d) >= toxicity.MIN_Z:
+            s = toxicity.SMOOTHING
+            ratio[f] = np.log((toxic + s) / (p + 2 * s)) - np.log((total - toxic + s) / (n - p + 2 * s))
+    assert set(np.flatnonzero(model.coef)) == set(ratio)
+    alone = plain_features("zzqx") - set().union(*(feats[k] for k in train if not labels[k][1]))
+    assert alone and all(model.coef[f] > 0 for f in alone)
+
+    x = np.array([[ratio[f] * (f in feats[k]) for f in sorted(ratio)] for k in train])
+    y = np.array([labels[k][1] for k in train])
+
+    def loss(w, bias):
+        z = bias + x @ w
+        return np.logaddexp(0, z).sum() - (y * z).sum() + toxicity.PENALTY / 2 * (w @ w)
+    w = np.array([model.coef[f] / ratio[f] for f in sorted(ratio)])
+    best_w, best_bias = np.zeros(len(w)), 0.0
+    for _ in range(50):  # Newton steps
+        chance = 1 / (1 + np.exp(-(best_bias + x @ best_w)))
+        full = np.column_stack([x, np.ones(len(y))])
+        ridge = np.diag([toxicity.PENALTY] * len(w) + [1e-9])
+        step = np.linalg.solve(full.T @ (full * (chance * (1 - chance))[:, None]) + ridge,
+                               full.T @ (chance - y) + ridge @ np.append(best_w, best_bias))
+        best_w, best_bias = best_w - step[:-1], best_bias - step[-1]
+    assert loss(w, model.bias) <= 1.02 * loss(best_w, best_bias)
+    scores = model.score([r[1] for r in rows])
+    plain = [model.bias + sum(model.coef[f] for f in plain_features(r[1])) for r in rows]
+    assert np.allclose(scores, 1 / (1 + np.exp(-np.array(plain))), atol=1e-5)
+
+
 def test_quality_keeps_good_and_drops_bad(spark):
     rows = by_label(spark, quality.op6_importance_resampling(spark, "/root/testdata/sf0.01"), "quality")
     good, bad = [r for r in rows if r.quality == 1], [r for r in rows if r.quality == 0]
@@ -250,6 +312,69 @@ def test_numerals_are_no_letters():
     assert sorted(set(owner.tolist())) == [1, 4]
 
 
+def test_scripts_do_not_share_keys():
+    """Characters of every script, marks and characters beyond U+FFFF keep keys of their own."""
+    alphabet = ["a", "\u0061\u0301", "\u8061", "\u0915", "\u0915\u093f", "\uac00", "\u2c61", "\U00020061", "\U00028061", "\u0e01"]
+    owner, keys = langid.char_keys(alphabet)
+    assert len({tuple(keys[owner == k]) for k in range(len(alphabet))}) == len(alphabet)
+    for k, word in enumerate(alphabet):
+        units = np.frombuffer(f"   {word} ".encode("utf-16-le"), "<u2").tolist()
+        plain = [sum(u << 16 * (3 - j) for j, u in enumerate(units[at:at + 4])) for at in range(len(units) - 3)]
+        assert keys[owner == k].astype(np.uint64).tolist() == plain
+
+
+def plain_kneser_ney(texts):
+    """p(order, gram) of interpolated Kneser-Ney from dictionaries of strings."""
+    counts = {4: defaultdict(int)}
+    for text in texts:
+        for at in range(len(text) - 3):
+            counts[4][text[at:at + 4]] += 1
+    for n in (3, 2, 1):
+        counts[n] = defaultdict(int)
+        for gram in counts[n + 1]:
+            counts[n][gram[1:]] += 1
+
+    def chance(gram, floor):
+        n = len(gram)
+        if n == 0:
+            return floor
+        once, twice = (sum(c == x for c in counts[n].values()) for x in (1, 2))
+        d = min(max((once + .5) / (once + 2 * twice + 1), .1), .9)
+        same = {g: c for g, c in counts[n].items() if g[:-1] == gram[:-1]}
+        lower = chance(gram[1:], floor)
+        if not same:
+            return lower
+        return (max(counts[n].get(gram, 0) - d, 0) + d * len(same) * lower) / sum(same.values())
+    return counts, chance
+
+
+@pytest.mark.parametrize("cells", [langid.MAX_CELLS, 8])
+def test_kneser_ney_recomputed(spark, monkeypatch, cells):
+    """Each text's language and score from plain dictionaries, in memory and joined."""
+    from tickweave.llm.common import Scratch
+    monkeypatch.setattr(langid, "MAX_CELLS", cells)
+    rng = random.Random(3)
+    letters = {"x": "abcd\u0915\u093f", "y": "cdef\u8061\uac00", "z": "abef\U00020061\u0301"}
+    rows = []
+    for k in range(60):
+        lang = "xyz"[k % 3]
+        word = lambda: letters[lang][0] + "".join(rng.choices(letters[lang], k=4))
+        rows.append((k, " ".join(word() for _ in range(5)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, Scratch(spark, "test"))
+    assert bool(model.tables) == (cells == 8)
+    wide = lambda t: "".join(chr(u) for u in np.frombuffer(f"   {t} ".encode("utf-16-le"), "<u2"))
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    plain = {g: plain_kneser_ney([wide(t) for _, t, lang in train if lang == g]) for g in "xyz"}
+    floor = 1 / (len(set().union(*(set(plain[g][0][1]) for g in "xyz"))) + 1)
+    for r in langid.identify(docs, model).collect():
+        text = wide(rows[r.doc_id][1])
+        cross = {g: -np.mean([np.log(plain[g][1](text[at:at + 4], floor)) for at in range(len(text) - 3)]) for g in "xyz"}
+        assert r.lang_pred == min(cross, key=cross.get)
+        score = 1 / sum(np.exp(-model.scale * (c - min(cross.values()))) for c in cross.values())
+        assert abs(r.score - score) < 1e-3
+
+
 def test_kneser_ney_sums_to_one(spark):
     """Over the alphabet, every language's probabilities after any context sum to 1 (with the
     share of the character never seen)."""
