@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -511,6 +512,34 @@ def test_repeated_text_of_a_host_is_template(spark):
         assert got[50 + k] == "Title 1\n\nBuy the paper\n\nStory 1 told."
 
 
+def test_equal_text_of_articles_is_kept(spark):
+    """Text that all articles of a host share is data unless it has the shape of furniture, at any number of pages."""
+    cell = "<article><h1>T%d</h1><h2>Prices</h2><table><tr><td>Equal cell<td>%d</table><pre>equal code</pre><div>A shared line.</div>%s</article>"
+    link = '<ul><li><a href="/x">All news</a></ul><p>See <a href="/y">this page</a> and some more words</p>'
+    rows = [(k, "http://a/%d" % k, "<article><p>Common paragraph<p>Story %d</article>" % k) for k in range(12)]
+    rows += [(20 + k, "http://b/", "<article><p>Hello A.<p>Shared.%s</article>" % x) for k, x in enumerate(["", "<p>B", "<p>C"])]
+    rows += [(30 + k, "http://u:p@C:8/%d" % k, cell % (k, k, link)) for k in range(3)]
+    rows += [(40 + k, "http://d/%d" % k, "<article><div>Same</div></article><div>Other %d</div>" % k) for k in range(3)]
+    rows += [(50, "http://e/", cell % (0, 0, link))]  # one page fixes nothing
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in wrappers.main_text(pages).collect()}
+    for k in range(12):
+        assert got[k] == f"Common paragraph\n\nStory {k}"
+    assert [got[20 + k] for k in range(3)] == ["Hello A.\n\nShared.", "Hello A.\n\nShared.\n\nB", "Hello A.\n\nShared.\n\nC"]
+    whole = "T{0}\n\nPrices\n\nEqual cell\n\n{0}\n\nequal code\n\nA shared line.\n\n"
+    for k in range(3):
+        assert got[30 + k] == whole.format(k) + "See this page and some more words"
+        assert got[40 + k] == "Same"  # an article of nothing but furniture is kept
+    assert got[50] == whole.format(0) + "All news\n\nSee this page and some more words"
+
+
+def test_hosts(spark):
+    urls = {"http://A.b:80/x": "a.b", "//c/d": "c", "https://u:p@d.e?x@y": "d.e", "http://[::1]:8/": "[::1]", "x/y": "", "": "",
+            None: "", "http://[bad": "[bad", "ftp://": ""}
+    rows = spark.createDataFrame([(u,) for u in urls], "url string").select("url", wrappers.host(F.col("url")).alias("host"))
+    assert {r.url: r.host for r in rows.collect()} == urls
+
+
 def test_pipeline_stages_take_effect(spark):
     sf = "/root/testdata/sf0.01"
     from tickweave.llm.common import Scratch, table

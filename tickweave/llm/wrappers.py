@@ -6,20 +6,23 @@ repeated.  Pages of a host are aligned one after the other:
 
 - equal items in a row, or equal runs of up to three items, become one repeated item or group;
 - items that only one side has become optional;
-- text that differs between pages is a data slot, equal text a fixed token of the template.
+- text that differs between pages is a data slot, equal text of the shape of page furniture a
+  fixed token of the template.
 
-Text at a path is equal if it stands there on every different page of the host, or, from
-``MANY_PAGES`` pages on, on more than half of them (so an advert left out of some pages is
-fixed, and copies of one page are not).  It is counted per host, path and text; a page of
-the same slots counts once.  One page fixes nothing.  Two pages may be versions of one
-article, so of two, a page with more fixed than other text keeps it all.
+Text at a path is equal if it stands there on more than half of the host's different pages and
+on two at least (so an advert left out of some pages is fixed, and copies of one page are not).
+It is counted per host, path and text; a page of the same slots counts once.  Being equal alone is
+no evidence, as articles share paragraphs, table cells and headings: a fixed token is mostly link
+text, or short text without a sentence end in no paragraph, heading, list, table or quote
+(``furniture``).  All other text is data, however often it stands on a host.
 
 Expressions need no union: a child list too irregular to stay below ``MAX_ITEMS`` items
 becomes one repeated group of optional items.  The result is one wrapper per host: its
 expression, with the fixed tokens and the places (element paths) of the data slots.  A data
 slot belongs to the main text if no element above it is boilerplate (menus, headers, footers,
-sidebars, notices, adverts, forms, comments) and it lies in an article; pages with more data in
-other main regions use those, and pages with neither whatever is not boilerplate.
+sidebars, notices, adverts, forms, comments) and it lies in an article; pages with more text in
+other main regions use those, and pages with neither whatever is not boilerplate.  An article or
+main region of nothing but fixed tokens keeps them.
 
 Distinct page structures are summed up per host before any grouping and merged in rounds of
 bounded groups, so a host with a third of all pages is no single task's work.  Pages are only
@@ -32,18 +35,19 @@ import html as entities
 import json
 import re
 from collections import Counter
-from urllib.parse import urlsplit
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, table, text_blocks
 
 MAX_ITEMS = 32  # items of a child list before it becomes a group of optional items
 GROUP = 64  # expressions of a host merged in one group
-MANY_PAGES = 10  # different pages of a host from which text on most of them is fixed
+FURNITURE_CHARS = 60  # the longest text outside links that can be a fixed token
+STRUCTURES = 10_000  # distinct structures that a task sums up before it passes them on
+SENTENCE_ENDS = tuple(".!?:;…。！？：；")
 SLOT, FIXED, REPEAT = "#", "=", "()"  # a fixed token has the number of its text behind the sign
 
 INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label
@@ -136,18 +140,20 @@ def _shown(out: list, named: list[str]) -> set[int]:
 def slots(html: str | None) -> list[tuple[tuple[str, ...], str]]:
     """The text slots of a page in order: (symbols of the elements above, text).
 
-    Character references are decoded and white space runs become one space.  Slots under
-    boilerplate are left out; their outermost element stays, as a slot without text.  A name
+    Character references are decoded and white space runs become one space.  The last symbol
+    of a slot with mostly link text is "a".  Slots under boilerplate are left out; their outermost element stays, as a slot without text.  A name
     does not hide the element with the article or most of the text (see ``_shown``)."""
     html = html or ""
     path: list[tuple[str, str, int | None]] = []  # (tag, symbol, place in named)
-    out, text, at, hidden, named = [], [], 0, 0, []
+    out, text, links, at, hidden, named, link = [], [], [], 0, 0, [], False
 
     def flush():
         joined = " ".join(entities.unescape("".join(text)).split())
         text.clear()
         if joined and not hidden:
-            out.append((tuple((s, k) for _, s, k in path), joined))
+            mostly = links and 2 * len(" ".join(entities.unescape("".join(links)).split())) > len(joined)
+            out.append((tuple((s, k) for _, s, k in path) + ((("a", None),) if mostly else ()), joined))
+        links.clear()
 
     def pop(n: int):
         nonlocal hidden
@@ -157,11 +163,15 @@ def slots(html: str | None) -> list[tuple[tuple[str, ...], str]]:
 
     while token := _TOKEN.search(html, at):
         text.append(html[at:token.start()])
+        if link:
+            links.append(text[-1])
         at = token.end()
         closing, tag, attributes = token.groups()
         if not tag:
             continue
         tag = tag.lower()
+        if tag == "a":
+            link = not closing
         if tag == "br":
             text.append(" ")
         elif closing:
@@ -211,6 +221,8 @@ def slots(html: str | None) -> list[tuple[tuple[str, ...], str]]:
                     out.append((tuple((s, k) for _, s, k in path), ""))
                 hidden += symbol.endswith("!")
     text.append(html[at:])
+    if link:
+        links.append(text[-1])
     flush()
     if not named:
         return [(tuple(s for s, _ in above), joined) for above, joined in out]
@@ -226,6 +238,15 @@ def slots(html: str | None) -> list[tuple[tuple[str, ...], str]]:
     return left
 
 
+def furniture(path: tuple[str, ...], text: str) -> bool:
+    """Whether a text has the shape of a template's: mostly link text, or short, without a
+    sentence end and in no element of running text."""
+    if path and path[-1] == "a":
+        return True
+    return (0 < len(text) <= FURNITURE_CHARS and not text.endswith(SENTENCE_ENDS)
+            and CONTENT.isdisjoint(s.rstrip("*") for s in path))
+
+
 def slot_key(path: tuple[str, ...], text: str) -> int:
     """A number for a text at a path."""
     whole = "\x1f".join((*path, text)).encode("utf-8", "surrogatepass")
@@ -259,6 +280,8 @@ def _children(found: list[tuple], depth: int = 0, fixed=frozenset()) -> list[tup
 
 #: elements whose slots are elements of their own, side by side
 LEAVES = frozenset("p li h1 h2 h3 h4 h5 h6 td th dt dd".split())
+#: elements of running text
+CONTENT = LEAVES | frozenset("pre blockquote caption figcaption address details summary".split())
 
 
 def fold(items: list[tuple]) -> list[tuple]:
@@ -343,17 +366,19 @@ def fixed_keys(items) -> set[int]:
     return out
 
 
-def main_slots(data: list[tuple[tuple[str, ...], str]]) -> list[str]:
+def main_slots(found: list[tuple[tuple[str, ...], str]], data: list[bool] | None = None) -> list[str]:
     """The texts of the articles, or of the main regions if those hold more text besides
-    (a teaser may be an article too), or of all slots if there are neither."""
+    (a teaser may be an article too), or of all slots if there are neither; of these the ``data``
+    slots (all, if not given), but a region without any is kept."""
     size = [0, 0, 0]
-    for path, text in data:
+    for path, text in found:
         size[region(path)] += len(text)
-    if size[2] and size[2] >= size[1]:
-        return [text for path, text in data if region(path) == 2]
-    if size[1]:
-        return [text for path, text in data if any(s.endswith("*") for s in path)]
-    return [text for _, text in data]
+    least = 2 if size[2] and size[2] >= size[1] else 1 if size[1] else 0
+    inside = [least != 1 and region(path) >= least or least == 1 and any(s.endswith("*") for s in path) for path, _ in found]
+    if data is not None:
+        kept = [a and b for a, b in zip(inside, data)]
+        inside = kept if any(kept) or not least else inside
+    return [text for (_, text), here in zip(found, inside) if here]
 
 
 def region(path: tuple[str, ...]) -> int:
@@ -365,42 +390,50 @@ def region(path: tuple[str, ...]) -> int:
 
 # Spark ---------------------------------------------------------------------------------------------
 
-def host(url: str | None) -> str:
-    try:
-        return (urlsplit(url or "").hostname or "").lower()
-    except ValueError:
-        return ""
+def host(url: Column) -> Column:
+    """The host of a url in lower case, "" if it has none."""
+    pattern = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
+    return F.coalesce(F.lower(F.regexp_extract(url, pattern, 1)), F.lit(""))
 
 
 def _slot_task(batches):
-    """(host, page, keys, paths): the slots of a page as numbers of path and text with their
-    paths (JSON); page is the number of them all."""
+    """(host, page, keys, candidates, paths): the slots of a page as numbers of path and text, those
+    of them that may be fixed, and their paths (JSON); page is the number of them all."""
     for part, pages in text_blocks(batches, "html"):
         rows = []
-        for url, page in zip(part.column(1).to_pylist(), pages):
+        for name, page in zip(part.column(1).to_pylist(), pages):
             found = slots(page)
             keys = [slot_key(path, text) for path, text in found]
+            candidates = list({key for key, (path, text) in zip(keys, found) if furniture(path, text)})
             kinds = {path: k for k, path in enumerate(dict.fromkeys(path for path, _ in found))}
             paths = json.dumps([list(kinds), [kinds[path] for path, _ in found]])
-            rows.append((host(url), slot_key((), json.dumps(keys)), keys, paths))
-        hosts, numbers, keys, paths = zip(*rows)
+            rows.append((name, slot_key((), json.dumps(keys)), keys, candidates, paths))
+        hosts, numbers, keys, candidates, paths = zip(*rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array(hosts, pa.string()), pa.array(numbers, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
-             pa.array(paths, pa.string())], names=["host", "page", "keys", "paths"])
+             pa.array(candidates, pa.list_(pa.int64())), pa.array(paths, pa.string())],
+            names=["host", "page", "keys", "candidates", "paths"])
 
 
 def _structure_task(batches):
-    """(host, expression, pages): each distinct structure of a host once per task."""
+    """(host, expression, pages): the distinct structures of a host, summed up as far as
+    ``STRUCTURES`` of a task."""
     found: Counter = Counter()
+
+    def summed():
+        hosts, expressions = zip(*found)
+        return pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(expressions), pa.array(list(found.values()))],
+                                          names=["host", "expression", "pages"])
     for batch in batches:
         for name, keys, paths, fixed in zip(*(c.to_pylist() for c in batch.columns)):
             kinds, at = json.loads(paths)
             rows = [(tuple(kinds[k]), key) for k, key in zip(at, keys)]
             found[name, json.dumps(_children(rows, fixed=frozenset(fixed or ())))] += 1
+        if len(found) >= STRUCTURES:
+            yield summed()
+            found.clear()
     if found:
-        hosts, expressions = zip(*found)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts), pa.array(expressions),
-                                          pa.array(list(found.values()))], names=["host", "expression", "pages"])
+        yield summed()
 
 
 def _merge_group(key, rows: pd.DataFrame) -> pd.DataFrame:
@@ -413,21 +446,20 @@ def _merge_group(key, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _fixed_texts(seen: DataFrame) -> DataFrame:
-    """(host, fixed): numbers of the texts that are equal on the pages ``seen`` of a host."""
+    """(host, fixed): numbers of the candidates that are equal on most pages ``seen`` of a host."""
     sizes = seen.groupBy("host").agg(F.count("*").alias("pages")).where("pages > 1")
-    counts = (seen.select("host", F.explode(F.array_distinct("keys")).alias("key"))
+    counts = (seen.select("host", F.explode("candidates").alias("key"))
               .groupBy("host", "key").agg(F.count("*").alias("n")).where("n > 1"))
-    least = F.when(F.col("pages") < MANY_PAGES, F.col("pages")).otherwise(F.floor(F.col("pages") / 2) + 1)
-    return (counts.join(sizes, "host").where(F.col("n") >= least)
+    return (counts.join(sizes, "host").where(2 * F.col("n") > F.col("pages"))
             .groupBy("host").agg(F.collect_list("key").alias("fixed")))
 
 
 def infer(pages: DataFrame, scratch: Scratch) -> DataFrame:
-    """(host, expression, pages): one wrapper per host, in rounds of bounded groups."""
+    """(host, expression, pages): one wrapper per host of ``pages(host, html)``, in rounds of bounded groups."""
     schema = "host string, expression string, pages long"
     seen = scratch.keep(
-        pages.select("page_id", "url", "html")
-        .mapInArrow(_slot_task, "host string, page long, keys array<long>, paths string")
+        pages.select(F.lit(0).alias("at"), "host", "html")
+        .mapInArrow(_slot_task, "host string, page long, keys array<long>, candidates array<long>, paths string")
         .dropDuplicates(["host", "page"]), "slots")
     fixed = scratch.keep(_fixed_texts(seen), "fixed")
     found = scratch.keep(
@@ -446,23 +478,20 @@ def infer(pages: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _place_task(batches):
-    """(host, places): as JSON, the paths of a wrapper's data slots, the numbers of its fixed
-    texts, and whether it comes from too few pages to tell a template from a copy."""
+    """(host, places): as JSON, the paths of a wrapper's data slots and the numbers of its fixed texts."""
     for batch in batches:
         out = []
-        for expression, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        for expression in batch.column(1).to_pylist():
             items = _tuples(json.loads(expression))
-            out.append(json.dumps([sorted(slot_paths(items)), sorted(fixed_keys(items)), n < 3]))
+            out.append(json.dumps([sorted(slot_paths(items)), sorted(fixed_keys(items))]))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["host", "places"])
 
 
-def data_slots(page: str | None, places: set, fixed: set, few: bool) -> list[tuple[tuple[str, ...], str]]:
-    """The slots of a page that a wrapper takes as data."""
+def page_text(page: str | None, places: set, fixed: set) -> str:
+    """The main text of a page by its host's wrapper."""
     found = [(path, text) for path, text in slots(page) if text]
-    data = [(path, text) for path, text in found if path in places and slot_key(path, text) not in fixed]
-    if few and 2 * sum(len(text) for _, text in data) < sum(len(text) for _, text in found):
-        return found
-    return data
+    data = [path in places and not (furniture(path, text) and slot_key(path, text) in fixed) for path, text in found]
+    return "\n\n".join(main_slots(found, data))
 
 
 def _text_task(batches):
@@ -473,9 +502,9 @@ def _text_task(batches):
             if places not in known:
                 if len(known) > 1000:
                     known.clear()
-                paths, fixed, few = json.loads(places)
-                known[places] = {tuple(p) for p in paths}, set(fixed), few
-            out.append("\n\n".join(main_slots(data_slots(page, *known[places]))))
+                paths, fixed = json.loads(places)
+                known[places] = {tuple(p) for p in paths}, set(fixed)
+            out.append(page_text(page, *known[places]))
         yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string())],
                                          names=["page_id", "url", "text"])
 
@@ -483,23 +512,17 @@ def _text_task(batches):
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages(page_id, url, html)``.
 
-    A null or empty page, or one without main text, has an empty text; so has one with nothing
-    but its host's fixed texts.  A null or unreadable
-    url counts as the host "".  Repeated rows come back repeated; other columns are ignored; an
-    empty table gives no rows."""
+    A null or empty page, or one without main text, has an empty text; so has one without an article
+    or main region that holds nothing but its host's fixed texts.  A null or unreadable url counts as
+    the host "".  Repeated rows come back repeated; other columns are ignored; an empty table gives
+    no rows."""
     scratch = Scratch(pages.sparkSession, "wrappers")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                        F.col("html").cast("string").alias("html"))
-    places = scratch.keep(infer(rows, scratch).select("host", "expression", "pages")
+    url = F.col("url").cast("string")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"),
+                        F.col("html").cast("string").alias("html"), host(url).alias("host"))
+    places = scratch.keep(infer(rows, scratch).select("host", "expression")
                           .mapInArrow(_place_task, "host string, places string"), "places")
-
-    def add_host(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([host(u) for u in batch.column(1).to_pylist()], pa.string())],
-                names=["page_id", "url", "html", "host"])
-    hosted = rows.mapInArrow(add_host, "page_id long, url string, html string, host string")
-    joined = hosted.join(places, "host").select("page_id", "url", "html", "places")
+    joined = rows.join(places, "host").select("page_id", "url", "html", "places")
     return (joined.mapInArrow(_text_task, "page_id long, url string, text string")
             .withColumn("n_chars", F.length("text").cast("long")))
 
