@@ -26,13 +26,13 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Collection, Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +65,9 @@ def piece_bpe() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+_NEW = ("",)  # stands for a unit that is not remembered (None is one that is not spelled)
+
+
 class Aligner:
     """Both tokenizers with their remembered units (two generations: a full one replaces the older).
 
@@ -115,20 +118,23 @@ class Aligner:
         """The units of a space and the text, as text (none for a null or empty text)."""
         return self.cut.findall(" " + text) if text else []
 
-    def aligned(self, parts: set[str]) -> dict[str, tuple | None]:
-        """The alignment of each unit."""
+    def aligned(self, parts: list[str]) -> list[tuple | None]:
+        """The alignment of each of the distinct units."""
         if len(self.units) > CACHE_UNITS:
             self.units, self.older = {}, self.units
         units, older = self.units, self.older
-        missing = parts.difference(units)
-        known = missing.intersection(older)
-        units.update(zip(known, map(older.__getitem__, known)))
-        fresh = list(missing.difference(known))
-        new = dict(zip(fresh, self._encode(fresh))) if fresh else {}
-        units.update(new)
-        found = dict(zip(parts, map(units.__getitem__, parts)))
-        for part in [p for p in fresh if len(p) > LONGEST_KEPT]:
-            del units[part]
+        found = list(map(units.get, parts, repeat(_NEW)))
+        fresh = []
+        for k in [k for k, unit in enumerate(found) if unit is _NEW]:
+            unit = found[k] = older.get(parts[k], _NEW)
+            if unit is _NEW:
+                fresh.append(k)
+            else:
+                units[parts[k]] = unit
+        for k, unit in zip(fresh, self._encode([parts[k] for k in fresh])):
+            found[k] = unit
+            if len(parts[k]) <= LONGEST_KEPT:
+                units[parts[k]] = unit
         return found
 
     def _encode(self, parts: list[str]) -> list[tuple | None]:
@@ -167,21 +173,25 @@ class Aligner:
         a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a_all, b_all))
         if not n_a.all() or not n_b.all() or not self._spelled(parts, a_all, b_all):
             return None
-        ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])  # both end with the last unit
         last_a, last_b = np.cumsum(n_a) - 1, np.cumsum(n_b) - 1
         if not np.array_equal(ends_a[last_a], ends_b[last_b]) or not np.array_equal(
                 ends_a[last_a], np.cumsum(np.fromiter((len(p.encode()) for p in parts), np.int64, len(parts)))):
             return None
-        _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        is_end = np.zeros((2, int(ends_a[-1]) + 1), bool)
+        is_end[0, ends_a], is_end[1, ends_b] = True, True
+        both = is_end[0] & is_end[1]
+        mark_a, mark_b = both[ends_a].astype(np.int64), both[ends_b].astype(np.int64)
+        at_a, at_b = np.flatnonzero(mark_a), np.flatnonzero(mark_b)
         pairs = (a[at_a] * B_IDS + b[at_b]).astype("<u4").tobytes()
         # every token's text with what follows it: a comma, the bar after A's part of a group, a semicolon, the end of a unit
-        mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-        mark_a[at_a], mark_b[at_b] = 1, 1
         group_a, group_b = np.cumsum(mark_a) - mark_a, np.cumsum(mark_b) - mark_b
         mark_b[last_b] = 2
-        codes = np.concatenate([a + mark_a * len(self.a_bytes), b + mark_b * len(self.b_bytes) + 2 * len(self.a_bytes)])
-        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        groups = "".join(map(self.texts.__getitem__, codes[order].tolist())).split("\n")
+        # a token of A stands behind B's tokens of the groups before its own, one of B behind A's up to its group
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + np.concatenate([[0], at_b + 1])[group_a]] = a + mark_a * len(self.a_bytes)
+        codes[np.arange(len(b)) + at_a[group_b] + 1] = b + mark_b * len(self.b_bytes) + 2 * len(self.a_bytes)
+        groups = "".join(map(self.texts.__getitem__, codes.tolist())).split("\n")
         edges = (4 * np.searchsorted(at_a, np.concatenate([[-1], last_a]), side="right")).tolist()
         return list(zip(n_a.tolist(), n_b.tolist(), [pairs[i:j] for i, j in zip(edges, edges[1:])], groups))
 
@@ -203,14 +213,29 @@ _BLOCKS = pa.schema([("block", pa.int64()), ("row", pa.int64()), ("doc_id", pa.i
                      ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
 
 
-def linked(units: list[tuple], times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs of units that occur ``times`` each, and how often each pair is linked."""
+_NO_PAIRS = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+def linked(units: Collection[tuple], times: Collection[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of units that occur ``times`` each, in order, and how often each pair is linked."""
     runs = [u[2] for u in units]
-    pairs = np.frombuffer(b"".join(runs), "<u4").astype(np.int64)
-    times = np.repeat(times, [len(r) // 4 for r in runs])
-    order = np.argsort(pairs, kind="stable")
-    pairs, starts = np.unique(pairs[order], return_index=True)
-    return pairs, np.add.reduceat(times[order], starts) if len(pairs) else times
+    pairs = np.frombuffer(b"".join(runs), "<u4")
+    times = np.repeat(times, np.fromiter(map(len, runs), np.int64, len(runs)) // 4)
+    links = pa.table({"pair": pairs, "n": times})
+    sums = links.group_by("pair", use_threads=False).aggregate([("n", "sum")]).sort_by("pair")
+    return sums["pair"].to_numpy().astype(np.int64), sums["n_sum"].to_numpy().astype(np.int64)
+
+
+def _placed(model: Aligner, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, list[tuple | None], np.ndarray]:
+    """Where the units of each text begin and end, all units as places among the distinct ones,
+    with their alignments, and which texts both tokenizers spell."""
+    rows = list(map(model.parts, texts))
+    edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))])
+    coded = pa.array(list(chain.from_iterable(rows)), pa.large_string()).dictionary_encode()
+    at = coded.indices.to_numpy()
+    units = model.aligned(coded.dictionary.to_pylist())
+    broken = np.fromiter((u is None for u in units), bool, len(units))
+    return edges, at, units, np.diff(np.concatenate([[0], np.cumsum(broken[at])])[edges]) == 0
 
 
 def _blocks(a_path: str, b_path: str):
@@ -219,14 +244,9 @@ def _blocks(a_path: str, b_path: str):
         block = TaskContext.get().partitionId() * BLOCKS_PER_TASK
         row = block
         for part, texts in text_blocks(batches):
-            rows = list(map(model.parts, texts))
-            units = model.aligned(set().union(*rows))
-            broken = {p for p, u in units.items() if u is None}
-            seen: Counter = Counter()
-            for parts in rows:
-                if not broken or broken.isdisjoint(parts):
-                    seen.update(parts)
-            pairs, counts = linked([units[p] for p in seen], np.fromiter(seen.values(), np.int64, len(seen)))
+            edges, at, units, whole = _placed(model, texts)
+            times = np.bincount(at[np.repeat(whole, np.diff(edges))], minlength=len(units))
+            pairs, counts = linked(*zip(*((u, n) for u, n in zip(units, times.tolist()) if n))) if times.any() else _NO_PAIRS
             n = part.num_rows
             at = pa.array([0] + [len(pairs)] * n, pa.int32())  # the block's first row carries its pairs
             yield pa.RecordBatch.from_arrays(
@@ -412,14 +432,11 @@ def _looked_up(a_path: str, b_path: str):
                                for c in ("pairs", "counts", "best"))
         order = np.argsort(pairs, kind="stable")
         pairs, counts, best = pairs[order], counts[order], best[order]
-        rows = list(map(model.parts, docs["text"]))
-        units = model.aligned(set().union(*rows))
-        place = {p: k for k, p in enumerate(units)}
-        broken = {p for p, u in units.items() if u is None}
+        starts, at, units, whole = _placed(model, docs["text"])
         numbers = np.zeros((len(units), 5), np.int64)
-        numbers_a, numbers_b, runs, groups = zip(*(u or (0, 0, b"", "") for u in units.values())) if units else ([], [], [], [])
+        numbers_a, numbers_b, runs, groups = zip(*(u or (0, 0, b"", "") for u in units)) if units else ([], [], [], [])
         asked = np.frombuffer(b"".join(runs), "<u4").astype(np.int64)
-        edges = np.concatenate([[0], np.cumsum([len(r) // 4 for r in runs])]).astype(np.int64)
+        edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, runs), np.int64, len(runs)) // 4)])
         found = np.minimum(np.searchsorted(pairs, asked), max(len(pairs) - 1, 0))
         numbers[:, 0], numbers[:, 1] = numbers_a, numbers_b
         numbers[:, 2] = np.diff(edges)
@@ -427,13 +444,15 @@ def _looked_up(a_path: str, b_path: str):
             # units that only stand in texts without tokens may have pairs that were never counted
             of_asked = np.where(pairs[found] == asked, values[found], 0) if len(pairs) else np.zeros(len(asked), np.int64)
             numbers[:, column] = np.diff(np.concatenate([[0], np.cumsum(of_asked)])[edges])
-        out = []
-        for row, doc_id, parts in zip(docs["row"], docs["doc_id"], rows):
-            at = list(map(place.__getitem__, parts)) if not broken or broken.isdisjoint(parts) else []
-            n_a, n_b, links, n_best, total = numbers[at].sum(axis=0).tolist() if at else [0] * 5
-            digest = hashlib.sha256(";".join(map(groups.__getitem__, at)).encode()).hexdigest() if at else ""
-            out.append((row, doc_id, n_a, n_b, links, links, n_best, total, digest))
-        frame = pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
+        sums, filled = np.zeros((len(whole), 5), np.int64), np.diff(starts) > 0
+        if len(at):
+            sums[filled] = np.add.reduceat(numbers[at], starts[:-1][filled], axis=0)
+        n_a, n_b, links, n_best, total = np.where(whole[:, None], sums, 0).T
+        of_units = pa.array(groups, pa.large_string()).take(pa.array(at))
+        spelled = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), of_units), pa.scalar(";", pa.large_string()))
+        digests = [hashlib.sha256(x.as_buffer()).hexdigest() if n else "" for x, n in zip(spelled, links.tolist())]
+        frame = pd.DataFrame({"row": docs["row"], "doc_id": docs["doc_id"], "n_a": n_a, "n_b": n_b, "n_groups": links,
+                              "n_links": links, "n_best": n_best, "count_sum": total, "groups_sha256": digests})
         frame["doc_id"] = frame["doc_id"].astype("Int64")
         return frame
     return run
