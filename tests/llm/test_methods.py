@@ -308,6 +308,48 @@ def test_language_counts_beyond_memory(spark, monkeypatch):
     assert all(small[100 + k] == "small" for k in range(4))
 
 
+@pytest.mark.parametrize("cells", [langid.MAX_CELLS, 8])
+def test_language_calibration_uses_all_rows(spark, monkeypatch, tmp_path, cells):
+    """Scale and rejection threshold are those of all training rows, however many there are, and
+    the query's rows are those of a fitted model."""
+    from tickweave.llm.common import Scratch
+    monkeypatch.setattr(langid, "MAX_CELLS", cells)
+    rng = random.Random(4)
+    letters = {"x": "abcd", "y": "cdea", "z": "efab"}
+    rows = []
+    for k in range(9_000):
+        lang = "xyz"[k % 3]
+        words = ["".join(rng.choices(letters[rng.choice("xyz") if rng.random() < 0.1 else lang], k=4)) for _ in range(3)]
+        rows.append((k, " ".join(words), lang))
+    rows += [(9_000, None, "x"), (9_001, "12", "x"), (9_002, "abcd", None), (None, "dcba", "z"), (9_003, "34", "w"), rows[5], rows[5]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    model = langid.fit(docs, Scratch(spark, "test"))
+    assert bool(model.tables) == (cells == 8)
+
+    train = [r for r in rows if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 4 != 2 and r[2] in list("xyz")
+             and r[1] and r[1] != "12"]
+    monkeypatch.undo()
+    plain = langid.fit(docs, Scratch(spark, "test"))
+    entropy, n = plain.entropies([r[1] for r in train])
+    truth = np.array([plain.langs.index(r[2]) for r in train])
+    assert (n > 0).all() and len(train) > 6_000
+    gap = entropy - entropy.min(axis=1, keepdims=True)
+    loss = {x: np.mean([x * g[t] + np.log(np.exp(-x * g).sum()) for g, t in zip(gap, truth)]) for x in (1, 2, 5, 10, 20, 50, 100)}
+    assert model.scale == min(loss, key=loss.get)
+    best = 1 / np.exp(-model.scale * gap).sum(axis=1)
+    assert model.reject_below == pytest.approx(np.quantile(best[gap.argmin(axis=1) == truth], langid.LOST), abs=1e-5)
+
+    monkeypatch.setattr(langid, "MAX_CELLS", cells)
+    want = sorted(((r.doc_id, r.lang_pred, r.rejected, r.score) for r in langid.identify(docs, model).collect()), key=str)
+    got = sorted(((r.doc_id, r.lang_pred, r.rejected, r.score)
+                  for r in langid.op9_kneser_ney_language_id(spark, str(tmp_path)).collect()), key=str)
+    assert len(got) == len(rows) and [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r[3] for r in got], [r[3] for r in want], atol=1e-6)
+    # sums of the joined path may differ in the last bits at the threshold itself
+    assert all(g[2] == w[2] or abs(w[3] - model.reject_below) < 1e-6 for g, w in zip(got, want))
+
+
 def test_numerals_are_no_letters():
     owner, _ = langid.char_keys(["12 ² Ⅷ _ !", "²a", None, "", "é"])
     assert sorted(set(owner.tolist())) == [1, 4]
